@@ -62,3 +62,11 @@ FROM daily_c""",
 )
 def q_daily_fact(spark, sf_dir):
     return plain(pm.daily(feeds(spark, sf_dir)))
+
+
+# --- time series -----------------------------------------------------------
+
+
+@register("feature_table", "SELECT * FROM features")
+def q_feature_table(spark, sf_dir):
+    return pm.features(feeds(spark, sf_dir))

@@ -12,8 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from harvestline.operators import marts, staging, unify
+from harvestline.operators import marts, staging, timeseries, unify
 from harvestline.sources import testdata
 
 
@@ -76,3 +77,12 @@ def markets_dim(feeds: RawFeeds) -> DataFrame:
 
 def commodities_dim(feeds: RawFeeds) -> DataFrame:
     return marts.dim_commodities(unified(feeds), feeds.commodity_seed)
+
+
+def fx_usd(feeds: RawFeeds) -> DataFrame:
+    """Staged USD rates, one row per date."""
+    return staging.stage_fx(feeds.fx).where(F.col("currency") == "USD")
+
+
+def features(feeds: RawFeeds, commodities: list[str] | None = None) -> DataFrame:
+    return timeseries.feature_table(daily(feeds), fx_usd(feeds), commodities)

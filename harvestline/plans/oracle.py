@@ -219,6 +219,104 @@ WHERE r.r_name <> {lit(SEED_EXCLUDED_REGION)}""",
 
 def with_ctes(body: str, extra: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``body`` with every proxy CTE (DuckDB skips unreferenced ones)."""
-    parts = CTES + list(extra or [])
+    parts = CTES + FEATURE_CTES + list(extra or [])
     ctes = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in parts)
     return f"WITH {ctes}\n{body.strip()}"
+
+
+# --- time series -----------------------------------------------------------
+def feature_sql(min_obs: int = 50, limit: int = 7, fx: bool = True) -> list[tuple[str, str]]:
+    """CTEs building the feature table ``features`` from ``daily_c``."""
+    from harvestline.operators.timeseries import (
+        FX_CHANGES,
+        LAGS,
+        MOMENTUM,
+        ROLL_WINDOWS,
+        TARGET_HORIZONS,
+    )
+
+    cols = ["CAST(price_c AS DOUBLE) / 100 AS price_ngn"]
+    cols += [f"lead(price_c, {h}) OVER w / 100 AS target_{h}d" for h in TARGET_HORIZONS]
+    cols += [f"lag(price_c, {k}) OVER w / 100 AS lag_{k}d" for k in LAGS]
+    for n in ROLL_WINDOWS:
+        fr = f"w{n}"
+        full = f"count(price_c) OVER {fr} = {n}"
+        s, s2 = f"sum(price_c) OVER {fr}", f"sum(price_c * price_c) OVER {fr}"
+        cols += [
+            f"CASE WHEN {full} THEN {s} / {n} / 100 END AS roll_mean_{n}d",
+            f"CASE WHEN {full} THEN sqrt(({s2} * {n} - {s} * {s}) / {n * (n - 1)}) / 100 END AS roll_std_{n}d",
+            f"CASE WHEN {full} THEN min(price_c) OVER {fr} / 100 END AS roll_min_{n}d",
+            f"CASE WHEN {full} THEN max(price_c) OVER {fr} / 100 END AS roll_max_{n}d",
+        ]
+    cols += [f"price_c / lag(price_c, {k}) OVER w - 1 AS mom_pct_change_{k}d" for k in MOMENTUM]
+    cols += [
+        "CAST(month(price_date) AS INTEGER) AS cal_month",
+        "CAST(quarter(price_date) AS INTEGER) AS cal_quarter",
+        "CAST(isodow(price_date) - 1 AS INTEGER) AS cal_day_of_week",
+        "CAST(dayofyear(price_date) AS INTEGER) AS cal_day_of_year",
+        "CAST(weekofyear(price_date) AS INTEGER) AS cal_week_of_year",
+        "CAST(CASE WHEN month(price_date) BETWEEN 4 AND 10 THEN 1 ELSE 0 END AS INTEGER) AS cal_is_rainy_season",
+        "CAST(CASE WHEN month(price_date) BETWEEN 6 AND 8 THEN 1 ELSE 0 END AS INTEGER) AS cal_is_lean_season",
+    ]
+    if fx:
+        cols.append("fx_usd_ngn")
+        cols += [f"fx_usd_ngn / lag(fx_usd_ngn, {k}) OVER w - 1 AS fx_pct_change_{k}d" for k in FX_CHANGES]
+    windows = ["w AS (PARTITION BY market_name, commodity_name ORDER BY price_date)"]
+    windows += [f"w{n} AS (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in ROLL_WINDOWS]
+    src = "withfx" if fx else "dense"
+    ctes = [
+        (
+            "ds1",
+            """
+SELECT market_name, commodity_name, price_date, price_c,
+       lead(price_date) OVER (PARTITION BY market_name, commodity_name ORDER BY price_date) AS nxt,
+       count(*) OVER (PARTITION BY market_name, commodity_name) AS n0
+FROM daily_c""",
+        ),
+        (
+            "dense",
+            f"""
+SELECT market_name, commodity_name,
+       CAST(unnest(generate_series(CAST(price_date AS TIMESTAMP),
+            CAST(greatest(price_date, least(coalesce(nxt - 1, price_date), price_date + {limit})) AS TIMESTAMP),
+            INTERVAL 1 DAY)) AS DATE) AS price_date,
+       price_c
+FROM ds1 WHERE n0 >= {min_obs}""",
+        ),
+        (
+            "fx_ends",
+            """
+SELECT rate_date, CAST(central_rate AS DOUBLE) AS fx,
+       coalesce(lead(rate_date) OVER (ORDER BY rate_date) - 1,
+                greatest(rate_date, (SELECT max(price_date) FROM dense))) AS e
+FROM stg_fx WHERE currency = 'USD'""",
+        ),
+        (
+            "fx_day",
+            """
+SELECT CAST(unnest(generate_series(CAST(rate_date AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d, fx
+FROM fx_ends""",
+        ),
+        (
+            "withfx",
+            "SELECT x.*, f.fx AS fx_usd_ngn FROM dense x LEFT JOIN fx_day f ON x.price_date = f.d",
+        ),
+        (
+            "feat",
+            f"""
+SELECT market_name, commodity_name, price_date,
+       {(',' + chr(10) + '       ').join(cols)},
+       count(*) OVER (PARTITION BY market_name, commodity_name) AS n1
+FROM {src}
+WINDOW {', '.join(windows)}""",
+        ),
+        (
+            "features",
+            f"SELECT * EXCLUDE (n1) FROM feat WHERE n1 >= {min_obs} "
+            "AND lag_30d IS NOT NULL AND roll_mean_30d IS NOT NULL",
+        ),
+    ]
+    return ctes
+
+
+FEATURE_CTES = feature_sql()
