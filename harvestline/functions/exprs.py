@@ -25,8 +25,9 @@ def try_number(c: str | Column, dtype: str = "decimal(12,2)") -> Column:
 
 
 def cents(c: str | Column) -> Column:
-    """Exact integer cents of a DECIMAL(p,2) amount."""
-    return (_col(c) * 100).cast("bigint")
+    """Integer cents of a 2-decimal amount: exact for DECIMAL(p,2), and for a
+    double holding cents/100 the rounding recovers the integer."""
+    return F.round(_col(c) * 100).cast("bigint")
 
 
 def cents_to_double(c: str | Column) -> Column:

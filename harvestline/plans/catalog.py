@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harvestline.operators import reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
-from harvestline.plans.oracle import skey, with_ctes
+from harvestline.plans.oracle import dbl, half_up_cents, skey, with_ctes
+from harvestline.sources import testdata
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +72,399 @@ def q_daily_fact(spark, sf_dir):
 @register("feature_table", "SELECT * FROM features")
 def q_feature_table(spark, sf_dir):
     return pm.features(feeds(spark, sf_dir))
+
+
+@register(
+    "feature_summary",
+    """
+SELECT market_name, commodity_name, count(price_ngn) AS obs_count,
+       min(price_date) AS date_min, max(price_date) AS date_max,
+       sum(CAST(round(price_ngn * 100) AS BIGINT)) / count(*) / 100 AS price_mean
+FROM features GROUP BY market_name, commodity_name""",
+)
+def q_feature_summary(spark, sf_dir):
+    return timeseries.feature_summary(pm.features(feeds(spark, sf_dir)))
+
+
+# --- marts (continued) -------------------------------------------------------
+
+_PERIOD = """
+SELECT {key} AS {id_col}, {start}, market_name, commodity_name,
+       CAST({avg} AS DOUBLE) / 100 AS avg_price_ngn,
+       CAST(min(price_c) AS DOUBLE) / 100 AS min_price_ngn,
+       CAST(max(price_c) AS DOUBLE) / 100 AS max_price_ngn,{extra}
+       count(*) AS observation_count
+FROM (SELECT CAST(date_trunc('{unit}', price_date) AS DATE) AS {start}, market_name, commodity_name, price_c
+      FROM daily_c)
+GROUP BY {start}, market_name, commodity_name"""
+
+
+@register(
+    "weekly_fact",
+    _PERIOD.format(
+        key=skey("week_start", "market_name", "commodity_name"),
+        id_col="weekly_price_id",
+        start="week_start",
+        unit="week",
+        avg=half_up_cents("sum(price_c)", "count(*)"),
+        extra="",
+    ),
+)
+def q_weekly_fact(spark, sf_dir):
+    return plain(pm.weekly(feeds(spark, sf_dir)))
+
+
+@register(
+    "monthly_fact",
+    _PERIOD.format(
+        key=skey("month_start", "market_name", "commodity_name"),
+        id_col="monthly_price_id",
+        start="month_start",
+        unit="month",
+        avg=half_up_cents("sum(price_c)", "count(*)"),
+        extra="\n       CAST(max(price_c) - min(price_c) AS DOUBLE) / 100 AS price_range_ngn,",
+    ),
+)
+def q_monthly_fact(spark, sf_dir):
+    return plain(pm.monthly(feeds(spark, sf_dir)))
+
+
+DIM_MARKETS_SQL = """
+SELECT om.market_name, sm.state, sm.geopolitical_zone, sm.latitude, sm.longitude,
+       sm.market_name IS NOT NULL AS has_coordinates
+FROM (SELECT DISTINCT market_name FROM unified) om
+LEFT JOIN market_seed sm ON om.market_name = sm.market_name"""
+
+
+@register("dim_markets", DIM_MARKETS_SQL)
+def q_dim_markets(spark, sf_dir):
+    return pm.markets_dim(feeds(spark, sf_dir))
+
+
+@register(
+    "dim_commodities",
+    """
+SELECT oc.commodity_name, sc.category, sc.standard_unit,
+       coalesce(sc.is_staple, FALSE) AS is_staple, sc.commodity_name IS NOT NULL AS in_seed_list
+FROM (SELECT DISTINCT commodity_name FROM unified) oc
+LEFT JOIN commodity_seed sc ON lower(oc.commodity_name) = lower(sc.commodity_name)""",
+)
+def q_dim_commodities(spark, sf_dir):
+    return pm.commodities_dim(feeds(spark, sf_dir))
+
+
+@register(
+    "unified_prices",
+    f"""
+SELECT price_date, market_name, commodity_name, unit_name, category,
+       {dbl("price_ngn")} AS price_ngn, source
+FROM unified""",
+)
+def q_unified_prices(spark, sf_dir):
+    return plain(pm.unified(feeds(spark, sf_dir)))
+
+
+@register(
+    "iqr_bounds",
+    """
+SELECT commodity_name, q1c / 100 AS q1, q3c / 100 AS q3,
+       (q1c - (q3c - q1c) * 3.0) / 100 AS lower_bound,
+       (q3c + (q3c - q1c) * 3.0) / 100 AS upper_bound
+FROM bounds""",
+)
+def q_iqr_bounds(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    h = unify.drop_noise(
+        unify.harmonise(unify.union_sources(pm.staged(f)), f.mapping),
+        excluded_markets=f.excluded_markets,
+    )
+    b = unify.iqr_bounds(h, "commodity_name", "price_ngn", 3.0)
+    return b.select(
+        "commodity_name",
+        "q1",
+        "q3",
+        (F.col("lo_c") / 100).alias("lower_bound"),
+        (F.col("hi_c") / 100).alias("upper_bound"),
+    )
+
+
+# --- staging ---------------------------------------------------------------
+
+
+@register(
+    "stg_wfp",
+    f"""
+SELECT market_name, commodity_name, currency_name, unit_name, {dbl("price_ngn")} AS price_ngn,
+       price_date, source FROM stg_wfp""",
+)
+def q_stg_wfp(spark, sf_dir):
+    return plain(staging.stage_wfp(testdata.raw_wfp(spark, sf_dir)))
+
+
+@register(
+    "stg_worldbank",
+    f"""
+SELECT market_name, commodity_name, unit_name, {dbl("price_ngn")} AS price_ngn, price_date, source
+FROM stg_worldbank""",
+)
+def q_stg_worldbank(spark, sf_dir):
+    return plain(staging.stage_worldbank(testdata.raw_worldbank(spark, sf_dir)))
+
+
+@register(
+    "stg_nbs",
+    f"""
+SELECT market_name, commodity_name, unit_name, {dbl("price_ngn")} AS price_ngn, price_date, source
+FROM stg_nbs""",
+)
+def q_stg_nbs(spark, sf_dir):
+    return plain(staging.stage_nbs(testdata.raw_nbs(spark, sf_dir)))
+
+
+@register(
+    "stg_fx",
+    f"""
+SELECT rate_date, currency, {dbl("buying_rate", 4)} AS buying_rate, {dbl("central_rate", 4)} AS central_rate,
+       {dbl("selling_rate", 4)} AS selling_rate, source
+FROM stg_fx""",
+)
+def q_stg_fx(spark, sf_dir):
+    return plain(staging.stage_fx(testdata.raw_fx(spark, sf_dir)))
+
+
+@register(
+    "stg_weather",
+    f"""
+SELECT market_name, weather_date, {dbl("temperature_max", 1)} AS temperature_max,
+       {dbl("temperature_min", 1)} AS temperature_min,
+       CAST(precipitation_mm AS DOUBLE) AS precipitation_mm, CAST(humidity_pct AS DOUBLE) AS humidity_pct, source
+FROM raw_weather WHERE weather_date IS NOT NULL AND market_name IS NOT NULL""",
+)
+def q_stg_weather(spark, sf_dir):
+    return plain(staging.stage_weather(testdata.raw_weather(spark, sf_dir)))
+
+
+# --- reports ---------------------------------------------------------------
+
+LAST_BY_COMMODITY = "(SELECT commodity_name, max(price_date) AS last_date FROM daily_c GROUP BY commodity_name)"
+
+
+@register(
+    "latest_prices",
+    """
+SELECT strftime(price_date, '%Y-%m-%d') AS price_date, market_name, commodity_name, price_ngn
+FROM features ORDER BY features.price_date DESC, market_name, commodity_name LIMIT 50""",
+)
+def q_latest_prices(spark, sf_dir):
+    return reports.latest_prices(pm.features(feeds(spark, sf_dir)), n=50)
+
+
+@register("commodity_list", "SELECT DISTINCT commodity_name FROM features WHERE commodity_name IS NOT NULL")
+def q_commodity_list(spark, sf_dir):
+    return reports.distinct_list(pm.features(feeds(spark, sf_dir)), "commodity_name")
+
+
+@register("market_list", "SELECT DISTINCT market_name FROM features WHERE market_name IS NOT NULL")
+def q_market_list(spark, sf_dir):
+    return reports.distinct_list(pm.features(feeds(spark, sf_dir)), "market_name")
+
+
+@register(
+    "market_snapshot",
+    f"""
+SELECT d.commodity_name, d.price_date, d.market_name, m.state, m.geopolitical_zone,
+       CASE WHEN m.state IS NOT NULL THEN d.market_name || ' (' || m.state || ')' ELSE d.market_name END AS display,
+       CAST(d.price_c AS DOUBLE) / 100 AS price_ngn
+FROM daily_c d
+JOIN {LAST_BY_COMMODITY} l ON d.commodity_name = l.commodity_name AND d.price_date = l.last_date
+LEFT JOIN ({DIM_MARKETS_SQL}) m ON d.market_name = m.market_name""",
+)
+def q_market_snapshot(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return plain(reports.snapshot(pm.daily(f), pm.markets_dim(f)))
+
+
+@register(
+    "snapshot_kpis",
+    f"""
+SELECT d.commodity_name, d.price_date, count(*) AS markets,
+       sum(d.price_c) / count(*) / 100 AS avg_price,
+       CAST(min(d.price_c) AS DOUBLE) / 100 AS min_price, CAST(max(d.price_c) AS DOUBLE) / 100 AS max_price
+FROM daily_c d
+JOIN {LAST_BY_COMMODITY} l ON d.commodity_name = l.commodity_name AND d.price_date = l.last_date
+GROUP BY d.commodity_name, d.price_date""",
+)
+def q_snapshot_kpis(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return plain(reports.snapshot_kpis(reports.latest_per_commodity(pm.daily(f))))
+
+
+@register(
+    "state_averages",
+    f"""
+SELECT d.commodity_name, m.state, m.geopolitical_zone,
+       sum(d.price_c) / count(*) / 100 AS avg_price, count(*) AS observations
+FROM daily_c d
+JOIN {LAST_BY_COMMODITY} l ON d.commodity_name = l.commodity_name
+LEFT JOIN ({DIM_MARKETS_SQL}) m ON d.market_name = m.market_name
+WHERE d.price_date >= l.last_date - INTERVAL 3 MONTH AND m.state IS NOT NULL
+GROUP BY d.commodity_name, m.state, m.geopolitical_zone""",
+)
+def q_state_averages(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return reports.state_averages(pm.daily(f), pm.markets_dim(f), months=3)
+
+
+@register(
+    "modal_unit",
+    """
+SELECT commodity_name, unit FROM (
+  SELECT commodity_name, unit_name AS unit,
+         row_number() OVER (PARTITION BY commodity_name ORDER BY count(*) DESC, unit_name) AS rn
+  FROM daily_c WHERE unit_name IS NOT NULL GROUP BY commodity_name, unit_name)
+WHERE rn = 1""",
+)
+def q_modal_unit(spark, sf_dir):
+    return reports.modal_unit(pm.daily(feeds(spark, sf_dir)))
+
+
+TOP_MARKET_SQL = """
+SELECT commodity_name, market_name, n AS rows FROM (
+  SELECT commodity_name, market_name, count(*) AS n,
+         row_number() OVER (PARTITION BY commodity_name ORDER BY count(*) DESC, market_name) AS rn
+  FROM features GROUP BY commodity_name, market_name)
+WHERE rn = 1"""
+
+
+@register("top_market", TOP_MARKET_SQL)
+def q_top_market(spark, sf_dir):
+    return reports.top_market(pm.features(feeds(spark, sf_dir)))
+
+
+@register(
+    "forecast_history",
+    f"""
+SELECT commodity_name, market_name, price_date, price_ngn, roll_mean_30d FROM (
+  SELECT f.commodity_name, f.market_name, f.price_date, f.price_ngn, f.roll_mean_30d,
+         row_number() OVER (PARTITION BY f.market_name, f.commodity_name ORDER BY f.price_date DESC) AS rn
+  FROM features f JOIN ({TOP_MARKET_SQL}) t
+    ON f.commodity_name = t.commodity_name AND f.market_name = t.market_name)
+WHERE rn <= 180""",
+)
+def q_forecast_history(spark, sf_dir):
+    fe = pm.features(feeds(spark, sf_dir))
+    top = reports.top_market(fe).select("commodity_name", "market_name")
+    picked = fe.join(top, ["commodity_name", "market_name"])
+    rec = reports.recent_rows(picked, n=180)
+    return rec.select("commodity_name", "market_name", "price_date", "price_ngn", "roll_mean_30d")
+
+
+@register(
+    "price_trend",
+    """
+SELECT market_name, commodity_name, latest_date, cur / 100 AS current_price, prev / 100 AS price_n_rows_ago,
+       (cur - prev) / prev * 100 AS change_pct,
+       CASE WHEN (cur - prev) / prev * 100 > 2.0 THEN 'Rising'
+            WHEN (cur - prev) / prev * 100 < -2.0 THEN 'Falling' ELSE 'Stable' END AS trend
+FROM (
+  SELECT market_name, commodity_name,
+         max(CASE WHEN rn = 1 THEN price_date END) AS latest_date,
+         max(CASE WHEN rn = 1 THEN c END) AS cur, max(CASE WHEN rn = 30 THEN c END) AS prev
+  FROM (SELECT market_name, commodity_name, price_date, CAST(round(price_ngn * 100) AS BIGINT) AS c,
+               row_number() OVER (PARTITION BY market_name, commodity_name ORDER BY price_date DESC) AS rn,
+               count(*) OVER (PARTITION BY market_name, commodity_name) AS size
+        FROM features)
+  WHERE rn IN (1, 30) AND size > 30
+  GROUP BY market_name, commodity_name)""",
+)
+def q_price_trend(spark, sf_dir):
+    return reports.trend(pm.features(feeds(spark, sf_dir)), n=30)
+
+
+LAST_FEATURE_ROW = """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY market_name, commodity_name ORDER BY price_date DESC) AS rn
+               FROM features) WHERE rn = 1"""
+
+
+@register(
+    "price_projection",
+    f"""
+SELECT market_name, commodity_name, CAST(price_date + CAST(i AS INTEGER) AS DATE) AS forecast_date,
+       CAST(i AS INTEGER) AS step,
+       price_ngn * (mom_pct_change_30d / 30 * i + 1) AS projected_price,
+       greatest(CAST(0.0 AS DOUBLE), price_ngn * (mom_pct_change_30d / 30 * i + 1)
+                - coalesce(roll_std_30d, price_ngn * CAST(0.1 AS DOUBLE)) * CAST(1.96 AS DOUBLE)) AS lower,
+       price_ngn * (mom_pct_change_30d / 30 * i + 1)
+                + coalesce(roll_std_30d, price_ngn * CAST(0.1 AS DOUBLE)) * CAST(1.96 AS DOUBLE) AS upper
+FROM ({LAST_FEATURE_ROW}) l, range(1, 31) AS t(i)
+WHERE mom_pct_change_30d IS NOT NULL""",
+)
+def q_price_projection(spark, sf_dir):
+    return reports.project(pm.features(feeds(spark, sf_dir)), days=30)
+
+
+@register(
+    "projection_point",
+    f"""
+SELECT market_name, commodity_name, price_date AS latest_date,
+       price_ngn * (mom_pct_change_30d + 1) AS projected_30d
+FROM ({LAST_FEATURE_ROW}) l WHERE mom_pct_change_30d IS NOT NULL""",
+)
+def q_projection_point(spark, sf_dir):
+    return reports.projection_point(pm.features(feeds(spark, sf_dir)))
+
+
+@register(
+    "source_counts",
+    """
+SELECT 'WFP' AS source, count(*) AS rows FROM raw_wfp
+UNION ALL SELECT 'World Bank', count(*) FROM raw_worldbank
+UNION ALL SELECT 'NBS', count(*) FROM raw_nbs
+UNION ALL SELECT 'CBN (FX)', count(*) FROM raw_fx
+UNION ALL SELECT 'Weather', count(*) FROM raw_weather""",
+)
+def q_source_counts(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return reports.source_counts(
+        {"WFP": f.wfp, "World Bank": f.worldbank, "NBS": f.nbs, "CBN (FX)": f.fx, "Weather": f.weather}
+    )
+
+
+@register(
+    "freshness",
+    """
+SELECT 'WFP' AS source, CAST(max(price_date) AS VARCHAR) AS latest FROM raw_wfp
+UNION ALL SELECT 'World Bank', CAST(max(price_date) AS VARCHAR) FROM raw_worldbank
+UNION ALL SELECT 'NBS', CAST(max(report_month) AS VARCHAR) FROM raw_nbs""",
+)
+def q_freshness(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return reports.freshness(
+        {"WFP": (f.wfp, "price_date"), "World Bank": (f.worldbank, "price_date"), "NBS": (f.nbs, "report_month")}
+    )
+
+
+@register(
+    "distinct_counts",
+    """
+SELECT count(DISTINCT market_name) AS n_market_name, count(DISTINCT commodity_name) AS n_commodity_name,
+       count(DISTINCT source) AS n_source
+FROM unified""",
+)
+def q_distinct_counts(spark, sf_dir):
+    return reports.distinct_counts(pm.unified(feeds(spark, sf_dir)), ["market_name", "commodity_name", "source"])
+
+
+@register(
+    "latest_features",
+    """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY market_name, commodity_name ORDER BY price_date DESC) AS rn
+  FROM features WHERE lag_1d IS NOT NULL AND lag_90d IS NOT NULL AND roll_std_30d IS NOT NULL
+    AND mom_pct_change_30d IS NOT NULL)
+WHERE rn = 1""",
+)
+def q_latest_features(spark, sf_dir):
+    fe = pm.features(feeds(spark, sf_dir))
+    req = ["lag_1d", "lag_90d", "roll_std_30d", "mom_pct_change_30d"]
+    return reports.latest_row(fe, required=req).select(*fe.columns)

@@ -197,6 +197,17 @@ SELECT price_date, market_name, commodity_name,
        CAST(max(price_ngn) * 100 AS BIGINT) AS max_c,
        count(*) AS source_count
 FROM unified GROUP BY price_date, market_name, commodity_name""",
+    ),
+    (
+        "raw_weather",
+        """
+SELECT event_type AS market_name, CAST(NULL AS DECIMAL(8,4)) AS latitude, CAST(NULL AS DECIMAL(8,4)) AS longitude,
+       CAST(ts AS DATE) AS weather_date,
+       CAST(CAST((CAST(round(value * 100) AS BIGINT) + 5) // 10 AS DECIMAL(10,0)) * 0.1 AS DECIMAL(5,1)) AS temperature_max,
+       CAST(CAST(((CAST(round(value * 100) AS BIGINT) + 5) // 10) // 2 AS DECIMAL(10,0)) * 0.1 AS DECIMAL(5,1)) AS temperature_min,
+       CAST(NULL AS DECIMAL(6,1)) AS precipitation_mm, CAST(NULL AS DECIMAL(5,1)) AS humidity_pct,
+       'OpenMeteo' AS source, ts AS ingested_at
+FROM events""",
     ),
     (
         "market_seed",
@@ -217,6 +228,12 @@ WHERE r.r_name <> {lit(SEED_EXCLUDED_REGION)}""",
 ]
 
 
+def dbl(col: str, scale: int = 2) -> str:
+    """Exact decimal -> double, as integer units / 10^scale."""
+    f = 10**scale
+    return f"CAST(CAST({col} * {f} AS BIGINT) AS DOUBLE) / {f}"
+
+
 def with_ctes(body: str, extra: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``body`` with every proxy CTE (DuckDB skips unreferenced ones)."""
     parts = CTES + FEATURE_CTES + list(extra or [])

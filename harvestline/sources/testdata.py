@@ -17,6 +17,7 @@ lineitem / orders):
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,8 @@ COMMODITY_SEED_ROWS = [
 ]
 # Two nations play the report-style aggregate rows ('National', a zone).
 PROXY_EXCLUDED_MARKETS = ["NATION_7", "NATION_13"]
+# Reporting date of the proxy feeds (freshness checks need an explicit date).
+AS_OF = dt.date(2002, 1, 1)
 SEED_EXCLUDED_REGION = "EUROPE"
 
 
@@ -156,14 +159,16 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather-like readings from the event log: one reading per event, the
     event type playing the station (market)."""
     e = table(spark, sf_dir, "events")
-    v = F.col("value")
+    # value has 2 decimals: tenths half-up as integer math, then exact decimals
+    tenths = F.floor((F.round(F.col("value") * 100).cast("bigint") + 5) / 10).cast("bigint")
+    tenth = F.lit(Decimal("0.1"))
     return e.select(
         F.col("event_type").alias("market_name"),
         F.lit(None).cast("decimal(8,4)").alias("latitude"),
         F.lit(None).cast("decimal(8,4)").alias("longitude"),
         F.col("ts").cast("date").alias("weather_date"),
-        v.cast("decimal(5,1)").alias("temperature_max"),
-        (v / 2).cast("decimal(5,1)").alias("temperature_min"),
+        (tenths.cast("decimal(10,0)") * tenth).cast("decimal(5,1)").alias("temperature_max"),
+        (F.floor(tenths / 2).cast("decimal(10,0)") * tenth).cast("decimal(5,1)").alias("temperature_min"),
         F.lit(None).cast("decimal(6,1)").alias("precipitation_mm"),
         F.lit(None).cast("decimal(5,1)").alias("humidity_pct"),
         F.lit("OpenMeteo").alias("source"),

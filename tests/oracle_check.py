@@ -94,7 +94,7 @@ def main(argv):
         hd, ld = digest(dcols, drows)
         ok = sorted(scols) == sorted(dcols) and len(srows) == len(drows) and hs == hd
         status = "ok  " if ok else "FAIL"
-        print(f"{status} {name}: spark {len(srows)} duck {len(drows)} rows ({ts:.1f}s)")
+        print(f"\n{status} {name}: spark {len(srows)} duck {len(drows)} rows ({ts:.1f}s)")
         if not ok:
             bad += 1
             if sorted(scols) != sorted(dcols):
