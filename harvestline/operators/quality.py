@@ -263,6 +263,9 @@ def run_suites(
 def price_stats(df: DataFrame, col: str = "price") -> DataFrame:
     """min / max / avg over non-null values."""
     c = F.col(col)
+    cents = F.round(c * 100).cast("bigint")
     return df.where(c.isNotNull()).agg(
-        F.min(c).alias("min_price"), F.max(c).alias("max_price"), F.avg(c).alias("avg_price")
+        F.min(c).alias("min_price"),
+        F.max(c).alias("max_price"),
+        (F.sum(cents) / F.count(cents) / 100).alias("avg_price"),
     )

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harvestline.operators import reports, staging, timeseries, unify
+from harvestline.operators import evaluate, marts, quality, reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
-from harvestline.plans.oracle import dbl, half_up_cents, skey, with_ctes
+from harvestline.plans.oracle import checks_sql, dbl, half_up_cents, lit, skey, with_ctes
 from harvestline.sources import testdata
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -468,3 +468,206 @@ def q_latest_features(spark, sf_dir):
     fe = pm.features(feeds(spark, sf_dir))
     req = ["lag_1d", "lag_90d", "roll_std_30d", "mom_pct_change_30d"]
     return reports.latest_row(fe, required=req).select(*fe.columns)
+
+
+# --- evaluation ------------------------------------------------------------
+
+_TEST = "(SELECT * FROM features WHERE price_date >= (SELECT max(price_date) FROM features) - INTERVAL 3 MONTH)"
+
+
+def _baseline_sql() -> str:
+    arms = "\nUNION ALL\n".join(
+        f"SELECT commodity_name, target_7d AS y, {lit(name)} AS model, {i} AS model_rank, "
+        f"CAST({col} AS DOUBLE) AS yhat FROM {_TEST} t"
+        for i, (name, col) in enumerate(evaluate.BASELINES)
+    )
+    ok = "y IS NOT NULL AND yhat IS NOT NULL"
+    return f"""
+SELECT commodity_name AS commodity, model, model_rank, count(*) AS test_rows,
+       round(avg(CASE WHEN {ok} THEN abs(y - yhat) END), 6) AS mae,
+       round(sqrt(avg(CASE WHEN {ok} THEN (y - yhat) * (y - yhat) END)), 6) AS rmse,
+       round(avg(CASE WHEN {ok} AND y <> 0 THEN abs((y - yhat) / y) END) * 100, 6) AS mape,
+       count(CASE WHEN {ok} THEN y - yhat END) AS n_scored
+FROM ({arms}) long
+GROUP BY commodity_name, model, model_rank
+HAVING count(*) >= 10"""
+
+
+BASELINE_SQL = _baseline_sql()
+
+
+def baselines(spark, sf_dir):
+    return evaluate.baseline_table(pm.features(feeds(spark, sf_dir)), test_months=3, min_test=10)
+
+
+@register(
+    "temporal_split",
+    """
+SELECT CASE WHEN price_date >= (SELECT max(price_date) FROM features) - INTERVAL 3 MONTH
+            THEN 'test' ELSE 'train' END AS split,
+       count(*) AS rows, min(price_date) AS first_date, max(price_date) AS last_date
+FROM features GROUP BY 1""",
+)
+def q_temporal_split(spark, sf_dir):
+    s = evaluate.temporal_split(pm.features(feeds(spark, sf_dir)), months=3)
+    return s.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date")
+    )
+
+
+@register(
+    "temporal_split_by_commodity",
+    """
+SELECT f.commodity_name, CASE WHEN f.price_date >= c.cut THEN 'test' ELSE 'train' END AS split, count(*) AS rows
+FROM features f JOIN (SELECT commodity_name, max(price_date) - INTERVAL 2 MONTH AS cut FROM features GROUP BY 1) c
+  ON f.commodity_name = c.commodity_name
+GROUP BY 1, 2""",
+)
+def q_temporal_split_by_commodity(spark, sf_dir):
+    s = evaluate.temporal_split(pm.features(feeds(spark, sf_dir)), months=2, by=["commodity_name"])
+    return s.groupBy("commodity_name", "split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("baseline_table", BASELINE_SQL)
+def q_baseline_table(spark, sf_dir):
+    return baselines(spark, sf_dir)
+
+
+@register(
+    "baseline_summary",
+    f"""
+SELECT model, round(avg(mae), 2) AS avg_mae, round(avg(rmse), 2) AS avg_rmse, round(avg(mape), 2) AS avg_mape
+FROM ({BASELINE_SQL}) b GROUP BY model""",
+)
+def q_baseline_summary(spark, sf_dir):
+    return evaluate.summarise_models(baselines(spark, sf_dir))
+
+
+@register(
+    "best_baseline",
+    f"""
+SELECT commodity, model, mae, mape FROM (
+  SELECT *, row_number() OVER (PARTITION BY commodity ORDER BY mae, model_rank) AS rn
+  FROM ({BASELINE_SQL}) b WHERE mae IS NOT NULL)
+WHERE rn = 1""",
+)
+def q_best_baseline(spark, sf_dir):
+    return evaluate.best_model(baselines(spark, sf_dir))
+
+
+_COMPARE_SQL = f"""
+SELECT b.commodity, b.model, b.mape, n.mape AS naive_mape, n.mae AS naive_mae,
+       round(CASE WHEN n.mape > 0 THEN (n.mape - b.mape) / n.mape * 100 ELSE 0.0 END, 6) AS mape_improvement_pct,
+       CASE WHEN (CASE WHEN n.mape > 0 THEN (n.mape - b.mape) / n.mape * 100 ELSE 0.0 END) > 0
+            THEN 'ML Model' ELSE 'Simple baseline' END AS winner
+FROM ({BASELINE_SQL}) b JOIN ({BASELINE_SQL}) n ON b.commodity = n.commodity
+WHERE b.model_rank > 0 AND n.model_rank = 0"""
+
+
+def _compared(spark, sf_dir):
+    b = baselines(spark, sf_dir)
+    naive = b.where(F.col("model_rank") == 0)
+    others = b.where(F.col("model_rank") > 0).select("commodity", "model", "mape")
+    return evaluate.compare(others, naive)
+
+
+@register("baseline_vs_naive", _COMPARE_SQL)
+def q_baseline_vs_naive(spark, sf_dir):
+    return _compared(spark, sf_dir)
+
+
+@register(
+    "baseline_wins",
+    f"""
+SELECT model, count(*) FILTER (WHERE mape_improvement_pct > 0) AS wins, count(*) AS models,
+       round(avg(mape), 6) AS avg_model_mape, round(avg(naive_mape), 6) AS avg_naive_mape
+FROM ({_COMPARE_SQL}) c GROUP BY model""",
+)
+def q_baseline_wins(spark, sf_dir):
+    return evaluate.wins(_compared(spark, sf_dir), by=["model"])
+
+
+# --- quality ---------------------------------------------------------------
+
+_RAW_VIEWS = {
+    "wfp_prices": "raw_wfp",
+    "worldbank_prices": "raw_worldbank",
+    "nbs_prices": "raw_nbs",
+    "cbn_rates": "raw_fx",
+    "weather": "raw_weather",
+}
+
+
+def _raw_tables(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return {
+        "wfp_prices": f.wfp,
+        "worldbank_prices": f.worldbank,
+        "nbs_prices": f.nbs,
+        "cbn_rates": f.fx,
+        "weather": f.weather,
+    }
+
+
+def _suite_sql(suites, views) -> str:
+    return "\nUNION ALL\n".join(
+        checks_sql(views[t], t, suites[t], testdata.AS_OF) for t in views if t in suites
+    )
+
+
+@register("quality_sql_checks", _suite_sql(quality.SQL_CHECKS, _RAW_VIEWS))
+def q_quality_sql_checks(spark, sf_dir):
+    return quality.run_suites(_raw_tables(spark, sf_dir), quality.SQL_CHECKS, testdata.AS_OF)
+
+
+@register("quality_suites", _suite_sql(quality.SUITE_CHECKS, _RAW_VIEWS))
+def q_quality_suites(spark, sf_dir):
+    return quality.run_suites(_raw_tables(spark, sf_dir), quality.SUITE_CHECKS, testdata.AS_OF)
+
+
+_MART_VIEWS = {
+    "fct_daily_prices": f"""(SELECT {skey("price_date", "market_name", "commodity_name")} AS price_id,
+        price_date, market_name, commodity_name, price_c AS price_ngn FROM daily_c)""",
+    "fct_weekly_prices": f"""(SELECT DISTINCT {skey("CAST(date_trunc('week', price_date) AS DATE)", "market_name", "commodity_name")}
+        AS weekly_price_id FROM daily_c)""",
+    "fct_monthly_prices": f"""(SELECT DISTINCT {skey("CAST(date_trunc('month', price_date) AS DATE)", "market_name", "commodity_name")}
+        AS monthly_price_id FROM daily_c)""",
+    "dim_markets": "(SELECT DISTINCT market_name FROM unified)",
+    "dim_commodities": "(SELECT DISTINCT commodity_name FROM unified)",
+}
+
+
+@register("mart_tests", _suite_sql(quality.MART_CHECKS, _MART_VIEWS))
+def q_mart_tests(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    daily = pm.daily(f)
+    u = pm.unified(f)
+    tables = {
+        "fct_daily_prices": daily,
+        "fct_weekly_prices": marts.weekly_fact(daily),
+        "fct_monthly_prices": marts.monthly_fact(daily),
+        "dim_markets": marts.dim_markets(u, f.market_seed),
+        "dim_commodities": marts.dim_commodities(u, f.commodity_seed),
+    }
+    return quality.run_suites(tables, quality.MART_CHECKS)
+
+
+@register(
+    "price_stats",
+    """
+SELECT 'wfp_prices' AS table_name, CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price,
+       sum(CAST(price * 100 AS BIGINT)) / count(price) / 100 AS avg_price FROM raw_wfp WHERE price IS NOT NULL
+UNION ALL
+SELECT 'worldbank_prices', CAST(min(price) AS DOUBLE), CAST(max(price) AS DOUBLE),
+       sum(CAST(price * 100 AS BIGINT)) / count(price) / 100 FROM raw_worldbank WHERE price IS NOT NULL
+UNION ALL
+SELECT 'nbs_prices', CAST(min(price) AS DOUBLE), CAST(max(price) AS DOUBLE),
+       sum(CAST(price * 100 AS BIGINT)) / count(price) / 100 FROM raw_nbs WHERE price IS NOT NULL""",
+)
+def q_price_stats(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    parts = [
+        plain(quality.price_stats(df)).select(F.lit(name).alias("table_name"), "*")
+        for name, df in (("wfp_prices", f.wfp), ("worldbank_prices", f.worldbank), ("nbs_prices", f.nbs))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

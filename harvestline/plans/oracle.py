@@ -337,3 +337,46 @@ WINDOW {', '.join(windows)}""",
 
 
 FEATURE_CTES = feature_sql()
+
+
+# --- quality ---------------------------------------------------------------
+def _check_sql(c, as_of) -> tuple[str, str]:
+    col = c.column
+    if c.kind == "row_count":
+        ok = f"count(*) >= {c.lo!r}" + (f" AND count(*) <= {c.hi!r}" if c.hi is not None else "")
+        return "CAST(count(*) AS DOUBLE)", ok
+    if c.kind == "not_null":
+        nulls = f"count(*) FILTER (WHERE {col} IS NULL)"
+        return f"CAST({nulls} AS DOUBLE)", f"{nulls} = 0"
+    if c.kind == "between":
+        share = (
+            f"CASE WHEN count({col}) > 0 THEN count(*) FILTER (WHERE {col} BETWEEN {c.lo!r} AND {c.hi!r})"
+            f" / count({col}) END"
+        )
+        return share, f"coalesce({share} >= {c.mostly!r}, TRUE)"
+    if c.kind == "price_range":
+        lo_op, hi_op = (">=", "<=") if c.inclusive else (">", "<")
+        ok = f"coalesce(min({col}) {lo_op} {c.lo!r} AND max({col}) {hi_op} {c.hi!r}, FALSE)"
+        return f"CAST(max({col}) AS DOUBLE)", ok
+    if c.kind == "freshness":
+        days = f"coalesce(DATE '{as_of.isoformat()}' - max({col}), 999)"
+        return f"CAST({days} AS DOUBLE)", f"{days} <= {c.hi!r}"
+    if c.kind == "in_set":
+        bad = f"count(*) FILTER (WHERE {col} NOT IN {in_list(c.values)})"
+        return f"CAST({bad} AS DOUBLE)", f"{bad} = 0"
+    if c.kind == "unique":
+        dup = f"count({col}) - count(DISTINCT {col})"
+        return f"CAST({dup} AS DOUBLE)", f"{dup} = 0"
+    raise ValueError(c.kind)
+
+
+def checks_sql(view: str, table: str, checks, as_of=None) -> str:
+    parts = []
+    for i, c in enumerate(checks):
+        obs, ok = _check_sql(c, as_of)
+        keep = "TRUE" if c.kind == "row_count" else "count(*) > 0"
+        parts.append(
+            f"SELECT {lit(table)} AS table_name, {i} AS check_order, {lit(c.name)} AS check_name, "
+            f"{ok} AS passed, {obs} AS observed FROM {view} HAVING {keep}"
+        )
+    return "\nUNION ALL\n".join(parts)
