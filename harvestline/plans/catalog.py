@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from harvestline.operators import evaluate, marts, quality, reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
-from harvestline.plans.oracle import checks_sql, dbl, half_up_cents, lit, skey, with_ctes
-from harvestline.sources import testdata
+from harvestline.operators import reshape
+from harvestline.plans.oracle import checks_sql, dbl, half_up_cents, in_list, lit, skey, with_ctes
+from harvestline.sources import report_text, semistructured, testdata
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -671,3 +672,209 @@ def q_price_stats(spark, sf_dir):
         for name, df in (("wfp_prices", f.wfp), ("worldbank_prices", f.worldbank), ("nbs_prices", f.nbs))
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- semi-structured and text sources --------------------------------------
+
+PAGE_PATTERN = r'href="/([^"/]*)([^"]*)"'
+# Report months already known to the extractor.
+KNOWN_REPORT_MONTHS = ["2024-11", "2024-12", "2025-01", "2025-04"]
+PRICE_RE = report_text.PRICE_PATTERN
+
+
+@register(
+    "api_items",
+    """
+SELECT event_id, 1 AS total_pages, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events WHERE props IS NOT NULL""",
+)
+def q_api_items(spark, sf_dir):
+    ev = testdata.table(spark, sf_dir, "events")
+    docs = ev.select("event_id", F.concat(F.lit('{"items": ['), "props", F.lit('], "totalPages": 1}')).alias("doc"))
+    item = T.StructType([T.StructField("k", T.LongType(), True)])
+    return semistructured.explode_items(docs, "doc", item, keep=["event_id"])
+
+
+@register(
+    "rate_map",
+    """
+SELECT event_id, CAST(ts AS DATE) AS rate_date, 'USD' AS currency,
+       CAST(json_extract(props, '$.k') AS DOUBLE) * CAST(0.99 AS DOUBLE) AS buying_rate,
+       CAST(json_extract(props, '$.k') AS DOUBLE) AS central_rate,
+       CAST(json_extract(props, '$.k') AS DOUBLE) * CAST(1.01 AS DOUBLE) AS selling_rate
+FROM events WHERE json_extract(props, '$.k') IS NOT NULL""",
+)
+def q_rate_map(spark, sf_dir):
+    ev = testdata.table(spark, sf_dir, "events")
+    doc = F.concat(
+        F.lit('{"rates": {"'),
+        F.col("ts").cast("date").cast("string"),
+        F.lit('": {"NGN": '),
+        F.get_json_object("props", "$.k"),
+        F.lit("}}}"),
+    )
+    return semistructured.explode_rate_map(ev.select("event_id", doc.alias("doc")), "doc", keep=["event_id"])
+
+
+def _docs(spark, sf_dir):
+    return testdata.table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+_ZONE_HITS = " + ".join(
+    f"CAST(contains(upper(text), {lit(z)}) AS INTEGER)" for z in report_text.ZONE_HEADER_PATTERNS
+)
+_CLASSES = f"""
+SELECT doc_id, text, zone_headers, is_zonal,
+       NOT is_zonal AND (contains(text, 'MoM') OR contains(replace(text, ' ', ''), 'Month-on-Month'))
+       AND (contains(text, 'YoY') OR contains(replace(text, ' ', ''), 'Year-on-Year'))
+       AND ({" OR ".join(f"contains(text, {lit(i)})" for i in report_text.NATIONAL_ITEMS)}) AS is_national
+FROM (SELECT doc_id, text, {_ZONE_HITS} AS zone_headers,
+             ({_ZONE_HITS}) >= 3 AND (contains(text, 'Item Label') OR contains(text, 'APPENDIX')) AS is_zonal
+      FROM documents WHERE length(text) >= {report_text.MIN_PAGE_CHARS})"""
+
+
+@register("page_classes", f"SELECT doc_id, zone_headers, is_zonal, is_national FROM ({_CLASSES}) c")
+def q_page_classes(spark, sf_dir):
+    return report_text.classify_pages(_docs(spark, sf_dir)).select(
+        "doc_id", "zone_headers", "is_zonal", "is_national"
+    )
+
+
+def _lines_sql(src: str, cond: str) -> str:
+    return f"""
+(SELECT doc_id, line_no, line, prices,
+        CASE WHEN len(prices) > 0 THEN
+             regexp_replace(substring(line, 1, instr(line, prices[1]) - 1), '^\\s+|\\s+$', '', 'g') END AS commodity_name
+ FROM (SELECT doc_id, line_no, line, regexp_extract_all(line, '{PRICE_RE}') AS prices
+       FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no,
+                    unnest(string_split(text, chr(10))) AS line FROM {src}) l
+       WHERE {cond}) p)"""
+
+
+_ZONAL_COND = (
+    f"NOT contains(line, 'Item Label') AND NOT contains(upper(line), 'NORTH') "
+    f"AND length(line) >= {report_text.MIN_LINE_CHARS} AND NOT contains(line, 'APPENDIX')"
+)
+_NATIONAL_COND = (
+    f"NOT contains(line, 'Item Label') AND NOT contains(line, 'Average of') "
+    f"AND length(line) >= {report_text.MIN_LINE_CHARS}"
+)
+_VALID = "length(commodity_name) > 0 AND NOT regexp_matches(commodity_name, '^[0-9]+$')"
+_ZONE_LIST = "[" + ", ".join(lit(z) for z in report_text.ZONES) + "]"
+
+
+def _zonal_sql(src: str) -> str:
+    return f"""
+SELECT doc_id, line_no, commodity_name, {_ZONE_LIST}[i] AS zone,
+       CAST(replace(prices[i], ',', '') AS DOUBLE) AS price
+FROM {_lines_sql(src, _ZONAL_COND)} n, range(1, 7) AS t(i)
+WHERE len(prices) >= 6 AND {_VALID}"""
+
+
+def _national_sql(src: str) -> str:
+    return f"""
+SELECT doc_id, line_no, commodity_name, 'National' AS zone, price FROM (
+  SELECT doc_id, line_no, commodity_name,
+         list_filter(list_transform(prices[1:4], lambda x: CAST(replace(x, ',', '') AS DOUBLE)),
+                     lambda v: v >= 50 AND v <= 50000)[-1] AS price
+  FROM {_lines_sql(src, _NATIONAL_COND)} n
+  WHERE len(prices) >= 2 AND {_VALID}) q
+WHERE price IS NOT NULL AND price <> 0"""
+
+
+@register("zonal_lines", _zonal_sql("documents"))
+def q_zonal_lines(spark, sf_dir):
+    return report_text.parse_zonal_lines(_docs(spark, sf_dir))
+
+
+@register("national_lines", _national_sql("documents"))
+def q_national_lines(spark, sf_dir):
+    return report_text.parse_national_lines(_docs(spark, sf_dir))
+
+
+@register(
+    "report_prices",
+    _zonal_sql(f"(SELECT * FROM ({_CLASSES}) c WHERE is_zonal)")
+    + "\nUNION ALL\n"
+    + _national_sql(f"(SELECT * FROM ({_CLASSES}) c WHERE is_national)"),
+)
+def q_report_prices(spark, sf_dir):
+    return report_text.extract_prices(_docs(spark, sf_dir))
+
+
+_LINKS_SQL = f"""
+SELECT page_id, generate_subscripts(ids, 1) - 1 AS link_no, unnest(ids) AS resource_id, unnest(rests) AS link_rest
+FROM (SELECT page_id, regexp_extract_all(html, '{PAGE_PATTERN}', 1) AS ids,
+             regexp_extract_all(html, '{PAGE_PATTERN}', 2) AS rests FROM pages) p"""
+
+
+def _links(spark, sf_dir):
+    pages = testdata.table(spark, sf_dir, "pages").select("page_id", "html")
+    return report_text.extract_links(pages, "html", PAGE_PATTERN)
+
+
+@register("report_links", _LINKS_SQL)
+def q_report_links(spark, sf_dir):
+    return _links(spark, sf_dir)
+
+
+_MONTH_RE = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)([0-9]{2})"
+_MONTH_LIST = "[" + ", ".join(lit(m) for m in report_text.MONTHS) + "]"
+
+
+@register(
+    "report_months",
+    f"""
+SELECT month_key, arg_min(resource_id, page_id * 100000 + link_no) AS resource_id FROM (
+  SELECT CASE WHEN length(regexp_extract(resource_id, '{_MONTH_RE}', 1)) > 0 THEN
+           '20' || regexp_extract(resource_id, '{_MONTH_RE}', 2) || '-' ||
+           lpad(CAST(list_position({_MONTH_LIST}, regexp_extract(resource_id, '{_MONTH_RE}', 1)) AS VARCHAR), 2, '0')
+         END AS month_key, resource_id, page_id, link_no
+  FROM ({_LINKS_SQL}) l) m
+WHERE month_key IS NOT NULL AND month_key NOT IN {in_list(KNOWN_REPORT_MONTHS)}
+GROUP BY month_key""",
+)
+def q_report_months(spark, sf_dir):
+    known = spark.createDataFrame([(m,) for m in KNOWN_REPORT_MONTHS], "month_key string")
+    return report_text.discover_reports(_links(spark, sf_dir), known, name_col="resource_id")
+
+
+# --- reshape ---------------------------------------------------------------
+
+PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+TYPE_NAMES = {t: t.title() + " part" for t in PART_TYPES}
+
+
+@register(
+    "wide_to_long",
+    "\nUNION ALL\n".join(
+        f"SELECT p_brand, {lit(TYPE_NAMES[t])} AS commodity_name, price FROM "
+        f"(SELECT p_brand, max(CASE WHEN p_type = {lit(t)} THEN p_retailprice END) AS price FROM part GROUP BY p_brand) w "
+        f"WHERE price IS NOT NULL"
+        for t in PART_TYPES
+    ),
+)
+def q_wide_to_long(spark, sf_dir):
+    part = testdata.table(spark, sf_dir, "part")
+    wide = part.groupBy("p_brand").pivot("p_type", PART_TYPES).agg(F.max("p_retailprice"))
+    return reshape.wide_to_long(wide, ["p_brand"], TYPE_NAMES, value_col="price")
+
+
+@register(
+    "wide_to_long_paired",
+    "\nUNION ALL\n".join(
+        f"SELECT p_brand, {lit(TYPE_NAMES[t])} AS commodity_name, price, confidence FROM "
+        f"(SELECT p_brand, max(CASE WHEN p_type = {lit(t)} THEN p_retailprice END) AS price, "
+        f"CAST(count(CASE WHEN p_type = {lit(t)} THEN 1 END) AS DOUBLE) AS confidence FROM part GROUP BY p_brand) w "
+        f"WHERE price IS NOT NULL"
+        for t in PART_TYPES
+    ),
+)
+def q_wide_to_long_paired(spark, sf_dir):
+    part = testdata.table(spark, sf_dir, "part")
+    aggs = []
+    for t in PART_TYPES:
+        hit = F.col("p_type") == t
+        aggs += [F.max(F.when(hit, F.col("p_retailprice"))).alias(t), F.count(F.when(hit, 1)).alias("c_" + t)]
+    wide = part.groupBy("p_brand").agg(*aggs)
+    return reshape.wide_to_long_paired(wide, ["p_brand"], TYPE_NAMES, value_col="price")
