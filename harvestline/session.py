@@ -15,6 +15,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Aggregates and windows must hash on all their keys: reusing a
+    # partitioning on a subset (e.g. commodity only, after the IQR join)
+    # would put a whole hot commodity into one task.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
