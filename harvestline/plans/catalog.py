@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from harvestline.operators import evaluate, marts, quality, reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
-from harvestline.operators import reshape
+from harvestline.operators import models, reshape
+from harvestline.session import checkpoint_dir
 from harvestline.plans.oracle import checks_sql, dbl, half_up_cents, in_list, lit, skey, with_ctes
 from harvestline.sources import report_text, semistructured, testdata
 
@@ -878,3 +879,36 @@ def q_wide_to_long_paired(spark, sf_dir):
         aggs += [F.max(F.when(hit, F.col("p_retailprice"))).alias(t), F.count(F.when(hit, 1)).alias("c_" + t)]
     wide = part.groupBy("p_brand").agg(*aggs)
     return reshape.wide_to_long_paired(wide, ["p_brand"], TYPE_NAMES, value_col="price")
+
+
+# --- models (iterative: rows-only checks, no SQL oracle) -------------------
+
+
+def _materialized_features(spark, sf_dir):
+    """Feature table written once into the shared checkpoint folder: every
+    model fit below reads it instead of re-running the feature plan."""
+    checkpoint_dir(spark)
+    return pm.features(feeds(spark, sf_dir)).checkpoint(eager=True)
+
+
+@register("model_forecast")
+def q_model_forecast(spark, sf_dir):
+    """Per-commodity models for both horizons (v2 protocol), then a batch
+    forecast for every series and horizon (M7b, M8, W14, W15)."""
+    fe = _materialized_features(spark, sf_dir)
+    fitted = {}
+    for h in models.HORIZONS:
+        _, ms = models.train_per_commodity(fe, horizon=h)
+        fitted.update({(c, h): m for c, m in ms.items()})
+    series = fe.select(F.col("commodity_name").alias("commodity"), F.col("market_name").alias("market")).distinct()
+    horizons = F.array(*[F.lit(h) for h in models.HORIZONS])
+    requests = series.select("*", F.explode(horizons).alias("forecast_horizon_days"))
+    return models.forecast(requests, fe, fitted)
+
+
+@register("model_importance")
+def q_model_importance(spark, sf_dir):
+    """Global model (v1 protocol): top-10 feature importances."""
+    fe = _materialized_features(spark, sf_dir)
+    model, _, _, _ = models.train_global(fe)
+    return models.importances(model, models.GLOBAL_FEATURES, spark, top=10)
