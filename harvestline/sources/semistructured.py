@@ -110,7 +110,11 @@ def explode_parallel_arrays(
     )
     doc = T.StructType([T.StructField(root, inner, True)])
     parsed = df.select(*keep, F.from_json(F.col(json_col), doc).alias("_doc"))
-    zipped = F.arrays_zip(*[F.col(f"_doc.{root}.{k}").alias(k) for k in fields])
+    def arr(k):  # an absent array zips as NULLs instead of voiding the row
+        t = "array<string>" if k == date_field else "array<double>"
+        return F.coalesce(F.col(f"_doc.{root}.{k}"), F.array().cast(t)).alias(k)
+
+    zipped = F.arrays_zip(*[arr(k) for k in fields])
     rows = parsed.select(*keep, F.inline(zipped))
     return rows.select(
         *keep,
