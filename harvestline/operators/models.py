@@ -19,6 +19,7 @@ formulas are the reference's.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -148,6 +149,7 @@ def train_per_commodity(
     min_rows: int = 200,
     min_train: int = 100,
     min_test: int = 20,
+    parallelism: int = 8,
 ):
     """One model per commodity for one horizon, compared with the naive
     (lag_1d) forecast on the same test rows (M7b, J7). Returns (results
@@ -159,13 +161,20 @@ def train_per_commodity(
     chosen = [r["commodity_name"] for r in sizes.where("eligible").orderBy("commodity_name").collect()]
     data = _prepared(features_df, features, target)
     split = evaluate.temporal_split(data, test_months, by=["commodity_name"])
-    models: dict[str, PipelineModel] = {}
-    scored_parts = []
-    for commodity in chosen:
-        one = split.where(F.col("commodity_name") == commodity)
-        model = fit_gbt(one.where(F.col("split") == "train"), features, target, params)
-        models[commodity] = model
-        scored_parts.append(predict(model, one.where(F.col("split") == "test")))
+    def fit_one(commodity: str) -> PipelineModel:
+        one = split.where((F.col("commodity_name") == commodity) & (F.col("split") == "train"))
+        return fit_gbt(one, features, target, params)
+
+    # Independent fits are submitted concurrently: Spark runs jobs from
+    # several threads side by side, so small per-commodity fits share the
+    # executors instead of waiting on each other's scheduling round trips.
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(chosen) or 1))) as pool:
+        fitted = list(pool.map(fit_one, chosen))
+    models: dict[str, PipelineModel] = dict(zip(chosen, fitted))
+    scored_parts = [
+        predict(models[c], split.where((F.col("commodity_name") == c) & (F.col("split") == "test")))
+        for c in chosen
+    ]
     schema = (
         "commodity string, horizon int, model_mae double, model_rmse double, model_mape double, "
         "naive_mae double, naive_mape double, mape_improvement_pct double, train_size bigint, test_size bigint"

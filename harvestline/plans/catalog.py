@@ -8,6 +8,7 @@ caps or samples) and returns a DataFrame; nothing is collected.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -896,10 +897,9 @@ def q_model_forecast(spark, sf_dir):
     """Per-commodity models for both horizons (v2 protocol), then a batch
     forecast for every series and horizon (M7b, M8, W14, W15)."""
     fe = _materialized_features(spark, sf_dir)
-    fitted = {}
-    for h in models.HORIZONS:
-        _, ms = models.train_per_commodity(fe, horizon=h)
-        fitted.update({(c, h): m for c, m in ms.items()})
+    with ThreadPoolExecutor(max_workers=len(models.HORIZONS)) as pool:
+        trained = list(pool.map(lambda h: models.train_per_commodity(fe, horizon=h)[1], models.HORIZONS))
+    fitted = {(c, h): m for h, ms in zip(models.HORIZONS, trained) for c, m in ms.items()}
     series = fe.select(F.col("commodity_name").alias("commodity"), F.col("market_name").alias("market")).distinct()
     horizons = F.array(*[F.lit(h) for h in models.HORIZONS])
     requests = series.select("*", F.explode(horizons).alias("forecast_horizon_days"))
