@@ -748,7 +748,7 @@ def _lines_sql(src: str, cond: str) -> str:
         CASE WHEN len(prices) > 0 THEN
              regexp_replace(substring(line, 1, instr(line, prices[1]) - 1), '^\\s+|\\s+$', '', 'g') END AS commodity_name
  FROM (SELECT doc_id, line_no, line, regexp_extract_all(line, '{PRICE_RE}') AS prices
-       FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no,
+       FROM (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no,
                     unnest(string_split(text, chr(10))) AS line FROM {src}) l
        WHERE {cond}) p)"""
 
@@ -805,7 +805,7 @@ def q_report_prices(spark, sf_dir):
 
 
 _LINKS_SQL = f"""
-SELECT page_id, generate_subscripts(ids, 1) - 1 AS link_no, unnest(ids) AS resource_id, unnest(rests) AS link_rest
+SELECT page_id, CAST(generate_subscripts(ids, 1) - 1 AS INTEGER) AS link_no, unnest(ids) AS resource_id, unnest(rests) AS link_rest
 FROM (SELECT page_id, regexp_extract_all(html, '{PAGE_PATTERN}', 1) AS ids,
              regexp_extract_all(html, '{PAGE_PATTERN}', 2) AS rests FROM pages) p"""
 
