@@ -97,7 +97,8 @@ def fx_daily(
     calendar span, never by the number of observations, which is what makes
     the broadcast in ``asof_rate`` safe.
     """
-    w = Window.orderBy(date)  # one row per day: a calendar-bounded table
+    # One row per (currency, day): each window partition is calendar-bounded.
+    w = (Window.partitionBy("currency") if "currency" in rates.columns else Window).orderBy(date)
     d = F.col(date)
     tail = F.greatest(d, until) if until is not None else d
     end = F.coalesce(F.date_sub(F.lead(d).over(w), 1), tail)

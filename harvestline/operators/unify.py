@@ -110,19 +110,26 @@ def drop_noise(
     )
 
 
-def iqr_bounds(df: DataFrame, key: str, value: str | None = None, k: float = 3.0) -> DataFrame:
-    """Per-key exact interpolated quartiles and the ``k``·IQR fence (A4).
-
-    Quartiles are computed on integer cents, where the interpolation at
-    quarter positions is exact in double arithmetic. ``percentile`` combines
-    partially per task (value -> count maps), so its final state per key is
-    bounded by the number of distinct prices, not the number of rows.
+def iqr_bounds(
+    df: DataFrame, key: str, value: str, k: float = 3.0, exact: bool = True, accuracy: int = 100000
+) -> DataFrame:
+    """Per-key interpolated quartiles and the ``k``·IQR fence (A4).
+
+    Exact by default: quartiles are computed on integer cents, where the
+    interpolation at quarter positions is exact in double arithmetic.
+    ``percentile`` combines partially per task (value -> count maps), so its
+    state per key is bounded by the number of distinct prices, not rows.
+    ``exact=False`` switches to ``percentile_approx`` (fixed-size sketch per
+    key, relative rank error 1/accuracy) for keys with very many distinct
+    prices; it is an option, never the default.
     """
-    v = cents(value) if value else F.col("_v")
-    q = df.groupBy(key).agg(
-        F.percentile(v, 0.25).alias("q1_c"),
-        F.percentile(v, 0.75).alias("q3_c"),
-    )
+    v = cents(value)
+    if exact:
+        q1, q3 = F.percentile(v, 0.25), F.percentile(v, 0.75)
+    else:
+        q1 = F.percentile_approx(v, 0.25, accuracy).cast("double")
+        q3 = F.percentile_approx(v, 0.75, accuracy).cast("double")
+    q = df.groupBy(key).agg(q1.alias("q1_c"), q3.alias("q3_c"))
     iqr = F.col("q3_c") - F.col("q1_c")
     return q.select(
         key,
@@ -133,10 +140,10 @@ def iqr_bounds(df: DataFrame, key: str, value: str | None = None, k: float = 3.0
     )
 
 
-def iqr_fence(df: DataFrame, key: str, value: str, k: float = 3.0) -> DataFrame:
+def iqr_fence(df: DataFrame, key: str, value: str, k: float = 3.0, exact: bool = True) -> DataFrame:
     """Keep rows whose value lies inside [q1 - k·IQR, q3 + k·IQR] of their key
     (inclusive on both ends) (J2)."""
-    b = iqr_bounds(df, key, value, k).select(key, "lo_c", "hi_c")
+    b = iqr_bounds(df, key, value, k, exact).select(key, "lo_c", "hi_c")
     c = cents(value)
     return df.join(b, key, "inner").where(c.between(F.col("lo_c"), F.col("hi_c"))).select(*df.columns)
 
