@@ -128,12 +128,29 @@ def asof_rate(
     return j.drop("_fx_day")
 
 
+def _running(w, price_c: str = "price_c") -> list[Column]:
+    """Row number and running sums over the series (one O(n) pass). Squares
+    are summed as DECIMAL so a long, expensive series cannot overflow."""
+    c = F.col(price_c)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    c2 = c.cast("decimal(20,0)") * c.cast("decimal(20,0)")
+    return [
+        F.row_number().over(w).alias("_rn"),
+        F.sum(c).over(upto).alias("_cs"),
+        F.sum(c2).over(upto).alias("_cs2"),
+    ]
+
+
 def _roll(c: Column, w, n: int) -> list[Column]:
+    """Rolling mean/std/min/max over the last ``n`` rows, NULL until ``n`` rows
+    exist (W8). Sums are differences of running sums (exact integers, O(1)
+    per row); min/max use the sliding frame. The price column has no NULLs
+    after densify, so "n rows exist" is row_number >= n."""
     fr = w.rowsBetween(-(n - 1), 0)
-    full = F.count(c).over(fr) == n
-    s = F.sum(c).over(fr)
-    s2 = F.sum(c * c).over(fr)
-    var_num = s2 * n - s * s
+    full = F.col("_rn") >= n
+    s = F.col("_cs") - F.coalesce(F.lag("_cs", n).over(w), F.lit(0))
+    s2 = F.col("_cs2") - F.coalesce(F.lag("_cs2", n).over(w), F.lit(0))
+    var_num = (s2 * n - s.cast("decimal(38,0)") * s).cast("double")
     return [
         F.when(full, s / n / 100).alias(f"roll_mean_{n}d"),
         F.when(full, F.sqrt(var_num / (n * (n - 1))) / 100).alias(f"roll_std_{n}d"),
@@ -145,7 +162,8 @@ def _roll(c: Column, w, n: int) -> list[Column]:
 def feature_columns(
     w, price_c: str = "price_c", date: str = DATE, fx: str | None = "fx_usd_ngn"
 ) -> list[Column]:
-    """Targets, lags, rolling stats, momentum, calendar and FX changes."""
+    """Targets, lags, rolling stats, momentum, calendar and FX changes.
+    Expects the ``_running`` columns next to ``price_c``."""
     c = F.col(price_c)
     d = F.col(date)
     cols = [(c / 100).alias("price_ngn")]
@@ -203,7 +221,9 @@ def feature_table(
         fx = None
     w = series_window(keys, date)
     n_after = F.count(F.lit(1)).over(_whole(keys, date)).alias("_n")
-    feats = dense.select(*keys, date, *feature_columns(w, "price_c", date, fx), n_after)
+    extra = [fx] if fx else []
+    running = dense.select(*keys, date, "price_c", *extra, *_running(w, "price_c"))
+    feats = running.select(*keys, date, *feature_columns(w, "price_c", date, fx), n_after)
     out = feats.where(F.col("_n") >= min_obs).drop("_n")
     return out.dropna(subset=REQUIRED)
 
