@@ -19,19 +19,25 @@ def _r2(c) -> F.Column:
     return F.round(c, 2).cast("decimal(12,2)")
 
 
-def daily_fact(unified: DataFrame) -> DataFrame:
+def daily_fact(unified: DataFrame, with_sources: bool = False) -> DataFrame:
     """fct_daily_prices: one row per (date, market, commodity) (A1).
 
     ``source_count`` counts rows, not distinct sources (reference quirk 13).
+    ``with_sources`` adds the documented ``sources`` array (sorted distinct
+    feed tags; bounded by the number of feeds).
     """
-    agg = unified.groupBy("price_date", *SERIES).agg(
+    aggs = [
         F.max("category").alias("category"),
         F.max("unit_name").alias("unit_name"),
         F.avg("price_ngn").alias("_avg"),
         F.min("price_ngn").alias("_min"),
         F.max("price_ngn").alias("_max"),
         F.count(F.lit(1)).alias("source_count"),
-    )
+    ]
+    if with_sources:
+        aggs.append(F.array_sort(F.collect_set("source")).alias("sources"))
+    agg = unified.groupBy("price_date", *SERIES).agg(*aggs)
+    extra = ["sources"] if with_sources else []
     return agg.select(
         surrogate_key("price_date", *SERIES).alias("price_id"),
         "price_date",
@@ -42,6 +48,7 @@ def daily_fact(unified: DataFrame) -> DataFrame:
         _r2(F.col("_min")).alias("price_min_ngn"),
         _r2(F.col("_max")).alias("price_max_ngn"),
         "source_count",
+        *extra,
     )
 
 
