@@ -84,24 +84,21 @@ def densify_daily(
 
 def fx_daily(
     rates: DataFrame,
-    until: Column | None = None,
     date: str = "rate_date",
     value: str = "central_rate",
     out: str = "fx_usd_ngn",
 ) -> DataFrame:
-    """As-of table: one row per calendar day from the first rate on, holding
-    the latest rate dated on or before that day (W11).
+    """As-of table: one row per calendar day from the first to the last rate,
+    holding the latest rate dated on or before that day (W11).
 
-    The last rate is carried to ``until`` (a date column expression, e.g. a
-    scalar subquery on the max observation date). Size is bounded by the
-    calendar span, never by the number of observations, which is what makes
+    Its size is bounded by the calendar span of the rates (about 36,500 rows
+    per century), never by the number of observations, which is what makes
     the broadcast in ``asof_rate`` safe.
     """
     # One row per (currency, day): each window partition is calendar-bounded.
     w = (Window.partitionBy("currency") if "currency" in rates.columns else Window).orderBy(date)
     d = F.col(date)
-    tail = F.greatest(d, until) if until is not None else d
-    end = F.coalesce(F.date_sub(F.lead(d).over(w), 1), tail)
+    end = F.coalesce(F.date_sub(F.lead(d).over(w), 1), d)
     return rates.select(d, F.col(value).cast("double").alias(out), end.alias("_end")).select(
         F.explode(F.sequence(d, F.col("_end"))).alias("_fx_day"), out
     )
@@ -119,13 +116,16 @@ def asof_rate(
     rows before the first rate get NULL (J6).
 
     Written as a daily as-of table + broadcast equi-join (no range join, no
-    nested loop). ``rates`` must hold one row per date (see
-    ``staging.stage_fx``).
+    nested loop). Days after the last rate take the last rate, read with two
+    scalar subqueries over the small rates table only. ``rates`` must hold
+    one row per date (see ``staging.stage_fx``).
     """
-    until = df.select(F.max(on)).scalar()
-    daily = fx_daily(rates, until, date, value, out)
+    daily = fx_daily(rates, date, value, out)
+    last_day = rates.select(F.max(date)).scalar()
+    last_rate = rates.select(F.max_by(F.col(value).cast("double"), F.col(date))).scalar()
     j = df.join(F.broadcast(daily), F.col(on) == F.col("_fx_day"), "left")
-    return j.drop("_fx_day")
+    carried = F.when(F.col(on) > last_day, last_rate).otherwise(F.col(out))
+    return j.withColumn(out, carried).drop("_fx_day")
 
 
 def _running(w, price_c: str = "price_c") -> list[Column]:
