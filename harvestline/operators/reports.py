@@ -98,13 +98,16 @@ def snapshot_kpis(snap: DataFrame) -> DataFrame:
 
 def state_averages(daily: DataFrame, markets: DataFrame, months: int = 3) -> DataFrame:
     """Mean price and row count per (commodity, state, zone) over the last
-    ``months`` months of each commodity; rows without a state are dropped (A7)."""
+    ``months`` months of each commodity; rows without a state or zone are
+    dropped, as a pandas groupby drops NULL keys (A7)."""
     last = daily.groupBy("commodity_name").agg(F.max(DATE).alias("_last"))
     recent = daily.join(last, "commodity_name").where(
         F.col(DATE) >= F.add_months(F.col("_last"), -months)
     )
     dim = markets.select("market_name", "state", "geopolitical_zone")
-    j = recent.join(dim, "market_name", "left").where(F.col("state").isNotNull())
+    j = recent.join(dim, "market_name", "left").where(
+        F.col("state").isNotNull() & F.col("geopolitical_zone").isNotNull()
+    )
     return (
         j.groupBy("commodity_name", "state", "geopolitical_zone")
         .agg(mean_price("price_ngn").alias("avg_price"), F.count(F.lit(1)).alias("observations"))

@@ -310,7 +310,7 @@ SELECT d.commodity_name, m.state, m.geopolitical_zone,
 FROM daily_c d
 JOIN {LAST_BY_COMMODITY} l ON d.commodity_name = l.commodity_name
 LEFT JOIN ({DIM_MARKETS_SQL}) m ON d.market_name = m.market_name
-WHERE d.price_date >= l.last_date - INTERVAL 3 MONTH AND m.state IS NOT NULL
+WHERE d.price_date >= l.last_date - INTERVAL 3 MONTH AND m.state IS NOT NULL AND m.geopolitical_zone IS NOT NULL
 GROUP BY d.commodity_name, m.state, m.geopolitical_zone""",
 )
 def q_state_averages(spark, sf_dir):
