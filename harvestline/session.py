@@ -54,15 +54,17 @@ def get_session(
             except Exception:  # static conf on an existing session
                 pass
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a
-    fresh scratch folder created and registered.
+    The cluster's setting always wins. Only under a ``local[...]`` master
+    (tests) is a fresh scratch folder created when the setting is missing; on
+    a cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -71,9 +73,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
     local = tempfile.mkdtemp(prefix="harvestline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
