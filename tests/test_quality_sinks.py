@@ -4,6 +4,8 @@ from decimal import Decimal as D
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from harvestline import schemas, sinks
 from harvestline.operators import quality
 from harvestline.streaming import ingest
@@ -120,3 +122,34 @@ def test_daily_sources_array(spark):
         "price_date date, market_name string, commodity_name string, unit_name string, category string, price_ngn decimal(12,2), source string",
     )
     assert marts.daily_fact(u, with_sources=True).first().sources == ["NBS", "WFP"]
+
+
+def test_seed_read_select_locations_predictions_materialize(spark, tmp_path):
+    from harvestline.sources import readers, semistructured
+
+    seed = tmp_path / "mapping.csv"
+    seed.write_text('raw_name,clean_name,category,unit\n"Rice, local",Rice (local),Cereals,KG\n\n"Yam ""big""",Yam tuber,Tubers,KG\n')
+    m = readers.read_seed(spark, str(seed), schemas.SEED_MAPPING, "raw_name")
+    assert rows(m, "raw_name") == [("Rice, local",), ('Yam "big"',)]
+    picked = readers.select_where(m, ["raw_name", "unit"], F.col("category") == "Tubers", order=["raw_name"])
+    assert picked.columns == ["raw_name", "unit"] and picked.count() == 1
+
+    locs = readers.literal_locations(spark, [("Kano", 12.0, 8.5)])
+    obs = spark.createDataFrame([("Kano", 1.0), ("Lagos", 2.0)], "market_name string, v double")
+    got = rows(semistructured.stamp_locations(obs, locs), "market_name", "latitude")
+    assert got == [("Kano", 12.0), ("Lagos", None)]
+
+    fc = spark.createDataFrame(
+        [("Rice", "Kano", dt.date(2024, 1, 8), 7, 101.234, 90.0, 110.0, "7d", "NGN/kg", "ok"),
+         ("Rice", "Zaria", None, 7, None, None, None, None, "NGN/kg", "no_data")],
+        "commodity string, market string, forecast_date date, forecast_horizon_days int, predicted_price_ngn double, "
+        "lower_bound_ngn double, upper_bound_ngn double, model_version string, unit string, status string",
+    )
+    pred = sinks.predictions_table(fc, dt.datetime(2024, 1, 1))
+    assert [f.name for f in pred.schema.fields] == [f.name for f in schemas.PREDICTIONS.fields]
+    assert pred.count() == 1 and pred.first().predicted_price == D("101.23")
+
+    view = sinks.materialize(obs, "obs_view", as_table=False, spark=spark)
+    assert view.count() == 2
+    table = sinks.materialize(obs, "obs_table", as_table=True, spark=spark, path=str(tmp_path / "t"))
+    assert table.count() == 2
