@@ -11,6 +11,7 @@ from harvestline.functions.exprs import (
     label_with_state,
     surrogate_key,
     trend_label,
+    try_date,
     try_number,
     winner_label,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "label_with_state",
     "surrogate_key",
     "trend_label",
+    "try_date",
     "try_number",
     "winner_label",
 ]

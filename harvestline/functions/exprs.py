@@ -24,6 +24,14 @@ def try_number(c: str | Column, dtype: str = "decimal(12,2)") -> Column:
     return _col(c).try_cast(dtype)
 
 
+def try_date(c: str | Column, fmt: str | None = None) -> Column:
+    """Tolerant date parse of landed text: malformed -> NULL (ANSI-safe).
+    Without ``fmt``, ISO dates, 'YYYY-MM' and ISO timestamps are accepted."""
+    if fmt:
+        return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("date")
+    return _col(c).try_cast("date")
+
+
 def cents(c: str | Column) -> Column:
     """Integer cents of a 2-decimal amount: exact for DECIMAL(p,2), and for a
     double holding cents/100 the rounding recovers the integer."""

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestline.functions import try_number
+from harvestline.functions import try_date, try_number
 
 
 def standardize(
@@ -36,11 +36,9 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def parse_dates(df: DataFrame, cols: Sequence[str], fmt: str | None = None) -> DataFrame:
-    """Timestamp or text -> DATE; ``fmt`` e.g. 'yyyy-MM' gives the 1st."""
-    def conv(c):
-        return F.to_date(F.col(c), fmt) if fmt else F.to_date(F.col(c))
-
-    return df.withColumns({c: conv(c) for c in cols})
+    """Timestamp or text -> DATE; ``fmt`` e.g. 'yyyy-MM' gives the 1st.
+    Malformed text becomes NULL (tolerant, ANSI-safe)."""
+    return df.withColumns({c: try_date(c, fmt) for c in cols})
 
 
 def date_between(df: DataFrame, col: str, start: dt.date | None = None, end: dt.date | None = None):

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from harvestline import schemas
 from harvestline.operators.reshape import date_between, drop_null_keys, standardize
-from harvestline.functions import try_number
+from harvestline.functions import try_date, try_number
 
 
 def read_table(
@@ -81,7 +81,7 @@ def hdx_observations(
     raw = read_csv(spark, path, schemas.HDX_CSV)
     std = standardize(raw, HDX_RENAME, HDX_KEEP, HDX_OPTIONAL)
     typed = std.withColumns(
-        {"price": try_number(F.col("price")), "price_date": F.to_date(F.col("price_date"))}
+        {"price": try_number(F.col("price")), "price_date": try_date("price_date")}
     )
     typed = drop_null_keys(typed, ["price", "price_date", "market_name", "commodity_name"])
     return date_between(typed, "price_date", start, end)
@@ -100,7 +100,7 @@ def api_observations(items: DataFrame) -> DataFrame:
     }
     std = standardize(items, rename, HDX_KEEP)
     typed = std.withColumns(
-        {"price": try_number(F.col("price")), "price_date": F.to_date(F.col("price_date").substr(1, 10))}
+        {"price": try_number(F.col("price")), "price_date": try_date(F.col("price_date"))}
     )
     return drop_null_keys(typed, ["price", "price_date", "market_name", "commodity_name"])
 

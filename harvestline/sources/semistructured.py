@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harvestline import schemas
+from harvestline.functions import try_date
 
 
 def explode_items(
@@ -57,7 +58,7 @@ def explode_rate_map(
     rate = F.col("_quotes").getItem(base)
     return rows.where(rate.isNotNull()).select(
         *keep,
-        F.to_date("_date").alias("rate_date"),
+        try_date("_date").alias("rate_date"),
         F.lit(currency).alias("currency"),
         (rate * (1 - spread)).alias("buying_rate"),
         rate.alias("central_rate"),
@@ -119,7 +120,7 @@ def explode_parallel_arrays(
     return rows.select(
         *keep,
         *[
-            (F.to_date(F.col(k)) if k == date_field else F.col(k)).alias(v)
+            (try_date(k) if k == date_field else F.col(k)).alias(v)
             for k, v in fields.items()
         ],
     )

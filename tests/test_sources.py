@@ -114,3 +114,15 @@ def test_hdx_csv_tolerant_parse(spark, tmp_path):
     )
     obs = readers.hdx_observations(spark, str(p), start=dt.date(2024, 1, 1))
     assert rows(obs, "commodity_name", "price", "state") == [("Rice, local", D("800.00"), "Kano")]
+
+
+def test_malformed_dates_become_null(spark):
+    from harvestline.operators import reshape
+
+    df = spark.createDataFrame([("2024-01-05", "2024-01"), ("bad", "13/2024"), ("2024-01-05T10:00:00", None)], "a string, b string")
+    out = reshape.parse_dates(reshape.parse_dates(df, ["a"]), ["b"], fmt="yyyy-MM")
+    assert rows(out, "a", "b") == [
+        (dt.date(2024, 1, 5), dt.date(2024, 1, 1)),
+        (dt.date(2024, 1, 5), None),
+        (None, None),
+    ]
