@@ -4,8 +4,6 @@ whole-stage codegen); nothing here is a Python UDF."""
 from harvestline.functions.exprs import (
     SURROGATE_NULL,
     cents,
-    cents_to_double,
-    half_up_avg_cents,
     is_lean_season,
     is_rainy_season,
     label_with_state,
@@ -19,8 +17,6 @@ from harvestline.functions.exprs import (
 __all__ = [
     "SURROGATE_NULL",
     "cents",
-    "cents_to_double",
-    "half_up_avg_cents",
     "is_lean_season",
     "is_rainy_season",
     "label_with_state",

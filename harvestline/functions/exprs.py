@@ -38,16 +38,6 @@ def cents(c: str | Column) -> Column:
     return F.round(_col(c) * 100).cast("bigint")
 
 
-def cents_to_double(c: str | Column) -> Column:
-    """Cents back to a currency double (one correctly rounded division)."""
-    return _col(c) / F.lit(100)
-
-
-def half_up_avg_cents(total: Column, n: Column) -> Column:
-    """round(total/n) half-up for non-negative integer totals, as integer math."""
-    return F.floor((total * 2 + n) / (n * 2)).cast("bigint")
-
-
 def is_rainy_season(month: Column) -> Column:
     # Rainy season April..October.
     return month.between(4, 10).cast("int")

@@ -86,6 +86,24 @@ def snapshot(daily: DataFrame, markets: DataFrame, commodity: str | None = None)
     ).orderBy("commodity_name", "price_ngn", "market_name")
 
 
+def labelled_history(
+    daily: DataFrame, markets: DataFrame, commodity: str | None = None, market_list: list[str] | None = None
+) -> DataFrame:
+    """Price history with a 'market (state)' label per row, optionally for one
+    commodity and a set of markets (the trends page: P15, P18, J5)."""
+    d = filter_keys(daily, commodity)
+    if market_list is not None:
+        d = d.where(F.col("market_name").isin(list(market_list)))
+    j = d.join(markets.select("market_name", "state"), "market_name", "left")
+    return j.select(
+        "commodity_name",
+        "market_name",
+        DATE,
+        "price_ngn",
+        label_with_state("market_name", "state").alias("label"),
+    )
+
+
 def snapshot_kpis(snap: DataFrame) -> DataFrame:
     """Markets, mean, min and max of the latest prices per commodity."""
     return snap.groupBy("commodity_name", DATE).agg(

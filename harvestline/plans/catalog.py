@@ -287,6 +287,18 @@ def q_market_snapshot(spark, sf_dir):
     return plain(reports.snapshot(pm.daily(f), pm.markets_dim(f)))
 
 
+@register(
+    "labelled_history",
+    f"""
+SELECT d.commodity_name, d.market_name, d.price_date, CAST(d.price_c AS DOUBLE) / 100 AS price_ngn,
+       CASE WHEN m.state IS NOT NULL THEN d.market_name || ' (' || m.state || ')' ELSE d.market_name END AS label
+FROM daily_c d LEFT JOIN ({DIM_MARKETS_SQL}) m ON d.market_name = m.market_name""",
+)
+def q_labelled_history(spark, sf_dir):
+    f = feeds(spark, sf_dir)
+    return plain(reports.labelled_history(pm.daily(f), pm.markets_dim(f)))
+
+
 @register(
     "snapshot_kpis",
     f"""
