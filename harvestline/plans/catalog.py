@@ -899,9 +899,12 @@ def q_wide_to_long_paired(spark, sf_dir):
 
 def _materialized_features(spark, sf_dir):
     """Feature table written once into the shared checkpoint folder: every
-    model fit below reads it instead of re-running the feature plan."""
+    model fit below reads it instead of re-running the feature plan. It is
+    spread over the default parallelism first, because boosting makes
+    hundreds of passes over it and each pass runs one task per partition."""
     checkpoint_dir(spark)
-    return pm.features(feeds(spark, sf_dir)).checkpoint(eager=True)
+    fe = pm.features(feeds(spark, sf_dir))
+    return fe.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
 
 
 @register("model_forecast")
