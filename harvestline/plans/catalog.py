@@ -411,8 +411,7 @@ SELECT market_name, commodity_name, CAST(price_date + CAST(i AS INTEGER) AS DATE
                 - coalesce(roll_std_30d, price_ngn * CAST(0.1 AS DOUBLE)) * CAST(1.96 AS DOUBLE)) AS lower,
        price_ngn * (mom_pct_change_30d / 30 * i + 1)
                 + coalesce(roll_std_30d, price_ngn * CAST(0.1 AS DOUBLE)) * CAST(1.96 AS DOUBLE) AS upper
-FROM ({LAST_FEATURE_ROW}) l, range(1, 31) AS t(i)
-WHERE mom_pct_change_30d IS NOT NULL""",
+FROM (SELECT *, unnest(range(1, 31)) AS i FROM ({LAST_FEATURE_ROW}) l WHERE mom_pct_change_30d IS NOT NULL) s""",
 )
 def q_price_projection(spark, sf_dir):
     return reports.project(pm.features(feeds(spark, sf_dir)), days=30)
@@ -781,8 +780,8 @@ def _zonal_sql(src: str) -> str:
     return f"""
 SELECT doc_id, line_no, commodity_name, {_ZONE_LIST}[i] AS zone,
        CAST(replace(prices[i], ',', '') AS DOUBLE) AS price
-FROM {_lines_sql(src, _ZONAL_COND)} n, range(1, 7) AS t(i)
-WHERE len(prices) >= 6 AND {_VALID}"""
+FROM (SELECT *, unnest(range(1, 7)) AS i FROM {_lines_sql(src, _ZONAL_COND)} n
+      WHERE len(prices) >= 6 AND {_VALID}) z"""
 
 
 def _national_sql(src: str) -> str:
