@@ -84,3 +84,13 @@ def test_feature_summary(spark):
     fe = ts.feature_table(s, rates=None, min_obs=50)
     (r,) = ts.feature_summary(fe).collect()
     assert r.obs_count == 50 and r.price_mean == pytest.approx(3.0)
+
+
+def test_commodity_filter_is_pushed_below_the_windows(spark):
+    a = series(spark, [(i, "1.00") for i in range(60)], commodity="Rice")
+    b = series(spark, [(i, "2.00") for i in range(60)], commodity="Beans")
+    fe = ts.feature_table(a.unionByName(b), rates=None, commodities=["Beans"])
+    assert {r.commodity_name for r in fe.select("commodity_name").distinct().collect()} == {"Beans"}
+    plan = fe._jdf.queryExecution().optimizedPlan().toString()
+    # the filter sits under the window operators, not on top of them
+    assert plan.rfind("Filter") > plan.find("Window")
