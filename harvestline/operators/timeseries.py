@@ -35,6 +35,22 @@ ROLL_WINDOWS = [7, 14, 30, 60]
 MOMENTUM = [7, 14, 30]
 FX_CHANGES = [7, 30]
 REQUIRED = ["lag_30d", "roll_mean_30d"]
+# The reference's modelling targets, written with the clean
+# names the harmonisation maps them to (three of its raw spellings no longer
+# exist after mapping). Pass as ``feature_table(commodities=...)`` to
+# reproduce its feature run; the default (None) featurises every commodity.
+TARGET_COMMODITIES = [
+    "Millet",
+    "Rice (imported)",
+    "Rice (local)",
+    "Sorghum",
+    "Yam tuber",
+    "Maize flour",
+    "Groundnuts",
+    "Onions",
+    "Eggs (crate of 30)",
+    "Palm oil",
+]
 
 
 def series_window(keys: Sequence[str] = SERIES, date: str = DATE):
