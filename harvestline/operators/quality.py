@@ -197,7 +197,6 @@ SUITE_CHECKS: dict[str, list[Check]] = {
         Check("row_count", "row_count", lo=1000, hi=200000),
         *[Check(f"not_null_{c}", "not_null", c) for c in ("market_name", "commodity_name", "price", "price_date")],
         Check("price_between", "between", "price", lo=1, hi=50000),
-        Check("source_in_set", "in_set", "source", values=("WorldBank",)),
     ],
     "nbs_prices": [
         Check("row_count", "row_count", lo=10, hi=50000),
@@ -220,6 +219,54 @@ SUITE_CHECKS: dict[str, list[Check]] = {
     ],
 }
 
+# The stored JSON expectation suites. No reference code loads
+# them and their thresholds differ from the code suites above (which are
+# authoritative); they are offered for their extra kinds: distinct values in
+# a set (Q6), more columns in range, and the schema checks below (Q4, Q5).
+JSON_SUITE_CHECKS: dict[str, list[Check]] = {
+    "wfp_prices": [
+        Check("row_count", "row_count", lo=1000, hi=200000),
+        *[Check(f"not_null_{c}", "not_null", c) for c in ("market_name", "commodity_name", "price", "price_date")],
+        Check("price_between", "between", "price", lo=0.01, hi=100000),
+    ],
+    "worldbank_prices": [
+        Check("row_count", "row_count", lo=1000, hi=100000),
+        *[Check(f"not_null_{c}", "not_null", c) for c in ("market_name", "commodity_name", "price")],
+        Check("price_between", "between", "price", lo=1, hi=50000),
+        Check("source_in_set", "in_set", "source", values=("WorldBank",)),
+    ],
+    "nbs_prices": [
+        Check("row_count", "row_count", lo=10, hi=10000),
+        Check("not_null_commodity_name", "not_null", "commodity_name"),
+        Check("not_null_price", "not_null", "price"),
+        Check("price_between", "between", "price", lo=50, hi=50000),
+    ],
+    "cbn_rates": [
+        Check("row_count", "row_count", lo=1, hi=100000),
+        Check("not_null_rate_date", "not_null", "rate_date"),
+        Check("not_null_central_rate", "not_null", "central_rate"),
+        Check("central_rate_between", "between", "central_rate", lo=100, hi=5000),
+        Check("buying_rate_between", "between", "buying_rate", lo=100, hi=5000),
+        Check("selling_rate_between", "between", "selling_rate", lo=100, hi=5000),
+    ],
+    "weather": [
+        Check("row_count", "row_count", lo=100, hi=500000),
+        Check("not_null_market_name", "not_null", "market_name"),
+        Check("not_null_weather_date", "not_null", "weather_date"),
+        Check("temperature_max_between", "between", "temperature_max", lo=15, hi=50),
+        Check("temperature_min_between", "between", "temperature_min", lo=5, hi=40),
+        Check("precipitation_between", "between", "precipitation_mm", lo=0, hi=500),
+        Check("humidity_between", "between", "humidity_pct", lo=0, hi=100),
+    ],
+}
+# The JSON suites' column-exists and numeric-type checks, as
+# (columns that must exist, columns that must be numeric).
+JSON_SCHEMA_CHECKS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "wfp_prices": (("market_name", "commodity_name", "price", "price_date"), ("price",)),
+    "worldbank_prices": (("market_name", "commodity_name", "price", "price_date"), ()),
+    "nbs_prices": (("commodity_name", "price"), ()),
+}
+
 # dbt-style mart tests: unique + not null on keys (Q9, Q10).
 MART_CHECKS: dict[str, list[Check]] = {
     "fct_daily_prices": [

@@ -639,6 +639,12 @@ def q_quality_suites(spark, sf_dir):
     return quality.run_suites(_raw_tables(spark, sf_dir), quality.SUITE_CHECKS, testdata.AS_OF)
 
 
+@register("quality_json_suites", _suite_sql(quality.JSON_SUITE_CHECKS, _RAW_VIEWS))
+def q_quality_json_suites(spark, sf_dir):
+    """The stored JSON suites' value checks (Q1-Q3, Q6) over the raw feeds."""
+    return quality.run_suites(_raw_tables(spark, sf_dir), quality.JSON_SUITE_CHECKS)
+
+
 _MART_VIEWS = {
     "fct_daily_prices": f"""(SELECT {skey("price_date", "market_name", "commodity_name")} AS price_id,
         price_date, market_name, commodity_name, price_c AS price_ngn FROM daily_c)""",

@@ -153,3 +153,13 @@ def test_seed_read_select_locations_predictions_materialize(spark, tmp_path):
     assert view.count() == 2
     table = sinks.materialize(obs, "obs_table", as_table=True, spark=spark, path=str(tmp_path / "t"))
     assert table.count() == 2
+
+
+def test_json_suite_schema_checks_on_raw_feeds(spark):
+    from harvestline.plans import marts as pm
+
+    f = pm.testdata_feeds(spark, "/root/testdata/sf0.001")
+    tables = {"wfp_prices": f.wfp, "worldbank_prices": f.worldbank, "nbs_prices": f.nbs}
+    for name, (cols, numeric) in quality.JSON_SCHEMA_CHECKS.items():
+        res = quality.check_schema(spark, tables[name], name, cols, numeric)
+        assert all(r.passed for r in res.collect()), name
