@@ -159,6 +159,42 @@ def to_log_row(results: DataFrame, suite: str, run_ts: dt.datetime) -> DataFrame
     )
 
 
+def validation_log_row(
+    sql_results: DataFrame, suite_results: DataFrame, run_ts: dt.datetime, suite: str = "post_ingestion_validation"
+) -> DataFrame:
+    """The post-ingestion validation log row (K4, Q11): SQL checks count one
+    by one, an expectation suite counts as passed only if all its checks
+    passed; success means nothing failed. One aggregate job."""
+    sql = sql_results.select(F.lit("sql").alias("kind"), "passed")
+    gx = suite_results.groupBy("table_name").agg(F.bool_and("passed").alias("passed"))
+    u = sql.unionByName(gx.select(F.lit("gx").alias("kind"), "passed"))
+
+    def n(kind: str, ok: bool):
+        return F.count_if((F.col("kind") == kind) & (F.col("passed") == ok))
+
+    c = u.agg(
+        n("sql", True).alias("sql_passed"),
+        n("sql", False).alias("sql_failed"),
+        n("gx", True).alias("gx_passed"),
+        n("gx", False).alias("gx_failed"),
+    )
+    total_p = F.col("sql_passed") + F.col("gx_passed")
+    total_f = F.col("sql_failed") + F.col("gx_failed")
+    stats = F.to_json(
+        F.struct("sql_passed", "sql_failed", "gx_passed", "gx_failed", total_p.alias("total_passed"), total_f.alias("total_failed"))
+    )
+    summary = F.format_string(
+        "SQL: %d passed, %d failed | GX: %d passed, %d failed", "sql_passed", "sql_failed", "gx_passed", "gx_failed"
+    )
+    return c.select(
+        F.lit(suite).alias("suite_name"),
+        F.lit(run_ts).cast("timestamp").alias("run_date"),
+        (total_f == 0).alias("success"),
+        stats.alias("statistics"),
+        summary.alias("results_summary"),
+    )
+
+
 # Thresholds of the reference's SQL checks (per raw table).
 SQL_CHECKS: dict[str, list[Check]] = {
     "wfp_prices": [

@@ -44,11 +44,12 @@ def build_all(
         "cbn_rates": feeds.fx,
         "weather": feeds.weather,
     }
-    checks = quality.run_suites(raw, quality.SQL_CHECKS, as_of)
-    checks = _write_read(spark, checks, f"{out_dir}/quality_results")
-    sinks.log_quality(checks, "raw_sql_checks", run_ts, path=f"{out_dir}/data_quality_log")
+    checks = _write_read(spark, quality.run_suites(raw, quality.SQL_CHECKS, as_of), f"{out_dir}/quality_results")
+    suites = _write_read(spark, quality.run_suites(raw, quality.SUITE_CHECKS, as_of), f"{out_dir}/suite_results")
+    log = quality.validation_log_row(checks, suites, run_ts)
+    sinks.overwrite(log, path=f"{out_dir}/data_quality_log/run={run_ts:%Y%m%dT%H%M%S}")
     if enforce:
-        quality.gate(checks)
+        quality.gate(checks.unionByName(suites))
 
     paths = {}
     unified = _write_read(spark, pm.unified(feeds), f"{out_dir}/unified")

@@ -7,6 +7,7 @@ caps or samples) and returns a DataFrame; nothing is collected.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -645,6 +646,38 @@ def q_quality_json_suites(spark, sf_dir):
     return quality.run_suites(_raw_tables(spark, sf_dir), quality.JSON_SUITE_CHECKS)
 
 
+def _validation_sql() -> str:
+    sql = _suite_sql(quality.SQL_CHECKS, _RAW_VIEWS)
+    gx = _suite_sql(quality.SUITE_CHECKS, _RAW_VIEWS)
+    ts = testdata.AS_OF.isoformat()
+    return f"""
+SELECT 'post_ingestion_validation' AS suite_name, TIMESTAMP '{ts} 00:00:00' AS run_date,
+       sql_failed + gx_failed = 0 AS success,
+       to_json(struct_pack(sql_passed := sql_passed, sql_failed := sql_failed, gx_passed := gx_passed,
+                           gx_failed := gx_failed, total_passed := sql_passed + gx_passed,
+                           total_failed := sql_failed + gx_failed))::VARCHAR AS statistics,
+       format('SQL: {{}} passed, {{}} failed | GX: {{}} passed, {{}} failed', sql_passed, sql_failed, gx_passed, gx_failed)
+         AS results_summary
+FROM (
+  SELECT count(*) FILTER (WHERE kind = 'sql' AND passed) AS sql_passed,
+         count(*) FILTER (WHERE kind = 'sql' AND NOT passed) AS sql_failed,
+         count(*) FILTER (WHERE kind = 'gx' AND passed) AS gx_passed,
+         count(*) FILTER (WHERE kind = 'gx' AND NOT passed) AS gx_failed
+  FROM (SELECT 'sql' AS kind, passed FROM ({sql}) s
+        UNION ALL
+        SELECT 'gx' AS kind, bool_and(passed) AS passed FROM ({gx}) g GROUP BY table_name) u) c"""
+
+
+@register("validation_log", _validation_sql())
+def q_validation_log(spark, sf_dir):
+    """The post-ingestion validation log row over the raw feeds (K4, Q11)."""
+    raw = _raw_tables(spark, sf_dir)
+    sql = quality.run_suites(raw, quality.SQL_CHECKS, testdata.AS_OF)
+    gx = quality.run_suites(raw, quality.SUITE_CHECKS, testdata.AS_OF)
+    run_ts = dt.datetime.combine(testdata.AS_OF, dt.time())
+    return quality.validation_log_row(sql, gx, run_ts)
+
+
 _MART_VIEWS = {
     "fct_daily_prices": f"""(SELECT {skey("price_date", "market_name", "commodity_name")} AS price_id,
         price_date, market_name, commodity_name, price_c AS price_ngn FROM daily_c)""",

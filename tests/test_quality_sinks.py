@@ -107,7 +107,9 @@ def test_build_all_writes_every_table(spark, tmp_path):
         build.build_all(spark, feeds, str(tmp_path / "stop"), AS_OF, dt.datetime(2024, 1, 1))
     assert not (tmp_path / "stop" / "unified").exists()
     log = spark.read.parquet(str(tmp_path / "stop" / "data_quality_log")).first()
-    assert log.success is False and "price_range" in log.results_summary
+    assert log.success is False and log.suite_name == "post_ingestion_validation"
+    assert log.results_summary.startswith("SQL: 15 passed, 2 failed | GX: ")
+    assert '"sql_failed":2' in log.statistics
     paths = build.build_all(spark, feeds, str(tmp_path / "w"), AS_OF, dt.datetime(2024, 1, 1), enforce=False)
     daily = spark.read.parquet(paths["fct_daily_prices"])
     assert daily.count() == pm.daily(pm.testdata_feeds(spark, "/root/testdata/sf0.001")).count()
