@@ -10,6 +10,7 @@ from harvestline.functions.exprs import (
     surrogate_key,
     trend_label,
     try_date,
+    ts_literal,
     try_number,
     winner_label,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "surrogate_key",
     "trend_label",
     "try_date",
+    "ts_literal",
     "try_number",
     "winner_label",
 ]

@@ -32,6 +32,13 @@ def try_date(c: str | Column, fmt: str | None = None) -> Column:
     return _col(c).try_cast("date")
 
 
+def ts_literal(ts, ntz: bool = False) -> Column:
+    """A timestamp literal parsed by Spark from ISO text, so a naive Python
+    datetime is never shifted by the driver process's local time zone."""
+    text = ts.isoformat(sep=" ") if hasattr(ts, "isoformat") else str(ts)
+    return F.lit(text).cast("timestamp_ntz" if ntz else "timestamp")
+
+
 def cents(c: str | Column) -> Column:
     """Integer cents of a 2-decimal amount: exact for DECIMAL(p,2), and for a
     double holding cents/100 the rounding recovers the integer."""

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harvestline.functions import ts_literal
+
 
 @dataclass(frozen=True)
 class Check:
@@ -150,7 +152,7 @@ def to_log_row(results: DataFrame, suite: str, run_ts: dt.datetime) -> DataFrame
     )
     return results.agg(
         F.lit(suite).alias("suite_name"),
-        F.lit(run_ts).cast("timestamp").alias("run_date"),
+        ts_literal(run_ts, ntz=True).alias("run_date"),
         (F.count_if(~F.col("passed")) == 0).alias("success"),
         stats.alias("statistics"),
         F.concat_ws(", ", F.sort_array(F.collect_list(F.when(~F.col("passed"), F.col("check_name"))))).alias(
@@ -188,7 +190,7 @@ def validation_log_row(
     )
     return c.select(
         F.lit(suite).alias("suite_name"),
-        F.lit(run_ts).cast("timestamp").alias("run_date"),
+        ts_literal(run_ts, ntz=True).alias("run_date"),
         (total_f == 0).alias("success"),
         stats.alias("statistics"),
         summary.alias("results_summary"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline import schemas
+from harvestline.functions import ts_literal
 from harvestline.operators import quality
 
 
@@ -38,7 +39,7 @@ def _save(w, path: str | None, table: str | None) -> None:
 def stamp(df: DataFrame, constants: Mapping[str, object], run_ts: dt.datetime) -> DataFrame:
     """Add constant columns and the load time stamp (K1)."""
     cols = {k: F.lit(v) for k, v in constants.items()}
-    cols["ingested_at"] = F.lit(run_ts).cast("timestamp")
+    cols["ingested_at"] = ts_literal(run_ts)
     return df.withColumns(cols)
 
 
@@ -111,7 +112,7 @@ def predictions_table(forecasts: DataFrame, created_at: dt.datetime) -> DataFram
         F.col("lower_bound_ngn").cast(schemas.PRICE).alias("lower_bound"),
         F.col("upper_bound_ngn").cast(schemas.PRICE).alias("upper_bound"),
         "model_version",
-        F.lit(created_at).cast("timestamp").alias("created_at"),
+        ts_literal(created_at).alias("created_at"),
     )
     return out
 
