@@ -1,6 +1,6 @@
 """Staging: filters, renames and keep-latest dedupe per source.
 
-``latest_per_key`` is written as an aggregate (``max_by`` over a struct of the
+``latest_per_key`` is written as an aggregate (``max`` of a struct led by the
 ordering columns) instead of ``row_number() = 1``: an aggregate combines
 partially on the map side, so a key that holds a third of all rows (a reload
 storm) is reduced inside every input task before the shuffle, while a
@@ -29,9 +29,10 @@ def latest_per_key(
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     tiebreak = sorted(c for c in rest if c not in order)
+    # The ranking struct holds every non-key column, so its maximum *is* the
+    # kept row: one struct per key in the aggregation buffer, not two.
     rank = F.struct(*[F.col(c) for c in list(order) + tiebreak])
-    payload = F.struct(*[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.max_by(payload, rank).alias("_row"))
+    picked = df.groupBy(*keys).agg(F.max(rank).alias("_row"))
     return picked.select(*keys, *[F.col("_row." + c).alias(c) for c in rest]).select(*df.columns)
 
 
