@@ -15,6 +15,12 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Floor for AQE's partition coalescing. Stages over small inputs can be
+    # compute-heavy (the ~40 series window functions): keep them spread over
+    # the cores instead of merging them into 1 MB partitions. With large
+    # shuffles (a cluster at scale) partitions are far above this floor and
+    # nothing changes; skew splitting uses the advisory size, untouched here.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Aggregates and windows must hash on all their keys: reusing a
     # partitioning on a subset (e.g. commodity only, after the IQR join)
     # would put a whole hot commodity into one task.
