@@ -224,13 +224,16 @@ def projection_point(features: DataFrame) -> DataFrame:
     )
 
 
-def source_counts(named: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per source (UNION ALL of counts) (A11, U3); the grand total is
-    the sum over this result."""
+def source_counts(named: Mapping[str, DataFrame], total: str | None = None) -> DataFrame:
+    """Rows per source (UNION ALL of counts) (A11, U3). With ``total`` a
+    grand-total row with that label is added (summed from the per-source
+    counts, so the sources are scanned once)."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("source"), "rows") for name, df in named.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if total is not None:
+        out = out.unionByName(out.agg(F.sum("rows").cast("bigint").alias("rows")).select(F.lit(total).alias("source"), "rows"))
     return out
 
 

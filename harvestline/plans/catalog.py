@@ -436,12 +436,15 @@ SELECT 'WFP' AS source, count(*) AS rows FROM raw_wfp
 UNION ALL SELECT 'World Bank', count(*) FROM raw_worldbank
 UNION ALL SELECT 'NBS', count(*) FROM raw_nbs
 UNION ALL SELECT 'CBN (FX)', count(*) FROM raw_fx
-UNION ALL SELECT 'Weather', count(*) FROM raw_weather""",
+UNION ALL SELECT 'Weather', count(*) FROM raw_weather
+UNION ALL SELECT 'Total', CAST((SELECT count(*) FROM raw_wfp) + (SELECT count(*) FROM raw_worldbank)
+  + (SELECT count(*) FROM raw_nbs) + (SELECT count(*) FROM raw_fx) + (SELECT count(*) FROM raw_weather) AS BIGINT)""",
 )
 def q_source_counts(spark, sf_dir):
     f = feeds(spark, sf_dir)
     return reports.source_counts(
-        {"WFP": f.wfp, "World Bank": f.worldbank, "NBS": f.nbs, "CBN (FX)": f.fx, "Weather": f.weather}
+        {"WFP": f.wfp, "World Bank": f.worldbank, "NBS": f.nbs, "CBN (FX)": f.fx, "Weather": f.weather},
+        total="Total",
     )
 
 
