@@ -244,6 +244,71 @@ def feature_table(
     return out.dropna(subset=REQUIRED)
 
 
+# Step-by-step forms of the feature block (one helper per feature family).
+# They share ``series_window``, so chained calls collapse into the same
+# Window operators; ``feature_table`` is the one-call equivalent.
+
+
+def _cents_col(df: DataFrame, price: str) -> tuple[DataFrame, str]:
+    return df.withColumn("_pc", cents(price)), "_pc"
+
+
+def add_targets(df, price="price_ngn", keys=SERIES, date=DATE, horizons=TARGET_HORIZONS) -> DataFrame:
+    """Price ``h`` rows ahead."""
+    d, c = _cents_col(df, price)
+    w = series_window(keys, date)
+    return d.withColumns({f"target_{h}d": F.lead(c, h).over(w) / 100 for h in horizons}).drop(c)
+
+
+def add_lags(df, price="price_ngn", keys=SERIES, date=DATE, lags=LAGS) -> DataFrame:
+    """Price ``k`` rows back."""
+    d, c = _cents_col(df, price)
+    w = series_window(keys, date)
+    return d.withColumns({f"lag_{k}d": F.lag(c, k).over(w) / 100 for k in lags}).drop(c)
+
+
+def add_rolling(df, price="price_ngn", keys=SERIES, date=DATE, windows=ROLL_WINDOWS) -> DataFrame:
+    """Rolling mean/std/min/max over the last n rows, NULL until full.
+    Assumes no NULL prices (true after densify)."""
+    d, c = _cents_col(df, price)
+    w = series_window(keys, date)
+    run = d.select("*", *_running(w, c))
+    cols = [col for n in windows for col in _roll(F.col(c), w, n)]
+    return run.select("*", *cols).drop(c, "_rn", "_cs", "_cs2")
+
+
+def add_momentum(df, price="price_ngn", keys=SERIES, date=DATE, spans=MOMENTUM) -> DataFrame:
+    """Percent change over ``k`` rows."""
+    d, c = _cents_col(df, price)
+    w = series_window(keys, date)
+    cols = {f"mom_pct_change_{k}d": F.try_divide(F.col(c), F.lag(c, k).over(w)) - 1 for k in spans}
+    return d.withColumns(cols).drop(c)
+
+
+def add_calendar(df, date=DATE) -> DataFrame:
+    """Month, quarter, weekday (Mon=0), day of year, ISO week, season flags."""
+    d = F.col(date)
+    m = F.month(d)
+    return df.withColumns(
+        {
+            "cal_month": m,
+            "cal_quarter": F.quarter(d),
+            "cal_day_of_week": F.weekday(d),
+            "cal_day_of_year": F.dayofyear(d),
+            "cal_week_of_year": F.weekofyear(d),
+            "cal_is_rainy_season": is_rainy_season(m),
+            "cal_is_lean_season": is_lean_season(m),
+        }
+    )
+
+
+def fx_features(df, fx="fx_usd_ngn", keys=SERIES, date=DATE, spans=FX_CHANGES) -> DataFrame:
+    """FX percent change over ``k`` rows within the series."""
+    w = series_window(keys, date)
+    f = F.col(fx)
+    return df.withColumns({f"fx_pct_change_{k}d": F.try_divide(f, F.lag(f, k).over(w)) - 1 for k in spans})
+
+
 def feature_summary(features: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Per series: rows, first/last date, mean price."""
     c = F.round(F.col("price_ngn") * 100).cast("bigint")  # exact cents back

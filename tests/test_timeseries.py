@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pandas as pd
+from pyspark.sql import functions as F
 import pytest
 
 from harvestline.operators import timeseries as ts
@@ -94,3 +95,15 @@ def test_commodity_filter_is_pushed_below_the_windows(spark):
     plan = fe._jdf.queryExecution().optimizedPlan().toString()
     # the filter sits under the window operators, not on top of them
     assert plan.rfind("Filter") > plan.find("Window")
+
+
+def test_step_helpers_equal_feature_table(spark):
+    prices = [f"{100 + (i * 37) % 23}.{(i * 7) % 100:02d}" for i in range(120)]
+    s = series(spark, list(enumerate(prices)))
+    table = ts.feature_table(s, rates=None, min_obs=50)
+    step = ts.add_calendar(ts.add_momentum(ts.add_rolling(ts.add_lags(ts.add_targets(s)))))
+    step = step.withColumn("price_ngn", F.col("price_ngn").cast("double")).dropna(subset=ts.REQUIRED)
+    cols = [c for c in table.columns]
+    a = sorted(tuple(r) for r in table.select(*cols).collect())
+    b = sorted(tuple(r) for r in step.select(*cols).collect())
+    assert a == b
