@@ -20,7 +20,7 @@ def _r2(c) -> F.Column:
 
 
 def daily_fact(unified: DataFrame, with_sources: bool = False) -> DataFrame:
-    """fct_daily_prices: one row per (date, market, commodity) (A1).
+    """Daily price fact: one row per (date, market, commodity) (A1).
 
     ``source_count`` counts rows, not distinct sources (reference quirk 13).
     ``with_sources`` adds the documented ``sources`` array (sorted distinct
@@ -76,12 +76,12 @@ def _period_fact(daily: DataFrame, unit: str, start_col: str, id_col: str, with_
 
 
 def weekly_fact(daily: DataFrame) -> DataFrame:
-    """fct_weekly_prices: Monday-start weeks over the rounded daily prices (A2)."""
+    """Weekly price fact: Monday-start weeks over the rounded daily prices (A2)."""
     return _period_fact(daily, "week", "week_start", "weekly_price_id", with_range=False)
 
 
 def monthly_fact(daily: DataFrame) -> DataFrame:
-    """fct_monthly_prices: calendar months, plus the max-min range (A3)."""
+    """Monthly price fact: calendar months, plus the max-min range (A3)."""
     return _period_fact(daily, "month", "month_start", "monthly_price_id", with_range=True)
 
 

@@ -37,7 +37,7 @@ def latest_per_key(
 
 
 def stage_wfp(raw: DataFrame) -> DataFrame:
-    """stg_wfp: price > 0, keys not null, latest per (market, commodity, date)."""
+    """Staged WFP feed: price > 0, keys not null, latest per (market, commodity, date)."""
     cleaned = raw.where(
         (F.col("price") > 0)
         & F.col("price_date").isNotNull()
@@ -59,7 +59,7 @@ def stage_wfp(raw: DataFrame) -> DataFrame:
 
 
 def stage_worldbank(raw: DataFrame) -> DataFrame:
-    """stg_worldbank: same filters, ``unit`` renamed ``unit_name``."""
+    """Staged World Bank feed: same filters, ``unit`` renamed ``unit_name``."""
     cleaned = raw.where(
         (F.col("price") > 0)
         & F.col("price_date").isNotNull()
@@ -80,7 +80,7 @@ def stage_worldbank(raw: DataFrame) -> DataFrame:
 
 
 def stage_nbs(raw: DataFrame) -> DataFrame:
-    """stg_nbs: state -> market_name, report_month -> price_date."""
+    """Staged NBS feed: state -> market_name, report_month -> price_date."""
     cleaned = raw.where((F.col("price") > 0) & F.col("commodity_name").isNotNull()).select(
         F.col("state").alias("market_name"),
         "commodity_name",
@@ -96,7 +96,7 @@ def stage_nbs(raw: DataFrame) -> DataFrame:
 
 
 def stage_fx(raw: DataFrame, dedupe: bool = True) -> DataFrame:
-    """stg_cbn: central_rate > 0 and a date.
+    """Staged FX feed: central_rate > 0 and a date.
 
     With ``dedupe`` (default) an append-only reload keeps the latest row per
     (currency, rate_date); the as-of join needs one rate per date.
@@ -110,7 +110,7 @@ def stage_fx(raw: DataFrame, dedupe: bool = True) -> DataFrame:
 
 
 def stage_weather(raw: DataFrame) -> DataFrame:
-    """stg_weather: date and market present, measurement columns kept (P10)."""
+    """Staged weather feed: date and market present, measurement columns kept (P10)."""
     return raw.where(F.col("weather_date").isNotNull() & F.col("market_name").isNotNull()).select(
         "market_name",
         "weather_date",

@@ -155,6 +155,6 @@ def unified_prices(
     excluded_markets: Sequence[str] = EXCLUDED_MARKETS,
     k: float = 3.0,
 ) -> DataFrame:
-    """int_prices_unified: union -> harmonise -> noise filters -> IQR fence."""
+    """The unified price table: union -> harmonise -> noise filters -> IQR fence."""
     h = drop_noise(harmonise(union_sources(staged), mapping), junk, excluded_markets)
     return iqr_fence(h, "commodity_name", "price_ngn", k).select(*UNIFIED_COLUMNS)
