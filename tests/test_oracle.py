@@ -7,6 +7,10 @@ import __spark_entry__ as entry
 from tests.oracle_check import digest, duck
 
 SF = "/root/testdata/sf0.001"
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
 SQL = entry.oracle_sql()
 
 
@@ -28,6 +32,9 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = dict(zip(dcols, [str(t) for t in con.sql(SQL[name]).types]))
+    assert spark_types == duck_types
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
 
