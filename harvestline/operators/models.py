@@ -208,14 +208,14 @@ def train_per_commodity(
     return res, models
 
 
-def train_per_commodity_v1(features_df: DataFrame, parallelism: int = 8):
+def train_per_commodity_v1(features_df: DataFrame, parallelism: int = 8, params: dict = PER_COMMODITY_V1_PARAMS):
     """v1 protocol (M7a): 7-day target, the global feature list, 3-month
     split, gates >= 100 rows / train >= 50 / test >= 10, v1 parameters."""
     return train_per_commodity(
         features_df,
         horizon=7,
         features=GLOBAL_FEATURES,
-        params=PER_COMMODITY_V1_PARAMS,
+        params=params,
         test_months=3,
         min_rows=100,
         min_train=50,

@@ -65,3 +65,15 @@ def test_global_model_importance_and_best(spark):
     )
     best = {r.horizon: r.commodity for r in models.select_best(res).collect()}
     assert best == {7: "Rice"}
+
+
+def test_v1_protocol_gates_and_split(spark):
+    fe = _features(spark, n_days=300, markets=("A",)).checkpoint()
+    res, ms = models.train_per_commodity_v1(fe, params=FAST)
+    (r,) = res.collect()
+    # 3-month test window of one daily series: roughly 90 test rows, rest train
+    assert r.horizon == 7 and 80 <= r.test_size <= 95 and r.train_size >= 50
+    assert r.train_size + r.test_size == fe.dropna(subset=["target_7d", *models.GLOBAL_FEATURES]).count()
+    short = _features(spark, n_days=150, markets=("A",))  # < 100 usable rows -> no model
+    res2, ms2 = models.train_per_commodity_v1(short, params=FAST)
+    assert res2.count() == 0 and ms2 == {}
