@@ -18,6 +18,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb  # noqa: E402
 
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -92,13 +96,17 @@ def main(argv):
             continue
         hs, ls = digest(scols, srows)
         hd, ld = digest(dcols, drows)
-        ok = sorted(scols) == sorted(dcols) and len(srows) == len(drows) and hs == hd
+        stypes = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+        dtypes = dict(zip(dcols, [str(t) for t in con.sql(sqls[name]).types]))
+        ok = sorted(scols) == sorted(dcols) and len(srows) == len(drows) and hs == hd and stypes == dtypes
         status = "ok  " if ok else "FAIL"
         print(f"\n{status} {name}: spark {len(srows)} duck {len(drows)} rows ({ts:.1f}s)")
         if not ok:
             bad += 1
             if sorted(scols) != sorted(dcols):
                 print("   cols", sorted(scols), sorted(dcols))
+            if stypes != dtypes:
+                print("   types", {k: (stypes.get(k), dtypes.get(k)) for k in stypes if stypes.get(k) != dtypes.get(k)})
             a, b = set(ls), set(ld)
             for x in sorted(a - b)[:3]:
                 print("   spark-only", x[:300])
