@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline.llm import (
+    ann,
     decontaminate,
     langid,
     near_dedup,
     packed_ids,
+    repeats,
     secrets,
     sentencepiece_bpe,
     url_filter,
@@ -66,6 +68,11 @@ def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -76,6 +83,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeats_removed(spark, table(spark, sf_dir, "documents"))
+    return found.drop("spans")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, table(spark, sf_dir, "pages"))
 
@@ -97,8 +109,10 @@ QUERIES = {
         op3_sentencepiece,
         op4_near_dedup,
         op5_packed_ids,
+        op6_nearest,
         op7_decontamination,
         op8_secrets,
+        op9_repeats,
         op10_warc,
     )
 }
