@@ -7,13 +7,14 @@ distinct k-word shingles (fewer words: the whole sequence as one; none: empty).
    values and band keys. Documents with equal sets form a class; only a class's
    smallest doc_id goes on.
 2. Candidates: documents that share a band's bucket. A bucket is compared as a
-   star around a pivot, not in all pairs; buckets whose members are not in one
-   component yet get further pivots, and what is still apart then is compared
-   across components, so no link is lost to the shortcut.
-3. Verification: signatures are compared in batches; a pair is dropped as soon
-   as the posterior probability of reaching the threshold, given the matches so
-   far and a uniform prior, falls below ``MISS``. Survivors are verified exactly
-   on the full sets of the whole texts.
+   star around a pivot, its most central member, not in all pairs.
+3. Verification of a star's pairs: signatures are compared in batches; a pair
+   is dropped as soon as the posterior probability of reaching the threshold,
+   given the matches so far and a uniform prior, falls below ``MISS``. Survivors
+   are verified exactly on the full sets of the whole texts. Members that miss
+   the threshold with the pivot meet the rest of the family by an exact join on
+   what sets them apart from the pivot; members far from it get another pivot,
+   then are compared in pairs. No link is lost to the shortcut.
 4. Components of the verified links, joined back to all documents.
 
 Null and word-free texts have empty sets, are linked with nothing and stay.
@@ -30,7 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harvestline.llm.common import written
@@ -40,7 +41,7 @@ THRESHOLD = 80  # per cent of the union
 BANDS, ROWS = 36, 5  # chance to miss a pair of similarity 0.8: (1 - 0.8^5)^36 = 6e-7
 BATCH = 20  # signature values compared at a time
 MISS = 1e-7  # chance, by the posterior, that a pruned pair reaches the threshold
-STAR_ROUNDS = 2
+LEVELS = 2  # times a bucket gets a pivot before its far members are compared in pairs
 BROADCAST_BYTES = 32 << 20
 
 _RNG = np.random.default_rng(0x5EED)
@@ -195,41 +196,57 @@ def likely(pairs: DataFrame, threshold: int) -> DataFrame:
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def exact(pairs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """(a, b) of the pairs (a, text_a, b, text_b) that reach the threshold on their full sets."""
+def compared(pairs: DataFrame, k: int, near: int) -> DataFrame:
+    """(a, b, n_a, n_b, common, apart) of pairs (a, text_a, b, text_b), on the full sets.
+
+    ``apart`` is what either set has alone, where the similarity is ``near`` per cent or more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
         for batch in batches:
-            keep = []
-            for a, ta, b, tb in zip(*(batch.column(i) for i in range(4))):
+            sizes, apart = [], []
+            for a, ta, _, tb in zip(*(batch.column(i) for i in range(4))):
                 if (a := a.as_py()) != last:
                     last, held = a, shingle_set(ta.as_py(), k)
                 other = shingle_set(tb.as_py(), k)
-                common = len(np.intersect1d(held, other, assume_unique=True))
-                keep.append(100 * common >= threshold * (len(held) + len(other) - common))
-            yield batch.select([0, 2]).filter(pa.array(keep, pa.bool_()))
+                odd = np.setxor1d(held, other, assume_unique=True)
+                common = (len(held) + len(other) - len(odd)) // 2
+                sizes.append((len(held), len(other), common))
+                alike = 100 * common >= near * (common + len(odd))
+                apart.append(odd.view(np.int64) if alike else None)
+            n_a, n_b, common = zip(*sizes) if sizes else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(2),
+                    *(pa.array(x, pa.int64()) for x in (n_a, n_b, common)),
+                    pa.array(apart, pa.list_(pa.int64())),
+                ],
+                names=["a", "b", "n_a", "n_b", "common", "apart"],
+            )
 
-    return pairs.select("a", "text_a", "b", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "text_a", "b", "text_b").mapInArrow(
+        run, "a long, b long, n_a long, n_b long, common long, apart array<long>"
+    )
 
 
 class Linker:
     """Verifies candidate pairs of class representatives."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, k: int, threshold: int):
-        self.docs, self.reps, self.k, self.threshold = docs, reps, k, threshold
+    def __init__(self, docs: DataFrame, reps: DataFrame, k: int):
+        self.docs, self.reps, self.k = docs, reps, k
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The verified ones of distinct pairs (a, b), as a written table."""
+    def verified(self, pairs: DataFrame, threshold: int) -> DataFrame:
+        """``compared`` rows, as a written table, of the distinct pairs (a, b) that pruning at ``threshold`` leaves."""
         a = self.reps.selectExpr("doc_id a", "n_shingles n_a", "sig sig_a")
         b = self.reps.selectExpr("doc_id b", "n_shingles n_b", "sig sig_b")
-        t = self.threshold
         sized = (
             pairs.join(a, "a")
             .join(b, "b")
-            .where(f"100 * least(n_a, n_b) >= {t} * greatest(n_a, n_b)")
+            .where(f"100 * least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)")
         )
-        survivors = written(likely(sized, t), "survivors")
+        survivors = written(likely(sized, threshold), "survivors")
         ids = survivors.select(F.col("a").alias("doc_id")).union(survivors.select("b")).distinct()
         if ids.count() * 16 <= BROADCAST_BYTES:
             ids = F.broadcast(ids)
@@ -245,43 +262,139 @@ class Linker:
             survivors.join(texts.selectExpr("doc_id b", "text text_b"), "b")
             .join(texts.selectExpr("doc_id a", "text text_a"), "a")
         )
-        return written(exact(both, self.k, t), "links")
+        return written(compared(both, self.k, threshold), "compared")
 
 
-def with_components(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """Entries (bucket, rep) of buckets that span several components of the links, with ``comp``."""
-    comp = components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
-    labelled = entries.join(comp, "rep", "left").select(
-        "bucket", "rep", F.coalesce("comp", "rep").alias("comp")
-    )
-    apart = (
-        labelled.groupBy("bucket")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        .where("low <> high")
-        .select("bucket")
-    )
-    return written(labelled.join(apart, "bucket", "left_semi"), "entries")
+def linked(rows: DataFrame, threshold: int) -> DataFrame:
+    return rows.where(f"100 * common >= {threshold} * (n_a + n_b - common)")
 
 
-def star_pairs(entries: DataFrame, turn: int) -> DataFrame:
-    """(a, b) pairs of each bucket's pivot with its members of other components."""
-    pivot = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "comp"))
-    pivots = entries.groupBy("bucket").agg(pivot.alias("p"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return ordered(
-        entries.join(pivots, "bucket").where("p.comp <> comp").select(F.col("p.rep").alias("x"), F.col("rep").alias("y"))
+def with_pivots(entries: DataFrame) -> DataFrame:
+    """Entries (bucket, rep) with their bucket's pivot: the member with the most company in all its buckets.
+
+    That is the member most like the others, the source of a family of near copies.
+    """
+    sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    company = entries.join(sizes, "bucket").groupBy("rep").agg(F.sum("n").alias("company"))
+    # equal company: the smaller id
+    rank = F.struct("company", (-F.col("rep")).alias("order"), "rep")
+    pivots = entries.join(company, "rep").groupBy("bucket").agg(F.max(rank).alias("p"))
+    return written(
+        entries.join(pivots.select("bucket", F.col("p.rep").alias("pivot")), "bucket").where("rep <> pivot"),
+        "pivots",
     )
 
 
-def cross_pairs(entries: DataFrame) -> DataFrame:
-    """All (a, b) within a bucket that are still in different components."""
-    other = entries.selectExpr("bucket", "rep y", "comp comp_y")
-    return ordered(entries.join(other, "bucket").where("comp < comp_y").selectExpr("rep x", "y"))
+def family_links(near: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) links among the members of a pivot's family, from what sets them apart from the pivot.
+
+    ``near`` has (pivot, rep, size of the pivot's set, n, common, apart). With P
+    shingles in the pivot and a member that lacks r of them and adds s, let
+    d = 100 - t and w = 100 r + t s for threshold t (in per cent; t of the union).
+    Two members with o elements common to their difference sets reach the
+    threshold just if (100 + t) o >= w + w' - d P. Members with w <= d P are
+    linked to the pivot itself. Any other member needs common elements with
+    whom it is linked to, so a join on the rarest elements of the difference
+    sets (as many as may not all be missed) finds all its partners, however
+    large the family is.
+    """
+    t, d, both = threshold, 100 - threshold, 100 + threshold
+    rows = near.select(
+        "pivot",
+        "rep",
+        (F.lit(d) * F.col("n_pivot")).alias("slack"),
+        (100 * (F.col("n_pivot") - F.col("common")) + t * (F.col("n") - F.col("common"))).alias("w"),
+        "apart",
+    )
+    with_open = rows.where("w > slack").select("pivot").distinct()
+    rows = written(rows.join(with_open, "pivot", "left_semi"), "families")
+    elements = rows.select("pivot", "rep", "w", "slack", F.size("apart").alias("size"), F.explode("apart").alias("e"))
+    often = elements.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("pivot", "rep").orderBy("often", "e"))
+    ranked = written(
+        elements.join(often, ["pivot", "e"])
+        .withColumn("rank", rank)
+        # with an open partner at least ceil((w + 1) / both) elements are common
+        .where(f"often > 1 and rank <= size - ceil((w + 1) / {both}) + 1")
+        .select("pivot", "rep", "e", "rank", "w", "slack", "size"),
+        "ranked",
+    )
+    asking = ranked.where(f"w > slack and rank <= size - ceil((w - slack + 1) / {both}) + 1")
+    pairs = (
+        asking.select("pivot", "e", F.col("rep").alias("x"), F.col("w").alias("w_x"), "slack")
+        .join(ranked.select("pivot", "e", F.col("rep").alias("y"), F.col("w").alias("w_y"), "size"), ["pivot", "e"])
+        # both open: once; and as many elements as they need must be there at all
+        .where(f"x <> y and (w_y <= slack or x < y) and {both} * size >= w_x + w_y - slack")
+        .select("pivot", "x", "y")
+        .distinct()
+    )
+    x = rows.selectExpr("pivot", "rep x", "w w_x", "slack", "apart apart_x")
+    y = rows.selectExpr("pivot", "rep y", "w w_y", "apart apart_y")
+    return (
+        pairs.join(x, ["pivot", "x"])
+        .join(y, ["pivot", "y"])
+        .where(f"{both} * size(array_intersect(apart_x, apart_y)) >= w_x + w_y - slack")
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def all_links(docs: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataFrame | None:
+    """Links (a, b) that connect all representatives with equal buckets whose similarity reaches the threshold."""
+    # Two distances to a third set bound the distance of two sets: a member under
+    # this similarity cannot reach the threshold with one that is linked to the pivot.
+    near_t = max(0, 2 * threshold - 100)
+    spread = reps.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("rep"))
+    shared = (
+        spread.groupBy("bucket")
+        .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+        .where("low <> high")
+        .select("bucket")
+    )
+    entries = written(spread.join(shared, "bucket", "left_semi"), "entries")
+    linker = Linker(docs, reps.drop("buckets"), k)
+    found = None
+    for _ in range(LEVELS):
+        if entries.isEmpty():
+            return found
+        entries = with_pivots(entries)
+        stars = entries.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+        rows = linker.verified(stars, near_t)
+        near = rows.where("apart is not null").select(
+            F.col("a").alias("pivot"), F.col("b").alias("rep"), F.col("n_a").alias("n_pivot"),
+            F.col("n_b").alias("n"), "common", "apart",
+        )
+        close = linked(rows, threshold).select("a", "b")
+        links = close.union(family_links(near, threshold))
+        found = links if found is None else found.union(links)
+        # Members linked to the pivot are settled. What is far from it still has
+        # to meet the others.
+        settled = close.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), F.lit(True).alias("settled"))
+        known = near.select("pivot", "rep", F.lit(True).alias("near"))
+        rest = (
+            entries.join(settled, ["pivot", "rep"], "left_anti")
+            .join(known, ["pivot", "rep"], "left")
+            .select("bucket", "rep", F.col("near").isNull().alias("far"))
+        )
+        open_ = (
+            rest.groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("any_far"))
+            .where("n > 1 and any_far")
+            .select("bucket")
+        )
+        entries = written(rest.join(open_, "bucket", "left_semi"), "entries")
+    if entries.isEmpty():
+        return found
+    other = entries.selectExpr("bucket", "rep y", "far far_y")
+    pairs = ordered(
+        entries.join(other, "bucket").where("far and (rep < y or rep > y and not far_y)").selectExpr("rep x", "y")
+    )
+    return found.union(linked(linker.verified(pairs, threshold), threshold).select("a", "b"))
+
+
 def clustered(
     spark: SparkSession, docs: DataFrame, k: int, threshold: int = THRESHOLD
 ) -> DataFrame:
@@ -297,26 +410,7 @@ def clustered(
     own = classes.select("set_key", F.col("rep").alias("doc_id"))
     reps = sketch.join(own, ["set_key", "doc_id"], "left_semi").select("doc_id", "n_shingles", "sig", "buckets")
     reps = written(reps.dropDuplicates(["doc_id"]), "reps")
-    spread = reps.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("rep"))
-    shared = (
-        spread.groupBy("bucket")
-        .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-        .where("low <> high")
-        .select("bucket")
-    )
-    entries = written(
-        spread.join(shared, "bucket", "left_semi").withColumn("comp", F.col("rep")), "entries"
-    )
-    linker = Linker(docs, reps.drop("buckets"), k, threshold)
-    links = None
-    for turn in range(STAR_ROUNDS + 1):
-        if entries.isEmpty():
-            break
-        pairs = star_pairs(entries, turn) if turn < STAR_ROUNDS else cross_pairs(entries)
-        found = linker.links(pairs)
-        links = found if links is None else links.union(found)
-        if turn < STAR_ROUNDS:
-            entries = with_components(entries.select("bucket", "rep"), links)
+    links = all_links(docs, reps, k, threshold)
     if links is None:
         rooted = classes.select("set_key", F.col("rep").alias("component_id"))
     else:
