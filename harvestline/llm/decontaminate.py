@@ -13,9 +13,9 @@ item-sized window.
 
 Main path: DataFrame functions alone. Documents are read in two narrow scans
 (word counts, then candidates); what is shuffled is counts of benchmark words
-and verified occurrences, never texts. The benchmark side is broadcast only
-after its size is measured against ``BROADCAST_BYTES``; beyond that Spark
-joins by shuffle.
+and verified occurrences. The benchmark side is broadcast only after its size is
+measured against ``BROADCAST_BYTES``; beyond that candidates are joined by
+shuffle and verified with the texts that have any.
 
 Null or word-free texts have no words and no hits; null doc_ids and repeated
 rows are judged row by row in ``marked`` (each row gets a number of its own
@@ -31,15 +31,15 @@ from pyspark.sql import functions as F
 from harvestline.llm.common import ascii_lower
 
 WINDOW = 10
-# Fixed value: what separates words (after lower-casing A-Z).
-GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: a word, after lower-casing A-Z.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_BYTES = 32 << 20
 
 
 def words_of(text: Column) -> Column:
     """All words of a text; null gives an empty array."""
-    parts = F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), GAPS)
-    return F.filter(parts, lambda w: w != "")
+    low = ascii_lower(F.coalesce(text.cast("string"), F.lit("")))
+    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
 def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -57,18 +57,20 @@ def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def bounded(df: DataFrame, width: Column) -> DataFrame:
-    """``df`` marked for broadcast if its measured size is within the bound."""
-    total = df.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+def within_bound(df: DataFrame, width: Column) -> bool:
+    """Whether the measured size of ``df`` allows a broadcast."""
+    return (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds each window's rarest word (``token``) and its 0-based place (``place``)."""
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
-    vocabulary = bounded(vocabulary, F.octet_length("word") + 32)
+    if within_bound(vocabulary, F.octet_length("word") + 32):
+        vocabulary = F.broadcast(vocabulary)
     counts = (
-        docs.select(F.explode(words_of(F.col("text"))).alias("word"))
+        # an outer explode: the plain one would split every text twice, to
+        # leave out empty arrays beforehand
+        docs.select(F.explode_outer(words_of(F.col("text"))).alias("word"))
         .join(vocabulary, "word", "left_semi")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -91,29 +93,34 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc_id, start, size, items) of every verified occurrence; start is 0-based."""
-    index = windows.groupBy("token").agg(
-        F.collect_list(F.struct("words", "items", "size", "place")).alias("found")
-    )
-    width = F.octet_length("token") + F.expr(
-        "aggregate(found, 0L, (a, f) -> a + 64 + aggregate(f.words, 0L, (b, w) -> b + octet_length(w) + 8)"
-        " + 24 * size(f.items))"
-    )
-    index = bounded(index, width)
     words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    candidates = (
-        words.select("doc_id", "w", F.posexplode("w").alias("pos", "token"))
-        .join(index, "token")
-        # bounds and exact test within the row; nothing else of the text goes on
-        .select(
-            "doc_id",
-            F.expr(
-                "transform(filter(found, f -> pos >= f.place and pos - f.place + f.size <= size(w)"
-                " and slice(w, pos - f.place + 1, f.size) = f.words),"
-                " f -> struct(pos - f.place as start, f.size as size, f.items as items))"
-            ).alias("hits"),
+    text = F.expr("aggregate(words, 0L, (a, x) -> a + octet_length(x) + 16)")
+    start = F.expr("pos - place").alias("start")
+    fits = "pos >= place and pos - place + size <= size(w)"
+    same = "slice(w, greatest(pos - place + 1, 1), size) = words"
+    if within_bound(windows, text + 24 * F.size("items") + 64):
+        # The join is probed as the words are laid out; only a verified
+        # candidate becomes a row.
+        return (
+            words.select("doc_id", "w", F.posexplode_outer("w").alias("pos", "token"))
+            .join(F.broadcast(windows), "token")
+            .where(f"{fits} and {same}")
+            .select("doc_id", start, "size", "items")
         )
+    # Candidates first, without texts; then each text once more, with its own.
+    placed = words.select("doc_id", F.size("w").alias("n"), F.posexplode_outer("w").alias("pos", "token"))
+    candidates = (
+        placed.join(windows, "token")
+        .where("pos >= place and pos - place + size <= n")
+        .groupBy(F.col("doc_id").alias("found_id"))
+        .agg(F.collect_set(F.struct("pos", "place", "size", "words", "items")).alias("found"))
+    )
+    return (
+        words.join(candidates, F.expr("doc_id <=> found_id"))
+        .select("doc_id", "w", F.inline("found"))
+        .where(same)
+        .select("doc_id", start, "size", "items")
     )
-    return candidates.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
 
 
 def hit_summary(found: DataFrame) -> DataFrame:
