@@ -8,8 +8,9 @@ first, leftmost on ties. With dropout, a candidate taken from the agenda is
 skipped if a keyed hash of (seed, variant, chunk, position, pair) falls below
 the dropout rate; a skipped merge returns only if a later merge makes a new
 candidate. A chunk's variant comes from a keyed hash of the document and the
-chunk's place in it, modulo ``variants``, so a chunk has several segmentations
-within a text and a corpus, while a task remembers those it has made. Everything is determined by seed, document and text: a retried task
+chunk's place in it (blocks of 64 chunks share one), modulo ``variants``, so a
+chunk has several segmentations within a text and a corpus, while a task
+remembers those it has made. Everything is determined by seed, document and text: a retried task
 gives the same ids. Dropout 0 gives the library's own segmentation.
 
 Characters outside the vocabulary become byte pieces, as does the space mark
@@ -25,6 +26,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ OFFSET = 1 << 21  # makes ids and numbers of characters positive
 WORD = (1 << 64) - 1
 MIX = 0xD6E8FEB86659FD93
 ROWS = 128  # per output batch
+BLOCK = 64  # chunks in a row that share a variant
+OWN_MARK = -1
 SCALE = 1 << 64
 SPREAD = 0x9E3779B97F4A7C15
 
@@ -61,7 +65,10 @@ class Vocabulary:
 
     def __post_init__(self) -> None:
         """Tables for merging many chunks at once."""
-        self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        # what each id stands for, as UTF-8
+        self.shown = [p.replace(MARK, " ").encode() for p in self.pieces]
+        for b, i in enumerate(self.byte_ids):
+            self.shown[i] = bytes([b])
         # rank: place by score, best first, equal scores sharing one
         order = sorted(self.scores, key=lambda p: -self.scores[p])
         self.char_ids = np.full(0x110000, -1, np.int64)
@@ -85,7 +92,6 @@ class Vocabulary:
         self.bits = 20
         self.slots = np.zeros(1 << self.bits, np.uint64)
         self.slot_rank = np.full(1 << self.bits, NEVER, np.int64)
-        self.probes = 1
         for k, r in zip(keys.tolist(), ranks.tolist()):
             at = (k * SPREAD & WORD) >> (64 - self.bits)
             step = 0
@@ -93,16 +99,23 @@ class Vocabulary:
                 step += 1
             self.slots[(at + step) % len(self.slots)] = k
             self.slot_rank[(at + step) % len(self.slots)] = r
-            self.probes = max(self.probes, step + 1)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair of ids, NEVER where there is none."""
         key = pair_key(left.astype(np.uint64), right.astype(np.uint64))
         at = ((key * np.uint64(SPREAD)) >> np.uint64(64 - self.bits)).astype(np.int64)
-        out = np.where(self.slots[at] == key, self.slot_rank[at], NEVER)
-        for step in range(1, self.probes):
-            there = (at + step) % len(self.slots)
-            out = np.where(self.slots[there] == key, self.slot_rank[there], out)
+        slot = self.slots[at]
+        out = np.where(slot == key, self.slot_rank[at], NEVER)
+        # another pair's slot: look on, until the pair or an empty slot
+        open_ = np.nonzero((slot != key) & (slot != 0))
+        while len(open_[0]):
+            at = (at[open_] + 1) % len(self.slots) if at.shape == out.shape else (at + 1) % len(self.slots)
+            wanted = key[open_]
+            slot = self.slots[at]
+            hit = slot == wanted
+            out[tuple(x[hit] for x in open_)] = self.slot_rank[at[hit]]
+            more = ~hit & (slot != 0)
+            open_, at = tuple(x[more] for x in open_), at[more]
         return out
 
     @classmethod
@@ -131,10 +144,15 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, dropout: float = 0.1, seed: int = 0, variants: int = 8):
         self.vocab, self.dropout, self.seed, self.variants = vocab, dropout, seed, variants
         self.limit = int(dropout * SCALE)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew with what is known: ids by variant and chunk."""
+        self.n_known = 0
+        self.known: dict[int, dict[str, tuple[int, ...]]] = {v: {} for v in range(self.variants)}
         # A space mark that the text itself holds is written as bytes, so that
         # decoding tells it from a space.
-        self.always = {(MARK, -1): [vocab.byte_ids[b] for b in MARK.encode()]}
-        self.known: dict[tuple[str, int], list[int]] = dict(self.always)
+        self.known[OWN_MARK] = {MARK: tuple(self.vocab.byte_ids[b] for b in MARK.encode())}
 
     def skipped(self, key: int, at: int, cut: int, piece: int) -> bool:
         """Keyed hash of one candidate merge against the dropout rate."""
@@ -144,7 +162,7 @@ class Encoder:
 
     def key(self, chunk: str, variant: int) -> int:
         """Key of the hash; 0 switches dropout off."""
-        return xxhash.xxh3_64_intdigest(f"{self.seed}|{variant}|{chunk}") | 1 if self.limit else 0
+        return xxhash.xxh3_64_intdigest(chunk, self.seed * 1_000_003 + variant & WORD) | 1 if self.limit else 0
 
     def merged(self, chunk: str, variant: int) -> list[int]:
         """Ids of one chunk by agenda merging."""
@@ -191,16 +209,24 @@ class Encoder:
                 ids.append(i)
         return ids
 
-    def learn(self, chunks: list[tuple[str, int]]) -> None:
-        """Merge chunks that are not known yet: short ones together, long ones by themselves."""
-        short = [c for c in chunks if len(c[0]) <= LOCKSTEP]
-        for i in range(0, len(short), 20_000):
+    def learn(self, chunks: list[tuple[int, str]]) -> None:
+        """Merge chunks (variant, chunk) that are not known yet: short ones together, long ones by themselves."""
+        by_length: list[list[tuple[int, str]]] = [[] for _ in range(LOCKSTEP + 1)]
+        for v, c in chunks:
+            if len(c) <= LOCKSTEP:
+                by_length[len(c)].append((v, c))
+            else:
+                self.known[v][c] = tuple(self.merged(c, v))
+                self.n_known += 1 + len(c) // LOCKSTEP
+        short = list(chain.from_iterable(by_length))
+        for i in range(0, len(short), 20_000):  # of about one length
             part = short[i : i + 20_000]
-            keys = np.array([self.key(*c) for c in part], np.uint64)
-            self.known.update(zip(part, self.lockstep([c[0] for c in part], keys)))
-        self.known.update((c, self.merged(*c)) for c in chunks if len(c[0]) > LOCKSTEP)
+            keys = np.array([self.key(c, v) for v, c in part], np.uint64)
+            for (v, c), ids in zip(part, self.lockstep([c for _, c in part], keys)):
+                self.known[v][c] = ids
+            self.n_known += len(part)
 
-    def lockstep(self, chunks: list[str], keys: np.ndarray) -> list[list[int]]:
+    def lockstep(self, chunks: list[str], keys: np.ndarray) -> list[tuple[int, ...]]:
         """The agenda of many short chunks at once: each step takes one candidate of every chunk.
 
         The same merges as ``merged`` makes: a chunk's best candidate is the
@@ -259,29 +285,30 @@ class Encoder:
         odd = set(np.flatnonzero(((grid < -1) & alive).any(axis=1)).tolist())
         flat, out, start = flat.tolist(), [], 0
         for i, end in enumerate(ends):
-            got = flat[start:end]
+            got = tuple(flat[start:end])
             if i in odd:  # characters outside the vocabulary
-                got = [
+                got = tuple(
                     y
                     for x in got
                     for y in ([x] if x >= 0 else [v.byte_ids[b] for b in chr(-2 - x).encode()])
-                ]
+                )
             out.append(got)
             start = end
         return out
 
-    def chunked(self, text: str, doc_id: int | None) -> list[tuple[str, int]]:
-        """The chunks of a text with their variants; a space mark of the text's own is (mark, -1)."""
-        start = xxhash.xxh3_64_intdigest(f"{self.seed}|{doc_id}") & 0xFFFFFFFF
+    def blocks(self, text: str, doc_id: int | None) -> list[tuple[int, list[str]]]:
+        """A text's chunks in blocks of ``BLOCK``, each with its variant."""
         variants = self.variants if self.limit else 1
-        out: list[tuple[str, int]] = []
+        start = xxhash.xxh3_64_intdigest(f"{self.seed}|{doc_id}")
+        out: list[tuple[int, list[str]]] = []
         shown = (" " if self.vocab.dummy_prefix else "") + text
         for nth, part in enumerate(shown.split(MARK)):
-            if nth:
-                out.append((MARK, -1))
+            if nth:  # a space mark of the text's own
+                out.append((OWN_MARK, [MARK]))
             chunks = CHUNKS.findall(part.replace(" ", MARK))
-            turn = np.arange(start, start + len(chunks), dtype=np.uint64) * np.uint64(SPREAD)
-            out += zip(chunks, ((turn >> np.uint64(40)) % np.uint64(variants)).tolist())
+            for i in range(0, len(chunks), BLOCK):
+                turn = (start + len(out)) * SPREAD & WORD
+                out.append(((turn >> 40) % variants, chunks[i : i + BLOCK]))
         return out
 
     def encode(self, text: str, doc_id: int | None = 0) -> list[int]:
@@ -289,26 +316,23 @@ class Encoder:
 
     def encode_all(self, texts: list[str | None], doc_ids: list) -> list[list[int]]:
         """Ids of each text; none for null and empty ones."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = dict(self.always)
-        chunks = [self.chunked(t, d) if t else [] for t, d in zip(texts, doc_ids)]
-        if new := sorted({c for x in chunks for c in x}.difference(self.known)):
-            self.learn(new)
+        if self.n_known > CACHE_CHUNKS:
+            self.forget()
         known = self.known
-        return [[i for c in x for i in known[c]] for x in chunks]
+        found = [self.blocks(t, d) if t else [] for t, d in zip(texts, doc_ids)]
+        new: dict[int, set[str]] = {v: set() for v in known}
+        for blocks in found:
+            for v, chunks in blocks:
+                new[v].update(chunks)
+        if new := [(v, c) for v, chunks in new.items() for c in chunks.difference(known[v])]:
+            self.learn(new)
+        join = chain.from_iterable
+        return [list(join(join(map(known[v].__getitem__, chunks) for v, chunks in blocks))) for blocks in found]
 
 
 def decode(vocab: Vocabulary, ids) -> str:
     """The text of ids; byte pieces are put together as UTF-8."""
-    table, byte_of = vocab.pieces, vocab.byte_of
-    out = bytearray()
-    for i in ids:
-        b = byte_of.get(i)
-        if b is None:
-            out += table[i].replace(MARK, " ").encode()
-        else:
-            out.append(b)
-    text = out.decode("utf-8")
+    text = b"".join(map(vocab.shown.__getitem__, ids)).decode()
     return text[1:] if vocab.dummy_prefix and text else text
 
 

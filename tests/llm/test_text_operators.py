@@ -194,10 +194,17 @@ def test_dropout_is_keyed_varied_and_lossless():
 def test_lockstep_equals_the_agenda():
     enc = sentencepiece_bpe.Encoder(sentencepiece_bpe.Vocabulary.load(PIECE), 0.4, seed=9)
     chunks = sorted(
-        {c for r in documents() if r[1] for c in enc.chunked(r[1], 3) if len(c[0]) <= sentencepiece_bpe.LOCKSTEP}
+        {
+            (c, v)
+            for r in documents()
+            if r[1]
+            for v, chunks in enc.blocks(r[1], 3)
+            for c in chunks
+            if len(c) <= sentencepiece_bpe.LOCKSTEP
+        }
     )
     keys = np.array([enc.key(*c) for c in chunks], np.uint64)
-    assert enc.lockstep([c[0] for c in chunks], keys) == [enc.merged(*c) for c in chunks]
+    assert enc.lockstep([c[0] for c in chunks], keys) == [tuple(enc.merged(*c)) for c in chunks]
 
 
 def test_sentencepiece_tables(spark):
