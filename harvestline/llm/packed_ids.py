@@ -9,8 +9,8 @@ found by its offset, so any id range is read by seeking to its blocks and
 unpacked with numpy at once. The document index is doc_id i64, first id u64 per
 document, in file order.
 
-Documents are tokenised with a tokenizers file; texts are cut at ASCII white
-space first (its normaliser and splitter never join across white space), so
+Documents are tokenised with a tokenizers file; texts are cut at white space
+first (its normaliser and splitter never join across white space), so
 that each distinct word is encoded once per task. Null text is empty text: a
 document of the end id alone. Files follow ascending doc_id; a null doc_id
 comes first; rows with equal doc_id keep a row each, in any order. Very long
@@ -19,11 +19,14 @@ texts are one document of many blocks. An empty table gives no file.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,10 @@ MAGIC = b"HLPK"
 HEAD = struct.Struct("<4sHHIQQ")
 BLOCK_IDS = 8192
 END_ID = 2
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+SPACES = re.compile(r"[ \t\n\r\v\f]+")
 NO_ID = -(1 << 63)  # in the document index, for a null doc_id
-CACHE_WORDS = 800_000  # words that a worker remembers; beyond, it starts anew
+CACHE_WORDS = 1_500_000  # words that a worker remembers; beyond, it starts anew
 
 MANIFEST = "part int, file string, at int, doc_id long, first long, n_tokens long"
 
@@ -116,69 +121,90 @@ class PackedFile:
 class WordEncoder:
     """Whole texts to ids, with each distinct white-space-free word encoded once.
 
-    New words are encoded as one text with a zero byte between them, whose
-    token no other text gives; the ids are cut apart at that token.
+    New words are encoded many at a time, with spaces between them, and cut
+    apart after the tokens that end a word. Only words of letters alone are
+    joined this way, as they are one piece for the splitter; others are encoded
+    one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        (self.mark,) = self.tok.encode("\0", add_special_tokens=False).ids
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}  # word -> its place in starts and lengths
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"\0" not in w]
-        found = []
-        for i in range(0, len(plain), 2000):
-            text = b" \0 ".join(plain[i : i + 2000]).decode()
-            (joined,) = self.tok.encode_batch_fast([text], add_special_tokens=False)
-            found.append(np.array([*joined.ids, self.mark], np.uint32))
+        self.known: dict[str, int] = {}  # word -> its place in starts and lengths
+        self.starts = np.zeros(1024, np.int64)
+        self.lengths = np.zeros(1024, np.int64)
+        self.flat = np.zeros(4096, np.uint32)
+        self.used = 0
+
+    def keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.known)
+        self.known.update(zip(words, range(n, n + len(words))))
+        self.starts = _room(self.starts, n + len(words))
+        self.lengths = _room(self.lengths, n + len(words))
+        self.flat = _room(self.flat, self.used + len(ids))
+        self.starts[n : n + len(words)] = np.cumsum(lengths) - lengths + self.used
+        self.lengths[n : n + len(words)] = lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def learn(self, words: list[str]) -> None:
+        plain, other = [], []
         for w in words:
-            if b"\0" in w:
-                ids = self.tok.encode(w.decode(), add_special_tokens=False).ids
-                found.append(np.array([*ids, self.mark], np.uint32))
+            # letters that stay letters when the normaliser has changed them
+            if w.isalpha() and (w.isascii() or normalize("NFC", w).lower().isalpha()):
                 plain.append(w)
-        ids = np.concatenate(found)
-        if len(plain) == len(words) and not any(b"\0" in w for w in words):
-            ends = np.flatnonzero(ids == self.mark)
-        else:  # words that hold the mark themselves: cut by their own arrays
-            ends, at = [], 0
-            n_joined = -(-sum(b"\0" not in w for w in words) // 2000)
-            for k, a in enumerate(found):
-                ends += (np.flatnonzero(a == self.mark) + at).tolist() if k < n_joined else [at + len(a) - 1]
-                at += len(a)
-            ends = np.array(ends)
-        begins = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
-        n = len(self.known)
-        self.known.update(zip(plain, range(n, n + len(plain))))
-        self.starts = np.concatenate([self.starts, begins + len(self.flat)])
-        self.lengths = np.concatenate([self.lengths, ends - begins])
-        self.flat = np.concatenate([self.flat, ids])
+            else:
+                other.append(w)
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            (joined,) = self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(joined.ids, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part):
+                self.keep(part, ids, np.diff(stops, prepend=0))
+            else:
+                other += part
+        if other:
+            found = self.tok.encode_batch_fast(other, add_special_tokens=False)
+            ids = [e.ids for e in found]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.keep(other, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.forget()
-        if new := sorted({w for words in split for w in words}.difference(self.known)):
-            self.learn(new)
-        out, find = [], self.known.__getitem__
-        for words in split:
-            at = np.fromiter(map(find, words), np.int64, len(words))
-            n = self.lengths[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = np.empty(total + 1, np.uint32)
-            ids[:total] = self.flat[np.arange(total) + np.repeat(self.starts[at] - ends + n, n)]
-            ids[total] = END_ID
-            out.append(ids)
-        return out
+        split = [words_of(t or "") for t in texts]
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        if len(missing := np.flatnonzero(at < 0)):
+            unseen = [words[i] for i in missing.tolist()]
+            self.learn(list(dict.fromkeys(unseen)))
+            at[missing] = np.fromiter(map(self.known.__getitem__, unseen), np.int64, len(unseen))
+        # all texts' ids in one gather, then cut by text
+        n = self.lengths[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.arange(total) + np.repeat(self.starts[at] - ends + n, n)]
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])].tolist()
+        return [np.append(ids[a:b], np.uint32(END_ID)) for a, b in zip(cuts, cuts[1:])]
+
+
+def words_of(text: str) -> list[str]:
+    """The parts of a text between white space as the tokenizer sees it."""
+    # Python also splits at four separators that the tokenizer takes as characters.
+    return text.split() if not any(c in text for c in SEPARATORS) else SPACES.split(text.strip(" \t\n\r\v\f"))
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    """``x``, or a copy at least twice as long, with room for ``n`` values."""
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
 
 @lru_cache(maxsize=1)
