@@ -135,7 +135,10 @@ def train(
     pool = labelled.select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     ).where("lang is not null and text is not null")
-    sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    # A row per language, as many as the model has: known on the driver, so
+    # that the join with it never deals the texts out by language.
+    sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()
+    sizes = pool.sparkSession.createDataFrame(sizes, "lang string, docs long")
     # An expected docs_per_lang of each language; all of a smaller one. The
     # hash reads a text's ends and length, so copies fall together.
     draw = F.pmod(
@@ -144,7 +147,7 @@ def train(
     ) / F.lit(float(1 << 30))
     sample = (
         pool.withColumn("draw", draw)
-        .join(sizes, "lang")
+        .join(F.broadcast(sizes), "lang")
         .where(F.col("draw") * F.col("docs") < docs_per_lang)
         .select("lang", "text")
     )
