@@ -35,7 +35,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "written_at", None):
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ascii_lower(col: Column) -> Column:

@@ -22,10 +22,11 @@ again. What remains are the repeated intervals.
 
 An exact check on bytes follows. All windows of ``LENGTH`` bytes whose first inner
 boundary starts a repeated interval form a stretch. A stretch whose whole
-content occurs twice is repeated at once. For an interval with any other
-stretch, each distinct stretch's windows are compared one by one, by 128-bit
-hashes. Windows that have no inner interval (too few boundaries) are compared
-one by one among themselves.
+content occurs twice is repeated at once. An interval with any other stretch has
+its distinct stretches compared: a few in one task, side by side from the
+boundary that they share; many by 128-bit hashes of their windows. Windows that
+have no inner interval (too few boundaries) are compared by hash among
+themselves.
 
 Null text is empty text. Rows are identified by doc_id and text, so equal rows
 get equal results, and are copies of each other. Long texts are parsed whole.
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import written
+from harvestline.llm.common import discard, written
 
 LENGTH = 400
 REACH = 20
@@ -51,6 +52,7 @@ CORE = 150  # bytes that a repeated interval's common prefix covers at least
 SHARD_BYTES = 24 << 20
 DEPTH = 8  # phrases by which suffixes are sorted: CORE / (REACH + 1), a power of two
 BROADCAST_BYTES = 32 << 20
+GROUP_KINDS = 16  # contents of an interval that one task compares; more are compared by window
 # A boundary at i is decided by the bytes i - REACH .. i + AFTER - 1.
 AFTER = REACH + HASHED
 
@@ -104,7 +106,7 @@ def phrase_hashes(b: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Suffix order and Burrows-Wheeler transform of the phrase sequences of some documents."""
+    """Suffix order of the phrase sequences of some documents."""
 
     def __init__(self, docs: list[np.ndarray]):
         n = np.array([len(d) for d in docs])
@@ -121,17 +123,22 @@ class Shard:
             rank = rank.astype(np.int64) + 1
             step *= 2
         self.order = np.argsort(rank, kind="stable").astype(np.int64)
-        starts = np.repeat(np.cumsum(n) - n, n)
-        before = self.order - 1
-        # the transform: each suffix's phrase before, 0 where a document starts
-        self.before = np.where(before >= starts[self.order], self.phrases[np.maximum(before, 0)], _U(0)) if m else self.phrases
 
 
+def transform(phrases: np.ndarray, order: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The Burrows-Wheeler transform: each sorted suffix's phrase before it, 0 where a document starts."""
+    starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.where(order > starts[order], phrases[np.maximum(order - 1, 0)], _U(0))
+
+
+PARSE = (
+    "shard long, docs array<binary>, steps binary, n_bounds binary, n_bytes binary, "
+    "phrases binary, order binary"
+)
 STATE = (
     "shard long, place binary, label binary, cover binary, before binary, width binary, "
     "keys array<long>, counts array<int>"
 )
-PARSE = STATE + ", docs array<binary>, bounds binary, n_bounds binary, n_bytes binary"
 
 
 def _distinct(labels: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -154,25 +161,17 @@ def parsed(docs: DataFrame) -> DataFrame:
         def flush():
             nonlocal keys, bounds, hashes, sizes, held, number
             shard = Shard(hashes)
-            width = np.concatenate([np.diff(x) for x in bounds if len(x) > 1] + [np.zeros(0, np.int64)])
-            # the width of the phrase before each suffix
-            prior = np.where(shard.before != 0, width[np.maximum(shard.order - 1, 0)], 0) if len(width) else width
-            label = shard.phrases[shard.order]
-            cover = width[shard.order]
-            blocks, counts = _distinct(label)
             out = pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
-                    *_blobs(
-                        (shard.order, np.int32), (label, _U), (cover, np.int32), (shard.before, _U), (prior, np.int32)
-                    ),
-                    pa.array([blocks], pa.list_(pa.int64())),
-                    pa.array([counts], pa.list_(pa.int32())),
                     pa.array([keys], pa.list_(pa.binary())),
                     *_blobs(
-                        (np.concatenate([*bounds, np.zeros(0, np.int64)]), np.int32),
+                        # boundaries as steps: small numbers, that pack well
+                        (np.concatenate([np.diff(x, prepend=0) for x in bounds]), np.int32),
                         (np.array([len(x) for x in bounds]), np.int32),
                         (np.array(sizes), np.int32),
+                        (shard.phrases, _U),
+                        (shard.order, np.int32),
                     ),
                 ],
                 names=[c.split()[0] for c in PARSE.split(", ")],
@@ -212,20 +211,57 @@ def _read(batch: pa.RecordBatch, row: int, names_types: dict) -> dict[str, np.nd
 SUFFIXES = {"place": np.int32, "label": _U, "cover": np.int32, "before": _U, "width": np.int32}
 
 
-def repeated_blocks(state: DataFrame) -> DataFrame:
-    """(shard, found): the labels that more than one suffix of the merged array has, by shard.
+def initial(parse: DataFrame) -> DataFrame:
+    """The first state: every suffix in the block of its first phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                d = _read(batch, i, {"steps": np.int32, "n_bounds": np.int32, "phrases": _U, "order": np.int32})
+                sizes = np.maximum(d["n_bounds"] - 1, 0)
+                first = np.cumsum(d["n_bounds"]) - d["n_bounds"]
+                inner = np.ones(len(d["steps"]), bool)
+                inner[first[d["n_bounds"] > 0]] = False
+                width, order, phrases = d["steps"][inner], d["order"], d["phrases"]
+                before = transform(phrases, order, sizes)
+                s = {
+                    "place": order,
+                    "label": phrases[order],
+                    "cover": width[order],
+                    "before": before,
+                    "width": np.where(before != 0, width[np.maximum(order - 1, 0)], 0),
+                }
+                yield _state(batch.column(0).slice(i, 1), s)
+
+    return parse.select("shard", "steps", "n_bounds", "phrases", "order").mapInArrow(run, STATE)
+
+
+def _state(shard: pa.Array, s: dict[str, np.ndarray]) -> pa.RecordBatch:
+    blocks, counts = _distinct(s["label"][s["cover"] > 0])
+    return pa.RecordBatch.from_arrays(
+        [
+            shard,
+            *_blobs(*((s[n], t) for n, t in SUFFIXES.items())),
+            pa.array([blocks], pa.list_(pa.int64())),
+            pa.array([counts], pa.list_(pa.int32())),
+        ],
+        names=[c.split()[0] for c in STATE.split(", ")],
+    )
+
+
+def lone_blocks(state: DataFrame) -> DataFrame:
+    """(shard, found): the labels that one suffix alone has in the merged array, by its shard.
 
     Blocks are pre-aggregated by shard, so the most frequent phrase costs a row
-    per shard.
+    per shard; a lone suffix's shard is the only one that tells of its label.
     """
     blocks = state.select("shard", F.explode(F.arrays_zip("keys", "counts")).alias("b")).select(
         "shard", F.col("b.keys").alias("label"), F.col("b.counts").cast("long").alias("n")
     )
     return (
         blocks.groupBy("label")
-        .agg(F.sum("n").alias("n"), F.collect_list("shard").alias("shards"))
-        .where("n > 1")
-        .select("label", F.explode("shards").alias("shard"))
+        .agg(F.sum("n").alias("n"), F.min("shard").alias("shard"))
+        .where("n = 1")
         .groupBy("shard")
         .agg(F.collect_list("label").alias("found"))
     )
@@ -244,11 +280,10 @@ def refined(state: DataFrame, found: DataFrame) -> DataFrame:
                 # suffixes of this round's blocks; those that reached CORE earlier are settled
                 settled = s["cover"] < 0
                 own = s["label"].view(np.int64)
-                hit = np.zeros(len(own), bool)
+                live = np.ones(len(own), bool)
                 if len(labels):
                     k = np.minimum(np.searchsorted(labels, own), len(labels) - 1)
-                    hit = labels[k] == own
-                live = settled | hit
+                    live = settled | (labels[k] != own)
                 s = {n: x[live] for n, x in s.items()}
                 settled, cover = settled[live], s["cover"]
                 # last-to-first: the suffix before, if its own prefix is to grow
@@ -268,16 +303,7 @@ def refined(state: DataFrame, found: DataFrame) -> DataFrame:
                 next_cover[target] = s["width"][source] + cover[source]
                 keep = next_cover != 0
                 s = {n: x[keep] for n, x in (s | {"label": label, "cover": next_cover}).items()}
-                blocks, counts = _distinct(s["label"][s["cover"] > 0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(at["shard"]).slice(i, 1),
-                        *_blobs(*((s[n], t) for n, t in SUFFIXES.items())),
-                        pa.array([blocks], pa.list_(pa.int64())),
-                        pa.array([counts], pa.list_(pa.int32())),
-                    ],
-                    names=[c.split()[0] for c in STATE.split(", ")],
-                )
+                yield _state(batch.column(at["shard"]).slice(i, 1), s)
 
     columns = ["shard", *SUFFIXES]
     small = found.agg(F.sum(F.size("found"))).first()[0] or 0
@@ -287,15 +313,17 @@ def refined(state: DataFrame, found: DataFrame) -> DataFrame:
 
 def intervals(parse: DataFrame) -> DataFrame:
     """(shard, place, label, cover) of the suffixes in repeated intervals that cover CORE bytes."""
-    state = parse.select([c.split()[0] for c in STATE.split(", ")])
+    state = initial(parse)
     while True:
-        found = written(repeated_blocks(state), "blocks")
-        state = written(refined(state, found), "merge")
+        found = written(lone_blocks(state), "blocks")
+        grown = written(refined(state, found), "merge")
+        discard(state, found)
+        state = grown
         if not state.where(F.size("keys") > 0).limit(1).count():
-            return state.select("shard", "place", "label", "cover")
+            return state
 
 
-STRETCHES = "key binary, label array<long>, low array<long>, high array<long>, loose_low array<long>, loose_high array<long>"
+STRETCHES = "key binary, label array<long>, low array<long>, high array<long>, anchor array<long>, loose_low array<long>, loose_high array<long>"
 
 
 def stretches(parse: DataFrame, found: DataFrame) -> DataFrame:
@@ -311,7 +339,7 @@ def stretches(parse: DataFrame, found: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 s = _read(batch, i, {"place": np.int32, "label": _U, "cover": np.int32})
-                d = _read(batch, i, dict.fromkeys(("bounds", "n_bounds", "n_bytes"), np.int32))
+                d = _read(batch, i, dict.fromkeys(("steps", "n_bounds", "n_bytes"), np.int32))
                 d = {n: x.astype(np.int64) for n, x in d.items()}
                 keys = batch.column(batch.schema.names.index("docs"))[i].as_py()
                 at = np.argsort(s["place"])
@@ -326,7 +354,7 @@ def stretches(parse: DataFrame, found: DataFrame) -> DataFrame:
                     keys, d["n_bytes"].tolist(), first_bound.tolist(), d["n_bounds"].tolist(),
                     first_phrase.tolist(), los.tolist(), his.tolist(),
                 ):
-                    b = d["bounds"][fb : fb + nb]
+                    b = np.cumsum(d["steps"][fb : fb + nb])
                     got = _document_stretches(b, n, places[lo:hi] - fp, labels[lo:hi])
                     if got is not None:
                         rows["key"].append(key)
@@ -339,16 +367,16 @@ def stretches(parse: DataFrame, found: DataFrame) -> DataFrame:
                         names=list(rows),
                     )
 
-    docs = parse.select("shard", "docs", "bounds", "n_bounds", "n_bytes")
-    return docs.join(found, "shard").mapInArrow(run, STRETCHES)
+    docs = parse.select("shard", "docs", "steps", "n_bounds", "n_bytes")
+    return docs.join(found.select("shard", "place", "label", "cover"), "shard").mapInArrow(run, STRETCHES)
 
 
 def _document_stretches(b: np.ndarray, n: int, places: np.ndarray, labels: np.ndarray):
-    """(labels, lows, highs, loose lows, loose highs) of one document, or None."""
+    """(labels, lows, highs, anchors, loose lows, loose highs) of one document, or None."""
     last = n - LENGTH  # last window start
     if not len(b):
         none = np.zeros(0, np.int64)
-        return none, none, none, np.array([0]), np.array([last])
+        return none, none, none, none, np.array([0]), np.array([last])
     # window starts by first boundary j: b_(j-1) - REACH + 1 .. b_j - REACH
     low = np.concatenate([[0], b[:-1] - REACH + 1])
     high = b - REACH
@@ -372,7 +400,7 @@ def _document_stretches(b: np.ndarray, n: int, places: np.ndarray, labels: np.nd
         loose_lows, loose_highs = np.append(loose_lows, rest), np.append(loose_highs, last)
     if not use.any() and not len(loose_lows):
         return None
-    return label[use], tight_low[use], high[use], loose_lows, loose_highs
+    return label[use], tight_low[use], high[use], b[use], loose_lows, loose_highs
 
 
 MARKED = "key binary, text string, " + STRETCHES.split(", ", 1)[1]
@@ -405,73 +433,172 @@ def contents(marked: DataFrame) -> DataFrame:
 
 
 def planned(found: DataFrame) -> DataFrame:
-    """(key, lone, compared, open): per document what its stretches still need.
+    """(key, at, label, lone, kinds): stretches whose windows are still to be compared.
 
-    Of each distinct content one stretch stands for all. ``lone`` are stretches
-    whose content is there once; ``compared`` those whose windows must be
-    compared, because their interval has a lone stretch and another content.
+    Of each distinct content one stretch stands for all. Those of a content
+    that is there once are ``lone``; an interval that has any is compared, all
+    its distinct contents (``kinds`` of them) with one another.
     """
     distinct = found.groupBy("label", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")
     )
-    mixed = (
+    kinds = (
         distinct.groupBy("label")
         .agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds"))
-        .where("least = 1 and kinds > 1")
-        .select("label", F.lit(True).alias("mixed"))
-    )
-    rows = distinct.join(mixed, "label", "left").where("n = 1 or mixed")
-    return rows.groupBy(F.col("one.key").alias("key")).agg(
-        F.collect_list(F.when(F.col("n") == 1, F.col("one.at"))).alias("lone"),
-        F.collect_list(F.when(F.col("mixed"), F.col("one.at"))).alias("compared"),
+        .where("least = 1")
+        .select("label", "kinds")
     )
+    return distinct.join(kinds, "label").select("one.key", "one.at", "label", (F.col("n") == 1).alias("lone"), "kinds")
+
+
+def lone_stretches(plan: DataFrame) -> DataFrame:
+    return plan.groupBy("key").agg(F.collect_list(F.when(F.col("lone"), F.col("at"))).alias("lone"))
 
 
-def windows(marked: DataFrame, plan: DataFrame) -> DataFrame:
-    """(content, key, start, open): windows to compare; ``open`` ones are to be decided."""
+PIECES = "key binary, label long, kinds long, lone boolean, low long, high long, anchor long, bytes binary"
+
+
+def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
+    """The bytes of each stretch to compare, with its place in its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                key, text, low, high, loose_low, loose_high, lone, compared = (
-                    batch.column(c)[i].as_py() for c in range(8)
-                )
-                spans = [(low[k], high[k], k in lone_set) for lone_set in [set(lone or ())] for k in compared or ()]
-                spans += [(x, y, True) for x, y in zip(loose_low, loose_high)]
-                if not spans:
-                    continue
+                key, text, low, high, anchor, wanted = (batch.column(c)[i].as_py() for c in range(6))
                 b = memoryview(text.encode())
-                starts = np.concatenate([np.arange(x, y + 1) for x, y, _ in spans])
-                open_ = np.repeat([o for *_, o in spans], [y + 1 - x for x, y, _ in spans])
-                for a in range(0, len(starts), 100_000):  # a long text in pieces
-                    part = starts[a : a + 100_000].tolist()
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([xxhash.xxh3_128_digest(b[p : p + LENGTH])[:12] for p in part], pa.binary()),
-                            pa.array([key] * len(part), pa.binary()),
-                            pa.array(part, pa.int32()),
-                            pa.array(open_[a : a + 100_000], pa.bool_()),
-                        ],
-                        names=["content", "key", "start", "open"],
-                    )
+                rows = [
+                    (w["label"], w["kinds"], w["lone"], low[k], high[k], anchor[k], bytes(b[low[k] : high[k] + LENGTH]))
+                    for w in wanted
+                    for k in [w["at"]]
+                ]
+                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(rows), pa.binary())]
+                    + [pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                    names=[c.split()[0] for c in PIECES.split(", ")],
+                )
 
-    return (
-        marked.join(plan, "key", "left")
-        .select("key", "text", "low", "high", "loose_low", "loose_high", "lone", "compared")
-        .where(F.coalesce(F.size("compared") > 0, F.lit(False)) | (F.size("loose_low") > 0))
-        .mapInArrow(run, "content binary, key binary, start int, open boolean")
+    wanted = plan.where("kinds > 1").groupBy("key").agg(
+        F.collect_list(F.struct("at", "label", "kinds", "lone")).alias("wanted")
     )
+    return marked.join(wanted, "key").select("key", "text", "low", "high", "anchor", "wanted").mapInArrow(run, PIECES)
+
+
+def _common(x: bytes, y: bytes) -> int:
+    """Length of the common prefix."""
+    low, high = 0, min(len(x), len(y))
+    if x[:high] == y[:high]:
+        return high
+    while low < high:  # x[:low] is common, x[:high] is not
+        middle = (low + high + 1) // 2
+        if x[:middle] == y[:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+RANGES = "key binary, low long, high long"
 
 
-def confirmed(found: DataFrame) -> DataFrame:
-    """(key, starts): the open windows whose content occurs again."""
-    twice = found.groupBy("content").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("content")
+def compared_in_groups(few: DataFrame) -> DataFrame:
+    """(key, low, high): repeated window starts of lone stretches, from intervals of few contents.
+
+    Two contents are aligned at their anchor. The window at d bytes before it
+    is common to both if they agree on d bytes to the left and LENGTH - d to the
+    right.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for group in batch.column(0).to_pylist():
+                sides = [
+                    (g["bytes"][: g["anchor"] - g["low"]][::-1], g["bytes"][g["anchor"] - g["low"] :]) for g in group
+                ]
+                for i, g in enumerate(group):
+                    if not g["lone"]:
+                        continue
+                    left, right = sides[i]
+                    for j, (other_left, other_right) in enumerate(sides):
+                        if i != j:
+                            reach, run_on = _common(left, other_left), _common(right, other_right)
+                            low = max(g["low"], g["anchor"] - reach)
+                            high = min(g["high"], g["anchor"] - LENGTH + run_on)
+                            if low <= high:
+                                rows.append((g["key"], low, high))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.binary(), pa.int64(), pa.int64()])],
+                    names=["key", "low", "high"],
+                )
+
+    groups = few.groupBy("label").agg(
+        F.collect_list(F.struct("key", "lone", "low", "high", "anchor", "bytes")).alias("group")
+    )
+    return groups.select("group").mapInArrow(run, RANGES)
+
+
+def single_windows(many: DataFrame, marked: DataFrame) -> DataFrame:
+    """(content, key, starts, open): the distinct windows to compare one by one.
+
+    Those of intervals with many contents, and the loose ones. A window that a
+    range holds several times is repeated already; it stays one row, so that
+    periodic texts cost no more rows than they have different windows.
+    """
+
+    def batches_of(rows):
+        for i in range(0, len(rows), 20_000):
+            part = rows[i : i + 20_000]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in part], pa.binary()),
+                    pa.array([r[1] for r in part], pa.binary()),
+                    pa.array([r[2] for r in part], pa.list_(pa.int64())),
+                    pa.array([r[3] for r in part], pa.bool_()),
+                ],
+                names=["content", "key", "starts", "open"],
+            )
+
+    def windows_in(key, b, spans, open_):
+        places: dict[bytes, list[int]] = {}
+        for low, high in spans:
+            for p in range(low, high + 1):
+                places.setdefault(xxhash.xxh3_128_digest(b[p : p + LENGTH]), []).append(p)
+        return [(c, key, x, open_) for c, x in places.items()]
+
+    def of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, lone, low, high, b = (batch.column(c)[i].as_py() for c in range(5))
+                rows = windows_in(key, memoryview(b), [(0, high - low)], lone)
+                yield from batches_of([(c, k, [low + p for p in x], o) for c, k, x, o in rows])
+
+    def of_loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, text, low, high = (batch.column(c)[i].as_py() for c in range(4))
+                yield from batches_of(windows_in(key, memoryview(text.encode()), zip(low, high), True))
+
+    schema = "content binary, key binary, starts array<long>, open boolean"
+    loose = marked.where("size(loose_low) > 0").select("key", "text", "loose_low", "loose_high")
     return (
-        found.where("open")
-        .join(twice, "content", "left_semi")
-        .groupBy("key")
-        .agg(F.collect_set("start").alias("starts"))
+        many.select("key", "lone", "low", "high", "bytes")
+        .mapInArrow(of_pieces, schema)
+        .union(loose.mapInArrow(of_loose, schema))
+    )
+
+
+def compared_singly(found: DataFrame) -> DataFrame:
+    """(key, low, high): the open windows whose content occurs again."""
+    twice = (
+        found.groupBy("content")
+        .agg(F.sum(F.size("starts").cast("long")).alias("n"))
+        .where("n > 1")
+        .select("content")
     )
+    starts = found.where("open").join(twice, "content", "left_semi").select("key", F.explode("starts").alias("low"))
+    return starts.select("key", "low", F.col("low").alias("high"))
 
 
 def runs_of(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
@@ -488,17 +615,17 @@ def runs_of(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
 REMOVED = "key binary, spans array<struct<start: long, stop: long>>, n_removed long, n_spans long, kept_sha256 string"
 
 
-def removed(marked: DataFrame, plan: DataFrame, sure: DataFrame) -> DataFrame:
+def removed(marked: DataFrame, lone: DataFrame, again: DataFrame) -> DataFrame:
     """Per document with repeats: the removed runs and the digest of what stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
-                key, text, low, high, lone, starts = (batch.column(c)[i].as_py() for c in range(6))
+                key, text, low, high, lone, again = (batch.column(c)[i].as_py() for c in range(6))
                 alone = set(lone or ())
                 ranges = [(x, y + LENGTH) for k, (x, y) in enumerate(zip(low, high)) if k not in alone]
-                ranges += [(p, p + LENGTH) for p in starts or ()]
+                ranges += [(r["low"], r["high"] + LENGTH) for r in again or ()]
                 if not ranges:
                     continue
                 spans = runs_of(*zip(*ranges))
@@ -517,9 +644,9 @@ def removed(marked: DataFrame, plan: DataFrame, sure: DataFrame) -> DataFrame:
                 )
 
     return (
-        marked.join(plan.select("key", "lone"), "key", "left")
-        .join(sure, "key", "left")
-        .select("key", "text", "low", "high", "lone", "starts")
+        marked.join(lone, "key", "left")
+        .join(again.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("again")), "key", "left")
+        .select("key", "text", "low", "high", "lone", "again")
         .mapInArrow(run, REMOVED)
     )
 
@@ -531,7 +658,9 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
     ).withColumn("key", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))))
     parse = written(parsed(keyed), "parse")
-    marks = written(stretches(parse, intervals(parse)).dropDuplicates(["key"]), "stretches")
+    merged = intervals(parse)
+    marks = written(stretches(parse, merged).dropDuplicates(["key"]), "stretches")
+    discard(parse, merged)
     keys = marks.select("key")
     if keys.count() * 32 <= BROADCAST_BYTES:
         keys = F.broadcast(keys)
@@ -542,9 +671,13 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
         ),
         "marked",
     )
+    discard(marks)
     plan = written(planned(contents(marked)), "plan")
-    sure = confirmed(written(windows(marked, plan), "windows"))
-    found = written(removed(marked, plan, sure), "removed")
+    parts = written(pieces(marked, plan), "pieces")
+    windows = written(single_windows(parts.where(f"kinds > {GROUP_KINDS}"), marked), "windows")
+    again = compared_in_groups(parts.where(f"kinds <= {GROUP_KINDS}")).union(compared_singly(windows))
+    found = written(removed(marked, lone_stretches(plan), again), "removed")
+    discard(marked, plan, parts, windows)
     base = keyed.select(
         "key", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")
     )

@@ -217,9 +217,10 @@ def passage_rows(seed):
 
 
 @pytest.mark.parametrize("rows", [documents(), passage_rows(1), passage_rows(2)], ids=["odd", "one", "two"])
-@pytest.mark.parametrize("shard_bytes", [repeats.SHARD_BYTES, 3000])
-def test_repeats_against_brute_force(spark, rows, shard_bytes, monkeypatch):
+@pytest.mark.parametrize("shard_bytes,kinds", [(repeats.SHARD_BYTES, repeats.GROUP_KINDS), (3000, 2), (3000, 10**6)])
+def test_repeats_against_brute_force(spark, rows, shard_bytes, kinds, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(repeats, "GROUP_KINDS", kinds)
     got = by_id(repeats.repeats_removed(spark, frame(spark, rows, clashing=True)))
     want = brute_removed(rows)
     assert sum(map(len, got.values())) == len(rows)
@@ -241,7 +242,8 @@ def test_shard_transform():
     tails = [docs[d][i : i + repeats.DEPTH].tolist() for d, i in (flat[k] for k in shard.order)]
     assert tails == sorted(tails)
     assert sorted(shard.order.tolist()) == list(range(48))
-    for k, before in zip(shard.order, shard.before):
+    sizes = np.array([len(d) for d in docs])
+    for k, before in zip(shard.order, repeats.transform(shard.phrases, shard.order, sizes)):
         d, i = flat[k]
         assert before == (docs[d][i - 1] if i else 0)
 
