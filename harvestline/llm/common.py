@@ -50,7 +50,8 @@ def discard(*tables: DataFrame) -> None:
 
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z alone; every other character stays."""
-    return F.translate(col, UPPER, LOWER)
+    plain = F.octet_length(col) == F.char_length(col)
+    return F.when(plain, F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:

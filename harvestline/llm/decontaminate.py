@@ -31,20 +31,25 @@ from pyspark.sql import functions as F
 from harvestline.llm.common import ascii_lower
 
 WINDOW = 10
-# Fixed value: a word, after lower-casing A-Z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: what separates words, after lower-casing A-Z.
+GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_BYTES = 32 << 20
 
 
-def words_of(text: Column) -> Column:
-    """All words of a text; null gives an empty array."""
-    low = ascii_lower(F.coalesce(text.cast("string"), F.lit("")))
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+def with_words(texts: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``w``, all words of ``text`` (none for null)."""
+    low = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    parts = texts.select(*keep, F.split(low, GAPS).alias("_parts"))
+    # gaps are maximal: only the first and the last part can be empty
+    n = F.size("_parts")
+    first = F.when(F.get("_parts", F.lit(0)) == "", 1).otherwise(0)
+    last = F.when((n > 1) & (F.get("_parts", n - 1) == ""), 1).otherwise(0)
+    return parts.select(*keep, F.slice("_parts", first + 1, n - first - last).alias("w"))
 
 
 def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(words, size, items): the distinct windows with the items that have them."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w"))
+    items = with_words(benchmark.select(F.col("item_id").cast("string").alias("item"), "text"), "item")
     n = F.size("w")
     starts = F.sequence(F.lit(1), F.greatest(n - (window - 1), F.lit(1)))
     return (
@@ -70,7 +75,8 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
     counts = (
         # an outer explode: the plain one would split every text twice, to
         # leave out empty arrays beforehand
-        docs.select(F.explode_outer(words_of(F.col("text"))).alias("word"))
+        with_words(docs)
+        .select(F.explode_outer("w").alias("word"))
         .join(vocabulary, "word", "left_semi")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -93,7 +99,7 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc_id, start, size, items) of every verified occurrence; start is 0-based."""
-    words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
+    words = with_words(docs, "doc_id")
     text = F.expr("aggregate(words, 0L, (a, x) -> a + octet_length(x) + 16)")
     start = F.expr("pos - place").alias("start")
     fits = "pos >= place and pos - place + size <= size(w)"
@@ -153,7 +159,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     windows = with_prefix(windows_of(benchmark, window), docs)
     hits = hit_summary(occurrences(docs, windows))
-    sizes = docs.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    sizes = with_words(docs, "doc_id").select("doc_id", F.size("w").cast("long").alias("n_words"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return sizes.join(hits.withColumnRenamed("doc_id", "hit_id"), F.expr("doc_id <=> hit_id"), "left").select(
