@@ -57,6 +57,10 @@ def series_window(keys: Sequence[str] = SERIES, date: str = DATE):
     return Window.partitionBy(*keys).orderBy(date)
 
 
+# Calendar days (16 bytes a row) up to which the as-of table is broadcast.
+MAX_BROADCAST_DAYS = 1_000_000
+
+
 def _whole(keys, date):
     return series_window(keys, date).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -104,19 +108,39 @@ def fx_daily(
     value: str = "central_rate",
     out: str = "fx_usd_ngn",
 ) -> DataFrame:
-    """As-of table: one row per calendar day from the first to the last rate,
-    holding the latest rate dated on or before that day (W11).
+    """As-of table: one row per calendar day from the first to the last rate's
+    month, holding the latest rate dated on or before that day (W11).
 
-    Its size is bounded by the calendar span of the rates (about 36,500 rows
-    per century), never by the number of observations, which is what makes
-    the broadcast in ``asof_rate`` safe.
+    Work is dealt by month: a month's days are filled from its own rates, the
+    days before its first rate from the last rate of an earlier month, which a
+    small table with a row per month carries forward. ``rates`` are those of
+    one currency; several rates of a day count once (the greatest).
     """
-    # One row per (currency, day): each window partition is calendar-bounded.
-    w = (Window.partitionBy("currency") if "currency" in rates.columns else Window).orderBy(date)
     d = F.col(date)
-    end = F.coalesce(F.date_sub(F.lead(d).over(w), 1), d)
-    return rates.select(d, F.col(value).cast("double").alias(out), end.alias("_end")).select(
-        F.explode(F.sequence(d, F.col("_end"))).alias("_fx_day"), out
+    key = ["currency"] if "currency" in rates.columns else []
+    by_day = (
+        rates.where(d.isNotNull())
+        .groupBy(*key, d.alias("day"))
+        .agg(F.max(F.col(value).cast("double")).alias("rate"))
+    )
+    months = by_day.groupBy(*key, F.trunc("day", "month").alias("month")).agg(
+        F.max_by("rate", "day").alias("last"), F.sort_array(F.collect_list(F.struct("day", "rate"))).alias("rates")
+    )
+    carry = Window.partitionBy(*key).orderBy("month")
+    filled = months.select(
+        "month",
+        "rates",
+        F.lag("last").over(carry).alias("carried"),
+        F.coalesce(F.lead("month").over(carry), F.add_months("month", 1)).alias("until"),
+    )
+    # from the month's first day to the day before the next month that has rates
+    edges = F.concat(F.array(F.struct(F.col("month").alias("day"), F.col("carried").alias("rate"))), F.col("rates"))
+    span = filled.select("until", F.posexplode(edges).alias("i", "e"), edges.alias("edges"))
+    end = F.date_sub(F.coalesce(F.get("edges.day", F.col("i") + 1), F.col("until")), 1)
+    return (
+        span.select(F.col("e.day").alias("day"), F.col("e.rate").alias(out), end.alias("end"))
+        .where(f"day <= end and {out} is not null")
+        .select(F.explode(F.sequence("day", "end")).alias("_fx_day"), out)
     )
 
 
@@ -127,20 +151,29 @@ def asof_rate(
     date: str = "rate_date",
     value: str = "central_rate",
     out: str = "fx_usd_ngn",
+    currency: str = "USD",
 ) -> DataFrame:
     """Backward as-of join: each row gets the latest rate dated <= its date;
     rows before the first rate get NULL (J6).
 
-    Written as a daily as-of table + broadcast equi-join (no range join, no
-    nested loop). Days after the last rate take the last rate, read with two
-    scalar subqueries over the small rates table only. ``rates`` must hold
-    one row per date (see ``staging.stage_fx``).
+    Written as a daily as-of table + equi-join (no range join, no nested
+    loop). The table has one row per calendar day by construction, so it is
+    broadcast only if the calendar between the first and the last rate is
+    within ``MAX_BROADCAST_DAYS``. Days after it take the last rate. Where
+    ``rates`` name their currency, those of ``currency`` count.
     """
+    if "currency" in rates.columns:
+        rates = rates.where(F.col("currency") == currency)
+    first, last = rates.agg(
+        F.min(date), F.max(F.struct(F.col(date).alias("d"), F.col(value).cast("double").alias("r")))
+    ).first()
+    if first is None:
+        return df.withColumn(out, F.lit(None).cast("double"))
     daily = fx_daily(rates, date, value, out)
-    last_day = rates.select(F.max(date)).scalar()
-    last_rate = rates.select(F.max_by(F.col(value).cast("double"), F.col(date))).scalar()
-    j = df.join(F.broadcast(daily), F.col(on) == F.col("_fx_day"), "left")
-    carried = F.when(F.col(on) > last_day, last_rate).otherwise(F.col(out))
+    if (last["d"] - first).days <= MAX_BROADCAST_DAYS:
+        daily = F.broadcast(daily)
+    j = df.join(daily, F.col(on) == F.col("_fx_day"), "left")
+    carried = F.when(F.col(on) > F.lit(last["d"]), F.lit(last["r"])).otherwise(F.col(out))
     return j.withColumn(out, carried).drop("_fx_day")
 
 

@@ -1,20 +1,20 @@
 """Unified price table: union, name harmonisation, noise filters, IQR fence
 (U1, U2, J1, P11, A4, J2).
 
-Joins here are left to Spark's size-checked strategy: the mapping seed is a
-local relation with known size, and the per-commodity bounds are an aggregate
-whose real size AQE sees before choosing broadcast or shuffle. No hint forces a
-broadcast of data whose size grows with the input.
+The harmonised rows are written once: the quartiles read two of their columns,
+the fence reads them again. The per-commodity bounds are written too, so that
+the join with them is planned with a known size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestline.functions import cents
+from harvestline.session import written
 
 # Lower-cased commodity names treated as parsing junk.
 JUNK_NAMES = [
@@ -110,26 +110,61 @@ def drop_noise(
     )
 
 
-def iqr_bounds(
-    df: DataFrame, key: str, value: str, k: float = 3.0, exact: bool = True, accuracy: int = 100000
-) -> DataFrame:
-    """Per-key interpolated quartiles and the ``k``·IQR fence (A4).
-
-    Exact by default: quartiles are computed on integer cents, where the
-    interpolation at quarter positions is exact in double arithmetic.
-    ``percentile`` combines partially per task (value -> count maps), so its
-    state per key is bounded by the number of distinct prices, not rows.
-    ``exact=False`` switches to ``percentile_approx`` (fixed-size sketch per
-    key, relative rank error 1/accuracy) for keys with very many distinct
-    prices; it is an option, never the default.
+# Prices are counted in ranges of 2**RANGE_BITS cents to find a quartile's range.
+RANGE_BITS = 12
+BROADCAST_BYTES = 32 << 20
+
+
+def iqr_bounds(df: DataFrame, key: str, value: str, k: float = 3.0) -> DataFrame:
+    """Per-key interpolated quartiles and the ``k``·IQR fence (A4), exactly.
+
+    No task holds a key's prices: rows are counted per (key, cents) with
+    map-side combine, the counts are summed up per price range, running sums
+    over a key's ranges say which range holds each of the four ranks that the
+    quartiles lie between, and only the prices of those ranges (at most
+    2**RANGE_BITS each) are ordered. Interpolation at quarter positions is
+    exact in double arithmetic on integer cents.
     """
-    v = cents(value)
-    if exact:
-        q1, q3 = F.percentile(v, 0.25), F.percentile(v, 0.75)
-    else:
-        q1 = F.percentile_approx(v, 0.25, accuracy).cast("double")
-        q3 = F.percentile_approx(v, 0.75, accuracy).cast("double")
-    q = df.groupBy(key).agg(q1.alias("q1_c"), q3.alias("q3_c"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, cents(value).cast("bigint").alias("c")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    ranges = counts.groupBy(key, F.shiftright("c", RANGE_BITS).alias("range")).agg(F.sum("n").alias("n"))
+    every = Window.partitionBy(key)
+    upto = every.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = ranges.select(
+        key, "range", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(every).alias("total")
+    )
+    # 0-based positions (total - 1) / 4 and 3 (total - 1) / 4, in quarters
+    q1, q3 = F.col("total") - 1, (F.col("total") - 1) * 3
+    ranks = {"a1": F.floor(q1 / 4), "b1": F.ceil(q1 / 4), "a3": F.floor(q3 / 4), "b3": F.ceil(q3 / 4)}
+    wanted = F.explode(
+        F.array(*[F.struct(F.lit(s).alias("stat"), r.cast("bigint").alias("rank")) for s, r in ranks.items()])
+    )
+    found = (
+        ranges.select("*", wanted.alias("w"))
+        .where((F.col("w.rank") >= F.col("upto") - F.col("n")) & (F.col("w.rank") < F.col("upto")))
+        .select(
+            key,
+            "range",
+            "w.stat",
+            (F.col("w.rank") - F.col("upto") + F.col("n")).alias("rank"),
+            (q1 % 4 / 4).alias("f1"),
+            (q3 % 4 / 4).alias("f3"),
+        )
+    )
+    inside = counts.withColumn("range", F.shiftright("c", RANGE_BITS)).join(found, [key, "range"])
+    within = Window.partitionBy(key, "stat").orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("upto", F.sum("n").over(within)).where(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    )
+
+    def at(stat: str):
+        return F.max(F.when(F.col("stat") == stat, F.col("c"))).cast("double")
+
+    def between(low: str, high: str, share: str):
+        return at(low) + (at(high) - at(low)) * F.max(share)
+
+    q = inside.groupBy(key).agg(between("a1", "b1", "f1").alias("q1_c"), between("a3", "b3", "f3").alias("q3_c"))
     iqr = F.col("q3_c") - F.col("q1_c")
     return q.select(
         key,
@@ -140,10 +175,18 @@ def iqr_bounds(
     )
 
 
-def iqr_fence(df: DataFrame, key: str, value: str, k: float = 3.0, exact: bool = True) -> DataFrame:
+def iqr_fence(df: DataFrame, key: str, value: str, k: float = 3.0) -> DataFrame:
     """Keep rows whose value lies inside [q1 - k·IQR, q3 + k·IQR] of their key
-    (inclusive on both ends) (J2)."""
-    b = iqr_bounds(df, key, value, k, exact).select(key, "lo_c", "hi_c")
+    (inclusive on both ends) (J2).
+
+    ``df`` should be a written table: it is read for the bounds and again for
+    the fence. The bounds (a row per key) are written first, so their size is
+    known before the join is planned: small ones are broadcast and the price
+    rows are not shuffled."""
+    b = written(iqr_bounds(df, key, value, k).select(key, "lo_c", "hi_c"), "bounds")
+    size = b.agg(F.sum(F.octet_length(key) + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        b = F.broadcast(b)
     c = cents(value)
     return df.join(b, key, "inner").where(c.between(F.col("lo_c"), F.col("hi_c"))).select(*df.columns)
 
@@ -157,4 +200,4 @@ def unified_prices(
 ) -> DataFrame:
     """The unified price table: union -> harmonise -> noise filters -> IQR fence."""
     h = drop_noise(harmonise(union_sources(staged), mapping), junk, excluded_markets)
-    return iqr_fence(h, "commodity_name", "price_ngn", k).select(*UNIFIED_COLUMNS)
+    return iqr_fence(written(h, "harmonised"), "commodity_name", "price_ngn", k).select(*UNIFIED_COLUMNS)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from harvestline.operators import evaluate, marts, quality, reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
 from harvestline.operators import models, reshape
-from harvestline.session import checkpoint_dir
+from harvestline.session import checkpoint_dir, written
 from harvestline.plans.oracle import checks_sql, dbl, half_up_cents, in_list, lit, skey, with_ctes
 from harvestline.sources import report_text, semistructured, testdata
 
@@ -52,6 +52,10 @@ def feeds(spark: SparkSession, sf_dir: str) -> pm.RawFeeds:
     return pm.testdata_feeds(spark, sf_dir)
 
 
+def shared(spark: SparkSession, sf_dir: str) -> pm.Marts:
+    return pm.Marts(feeds(spark, sf_dir))
+
+
 # --- marts -----------------------------------------------------------------
 
 
@@ -202,7 +206,7 @@ SELECT market_name, commodity_name, currency_name, unit_name, {dbl("price_ngn")}
        price_date, source FROM stg_wfp""",
 )
 def q_stg_wfp(spark, sf_dir):
-    return plain(staging.stage_wfp(testdata.raw_wfp(spark, sf_dir)))
+    return plain(staging.stage_wfp(testdata.raw_wfp(testdata.observations(spark, sf_dir))))
 
 
 @register(
@@ -212,7 +216,7 @@ SELECT market_name, commodity_name, unit_name, {dbl("price_ngn")} AS price_ngn,
 FROM stg_worldbank""",
 )
 def q_stg_worldbank(spark, sf_dir):
-    return plain(staging.stage_worldbank(testdata.raw_worldbank(spark, sf_dir)))
+    return plain(staging.stage_worldbank(testdata.raw_worldbank(testdata.observations(spark, sf_dir))))
 
 
 @register(
@@ -222,7 +226,7 @@ SELECT market_name, commodity_name, unit_name, {dbl("price_ngn")} AS price_ngn,
 FROM stg_nbs""",
 )
 def q_stg_nbs(spark, sf_dir):
-    return plain(staging.stage_nbs(testdata.raw_nbs(spark, sf_dir)))
+    return plain(staging.stage_nbs(testdata.raw_nbs(testdata.observations(spark, sf_dir))))
 
 
 @register(
@@ -284,8 +288,8 @@ JOIN {LAST_BY_COMMODITY} l ON d.commodity_name = l.commodity_name AND d.price_da
 LEFT JOIN ({DIM_MARKETS_SQL}) m ON d.market_name = m.market_name""",
 )
 def q_market_snapshot(spark, sf_dir):
-    f = feeds(spark, sf_dir)
-    return plain(reports.snapshot(pm.daily(f), pm.markets_dim(f)))
+    m = shared(spark, sf_dir)
+    return plain(reports.snapshot(m.daily, m.markets))
 
 
 @register(
@@ -296,8 +300,8 @@ SELECT d.commodity_name, d.market_name, d.price_date, CAST(d.price_c AS DOUBLE)
 FROM daily_c d LEFT JOIN ({DIM_MARKETS_SQL}) m ON d.market_name = m.market_name""",
 )
 def q_labelled_history(spark, sf_dir):
-    f = feeds(spark, sf_dir)
-    return plain(reports.labelled_history(pm.daily(f), pm.markets_dim(f)))
+    m = shared(spark, sf_dir)
+    return plain(reports.labelled_history(m.daily, m.markets))
 
 
 @register(
@@ -311,8 +315,7 @@ JOIN {LAST_BY_COMMODITY} l ON d.commodity_name = l.commodity_name AND d.price_da
 GROUP BY d.commodity_name, d.price_date""",
 )
 def q_snapshot_kpis(spark, sf_dir):
-    f = feeds(spark, sf_dir)
-    return plain(reports.snapshot_kpis(reports.latest_per_commodity(pm.daily(f))))
+    return plain(reports.snapshot_kpis(reports.latest_per_commodity(shared(spark, sf_dir).daily)))
 
 
 @register(
@@ -327,8 +330,8 @@ WHERE d.price_date >= l.last_date - INTERVAL 3 MONTH AND m.state IS NOT NULL AND
 GROUP BY d.commodity_name, m.state, m.geopolitical_zone""",
 )
 def q_state_averages(spark, sf_dir):
-    f = feeds(spark, sf_dir)
-    return reports.state_averages(pm.daily(f), pm.markets_dim(f), months=3)
+    m = shared(spark, sf_dir)
+    return reports.state_averages(m.daily, m.markets, months=3)
 
 
 @register(
@@ -368,7 +371,7 @@ SELECT commodity_name, market_name, price_date, price_ngn, roll_mean_30d FROM (
 WHERE rn <= 180""",
 )
 def q_forecast_history(spark, sf_dir):
-    fe = pm.features(feeds(spark, sf_dir))
+    fe = shared(spark, sf_dir).features
     top = reports.top_market(fe).select("commodity_name", "market_name")
     picked = fe.join(top, ["commodity_name", "market_name"])
     rec = reports.recent_rows(picked, n=180)
@@ -515,7 +518,7 @@ BASELINE_SQL = _baseline_sql()
 
 
 def baselines(spark, sf_dir):
-    return evaluate.baseline_table(pm.features(feeds(spark, sf_dir)), test_months=3, min_test=10)
+    return evaluate.baseline_table(shared(spark, sf_dir).features, test_months=3, min_test=10)
 
 
 @register(
@@ -527,7 +530,7 @@ SELECT CASE WHEN price_date >= (SELECT max(price_date) FROM features) - INTERVAL
 FROM features GROUP BY 1""",
 )
 def q_temporal_split(spark, sf_dir):
-    s = evaluate.temporal_split(pm.features(feeds(spark, sf_dir)), months=3)
+    s = evaluate.temporal_split(shared(spark, sf_dir).features, months=3)
     return s.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date")
     )
@@ -542,7 +545,7 @@ FROM features f JOIN (SELECT commodity_name, max(price_date) - INTERVAL 2 MONTH
 GROUP BY 1, 2""",
 )
 def q_temporal_split_by_commodity(spark, sf_dir):
-    s = evaluate.temporal_split(pm.features(feeds(spark, sf_dir)), months=2, by=["commodity_name"])
+    s = evaluate.temporal_split(shared(spark, sf_dir).features, months=2, by=["commodity_name"])
     return s.groupBy("commodity_name", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -583,7 +586,7 @@ WHERE b.model_rank > 0 AND n.model_rank = 0"""
 
 
 def _compared(spark, sf_dir):
-    b = baselines(spark, sf_dir)
+    b = written(baselines(spark, sf_dir), "baselines")
     naive = b.where(F.col("model_rank") == 0)
     others = b.where(F.col("model_rank") > 0).select("commodity", "model", "mape")
     return evaluate.compare(others, naive)
@@ -695,15 +698,13 @@ _MART_VIEWS = {
 
 @register("mart_tests", _suite_sql(quality.MART_CHECKS, _MART_VIEWS))
 def q_mart_tests(spark, sf_dir):
-    f = feeds(spark, sf_dir)
-    daily = pm.daily(f)
-    u = pm.unified(f)
+    m = shared(spark, sf_dir)
     tables = {
-        "fct_daily_prices": daily,
-        "fct_weekly_prices": marts.weekly_fact(daily),
-        "fct_monthly_prices": marts.monthly_fact(daily),
-        "dim_markets": marts.dim_markets(u, f.market_seed),
-        "dim_commodities": marts.dim_commodities(u, f.commodity_seed),
+        "fct_daily_prices": m.daily,
+        "fct_weekly_prices": marts.weekly_fact(m.daily),
+        "fct_monthly_prices": marts.monthly_fact(m.daily),
+        "dim_markets": m.markets,
+        "dim_commodities": m.commodities,
     }
     return quality.run_suites(tables, quality.MART_CHECKS)
 

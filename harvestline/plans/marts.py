@@ -2,19 +2,20 @@
 -> facts and dimensions.
 
 The reference recomputes staging and unified once per consumer (they are
-views). Here the consumers take the same DataFrame; callers that run several
-marts in one job should write ``unified`` once (``sinks.overwrite``) or
-``checkpoint()`` it into the shared checkpoint folder and reuse it.
+views). A query with one consumer composes the functions below; one with
+several takes them from ``Marts``, which writes each table once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline.operators import marts, staging, timeseries, unify
+from harvestline.session import written
 from harvestline.sources import testdata
 
 
@@ -32,10 +33,11 @@ class RawFeeds:
 
 
 def testdata_feeds(spark: SparkSession, sf_dir: str) -> RawFeeds:
+    observed = testdata.observations(spark, sf_dir)
     return RawFeeds(
-        wfp=testdata.raw_wfp(spark, sf_dir),
-        worldbank=testdata.raw_worldbank(spark, sf_dir),
-        nbs=testdata.raw_nbs(spark, sf_dir),
+        wfp=testdata.raw_wfp(observed),
+        worldbank=testdata.raw_worldbank(observed),
+        nbs=testdata.raw_nbs(observed),
         fx=testdata.raw_fx(spark, sf_dir),
         weather=testdata.raw_weather(spark, sf_dir),
         mapping=testdata.mapping_seed(spark),
@@ -86,3 +88,30 @@ def fx_usd(feeds: RawFeeds) -> DataFrame:
 
 def features(feeds: RawFeeds, commodities: list[str] | None = None) -> DataFrame:
     return timeseries.feature_table(daily(feeds), fx_usd(feeds), commodities)
+
+
+class Marts:
+    """Tables that several consumers share, each written once and read from there."""
+
+    def __init__(self, feeds: RawFeeds):
+        self.feeds = feeds
+
+    @cached_property
+    def unified(self) -> DataFrame:
+        return written(unified(self.feeds), "unified")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return written(marts.daily_fact(self.unified), "daily")
+
+    @cached_property
+    def markets(self) -> DataFrame:
+        return marts.dim_markets(self.unified, self.feeds.market_seed)
+
+    @cached_property
+    def commodities(self) -> DataFrame:
+        return marts.dim_commodities(self.unified, self.feeds.commodity_seed)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return written(features(self.feeds), "features")

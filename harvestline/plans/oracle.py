@@ -91,10 +91,11 @@ FROM obs WHERE l_returnflag = 'R'""",
 SELECT rate_date, currency,
        CAST(central_rate * 0.99 AS DECIMAL(12,4)) AS buying_rate, central_rate,
        CAST(central_rate * 1.01 AS DECIMAL(12,4)) AS selling_rate, 'CBN' AS source, ingested_at
-FROM (SELECT CAST(o_orderdate AS DATE) AS rate_date, 'USD' AS currency,
+FROM (SELECT CAST(o_orderdate AS DATE) AS rate_date,
+             CASE WHEN o_orderpriority = '5-LOW' THEN 'EUR' ELSE 'USD' END AS currency,
              CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DECIMAL(14,0)) * 0.01 AS DECIMAL(12,4)) AS central_rate,
              o_orderdate AS ingested_at
-      FROM orders WHERE o_orderpriority = '1-URGENT')""",
+      FROM orders)""",
     ),
     (
         "stg_wfp",

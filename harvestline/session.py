@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session gets. They are correctness settings (time zone, ANSI)
 # or scale settings (AQE re-plans shuffles and skewed joins at run time).
@@ -48,17 +49,14 @@ def get_session(
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
+        conf.setdefault("spark.driver.memory", "12g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith(("spark.driver.", "spark.ui.")):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on an existing session
-                pass
+        if spark.conf.isModifiable(k):  # static ones hold from the start
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     if spark.sparkContext.master.startswith("local"):
         checkpoint_dir(spark)
@@ -88,3 +86,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read
+    it back: every consumer reads the written table, and a lost executor costs
+    a file read, never the work before it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,8 +9,9 @@ lineitem / orders):
   in exact cents (half-up), reload stamp = ship date + line number days;
 * l_returnflag splits them into three feeds: A -> WFP, N -> World Bank,
   R -> NBS (NBS reports are monthly: the date is the month start);
-* FX feed = urgent orders: one central rate per order date, many orders per
-  date (exercises the FX dedupe), buying/selling at -1 %/+1 %;
+* FX feed = all orders: central rates per order date, many orders per date
+  (exercises the FX dedupe), buying/selling at -1 %/+1 %; low-priority orders
+  are quoted in EUR, the others in USD;
 * market seed = nation ⋈ region (regions other than EUROPE, so some observed
   markets have no seed row); mapping and commodity seeds are small literals.
 """
@@ -53,29 +54,15 @@ AS_OF = dt.date(2002, 1, 1)
 SEED_EXCLUDED_REGION = "EUROPE"
 
 
-# Read-only inputs: one DataFrame per (application, file) is reused, so a
-# plan that mentions a table many times reads its footer once, and the three
-# price feeds share one identical observation subtree (one set of exchanges).
-_CACHE: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _cached(spark: SparkSession, key: str, sf_dir: str, build) -> DataFrame:
-    k = (spark.sparkContext.applicationId, sf_dir, key)
-    if k not in _CACHE:
-        _CACHE[k] = build()
-    return _CACHE[k]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _cached(spark, name, sf_dir, lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed observation rows with the flag that splits them into feeds."""
-    return _cached(spark, "_observations", sf_dir, lambda: _observations(spark, sf_dir))
-
+    """Typed observation rows with the flag that splits them into feeds.
 
-def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    The three price feeds take one DataFrame of it, so their plans share its
+    scans and exchanges."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_suppkey",
@@ -108,8 +95,8 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_wfp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = observations(spark, sf_dir).where(F.col("l_returnflag") == "A")
+def raw_wfp(observed: DataFrame) -> DataFrame:
+    o = observed.where(F.col("l_returnflag") == "A")
     return o.select(
         F.lit("Nigeria").alias("country_name"),
         "market_name",
@@ -123,8 +110,8 @@ def raw_wfp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_worldbank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = observations(spark, sf_dir).where(F.col("l_returnflag") == "N")
+def raw_worldbank(observed: DataFrame) -> DataFrame:
+    o = observed.where(F.col("l_returnflag") == "N")
     return o.select(
         F.lit("NGA").alias("country_code"),
         "market_name",
@@ -137,8 +124,8 @@ def raw_worldbank(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_nbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = observations(spark, sf_dir).where(F.col("l_returnflag") == "R")
+def raw_nbs(observed: DataFrame) -> DataFrame:
+    o = observed.where(F.col("l_returnflag") == "R")
     return o.select(
         "commodity_name",
         F.col("unit_name").alias("unit"),
@@ -151,14 +138,14 @@ def raw_nbs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    o = table(spark, sf_dir, "orders")
     central = (
         F.round(F.col("o_totalprice") * 100).cast("bigint").cast("decimal(14,0)")
         * F.lit(Decimal("0.01"))
     ).cast(schemas.RATE)
     return o.select(
         F.col("o_orderdate").cast("date").alias("rate_date"),
-        F.lit("USD").alias("currency"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "EUR").otherwise("USD").alias("currency"),
         central.alias("central_rate"),
         F.col("o_orderdate").alias("ingested_at"),
     ).select(

@@ -1,6 +1,8 @@
 """Every registered query with a SQL oracle equals DuckDB on sf0.001
 (row count, column names, order-insensitive value hash)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -11,7 +13,7 @@ TYPES = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
     "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
 }
-SQL = entry.oracle_sql()
+SQL = {k: v for k, v in entry.oracle_sql().items() if not re.match(r"op\d+_|pipeline$", k)}
 
 
 @pytest.fixture(scope="module")
@@ -40,5 +42,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_iterative():
-    rows_only = set(entry.queries()) - set(SQL)
+    # the training-data queries (opN_..., pipeline) are tested beside their code
+    own = {q for q in entry.queries() if not re.match(r"op\d+_|pipeline$", q)}
+    rows_only = own - set(SQL)
     assert rows_only == {"model_forecast", "model_importance"}
