@@ -14,7 +14,7 @@ distinct k-word shingles (fewer words: the whole sequence as one; none: empty).
    are verified exactly on the full sets of the whole texts. Members that miss
    the threshold with the pivot meet the rest of the family by an exact join on
    what sets them apart from the pivot; members far from it get another pivot,
-   then are compared in pairs. No link is lost to the shortcut.
+   then are compared in blocks. No link is lost to the shortcut.
 4. Components of the verified links, joined back to all documents.
 
 Null and word-free texts have empty sets, are linked with nothing and stay.
@@ -41,7 +41,8 @@ THRESHOLD = 80  # per cent of the union
 BANDS, ROWS = 36, 5  # chance to miss a pair of similarity 0.8: (1 - 0.8^5)^36 = 6e-7
 BATCH = 20  # signature values compared at a time
 MISS = 1e-7  # chance, by the posterior, that a pruned pair reaches the threshold
-LEVELS = 2  # times a bucket gets a pivot before its far members are compared in pairs
+LEVELS = 2  # times a bucket gets a pivot before its far members are compared in blocks
+CHUNK = 512  # members of a bucket in a block
 BROADCAST_BYTES = 32 << 20
 
 _RNG = np.random.default_rng(0x5EED)
@@ -173,29 +174,79 @@ def least_matches(threshold: int = THRESHOLD, miss: float = MISS) -> list[tuple[
     return out
 
 
+def prune(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, bounds) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a[x], b[y]) of signatures those that sequential comparison leaves."""
+    matches, done = np.zeros(len(x), np.int64), 0
+    for n, least in bounds:
+        matches = matches + (a[x, done:n] == b[y, done:n]).sum(axis=1)
+        stay = matches >= least
+        x, y, matches, done = x[stay], y[stay], matches[stay], n
+    return x, y
+
+
+def _signatures(blobs) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, BANDS * ROWS)
+
+
 def likely(pairs: DataFrame, threshold: int) -> DataFrame:
     """(a, b) of the pairs (a, b, sig_a, sig_b) that sequential pruning leaves."""
     bounds = least_matches(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = BANDS * ROWS
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, width)
-                for i in (2, 3)
-            )
-            open_, matches, done = np.arange(len(a)), np.zeros(len(a), np.int64), 0
-            for n, least in bounds:
-                matches = matches + (a[open_, done:n] == b[open_, done:n]).sum(axis=1)
-                stay = matches >= least
-                open_, matches, done = open_[stay], matches[stay], n
-            yield batch.select([0, 1]).take(pa.array(open_))
+            if batch.num_rows:
+                a, b = (_signatures(batch.column(i).to_pylist()) for i in (2, 3))
+                every = np.arange(batch.num_rows)
+                yield batch.select([0, 1]).take(pa.array(prune(a, b, every, every, bounds)[0]))
 
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+def likely_in_blocks(entries: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
+    """Distinct (a, b) of a bucket's pairs with a far member that sequential pruning leaves.
+
+    A bucket's members are dealt into chunks of about ``CHUNK``; each two chunks
+    are compared in a task, signature against signature, and only pairs that
+    are left become rows.
+    """
+    bounds = least_matches(threshold)
+    sizes = entries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    dealt = (
+        entries.join(sizes, "bucket")
+        .join(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig"), "rep")
+        .select("bucket", "rep", "far", "n", "sig", own.alias("own"), F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
+    )
+    blocks = dealt.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
+        F.collect_list(F.struct("rep", "own", "far", "n", "sig")).alias("members")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, members in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                x, y = ([m for m in members if m["own"] == side] for side in (i, j))
+                if not x or not y:
+                    continue
+                nx, ny = (np.array([m["n"] for m in side]) for side in (x, y))
+                fx, fy = (np.array([m["far"] for m in side]) for side in (x, y))
+                mask = (fx[:, None] | fy[None, :]) & (
+                    100 * np.minimum(nx[:, None], ny) >= threshold * np.maximum(nx[:, None], ny)
+                )
+                if i == j:
+                    mask &= np.triu(np.ones(mask.shape, bool), 1)
+                left, right = prune(
+                    _signatures(m["sig"] for m in x), _signatures(m["sig"] for m in y), *np.nonzero(mask), bounds
+                )
+                if len(left):
+                    rx, ry = (np.array([m["rep"] for m in side]) for side in (x, y))
+                    a, b = rx[left], ry[right]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+                    )
+
+    return blocks.select("i", "j", "members").mapInArrow(run, "a long, b long").distinct()
+
+
 def compared(pairs: DataFrame, k: int, near: int) -> DataFrame:
     """(a, b, n_a, n_b, common, apart) of pairs (a, text_a, b, text_b), on the full sets.
 
@@ -246,7 +297,11 @@ class Linker:
             .join(b, "b")
             .where(f"100 * least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)")
         )
-        survivors = written(likely(sized, threshold), "survivors")
+        return self.confirmed(likely(sized, threshold), threshold)
+
+    def confirmed(self, survivors: DataFrame, threshold: int) -> DataFrame:
+        """``compared`` rows of the pairs (a, b), as a written table."""
+        survivors = written(survivors, "survivors")
         ids = survivors.select(F.col("a").alias("doc_id")).union(survivors.select("b")).distinct()
         if ids.count() * 16 <= BROADCAST_BYTES:
             ids = F.broadcast(ids)
@@ -338,10 +393,6 @@ def family_links(near: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def all_links(docs: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataFrame | None:
     """Links (a, b) that connect all representatives with equal buckets whose similarity reaches the threshold."""
     # Two distances to a third set bound the distance of two sets: a member under
@@ -388,11 +439,8 @@ def all_links(docs: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataF
         entries = written(rest.join(open_, "bucket", "left_semi"), "entries")
     if entries.isEmpty():
         return found
-    other = entries.selectExpr("bucket", "rep y", "far far_y")
-    pairs = ordered(
-        entries.join(other, "bucket").where("far and (rep < y or rep > y and not far_y)").selectExpr("rep x", "y")
-    )
-    return found.union(linked(linker.verified(pairs, threshold), threshold).select("a", "b"))
+    rest = linker.confirmed(likely_in_blocks(entries, reps, threshold), threshold)
+    return found.union(linked(rest, threshold).select("a", "b"))
 
 
 def clustered(

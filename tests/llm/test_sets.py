@@ -59,7 +59,8 @@ def family_rows(seed, sizes=(30, 12, 6)):
 
 @pytest.mark.parametrize("k", [2, 5])
 @pytest.mark.parametrize("rows", [documents(), family_rows(3), family_rows(4, (60,))], ids=["odd", "families", "chain"])
-def test_clusters_against_brute_force(spark, rows, k):
+def test_clusters_against_brute_force(spark, rows, k, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CHUNK", 3)
     got = by_id(near_dedup.clustered(spark, frame(spark, rows, clashing=True), k))
     want = brute_clusters(rows, k)
     assert sum(map(len, got.values())) == len(rows)
@@ -71,6 +72,20 @@ def test_clusters_against_brute_force(spark, rows, k):
                 assert (r["n_shingles"], r["component_id"], r["kept"]) == want[d], d
 
 
+def test_far_members_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEVELS", 1)
+    monkeypatch.setattr(near_dedup, "CHUNK", 4)
+    rng = random.Random(11)
+    common = sentence(rng, 60)
+    rows = []
+    for i in range(40):  # half a text in common, and each own half twice
+        rows.append((i, common + " " + sentence(random.Random(i // 2), 45) + f" end{i}", "en", "s", 0))
+    got = by_id(near_dedup.clustered(spark, frame(spark, rows), 2))
+    want = brute_clusters(rows, 2)
+    assert {d: (r[0]["n_shingles"], r[0]["component_id"], r[0]["kept"]) for d, r in got.items()} == want
+    assert len({w[1] for w in want.values()}) == 20
+
+
 def test_cluster_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     want = brute_clusters(rows, 2)
