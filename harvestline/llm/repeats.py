@@ -49,7 +49,7 @@ LENGTH = 400
 REACH = 20
 HASHED = 8
 CORE = 150  # bytes that a repeated interval's common prefix covers at least
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 6 << 20  # a shard is a row of a few MB, of which a task holds some at a time
 DEPTH = 8  # phrases by which suffixes are sorted: CORE / (REACH + 1), a power of two
 BROADCAST_BYTES = 32 << 20
 GROUP_KINDS = 16  # contents of an interval that one task compares; more are compared by window
@@ -432,16 +432,20 @@ def contents(marked: DataFrame) -> DataFrame:
     )
 
 
-def planned(found: DataFrame) -> DataFrame:
+def distinct_contents(found: DataFrame) -> DataFrame:
+    """(label, content, n, one): the distinct stretches, how often they are there, and one of them."""
+    return found.groupBy("label", "content").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")
+    )
+
+
+def planned(distinct: DataFrame) -> DataFrame:
     """(key, at, label, lone, kinds): stretches whose windows are still to be compared.
 
     Of each distinct content one stretch stands for all. Those of a content
     that is there once are ``lone``; an interval that has any is compared, all
     its distinct contents (``kinds`` of them) with one another.
     """
-    distinct = found.groupBy("label", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")
-    )
     kinds = (
         distinct.groupBy("label")
         .agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds"))
@@ -672,7 +676,9 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "marked",
     )
     discard(marks)
-    plan = written(planned(contents(marked)), "plan")
+    distinct = written(distinct_contents(contents(marked)), "contents")
+    plan = written(planned(distinct), "plan")
+    discard(distinct)
     parts = written(pieces(marked, plan), "pieces")
     windows = written(single_windows(parts.where(f"kinds > {GROUP_KINDS}"), marked), "windows")
     again = compared_in_groups(parts.where(f"kinds <= {GROUP_KINDS}")).union(compared_singly(windows))
