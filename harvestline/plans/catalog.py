@@ -8,13 +8,14 @@ caps or samples) and returns a DataFrame; nothing is collected.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harvestline import sinks
 from harvestline.operators import evaluate, marts, quality, reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
 from harvestline.operators import models, reshape
@@ -732,48 +733,120 @@ def q_price_stats(spark, sf_dir):
 
 # --- semi-structured and text sources --------------------------------------
 
-PAGE_PATTERN = r'href="/([^"/]*)([^"]*)"'
 # Report months already known to the extractor.
-KNOWN_REPORT_MONTHS = ["2024-11", "2024-12", "2025-01", "2025-04"]
+KNOWN_REPORT_MONTHS = ["2024-11", "2024-12", "2025-02", "2025-04"]
 PRICE_RE = report_text.PRICE_PATTERN
 
 
 @register(
     "api_items",
     """
-SELECT event_id, 1 AS total_pages, CAST(json_extract(props, '$.k') AS BIGINT) AS k
-FROM events WHERE props IS NOT NULL""",
+SELECT event_id, CAST(event_id % 3 + 1 AS INTEGER) AS total_pages, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events WHERE props IS NOT NULL
+UNION ALL SELECT event_id, CAST(event_id % 3 + 1 AS INTEGER), event_id FROM events WHERE props IS NOT NULL""",
 )
 def q_api_items(spark, sf_dir):
     ev = testdata.table(spark, sf_dir, "events")
-    docs = ev.select("event_id", F.concat(F.lit('{"items": ['), "props", F.lit('], "totalPages": 1}')).alias("doc"))
+    docs = ev.select("event_id", F.concat(
+            F.lit('{"items": ['), "props", F.lit(', {"k": '), F.col("event_id").cast("string"),
+            F.lit('}], "totalPages": '), (F.col("event_id") % 3 + 1).cast("string"), F.lit("}"),
+        ).alias("doc"))
     item = T.StructType([T.StructField("k", T.LongType(), True)])
     return semistructured.explode_items(docs, "doc", item, keep=["event_id"])
 
 
+_RATE = "CAST(json_extract(props, '$.k') AS DOUBLE)"
+
+
+def _rates_sql(date: str, rate: str) -> str:
+    return f"""SELECT event_id, {date} AS rate_date, 'USD' AS currency, {rate} * CAST(0.99 AS DOUBLE) AS buying_rate,
+       {rate} AS central_rate, {rate} * CAST(1.01 AS DOUBLE) AS selling_rate
+FROM events WHERE {rate} <> 0"""
+
+
 @register(
     "rate_map",
-    """
-SELECT event_id, CAST(ts AS DATE) AS rate_date, 'USD' AS currency,
-       CAST(json_extract(props, '$.k') AS DOUBLE) * CAST(0.99 AS DOUBLE) AS buying_rate,
-       CAST(json_extract(props, '$.k') AS DOUBLE) AS central_rate,
-       CAST(json_extract(props, '$.k') AS DOUBLE) * CAST(1.01 AS DOUBLE) AS selling_rate
-FROM events WHERE json_extract(props, '$.k') IS NOT NULL""",
+    _rates_sql("CAST(ts AS DATE)", _RATE)
+    + "\nUNION ALL\n"
+    + _rates_sql("CAST(ts AS DATE) + 1", "CAST(event_id % 5 AS DOUBLE)"),
 )
 def q_rate_map(spark, sf_dir):
-    ev = testdata.table(spark, sf_dir, "events")
+    """Two dates a document; the second's rate is 0 in every fifth one, which is no quote."""
+    day = F.col("ts").cast("date")
     doc = F.concat(
-        F.lit('{"rates": {"'),
-        F.col("ts").cast("date").cast("string"),
-        F.lit('": {"NGN": '),
-        F.get_json_object("props", "$.k"),
-        F.lit("}}}"),
-    )
+        F.lit('{"rates": {"'), day.cast("string"), F.lit('": {"NGN": '), F.get_json_object("props", "$.k"),
+        F.lit('}, "'), F.date_add(day, 1).cast("string"), F.lit('": {"NGN": '), (F.col("event_id") % 5).cast("string"),
+        F.lit(', "EUR": 2}}}'),
+    )
+    ev = testdata.table(spark, sf_dir, "events")
     return semistructured.explode_rate_map(ev.select("event_id", doc.alias("doc")), "doc", keep=["event_id"])
 
 
+# Report pages and catalogue pages are laid out from the given tables: a page
+# per part, zonal, national or neither by its key, with its name and prices.
+_CENTS = "CAST(round(p_retailprice * 100) AS BIGINT)"
+
+
+def _money_sql(cents: str) -> str:
+    return f"CAST(({cents}) // 100 AS VARCHAR) || '.' || lpad(CAST(({cents}) % 100 AS VARCHAR), 2, '0')"
+
+
+_ZONAL_LINE = " || ' ' || ".join(["p_name || ' grade ' || p_brand", *[_money_sql(f"{_CENTS} + {7 * i}") for i in range(7)]])
+_NATIONAL_LINE = " || ' ' || ".join(
+    ["p_name || ' of size'", _money_sql(f"{_CENTS} - 850"), "'1,' || lpad(CAST(p_size AS VARCHAR), 3, '0') || '.50'", "'12.40 3.75'"]
+)
+_PAGES = f"""(SELECT p_partkey AS doc_id, CASE p_partkey % 3
+  WHEN 0 THEN 'APPENDIX' || chr(10) || 'Item Label NORTH CENTRAL NORTH EAST NORTH WEST SOUTH EAST' || chr(10) ||
+       {_ZONAL_LINE} || chr(10) || 'short 1.00' || chr(10) || upper({_ZONAL_LINE})
+  WHEN 1 THEN 'Selected items Beans Garri, Item Label, MoM and Year - on - Year change in per cent' || chr(10) ||
+       {_NATIONAL_LINE} || chr(10) || 'Average of 12.00 13.00 14.00 in all' || chr(10) || '123 ' || {_NATIONAL_LINE}
+  ELSE 'Notes on the method, without a table: ' || {_ZONAL_LINE} END AS text FROM part)"""
+
+
+def _money(cents):
+    return F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
 def _docs(spark, sf_dir):
-    return testdata.table(spark, sf_dir, "documents").select("doc_id", "text")
+    """The report pages (doc_id, text)."""
+    c = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    zonal = F.concat_ws(
+        " ", F.concat("p_name", F.lit(" grade "), "p_brand"), *[_money(c + 7 * i) for i in range(7)]
+    )
+    national = F.concat_ws(
+        " ",
+        F.concat("p_name", F.lit(" of size")),
+        _money(c - 850),
+        F.concat(F.lit("1,"), F.lpad(F.col("p_size").cast("string"), 3, "0"), F.lit(".50")),
+        F.lit("12.40 3.75"),
+    )
+    kind = F.col("p_partkey") % 3
+    text = (
+        F.when(
+            kind == 0,
+            F.concat_ws(
+                "\n",
+                F.lit("APPENDIX"),
+                F.lit("Item Label NORTH CENTRAL NORTH EAST NORTH WEST SOUTH EAST"),
+                zonal,
+                F.lit("short 1.00"),
+                F.upper(zonal),
+            ),
+        )
+        .when(
+            kind == 1,
+            F.concat_ws(
+                "\n",
+                F.lit("Selected items Beans Garri, Item Label, MoM and Year - on - Year change in per cent"),
+                national,
+                F.lit("Average of 12.00 13.00 14.00 in all"),
+                F.concat(F.lit("123 "), national),
+            ),
+        )
+        .otherwise(F.concat(F.lit("Notes on the method, without a table: "), zonal))
+    )
+    pages = testdata.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), text.alias("text"))
+    return written(pages, "report_pages")  # the layout is long: parsers read it as text
 
 
 _ZONE_HITS = " + ".join(
@@ -786,7 +859,7 @@ SELECT doc_id, text, zone_headers, is_zonal,
        AND ({" OR ".join(f"contains(text, {lit(i)})" for i in report_text.NATIONAL_ITEMS)}) AS is_national
 FROM (SELECT doc_id, text, {_ZONE_HITS} AS zone_headers,
              ({_ZONE_HITS}) >= 3 AND (contains(text, 'Item Label') OR contains(text, 'APPENDIX')) AS is_zonal
-      FROM documents WHERE length(text) >= {report_text.MIN_PAGE_CHARS})"""
+      FROM {_PAGES} pages WHERE length(text) >= {report_text.MIN_PAGE_CHARS})"""
 
 
 @register("page_classes", f"SELECT doc_id, zone_headers, is_zonal, is_national FROM ({_CLASSES}) c")
@@ -838,12 +911,12 @@ SELECT doc_id, line_no, commodity_name, 'National' AS zone, price FROM (
 WHERE price IS NOT NULL AND price <> 0"""
 
 
-@register("zonal_lines", _zonal_sql("documents"))
+@register("zonal_lines", _zonal_sql(f"{_PAGES} pages"))
 def q_zonal_lines(spark, sf_dir):
     return report_text.parse_zonal_lines(_docs(spark, sf_dir))
 
 
-@register("national_lines", _national_sql("documents"))
+@register("national_lines", _national_sql(f"{_PAGES} pages"))
 def q_national_lines(spark, sf_dir):
     return report_text.parse_national_lines(_docs(spark, sf_dir))
 
@@ -858,15 +931,29 @@ def q_report_prices(spark, sf_dir):
     return report_text.extract_prices(_docs(spark, sf_dir))
 
 
+_MONTHS_SQL = "[" + ", ".join(lit(m) for m in report_text.MONTHS) + "]"
+# Each page of the catalogue links its own report (of a month that its number
+# gives, every ninth without one) and the next page's.
+_CATALOGUE = f"""(SELECT page_id, html || '<a href="/catalog/162/download/' || page_id || '/prices_' ||
+  CASE WHEN page_id % 9 = 0 THEN 'annual' ELSE {_MONTHS_SQL}[page_id % 12 + 1] || (20 + page_id % 6) END ||
+  '.pdf">report</a> <a href=/catalog/162/download/' || (page_id + 1) || '>next</a>' AS html FROM pages)"""
+_LINK_RE = report_text.CATALOGUE_LINK.replace("'", "''")
 _LINKS_SQL = f"""
 SELECT page_id, CAST(generate_subscripts(ids, 1) - 1 AS INTEGER) AS link_no, unnest(ids) AS resource_id, unnest(rests) AS link_rest
-FROM (SELECT page_id, regexp_extract_all(html, '{PAGE_PATTERN}', 1) AS ids,
-             regexp_extract_all(html, '{PAGE_PATTERN}', 2) AS rests FROM pages) p"""
+FROM (SELECT page_id, regexp_extract_all(html, '{_LINK_RE}', 1) AS ids,
+             regexp_extract_all(html, '{_LINK_RE}', 2) AS rests FROM {_CATALOGUE} c) p"""
 
 
 def _links(spark, sf_dir):
-    pages = testdata.table(spark, sf_dir, "pages").select("page_id", "html")
-    return report_text.extract_links(pages, "html", PAGE_PATTERN)
+    n = F.col("page_id")
+    month = F.get(F.array(*[F.lit(m) for m in report_text.MONTHS]), (n % 12).cast("int"))
+    name = F.when(n % 9 == 0, "annual").otherwise(F.concat(month, (n % 6 + 20).cast("string")))
+    html = F.concat(
+        "html", F.lit('<a href="/catalog/162/download/'), n.cast("string"), F.lit("/prices_"), name,
+        F.lit('.pdf">report</a> <a href=/catalog/162/download/'), (n + 1).cast("string"), F.lit(">next</a>"),
+    )
+    pages = testdata.table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    return report_text.extract_links(pages, "html")
 
 
 @register("report_links", _LINKS_SQL)
@@ -882,9 +969,9 @@ _MONTH_LIST = "[" + ", ".join(lit(m) for m in report_text.MONTHS) + "]"
     "report_months",
     f"""
 SELECT month_key, arg_min(resource_id, page_id * 100000 + link_no) AS resource_id FROM (
-  SELECT CASE WHEN length(regexp_extract(resource_id, '{_MONTH_RE}', 1)) > 0 THEN
-           '20' || regexp_extract(resource_id, '{_MONTH_RE}', 2) || '-' ||
-           lpad(CAST(list_position({_MONTH_LIST}, regexp_extract(resource_id, '{_MONTH_RE}', 1)) AS VARCHAR), 2, '0')
+  SELECT CASE WHEN length(regexp_extract(link_rest, '{_MONTH_RE}', 1)) > 0 THEN
+           '20' || regexp_extract(link_rest, '{_MONTH_RE}', 2) || '-' ||
+           lpad(CAST(list_position({_MONTH_LIST}, regexp_extract(link_rest, '{_MONTH_RE}', 1)) AS VARCHAR), 2, '0')
          END AS month_key, resource_id, page_id, link_no
   FROM ({_LINKS_SQL}) l) m
 WHERE month_key IS NOT NULL AND month_key NOT IN {in_list(KNOWN_REPORT_MONTHS)}
@@ -892,7 +979,7 @@ GROUP BY month_key""",
 )
 def q_report_months(spark, sf_dir):
     known = spark.createDataFrame([(m,) for m in KNOWN_REPORT_MONTHS], "month_key string")
-    return report_text.discover_reports(_links(spark, sf_dir), known, name_col="resource_id")
+    return report_text.discover_reports(_links(spark, sf_dir), known)
 
 
 # --- reshape ---------------------------------------------------------------
@@ -941,12 +1028,12 @@ def q_wide_to_long_paired(spark, sf_dir):
 
 def _materialized_features(spark, sf_dir):
     """Feature table written once into the shared checkpoint folder: every
-    model fit below reads it instead of re-running the feature plan. It is
-    spread over the default parallelism first, because boosting makes
-    hundreds of passes over it and each pass runs one task per partition."""
-    checkpoint_dir(spark)
+    model fit below reads it instead of re-running the feature plan, by
+    commodity where it trains on one."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
     fe = pm.features(feeds(spark, sf_dir))
-    return fe.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    sinks.write_features(fe, path)
+    return spark.read.schema(fe.schema).parquet(path)
 
 
 @register("model_forecast")
@@ -954,8 +1041,8 @@ def q_model_forecast(spark, sf_dir):
     """Per-commodity models for both horizons (v2 protocol), then a batch
     forecast for every series and horizon (M7b, M8, W14, W15)."""
     fe = _materialized_features(spark, sf_dir)
-    with ThreadPoolExecutor(max_workers=len(models.HORIZONS)) as pool:
-        trained = list(pool.map(lambda h: models.train_per_commodity(fe, horizon=h)[1], models.HORIZONS))
+    # one pool of fits at a time: each of them fills the cores
+    trained = [models.train_per_commodity(fe, horizon=h)[1] for h in models.HORIZONS]
     fitted = {(c, h): m for h, ms in zip(models.HORIZONS, trained) for c, m in ms.items()}
     series = fe.select(F.col("commodity_name").alias("commodity"), F.col("market_name").alias("market")).distinct()
     horizons = F.array(*[F.lit(h) for h in models.HORIZONS])

@@ -79,10 +79,15 @@ def backup_csv(df: DataFrame, path: str) -> None:
     _writer(df, "overwrite", "csv", None, header="true").save(path)
 
 
-def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("commodity_name",)) -> None:
+def write_features(
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("commodity_name",), buckets: int = 8
+) -> None:
     """Feature table as parquet partitioned by commodity, so per-commodity
-    training and serving prune to their own folder (K5)."""
-    overwrite(df, path=path, partition_by=partition_by)
+    training and serving prune to their own folder (K5). Rows are dealt by
+    commodity and a hash of the market first: a folder gets a file per bucket,
+    not per task, and a frequent commodity is still written by several tasks."""
+    bucket = F.pmod(F.xxhash64("market_name"), F.lit(buckets))
+    overwrite(df.repartition(*partition_by, bucket), path=path, partition_by=partition_by)
 
 
 def to_feature_document(df: DataFrame, keys: Sequence[str], feature_cols: Sequence[str]) -> DataFrame:

@@ -56,7 +56,8 @@ def explode_rate_map(
     parsed = df.select(*keep, F.from_json(F.col(json_col), doc).alias("_doc"))
     rows = parsed.select(*keep, F.explode("_doc.rates").alias("_date", "_quotes"))
     rate = F.col("_quotes").getItem(base)
-    return rows.where(rate.isNotNull()).select(
+    # a rate of 0 is no quote
+    return rows.where(rate.isNotNull() & (rate != 0)).select(
         *keep,
         try_date("_date").alias("rate_date"),
         F.lit(currency).alias("currency"),
@@ -67,13 +68,20 @@ def explode_rate_map(
 
 
 def rate_snapshot(
-    df: DataFrame, json_col: str, as_of: dt.date, base: str = "NGN", currency: str = "USD", spread: float = 0.01
+    df: DataFrame,
+    json_col: str,
+    as_of: dt.date,
+    base: str = "NGN",
+    currency: str = "USD",
+    spread: float = 0.01,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Single-rate document ``{rates: {CCY: x}}`` -> one row dated ``as_of``
     (an explicit parameter, never the wall clock) (S8, S15)."""
     doc = T.StructType([T.StructField("rates", T.MapType(T.StringType(), T.DoubleType()), True)])
     rate = F.from_json(F.col(json_col), doc).getField("rates").getItem(base)
-    return df.select(rate.alias("_r")).where(F.col("_r").isNotNull()).select(
+    return df.select(*keep, rate.alias("_r")).where("_r is not null and _r <> 0").select(
+        *keep,
         F.lit(as_of).alias("rate_date"),
         F.lit(currency).alias("currency"),
         (F.col("_r") * (1 - spread)).alias("buying_rate"),

@@ -5,9 +5,12 @@ pick up newly landed files exactly once is a file-source stream run with
 ``trigger(availableNow=True)``: the checkpoint remembers which files were
 loaded, so each file is appended once even when the job is re-run or an
 executor is lost mid-batch. Each micro-batch goes through the same stateless
-``sinks.stamp`` as a batch load, and the write is keyed by the batch id
+``sinks.stamp`` as a batch load, and the write is keyed by stream and batch id
 (dynamic partition overwrite), so a retried batch replaces its own output
-instead of duplicating it.
+instead of duplicating it. A checkpoint that starts over is a new stream and
+needs a new ``stream_id``: batch ids start again at 0, and its loads must not
+take the place of earlier ones. The load time is the caller's, so a retry
+writes the same rows.
 """
 
 from __future__ import annotations
@@ -30,12 +33,14 @@ def ingest_files(
     target_path: str,
     checkpoint_location: str,
     constants: Mapping[str, object],
+    stream_id: str,
+    run_ts: dt.datetime,
     fmt: str = "csv",
     transform: Callable[[DataFrame], DataFrame] | None = None,
     options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append every new file under ``source_dir`` to ``target_path``
-    (parquet, partitioned by ``load_id``) and stop when caught up."""
+    (parquet, partitioned by ``stream_id`` and ``load_id``) and stop when caught up."""
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in (options or {"header": "true"}).items():
         reader = reader.option(k, v)
@@ -43,12 +48,13 @@ def ingest_files(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        out = stamp(rows, constants, run_ts).withColumn("load_id", F.lit(batch_id).cast("long"))
+        out = stamp(rows, constants, run_ts).withColumns(
+            {"stream_id": F.lit(stream_id), "load_id": F.lit(batch_id).cast("long")}
+        )
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id")
+            .partitionBy("stream_id", "load_id")
             .parquet(target_path)
         )
 

@@ -85,14 +85,20 @@ def test_incremental_ingest_loads_each_file_once(spark, tmp_path):
     header = "date,admin1,admin2,market,latitude,longitude,category,commodity,unit,priceflag,pricetype,currency,price,usdprice\n"
     (src / "a.csv").write_text(header + "2024-01-15,Kano,Kano,Kano,1,1,c,Rice,KG,a,R,NGN,800,0.5\n")
     target, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
-    q = ingest.ingest_files(spark, str(src), schemas.HDX_CSV, target, ckpt, {"source": "WFP"})
+    ts = dt.datetime(2024, 3, 1)
+    q = ingest.ingest_files(spark, str(src), schemas.HDX_CSV, target, ckpt, {"source": "WFP"}, "wfp-1", ts)
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == 1
     (src / "b.csv").write_text(header + "2024-02-15,Kano,Kano,Kano,1,1,c,Beans,KG,a,R,NGN,900,0.6\n")
-    q = ingest.ingest_files(spark, str(src), schemas.HDX_CSV, target, ckpt, {"source": "WFP"})
+    q = ingest.ingest_files(spark, str(src), schemas.HDX_CSV, target, ckpt, {"source": "WFP"}, "wfp-1", ts)
     q.awaitTermination(120)
     back = spark.read.parquet(target)
     assert back.count() == 2 and back.select("load_id").distinct().count() == 2
+    assert {r.ingested_at for r in back.select("ingested_at").collect()} == {ts}
+    # a second stream, whose batch ids start at 0 again, keeps the first one's loads
+    q = ingest.ingest_files(spark, str(src), schemas.HDX_CSV, target, ckpt + "2", {"source": "WFP"}, "wfp-2", ts)
+    q.awaitTermination(120)
+    assert spark.read.parquet(target).count() == 4
 
 
 def test_build_all_writes_every_table(spark, tmp_path):
