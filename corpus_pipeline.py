@@ -37,6 +37,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -46,7 +47,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_tokens, ids) of each document."""
+    """(doc_id, n_tokens, ids) of each document."""
     ship(spark)
     return sentencepiece_bpe.encode(docs, public_tokenizers.path(PIECE_BPE)).select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids"

@@ -15,6 +15,7 @@ from harvestline.session import checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,12 +81,14 @@ def write_once(fs: pafs.FileSystem, path: str, chunks) -> int:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per Spark application.
+    """Make a session ready for the operators.
 
     A worker imports the operators' modules; where the package is neither
     installed on the executors nor passed with ``--py-files``, Spark hands out
-    this archive of it.
+    this archive of it, once per application. Rows are whole texts, so that
+    batches between the JVM and Python hold fewer of them than usual.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_harvestline_shipped", False):
         return

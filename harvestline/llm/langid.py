@@ -32,7 +32,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 MAX_ORDER = 5
 # Words of which a task keeps the looked-up scores; beyond, it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 @dataclass
