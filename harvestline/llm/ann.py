@@ -84,7 +84,8 @@ class Block:
             if len(ready):
                 pending[ready] = False
                 gap = self.vectors[ready] - query
-                dist = np.concatenate([dist, np.sqrt((gap * gap).sum(axis=1))])
+                # summed from the first component on, as the measure is written
+                dist = np.concatenate([dist, np.sqrt(np.cumsum(gap * gap, axis=1)[:, -1])])
                 found = np.concatenate([found, ready])
                 best = np.lexsort((self.ids[found], dist))[:k]
                 found, dist = found[best], dist[best]

@@ -118,6 +118,58 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_near_dedup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]]
+      ELSE list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) END) AS sh
+    FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT s.sh, s.doc_id, n.n FROM s JOIN n USING (doc_id)),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM k a JOIN k b ON a.sh = b.sh AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM reach r JOIN e ON r.y = e.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(low.y, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON d.doc_id = low.x
+""",
+    "op6_nearest": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    sqrt(list_reduce(list_transform(list_zip(c.e, q.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+  FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op10_warc": r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS sha,
+    CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages),
+g AS (SELECT sha, max(page_id) AS newest FROM p GROUP BY sha)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INTEGER)
+      + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INTEGER)
+      + CAST(substr(bits, 5 * i + 5, 1) AS INTEGER) AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN p.page_id < g.newest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id < g.newest THEN g.newest END AS refers_to
+FROM p JOIN g USING (sha)
+""",
     "op7_decontamination": r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
