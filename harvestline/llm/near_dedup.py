@@ -478,10 +478,23 @@ def clustered(
 def deduplicated(spark: SparkSession, docs: DataFrame, k: int, threshold: int = THRESHOLD) -> DataFrame:
     """One row of ``docs`` for each group of near copies, with all its columns.
 
-    Rows without a doc_id stay; of rows that repeat a doc_id one stays.
+    Rows without a doc_id stay. Of equal rows one stays; rows that share a
+    doc_id but not a text stay unless all of them are copies. Texts are not
+    shuffled, unless there are too many removed ids to broadcast.
     """
-    kept = clustered(spark, docs, k, threshold).where("kept and doc_id is not null")
-    ids = written(kept.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    own = docs["doc_id"].cast("long") == ids["kept_id"]
-    named = docs.where(F.col("doc_id").isNotNull()).join(ids, own, "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    found = written(clustered(spark, docs, k, threshold).where("doc_id is not null"), "clusters")
+    ids = found.groupBy(F.col("doc_id").alias("own_id")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+    )
+    own = docs["doc_id"].cast("long")
+
+    def listed(condition: str) -> DataFrame:
+        some = written(ids.where(condition).select("own_id"), "ids")
+        return F.broadcast(some) if some.count() * 16 <= BROADCAST_BYTES else some
+
+    removed, again = listed("not kept"), listed("kept and n > 1")
+    out = docs.join(removed, own == F.col("own_id"), "left_anti")
+    if again.isEmpty():
+        return out
+    repeated = docs.join(again, own == F.col("own_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.join(again, own == F.col("own_id"), "left_anti").unionByName(repeated)
