@@ -16,6 +16,7 @@ from harvestline.session import checkpoint_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS = 1000
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def hinted(df: DataFrame, width: Column, bound: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if its rows' widths sum up to ``bound`` bytes at most."""
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= bound else df
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``written`` made and that nothing reads any more."""
     for df in tables:

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import discard, written
+from harvestline.llm.common import discard, hinted, written
 
 LENGTH = 400
 REACH = 20
@@ -51,8 +51,7 @@ HASHED = 8
 CORE = 150  # bytes that a repeated interval's common prefix covers at least
 SHARD_BYTES = 6 << 20  # a shard is a row of a few MB, of which a task holds some at a time
 DEPTH = 8  # phrases by which suffixes are sorted: CORE / (REACH + 1), a power of two
-BROADCAST_BYTES = 32 << 20
-GROUP_KINDS = 16  # contents of an interval that one task compares; more are compared by window
+GROUP_KINDS = 512  # contents of an interval that one task compares; more are compared by window
 # A boundary at i is decided by the bytes i - REACH .. i + AFTER - 1.
 AFTER = REACH + HASHED
 
@@ -306,8 +305,7 @@ def refined(state: DataFrame, found: DataFrame) -> DataFrame:
                 yield _state(batch.column(at["shard"]).slice(i, 1), s)
 
     columns = ["shard", *SUFFIXES]
-    small = found.agg(F.sum(F.size("found"))).first()[0] or 0
-    found = F.broadcast(found) if small * 8 <= BROADCAST_BYTES else found
+    found = hinted(found, 8 * F.size("found"))
     return state.select(columns).join(found, "shard", "left").mapInArrow(run, STATE)
 
 
@@ -403,44 +401,44 @@ def _document_stretches(b: np.ndarray, n: int, places: np.ndarray, labels: np.nd
     return label[use], tight_low[use], high[use], b[use], loose_lows, loose_highs
 
 
-MARKED = "key binary, text string, " + STRETCHES.split(", ", 1)[1]
+MARKED = "key binary, no long, text string, " + STRETCHES.split(", ", 1)[1]
 
 
 def contents(marked: DataFrame) -> DataFrame:
-    """(key, at, label, content): each stretch with a hash of all its bytes."""
+    """(no, at, label, content): each stretch with a hash of all its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                key, text, label, low, high = (batch.column(c)[i].as_py() for c in range(5))
+                no, text, label, low, high = (batch.column(c)[i].as_py() for c in range(5))
                 if not label:
                     continue
                 b = memoryview(text.encode())
                 found = [xxhash.xxh3_128_digest(b[x : y + LENGTH]) for x, y in zip(low, high)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([key] * len(label), pa.binary()),
+                        pa.array([no] * len(label), pa.int64()),
                         pa.array(range(len(label)), pa.int32()),
                         pa.array(label, pa.int64()),
                         pa.array(found, pa.binary()),
                     ],
-                    names=["key", "at", "label", "content"],
+                    names=["no", "at", "label", "content"],
                 )
 
-    return marked.select("key", "text", "label", "low", "high").mapInArrow(
-        run, "key binary, at int, label long, content binary"
+    return marked.select("no", "text", "label", "low", "high").mapInArrow(
+        run, "no long, at int, label long, content binary"
     )
 
 
 def distinct_contents(found: DataFrame) -> DataFrame:
     """(label, content, n, one): the distinct stretches, how often they are there, and one of them."""
     return found.groupBy("label", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("no", "at")).alias("one")
     )
 
 
 def planned(distinct: DataFrame) -> DataFrame:
-    """(key, at, label, lone, kinds): stretches whose windows are still to be compared.
+    """(no, at, label, lone, kinds): stretches whose windows are still to be compared.
 
     Of each distinct content one stretch stands for all. Those of a content
     that is there once are ``lone``; an interval that has any is compared, all
@@ -452,14 +450,14 @@ def planned(distinct: DataFrame) -> DataFrame:
         .where("least = 1")
         .select("label", "kinds")
     )
-    return distinct.join(kinds, "label").select("one.key", "one.at", "label", (F.col("n") == 1).alias("lone"), "kinds")
+    return distinct.join(kinds, "label").select("one.no", "one.at", "label", (F.col("n") == 1).alias("lone"), "kinds")
 
 
 def lone_stretches(plan: DataFrame) -> DataFrame:
-    return plan.groupBy("key").agg(F.collect_list(F.when(F.col("lone"), F.col("at"))).alias("lone"))
+    return plan.where("lone").groupBy("no").agg(F.collect_list("at").alias("lone"))
 
 
-PIECES = "key binary, label long, kinds long, lone boolean, low long, high long, anchor long, bytes binary"
+PIECES = "no long, label long, kinds long, lone boolean, low long, high long, anchor long, bytes binary"
 
 
 def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
@@ -468,7 +466,7 @@ def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                key, text, low, high, anchor, wanted = (batch.column(c)[i].as_py() for c in range(6))
+                no, text, low, high, anchor, wanted = (batch.column(c)[i].as_py() for c in range(6))
                 b = memoryview(text.encode())
                 rows = [
                     (w["label"], w["kinds"], w["lone"], low[k], high[k], anchor[k], bytes(b[low[k] : high[k] + LENGTH]))
@@ -477,36 +475,37 @@ def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
                 ]
                 types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(rows), pa.binary())]
+                    [pa.array([no] * len(rows), pa.int64())]
                     + [pa.array(c, t) for c, t in zip(zip(*rows), types)],
                     names=[c.split()[0] for c in PIECES.split(", ")],
                 )
 
-    wanted = plan.where("kinds > 1").groupBy("key").agg(
+    wanted = plan.where("kinds > 1").groupBy("no").agg(
         F.collect_list(F.struct("at", "label", "kinds", "lone")).alias("wanted")
     )
-    return marked.join(wanted, "key").select("key", "text", "low", "high", "anchor", "wanted").mapInArrow(run, PIECES)
-
-
-def _common(x: bytes, y: bytes) -> int:
-    """Length of the common prefix."""
-    low, high = 0, min(len(x), len(y))
-    if x[:high] == y[:high]:
-        return high
-    while low < high:  # x[:low] is common, x[:high] is not
-        middle = (low + high + 1) // 2
-        if x[:middle] == y[:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
+    wanted = hinted(written(wanted, "wanted"), 64 + 40 * F.size("wanted"))
+    return marked.join(wanted, "no").select("no", "text", "low", "high", "anchor", "wanted").mapInArrow(run, PIECES)
+
+
+def _grid(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows as a matrix of byte values, filled up with a value that no byte has, and their lengths."""
+    sizes = np.array([len(r) for r in rows])
+    grid = np.full((len(rows), int(sizes.max()) + 1), 256, np.uint16)
+    grid[np.arange(grid.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(rows), np.uint8)
+    return grid, sizes
+
 
+def _common(grid: np.ndarray, sizes: np.ndarray, i: int) -> np.ndarray:
+    """Length of the common prefix of row i with each row."""
+    differs = grid != grid[i]
+    return np.where(differs.any(axis=1), np.minimum(differs.argmax(axis=1), np.minimum(sizes, sizes[i])), sizes[i])
 
-RANGES = "key binary, low long, high long"
+
+RANGES = "no long, low long, high long"
 
 
 def compared_in_groups(few: DataFrame) -> DataFrame:
-    """(key, low, high): repeated window starts of lone stretches, from intervals of few contents.
+    """(no, low, high): repeated window starts of lone stretches, from intervals of few contents.
 
     Two contents are aligned at their anchor. The window at d bytes before it
     is common to both if they agree on d bytes to the left and LENGTH - d to the
@@ -515,36 +514,35 @@ def compared_in_groups(few: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for group in batch.column(0).to_pylist():
-                sides = [
-                    (g["bytes"][: g["anchor"] - g["low"]][::-1], g["bytes"][g["anchor"] - g["low"] :]) for g in group
-                ]
+            nos, lows, highs = [], [], []
+            for group in batch.column(0):
+                group = group.as_py()
+                cuts = [g["anchor"] - g["low"] for g in group]
+                left = _grid([g["bytes"][:c][::-1] for g, c in zip(group, cuts)])
+                right = _grid([g["bytes"][c:] for g, c in zip(group, cuts)])
                 for i, g in enumerate(group):
                     if not g["lone"]:
                         continue
-                    left, right = sides[i]
-                    for j, (other_left, other_right) in enumerate(sides):
-                        if i != j:
-                            reach, run_on = _common(left, other_left), _common(right, other_right)
-                            low = max(g["low"], g["anchor"] - reach)
-                            high = min(g["high"], g["anchor"] - LENGTH + run_on)
-                            if low <= high:
-                                rows.append((g["key"], low, high))
-            if rows:
+                    low = np.maximum(g["low"], g["anchor"] - _common(*left, i))
+                    high = np.minimum(g["high"], g["anchor"] - LENGTH + _common(*right, i))
+                    low[i], high[i] = 1, 0  # not with itself
+                    found = np.unique(np.stack([low, high])[:, low <= high], axis=1)
+                    nos.append(np.full(found.shape[1], g["no"]))
+                    lows.append(found[0])
+                    highs.append(found[1])
+            if nos:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.binary(), pa.int64(), pa.int64()])],
-                    names=["key", "low", "high"],
+                    [pa.array(np.concatenate(x), pa.int64()) for x in (nos, lows, highs)], names=["no", "low", "high"]
                 )
 
     groups = few.groupBy("label").agg(
-        F.collect_list(F.struct("key", "lone", "low", "high", "anchor", "bytes")).alias("group")
+        F.collect_list(F.struct("no", "lone", "low", "high", "anchor", "bytes")).alias("group")
     )
     return groups.select("group").mapInArrow(run, RANGES)
 
 
 def single_windows(many: DataFrame, marked: DataFrame) -> DataFrame:
-    """(content, key, starts, open): the distinct windows to compare one by one.
+    """(content, no, starts, open): the distinct windows to compare one by one.
 
     Those of intervals with many contents, and the loose ones. A window that a
     range holds several times is repeated already; it stays one row, so that
@@ -557,52 +555,52 @@ def single_windows(many: DataFrame, marked: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in part], pa.binary()),
-                    pa.array([r[1] for r in part], pa.binary()),
+                    pa.array([r[1] for r in part], pa.int64()),
                     pa.array([r[2] for r in part], pa.list_(pa.int64())),
                     pa.array([r[3] for r in part], pa.bool_()),
                 ],
-                names=["content", "key", "starts", "open"],
+                names=["content", "no", "starts", "open"],
             )
 
-    def windows_in(key, b, spans, open_):
+    def windows_in(no, b, spans, open_):
         places: dict[bytes, list[int]] = {}
         for low, high in spans:
             for p in range(low, high + 1):
                 places.setdefault(xxhash.xxh3_128_digest(b[p : p + LENGTH]), []).append(p)
-        return [(c, key, x, open_) for c, x in places.items()]
+        return [(c, no, x, open_) for c, x in places.items()]
 
     def of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                key, lone, low, high, b = (batch.column(c)[i].as_py() for c in range(5))
-                rows = windows_in(key, memoryview(b), [(0, high - low)], lone)
-                yield from batches_of([(c, k, [low + p for p in x], o) for c, k, x, o in rows])
+                no, lone, low, high, b = (batch.column(c)[i].as_py() for c in range(5))
+                rows = windows_in(no, memoryview(b), [(0, high - low)], lone)
+                yield from batches_of([(c, n, [low + p for p in x], o) for c, n, x, o in rows])
 
     def of_loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                key, text, low, high = (batch.column(c)[i].as_py() for c in range(4))
-                yield from batches_of(windows_in(key, memoryview(text.encode()), zip(low, high), True))
+                no, text, low, high = (batch.column(c)[i].as_py() for c in range(4))
+                yield from batches_of(windows_in(no, memoryview(text.encode()), zip(low, high), True))
 
-    schema = "content binary, key binary, starts array<long>, open boolean"
-    loose = marked.where("size(loose_low) > 0").select("key", "text", "loose_low", "loose_high")
+    schema = "content binary, no long, starts array<long>, open boolean"
+    loose = marked.where("size(loose_low) > 0").select("no", "text", "loose_low", "loose_high")
     return (
-        many.select("key", "lone", "low", "high", "bytes")
+        many.select("no", "lone", "low", "high", "bytes")
         .mapInArrow(of_pieces, schema)
         .union(loose.mapInArrow(of_loose, schema))
     )
 
 
 def compared_singly(found: DataFrame) -> DataFrame:
-    """(key, low, high): the open windows whose content occurs again."""
+    """(no, low, high): the open windows whose content occurs again."""
     twice = (
         found.groupBy("content")
         .agg(F.sum(F.size("starts").cast("long")).alias("n"))
         .where("n > 1")
         .select("content")
     )
-    starts = found.where("open").join(twice, "content", "left_semi").select("key", F.explode("starts").alias("low"))
-    return starts.select("key", "low", F.col("low").alias("high"))
+    starts = found.where("open").join(twice, "content", "left_semi").select("no", F.explode("starts").alias("low"))
+    return starts.select("no", "low", F.col("low").alias("high"))
 
 
 def runs_of(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
@@ -648,8 +646,8 @@ def removed(marked: DataFrame, lone: DataFrame, again: DataFrame) -> DataFrame:
                 )
 
     return (
-        marked.join(lone, "key", "left")
-        .join(again.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("again")), "key", "left")
+        marked.join(hinted(lone, 64 + 4 * F.size("lone")), "no", "left")
+        .join(hinted(again, 64 + 32 * F.size("again")), "no", "left")
         .select("key", "text", "low", "high", "lone", "again")
         .mapInArrow(run, REMOVED)
     )
@@ -665,14 +663,13 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     merged = intervals(parse)
     marks = written(stretches(parse, merged).dropDuplicates(["key"]), "stretches")
     discard(parse, merged)
-    keys = marks.select("key")
-    if keys.count() * 32 <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
     # texts of documents with repeated intervals alone go through a shuffle
+    own = keyed.select("key", "text").join(hinted(marks.select("key"), F.lit(48)), "key", "left_semi")
     marked = written(
-        keyed.select("key", "text").join(keys, "key", "left_semi").dropDuplicates(["key"]).join(marks, "key").select(
-            [c.split()[0] for c in MARKED.split(", ")]
-        ),
+        own.dropDuplicates(["key"])
+        .join(marks, "key")
+        .withColumn("no", F.monotonically_increasing_id())
+        .select([c.split()[0] for c in MARKED.split(", ")]),
         "marked",
     )
     discard(marks)
@@ -682,8 +679,10 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     parts = written(pieces(marked, plan), "pieces")
     windows = written(single_windows(parts.where(f"kinds > {GROUP_KINDS}"), marked), "windows")
     again = compared_in_groups(parts.where(f"kinds <= {GROUP_KINDS}")).union(compared_singly(windows))
-    found = written(removed(marked, lone_stretches(plan), again), "removed")
-    discard(marked, plan, parts, windows)
+    again = again.groupBy("no").agg(F.collect_set(F.struct("low", "high")).alias("again"))
+    again, lone = written(again, "again"), written(lone_stretches(plan), "lone")
+    found = written(removed(marked, lone, again), "removed")
+    discard(marked, plan, parts, windows, again, lone)
     base = keyed.select(
         "key", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")
     )
