@@ -65,6 +65,9 @@ V2_PARAMS = dict(
     featureSubsetStrategy="0.7", minInstancesPerNode=10, minInfoGain=0.1, seed=42,
 )
 HORIZONS = (7, 30)
+# The horizon that a request may ask for, and the one it gets if it names none.
+HORIZON_RANGE = (7, 30)
+DEFAULT_HORIZON = 7
 Z = 1.96
 
 
@@ -264,7 +267,8 @@ def forecast(
 ) -> DataFrame:
     """Batch forecast, one output row per request.
 
-    requests: (commodity, market, forecast_horizon_days). The newest row of
+    requests: (commodity, market, forecast_horizon_days); a null horizon is 7,
+    one outside 7..30 is invalid. The newest row of
     the series with every feature present is scored by the model of
     (commodity, horizon); the band is ±z·roll_std_30d of the newest row of the
     series (even if that row lacks features), or ±10 % of the prediction when
@@ -275,7 +279,7 @@ def forecast(
     req = requests.select(
         F.col("commodity").alias("commodity_name"),
         F.col("market").alias("market_name"),
-        F.col("forecast_horizon_days").cast("int").alias("horizon"),
+        F.coalesce(F.col("forecast_horizon_days").cast("int"), F.lit(DEFAULT_HORIZON)).alias("horizon"),
     )
     complete = latest_row(features_df.select(*SERIES, DATE, *features), required=list(features))
     newest_std = latest_row(features_df.select(*SERIES, DATE, "roll_std_30d")).select(
@@ -307,7 +311,8 @@ def forecast(
     out = req.join(answered, keys, "left")
     std = F.coalesce(F.col("_std"), F.col("_pred") * 0.1)
     status = (
-        F.when(~F.col("horizon").isin(list(horizons)), F.lit("no_model_for_horizon"))
+        F.when(~F.col("horizon").between(*HORIZON_RANGE), F.lit("invalid_horizon"))
+        .when(~F.col("horizon").isin(list(horizons)), F.lit("no_model_for_horizon"))
         .when(F.col("_seen").isNull(), F.lit("no_data"))
         .when(F.col(DATE).isNull(), F.lit("insufficient_features"))
         .when(F.col("_pred").isNull(), F.lit("no_model"))

@@ -2,7 +2,8 @@
 should run on a cluster: validate the raw feeds and stop on failure, write
 the unified table once and build every mart from the written copy (the
 reference recomputes its staging and unified views for each consumer), write
-the features partitioned by commodity, then run the mart tests.
+the features partitioned by commodity, then run the mart tests and write the
+baseline results.
 
 Every intermediate lives under ``out_dir`` on shared storage, so a lost
 executor only recomputes the partitions of the stage it was running and a
@@ -16,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from harvestline import sinks
-from harvestline.operators import marts, quality, timeseries
+from harvestline.operators import evaluate, marts, quality, timeseries
 from harvestline.plans import marts as pm
 
 
@@ -73,5 +74,9 @@ def build_all(
     sinks.write_features(features, f"{out_dir}/features")
     feats = spark.read.parquet(f"{out_dir}/features")
     sinks.overwrite(timeseries.feature_summary(feats), path=f"{out_dir}/feature_summary")
-    paths.update({"features": f"{out_dir}/features", "feature_summary": f"{out_dir}/feature_summary"})
+    baselines = _write_read(spark, evaluate.baseline_table(feats), f"{out_dir}/baselines")
+    sinks.overwrite(evaluate.summarise_models(baselines), path=f"{out_dir}/baseline_summary")
+    sinks.overwrite(evaluate.best_model(baselines), path=f"{out_dir}/best_baselines")
+    results = ["features", "feature_summary", "baselines", "baseline_summary", "best_baselines"]
+    paths.update({n: f"{out_dir}/{n}" for n in results})
     return paths

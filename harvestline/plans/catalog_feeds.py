@@ -194,8 +194,7 @@ def q_price_api_rows(spark, sf_dir):
         )
     )
     docs = testdata.table(spark, sf_dir, "lineitem").select(F.concat(F.lit('{"items": ['), item, F.lit("]}")).alias("doc"))
-    rows = readers.api_observations(semistructured.explode_items(docs, "doc"))
-    return plain(rows.withColumn("source", F.lit("WFP")))
+    return plain(readers.api_observations(semistructured.explode_items(docs, "doc"), "WFP"))
 
 
 # --- features and series -------------------------------------------------------

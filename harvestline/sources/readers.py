@@ -9,9 +9,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from harvestline import schemas
 from harvestline.operators.reshape import date_between, drop_null_keys, standardize
@@ -87,9 +89,11 @@ def hdx_observations(
     return date_between(typed, "price_date", start, end)
 
 
-def api_observations(items: DataFrame) -> DataFrame:
+def api_observations(items: DataFrame, source: str | None = None) -> DataFrame:
     """Price-API items (from ``semistructured.explode_items``) -> typed
-    observations (P1, P2, P4)."""
+    observations, the columns that exist, stamped with ``source`` if given
+    (P1, P2, P4)."""
+    # Price-API item fields -> raw price columns.
     rename = {
         "marketName": "market_name",
         "commodityName": "commodity_name",
@@ -98,13 +102,24 @@ def api_observations(items: DataFrame) -> DataFrame:
         "commodityPrice": "price",
         "commodityPriceDate": "price_date",
     }
-    std = standardize(items, rename, HDX_KEEP)
+    needed = ["price", "price_date", "market_name", "commodity_name"]
+    std = standardize(items, rename, needed, HDX_KEEP)
     typed = std.withColumns(
         {"price": try_number(F.col("price")), "price_date": try_date(F.col("price_date"))}
     )
-    return drop_null_keys(typed, ["price", "price_date", "market_name", "commodity_name"])
+    if source:
+        typed = typed.withColumn("source", F.lit(source))
+    return drop_null_keys(typed, needed)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Literal rows as a local relation: the planner knows their size."""
+    columns = list(zip(*rows))
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema)
 
 
 def literal_locations(spark: SparkSession, rows: Sequence[tuple[str, float, float]]) -> DataFrame:
     """Fixed (market, latitude, longitude) list as a DataFrame."""
-    return spark.createDataFrame(list(rows), "market_name string, latitude double, longitude double")
+    schema = T.StructType().add("market_name", "string").add("latitude", "double").add("longitude", "double")
+    return local_table(spark, rows, schema)

@@ -24,6 +24,8 @@ NATIONAL_ITEMS = ["Beans", "Garri", "Rice"]
 PRICE_PATTERN = r"[0-9,]+\.[0-9]{2}"
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 CATALOGUE_LINK = r"/catalog/162/download/([0-9]+)([^\"'<> ]*)"
+# Markers of item tables and lines to skip are 'Item Label', 'APPENDIX',
+# 'NORTH' and 'Average of', in the functions below.
 MIN_PAGE_CHARS = 100
 MIN_LINE_CHARS = 20
 

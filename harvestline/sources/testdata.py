@@ -13,7 +13,8 @@ lineitem / orders):
   (exercises the FX dedupe), buying/selling at -1 %/+1 %; low-priority orders
   are quoted in EUR, the others in USD;
 * market seed = nation ⋈ region (regions other than EUROPE, so some observed
-  markets have no seed row); mapping and commodity seeds are small literals.
+  markets have no seed row, as J4 needs them); two nations play labels that P11
+  leaves out; mapping and commodity seeds are small literals.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline import schemas
+from harvestline.sources import readers
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -181,11 +183,11 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapping_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MAPPING_ROWS, schemas.SEED_MAPPING)
+    return readers.local_table(spark, MAPPING_ROWS, schemas.SEED_MAPPING)
 
 
 def commodity_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COMMODITY_SEED_ROWS, schemas.SEED_COMMODITIES)
+    return readers.local_table(spark, COMMODITY_SEED_ROWS, schemas.SEED_COMMODITIES)
 
 
 def market_seed(spark: SparkSession, sf_dir: str) -> DataFrame:

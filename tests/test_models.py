@@ -37,11 +37,13 @@ def test_per_commodity_training_and_forecast(spark):
         "roll_std_30d", F.when((F.col("market_name") == "A") & (F.col("price_date") == last), None).otherwise(F.col("roll_std_30d"))
     )
     req = spark.createDataFrame(
-        [("Rice", "A", 7), ("Rice", "B", 7), ("Rice", "B", 8), ("Rice", "Z", 7), ("Beans", "A", 30)],
+        [("Rice", "A", 7), ("Rice", "B", 7), ("Rice", "B", 8), ("Rice", "Z", 7), ("Beans", "A", 30),
+         ("Rice", "B", 6), ("Rice", "B", 31), ("Rice", "A", None)],
         "commodity string, market string, forecast_horizon_days int",
     )
     out = {(r.market, r.forecast_horizon_days, r.commodity): r for r in models.forecast(req, broken, {("Rice", 7): ms["Rice"]}).collect()}
-    assert len(out) == 5
+    assert len(out) == 7  # a request without a horizon asks for 7 days
+    assert out[("B", 6, "Rice")].status == out[("B", 31, "Rice")].status == "invalid_horizon"
     a = out[("A", 7, "Rice")]
     assert a.status == "ok" and a.forecast_date == last - dt.timedelta(days=1) + dt.timedelta(days=7)
     assert abs((a.upper_bound_ngn - a.predicted_price_ngn) - 1.96 * 0.1 * a.predicted_price_ngn) < 0.02
