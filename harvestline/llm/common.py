@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow.fs as pafs
@@ -105,3 +106,25 @@ def ship(spark: SparkSession) -> None:
                 z.write(p, p.relative_to(package.parent))
     sc.addPyFile(f.name)
     sc._harvestline_shipped = True
+
+
+_state: tuple[tuple, object] | None = None
+
+
+def worker_state(key: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between the tasks of one operator.
+
+    A worker keeps one such object: another operator's replaces it, so that
+    memory holds what the current stage needs.
+    """
+    global _state
+    if _state is None or _state[0] != key:
+        _state = None  # let go of the old one before the new one is made
+        _state = (key, make())
+    return _state[1]
+
+
+def drop_worker_state() -> None:
+    """For operators that keep nothing between tasks."""
+    global _state
+    _state = None

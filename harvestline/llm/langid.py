@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from harvestline.llm.common import drop_worker_state
+
 WORDS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 MAX_ORDER = 5
@@ -180,6 +182,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel) -> DataF
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         scorer = Scorer(shared.value)
         for batch in batches:
             found = [scorer.predict(t) for t in batch.column(2).to_pylist()]
@@ -204,6 +207,7 @@ def keep_identified(
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         scorer = Scorer(shared.value)
         for batch in batches:
             found = [scorer.predict(t) for t in batch.column(at).to_pylist()]

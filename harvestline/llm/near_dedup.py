@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import written
+from harvestline.llm.common import drop_worker_state, written
 from harvestline.llm.components import components
 
 THRESHOLD = 80  # per cent of the union
@@ -127,6 +127,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     """One row per document; empty sets have neither key, buckets nor signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 rows = batch.slice(i, 512)
@@ -193,6 +194,7 @@ def likely(pairs: DataFrame, threshold: int) -> DataFrame:
     bounds = least_matches(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             if batch.num_rows:
                 a, b = (_signatures(batch.column(i).to_pylist()) for i in (2, 3))
@@ -222,6 +224,7 @@ def likely_in_blocks(entries: DataFrame, reps: DataFrame, threshold: int) -> Dat
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             for i, j, members in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 x, y = ([m for m in members if m["own"] == side] for side in (i, j))
@@ -254,6 +257,7 @@ def compared(pairs: DataFrame, k: int, near: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         last, held = None, None
         for batch in batches:
             sizes, apart = [], []

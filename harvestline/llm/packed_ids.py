@@ -24,7 +24,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain, repeat
 from unicodedata import normalize
 
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import open_fs, scratch, write_once
+from harvestline.llm.common import open_fs, scratch, worker_state, write_once
 
 MAGIC = b"HLPK"
 HEAD = struct.Struct("<4sHHIQQ")
@@ -207,10 +206,9 @@ def _room(x: np.ndarray, n: int) -> np.ndarray:
     return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
 
-@lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
     """One per worker process: what it has learnt serves the process's later tasks."""
-    return WordEncoder(path)
+    return worker_state(("packed_ids", path), lambda: WordEncoder(path))
 
 
 def write_files(

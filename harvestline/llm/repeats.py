@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import discard, hinted, written
+from harvestline.llm.common import discard, drop_worker_state, hinted, written
 
 LENGTH = 400
 REACH = 20
@@ -152,6 +152,7 @@ def parsed(docs: DataFrame) -> DataFrame:
     """One row per shard: its documents' boundaries, and its suffixes with one-phrase blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
@@ -214,6 +215,7 @@ def initial(parse: DataFrame) -> DataFrame:
     """The first state: every suffix in the block of its first phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             for i in range(batch.num_rows):
                 d = _read(batch, i, {"steps": np.int32, "n_bounds": np.int32, "phrases": _U, "order": np.int32})
@@ -270,6 +272,7 @@ def refined(state: DataFrame, found: DataFrame) -> DataFrame:
     """The next round's state: finished suffixes go, the others' prefixes grow by a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             at = {n: i for i, n in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
@@ -334,6 +337,7 @@ def stretches(parse: DataFrame, found: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             for i in range(batch.num_rows):
                 s = _read(batch, i, {"place": np.int32, "label": _U, "cover": np.int32})
@@ -408,6 +412,7 @@ def contents(marked: DataFrame) -> DataFrame:
     """(no, at, label, content): each stretch with a hash of all its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             for i in range(batch.num_rows):
                 no, text, label, low, high = (batch.column(c)[i].as_py() for c in range(5))
@@ -464,6 +469,7 @@ def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
     """The bytes of each stretch to compare, with its place in its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             for i in range(batch.num_rows):
                 no, text, low, high, anchor, wanted = (batch.column(c)[i].as_py() for c in range(6))
@@ -513,6 +519,7 @@ def compared_in_groups(few: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             nos, lows, highs = [], [], []
             for group in batch.column(0):
@@ -621,6 +628,7 @@ def removed(marked: DataFrame, lone: DataFrame, again: DataFrame) -> DataFrame:
     """Per document with repeats: the removed runs and the digest of what stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):

@@ -23,6 +23,8 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from harvestline.llm.common import drop_worker_state
+
 KINDS = ("assign", "access", "hex", "entropy")
 
 # The base patterns and their least lengths.
@@ -159,6 +161,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: base counts, digest of the base spans, all spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for batch in batches:
             rows = {k: [] for k in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")}
             for text in batch.column(1).to_pylist():
@@ -204,6 +207,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         t = names.index("text")
         for batch in batches:
             old = batch.column(t).to_pylist()

@@ -26,7 +26,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -34,6 +33,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
+from harvestline.llm.common import worker_state
+
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 CACHE_CHUNKS = 800_000  # segmentations that a task remembers; beyond, it starts anew
@@ -341,13 +342,13 @@ ENCODED = "doc_id long, ids array<int>"
 CHECKED = "doc_id long, n_tokens long, ids_crc32 long, n_chars long, lossless boolean"
 
 
-@lru_cache(maxsize=2)
 def shared_encoder(model: str, dropout: float, seed: int, variants: int) -> Encoder:
     """One per worker process: what it has merged serves the process's later tasks."""
     # Strings and tuples of numbers by the hundred thousand, without cycles:
     # searching them for garbage again and again takes a tenth of the time.
     gc.set_threshold(200_000, 50, 100)
-    return Encoder(Vocabulary.load(model), dropout, seed, variants)
+    key = ("sentencepiece", model, dropout, seed, variants)
+    return worker_state(key, lambda: Encoder(Vocabulary.load(model), dropout, seed, variants))
 
 
 def encode(
