@@ -74,13 +74,18 @@ Z = 1.96
 # Rows that one task of a fit takes. Boosting makes thousands of passes, so a
 # fit gets tasks in proportion to its rows and no more.
 ROWS_PER_TASK = 50_000
+# Trees between checkpoints of the running predictions: often enough to keep
+# the lineage short, seldom enough not to spend a quarter of a small fit on them.
+CHECKPOINT_EVERY = 50
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], target: str, params: dict, rows: int) -> PipelineModel:
     """VectorAssembler + GBTRegressor fitted on ``train``, which has ``rows`` rows (M6)."""
     train = train.select(*features, target).repartition(max(1, -(-rows // ROWS_PER_TASK)))
     asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction", **params)
+    gbt = GBTRegressor(
+        featuresCol="_features", labelCol=target, predictionCol="prediction", checkpointInterval=CHECKPOINT_EVERY, **params
+    )
     return Pipeline(stages=[asm, gbt]).fit(train)
 
 
