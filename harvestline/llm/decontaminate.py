@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import ascii_lower
+from harvestline.llm.common import ascii_lower, hinted, written
 
 WINDOW = 10
 # Fixed value: what separates words, after lower-casing A-Z.
@@ -176,5 +176,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     """The rows of ``docs`` without any occurrence of a benchmark window; all columns stay."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hits = occurrences(keyed, with_prefix(windows_of(benchmark, window), keyed))
-    dirty = hits.select(F.col("doc_id").alias("dirty_id")).distinct()
+    # a row per contaminated document: texts are not shuffled to drop them
+    dirty = hinted(written(hits.select(F.col("doc_id").alias("dirty_id")).distinct(), "dirty"), F.lit(16))
     return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["dirty_id"]), "left_anti")

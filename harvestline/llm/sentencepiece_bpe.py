@@ -67,6 +67,7 @@ class Vocabulary:
 
     def __post_init__(self) -> None:
         """Tables for merging many chunks at once."""
+        self.numbers = list(range(len(self.pieces)))
         # what each id stands for, as UTF-8
         self.shown = [p.replace(MARK, " ").encode() for p in self.pieces]
         for b, i in enumerate(self.byte_ids):
@@ -143,7 +144,10 @@ class Vocabulary:
 
 
 class Encoder:
-    def __init__(self, vocab: Vocabulary, dropout: float = 0.1, seed: int = 0, variants: int = 8):
+    def __init__(
+        self, vocab: Vocabulary, dropout: float = 0.1, seed: int = 0, variants: int = 4, remember: int = CACHE_CHUNKS
+    ):
+        self.remember = remember
         self.vocab, self.dropout, self.seed, self.variants = vocab, dropout, seed, variants
         self.limit = int(dropout * SCALE)
         self.forget()
@@ -285,7 +289,9 @@ class Encoder:
         flat = grid[alive]
         ends = np.cumsum(alive.sum(axis=1)).tolist()
         odd = set(np.flatnonzero(((grid < -1) & alive).any(axis=1)).tolist())
-        flat, out, start = flat.tolist(), [], 0
+        # one object per id, however often it is kept
+        flat = [v.numbers[x] if x >= 0 else x for x in flat.tolist()]
+        out, start = [], 0
         for i, end in enumerate(ends):
             got = tuple(flat[start:end])
             if i in odd:  # characters outside the vocabulary
@@ -318,7 +324,7 @@ class Encoder:
 
     def encode_all(self, texts: list[str | None], doc_ids: list) -> list[list[int]]:
         """Ids of each text; none for null and empty ones."""
-        if self.n_known > CACHE_CHUNKS:
+        if self.n_known > self.remember:
             self.forget()
         known = self.known
         found = [self.blocks(t, d) if t else [] for t, d in zip(texts, doc_ids)]
@@ -342,22 +348,32 @@ ENCODED = "doc_id long, ids array<int>"
 CHECKED = "doc_id long, n_tokens long, ids_crc32 long, n_chars long, lossless boolean"
 
 
-def shared_encoder(model: str, dropout: float, seed: int, variants: int) -> Encoder:
+def shared_encoder(
+    model: str, dropout: float, seed: int, variants: int, remember: int = CACHE_CHUNKS
+) -> Encoder:
     """One per worker process: what it has merged serves the process's later tasks."""
     # Strings and tuples of numbers by the hundred thousand, without cycles:
     # searching them for garbage again and again takes a tenth of the time.
     gc.set_threshold(200_000, 50, 100)
-    key = ("sentencepiece", model, dropout, seed, variants)
-    return worker_state(key, lambda: Encoder(Vocabulary.load(model), dropout, seed, variants))
+    key = ("sentencepiece", model, dropout, seed, variants, remember)
+    return worker_state(key, lambda: Encoder(Vocabulary.load(model), dropout, seed, variants, remember))
 
 
 def encode(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 20, variants: int = 4
+    docs: DataFrame,
+    model: str,
+    dropout: float = 0.1,
+    seed: int = 20,
+    variants: int = 4,
+    remember: int = CACHE_CHUNKS // 4,
 ) -> DataFrame:
-    """(doc_id, ids) of each row of ``docs`` (doc_id, text); null text has null ids."""
+    """(doc_id, ids) of each row of ``docs`` (doc_id, text); null text has null ids.
+
+    ``remember`` bounds the segmentations a worker keeps; it changes no result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(model, dropout, seed, variants)
+        encoder = shared_encoder(model, dropout, seed, variants, remember)
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(i, ROWS)
