@@ -21,12 +21,12 @@ others go on until their common prefix covers ``CORE`` bytes. No suffix is sorte
 again. What remains are the repeated intervals.
 
 An exact check on bytes follows. All windows of ``LENGTH`` bytes whose first inner
-boundary starts a repeated interval form a stretch. A stretch whose whole
-content occurs twice is repeated at once. An interval with any other stretch has
-its distinct stretches compared: a few in one task, side by side from the
-boundary that they share; many by 128-bit hashes of their windows. Windows that
-have no inner interval (too few boundaries) are compared by hash among
-themselves.
+boundary starts a repeated interval form a stretch. Windows that have no inner
+interval (too few boundaries, as in periodic texts) form stretches by the place
+of their least hash. A stretch whose whole content occurs twice is repeated at
+once. A label with any other stretch has its distinct stretches compared: up to
+``GROUP_KINDS`` in one task, side by side from the place that they share; more by
+128-bit hashes of their windows.
 
 Null text is empty text. Rows are identified by doc_id and text, so equal rows
 get equal results, and are copies of each other. Long texts are parsed whole.
@@ -78,15 +78,20 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def place_hashes(b: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of the HASHED bytes from each place on."""
+    x = b[:-1].astype(np.uint16) | (b[1:].astype(np.uint16) << 8)
+    x = x[:-2].astype(np.uint32) | (x[2:].astype(np.uint32) << 16)
+    x = x[:-4].astype(_U) | (x[4:].astype(_U) << _U(32))
+    return ((x * _SPREAD) >> _U(32)).astype(np.uint32)
+
+
 def boundaries(b: np.ndarray) -> np.ndarray:
     """Places of the content-defined boundaries of one text's bytes."""
     n = len(b) - HASHED + 1
     if n < 2 * REACH + 1:
         return np.zeros(0, np.int64)
-    x = b[:-1].astype(np.uint16) | (b[1:].astype(np.uint16) << 8)
-    x = x[:-2].astype(np.uint32) | (x[2:].astype(np.uint32) << 16)
-    x = x[:-4].astype(_U) | (x[4:].astype(_U) << _U(32))
-    h = ((x * _SPREAD) >> _U(32)).astype(np.uint32)
+    h = place_hashes(b)
     side = _least(h, REACH)
     at = h[REACH : n - REACH]
     return np.flatnonzero((at < side[: len(at)]) & (at < side[REACH + 1 : REACH + 1 + len(at)])) + REACH
@@ -405,7 +410,49 @@ def _document_stretches(b: np.ndarray, n: int, places: np.ndarray, labels: np.nd
     return label[use], tight_low[use], high[use], b[use], loose_lows, loose_highs
 
 
-MARKED = "key binary, no long, text string, " + STRETCHES.split(", ", 1)[1]
+MARKED = "key binary, no long, text string, label array<long>, low array<long>, high array<long>, anchor array<long>"
+
+
+def loose_stretches(b: np.ndarray, low: int, high: int):
+    """(labels, lows, highs, anchors) of the window starts low .. high that have no inner interval.
+
+    A window's anchor is the first place of the least hash in its inner part;
+    neighbours with one anchor form a stretch, labelled by the bytes around it.
+    """
+    inner = place_hashes(b[low + REACH : high + LENGTH - AFTER + HASHED]).astype(_U)
+    ranked = (inner << _U(32)) | np.arange(len(inner), dtype=_U)
+    least = _least(ranked, LENGTH - AFTER - REACH + 1) & _U(0xFFFFFFFF)
+    anchors = least.astype(np.int64) + low + REACH
+    first = np.flatnonzero(np.diff(anchors, prepend=-1))
+    lows, anchors = first + low, anchors[first]
+    highs = np.append(lows[1:] - 1, high)
+    view = memoryview(b)
+    labels = [xxhash.xxh3_64_intdigest(view[a - REACH : a + AFTER]) for a in anchors.tolist()]
+    return np.array(labels, _U).view(np.int64), lows, highs, anchors
+
+
+def with_loose(marked: DataFrame) -> DataFrame:
+    """Marked documents with stretches for their loose windows, too."""
+    columns = ["key", "no", "text", "label", "low", "high", "anchor"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
+        for batch in batches:
+            lists: list[list] = [[] for _ in range(4)]
+            for i in range(batch.num_rows):
+                found = [[batch.column(c)[i].values.to_numpy()] for c in range(3, 7)]
+                lows, highs = (batch.column(c)[i].as_py() for c in (7, 8))
+                if lows:
+                    b = np.frombuffer(batch.column(2)[i].as_py().encode(), np.uint8)
+                    for low, high in zip(lows, highs):
+                        for x, more in zip(found, loose_stretches(b, low, high)):
+                            x.append(more)
+                for x, parts in zip(lists, found):
+                    x.append(np.concatenate(parts))
+            arrays = [pa.array(x, pa.list_(pa.int64())) for x in lists]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), *arrays], names=columns)
+
+    return marked.select(*columns, "loose_low", "loose_high").mapInArrow(run, MARKED)
 
 
 def contents(marked: DataFrame) -> DataFrame:
@@ -548,12 +595,11 @@ def compared_in_groups(few: DataFrame) -> DataFrame:
     return groups.select("group").mapInArrow(run, RANGES)
 
 
-def single_windows(many: DataFrame, marked: DataFrame) -> DataFrame:
-    """(content, no, starts, open): the distinct windows to compare one by one.
+def single_windows(many: DataFrame) -> DataFrame:
+    """(content, no, starts, open): the distinct windows of intervals with many contents.
 
-    Those of intervals with many contents, and the loose ones. A window that a
-    range holds several times is repeated already; it stays one row, so that
-    periodic texts cost no more rows than they have different windows.
+    A window that a stretch holds several times is repeated already; it stays
+    one row.
     """
 
     def batches_of(rows):
@@ -583,19 +629,8 @@ def single_windows(many: DataFrame, marked: DataFrame) -> DataFrame:
                 rows = windows_in(no, memoryview(b), [(0, high - low)], lone)
                 yield from batches_of([(c, n, [low + p for p in x], o) for c, n, x, o in rows])
 
-    def of_loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                no, text, low, high = (batch.column(c)[i].as_py() for c in range(4))
-                yield from batches_of(windows_in(no, memoryview(text.encode()), zip(low, high), True))
-
     schema = "content binary, no long, starts array<long>, open boolean"
-    loose = marked.where("size(loose_low) > 0").select("no", "text", "loose_low", "loose_high")
-    return (
-        many.select("no", "lone", "low", "high", "bytes")
-        .mapInArrow(of_pieces, schema)
-        .union(loose.mapInArrow(of_loose, schema))
-    )
+    return many.select("no", "lone", "low", "high", "bytes").mapInArrow(of_pieces, schema)
 
 
 def compared_singly(found: DataFrame) -> DataFrame:
@@ -676,16 +711,17 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     marked = written(
         own.dropDuplicates(["key"])
         .join(marks, "key")
-        .withColumn("no", F.monotonically_increasing_id())
-        .select([c.split()[0] for c in MARKED.split(", ")]),
-        "marked",
+        .withColumn("no", F.monotonically_increasing_id()),
+        "texts",
     )
+    texts, marked = marked, written(with_loose(marked), "marked")
+    discard(texts)
     discard(marks)
     distinct = written(distinct_contents(contents(marked)), "contents")
     plan = written(planned(distinct), "plan")
     discard(distinct)
     parts = written(pieces(marked, plan), "pieces")
-    windows = written(single_windows(parts.where(f"kinds > {GROUP_KINDS}"), marked), "windows")
+    windows = written(single_windows(parts.where(f"kinds > {GROUP_KINDS}")), "windows")
     again = compared_in_groups(parts.where(f"kinds <= {GROUP_KINDS}")).union(compared_singly(windows))
     again = again.groupBy("no").agg(F.collect_set(F.struct("low", "high")).alias("again"))
     again, lone = written(again, "again"), written(lone_stretches(plan), "lone")
