@@ -18,6 +18,7 @@ everything is ``und``. Rows are judged one by one, so repeated rows agree.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 MAX_ORDER = 5
 # Words of which a task keeps the looked-up scores; beyond, it starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 @dataclass
@@ -130,8 +131,8 @@ def counted(labelled: DataFrame) -> DataFrame:
 def train(
     labelled: DataFrame,
     docs_per_lang: int = 500,
-    max_words: int = 20_000,
-    max_grams: int = 6_000,
+    max_words: int = 15_000,
+    max_grams: int = 4_000,
 ) -> LanguageModel:
     """Fit on the rows of ``labelled`` (lang, text) with neither of them null."""
     pool = labelled.select(
@@ -179,11 +180,11 @@ PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
 def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row; ``docs`` has the first two and ``text``."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
-        scorer = Scorer(shared.value)
+        scorer = Scorer(pickle.loads(shared.value))  # a task's own: gone with the task
         for batch in batches:
             found = [scorer.predict(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -203,12 +204,12 @@ def keep_identified(
     spark: SparkSession, docs: DataFrame, model: LanguageModel, least_score: float = 0.5
 ) -> DataFrame:
     """The rows of ``docs`` whose language is determined with ``least_score`` or more; all columns stay."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(pickle.dumps(model))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
-        scorer = Scorer(shared.value)
+        scorer = Scorer(pickle.loads(shared.value))  # a task's own: gone with the task
         for batch in batches:
             found = [scorer.predict(t) for t in batch.column(at).to_pylist()]
             keep = [lang != UNDETERMINED and score >= least_score for lang, score in found]

@@ -74,7 +74,7 @@ class Vocabulary:
             self.shown[i] = bytes([b])
         # rank: place by score, best first, equal scores sharing one
         order = sorted(self.scores, key=lambda p: -self.scores[p])
-        self.char_ids = np.full(0x110000, -1, np.int64)
+        self.char_ids = np.full(1 + max(ord(p) for p in self.ids if len(p) == 1), -1, np.int32)
         pairs, rank, self_rank = [], -1, {}
         for p in order:
             rank += 1
@@ -92,7 +92,7 @@ class Vocabulary:
         keys = np.array([k for k, _ in pairs], np.uint64)
         ranks = np.array([r for _, r in pairs], np.int64)
         # open addressing: a slot by multiplicative hash, then the next ones
-        self.bits = 20
+        self.bits = max(4, (8 * len(pairs)).bit_length())
         self.slots = np.zeros(1 << self.bits, np.uint64)
         self.slot_rank = np.full(1 << self.bits, NEVER, np.int64)
         for k, r in zip(keys.tolist(), ranks.tolist()):
@@ -365,7 +365,7 @@ def encode(
     dropout: float = 0.1,
     seed: int = 20,
     variants: int = 4,
-    remember: int = CACHE_CHUNKS // 4,
+    remember: int = CACHE_CHUNKS // 8,
 ) -> DataFrame:
     """(doc_id, ids) of each row of ``docs`` (doc_id, text); null text has null ids.
 
