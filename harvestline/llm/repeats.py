@@ -51,7 +51,7 @@ HASHED = 8
 CORE = 150  # bytes that a repeated interval's common prefix covers at least
 SHARD_BYTES = 6 << 20  # a shard is a row of a few MB, of which a task holds some at a time
 DEPTH = 8  # phrases by which suffixes are sorted: CORE / (REACH + 1), a power of two
-GROUP_KINDS = 512  # contents of an interval that one task compares; more are compared by window
+GROUP_KINDS = 4096  # contents of an interval (2 MB) that one task compares; more are compared by window
 # A boundary at i is decided by the bytes i - REACH .. i + AFTER - 1.
 AFTER = REACH + HASHED
 
@@ -273,7 +273,7 @@ def lone_blocks(state: DataFrame) -> DataFrame:
     )
 
 
-def refined(state: DataFrame, found: DataFrame) -> DataFrame:
+def refined(state: DataFrame, found: DataFrame, first: bool) -> DataFrame:
     """The next round's state: finished suffixes go, the others' prefixes grow by a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,16 +313,17 @@ def refined(state: DataFrame, found: DataFrame) -> DataFrame:
                 yield _state(batch.column(at["shard"]).slice(i, 1), s)
 
     columns = ["shard", *SUFFIXES]
-    found = hinted(found, 8 * F.size("found"))
+    if not first:  # most labels are found alone in the first round
+        found = hinted(found, 8 * F.size("found"))
     return state.select(columns).join(found, "shard", "left").mapInArrow(run, STATE)
 
 
 def intervals(parse: DataFrame) -> DataFrame:
     """(shard, place, label, cover) of the suffixes in repeated intervals that cover CORE bytes."""
-    state = initial(parse)
+    state, first = initial(parse), True
     while True:
         found = written(lone_blocks(state), "blocks")
-        grown = written(refined(state, found), "merge")
+        grown, first = written(refined(state, found, first), "merge"), False
         discard(state, found)
         state = grown
         if not state.where(F.size("keys") > 0).limit(1).count():
@@ -509,7 +510,7 @@ def lone_stretches(plan: DataFrame) -> DataFrame:
     return plan.where("lone").groupBy("no").agg(F.collect_list("at").alias("lone"))
 
 
-PIECES = "no long, label long, kinds long, lone boolean, low long, high long, anchor long, bytes binary"
+PIECES = "no long, label long, many boolean, lone boolean, low long, high long, anchor long, bytes binary"
 
 
 def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
@@ -519,25 +520,26 @@ def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
         drop_worker_state()
         for batch in batches:
             for i in range(batch.num_rows):
-                no, text, low, high, anchor, wanted = (batch.column(c)[i].as_py() for c in range(6))
+                no, text, label, low, high, anchor, wanted = (batch.column(c)[i].as_py() for c in range(7))
                 b = memoryview(text.encode())
                 rows = [
-                    (w["label"], w["kinds"], w["lone"], low[k], high[k], anchor[k], bytes(b[low[k] : high[k] + LENGTH]))
+                    (label[k], bool(w & 1), bool(w & 2), low[k], high[k], anchor[k], bytes(b[low[k] : high[k] + LENGTH]))
                     for w in wanted
-                    for k in [w["at"]]
+                    for k in [w >> 2]
                 ]
-                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                types = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([no] * len(rows), pa.int64())]
                     + [pa.array(c, t) for c, t in zip(zip(*rows), types)],
                     names=[c.split()[0] for c in PIECES.split(", ")],
                 )
 
-    wanted = plan.where("kinds > 1").groupBy("no").agg(
-        F.collect_list(F.struct("at", "label", "kinds", "lone")).alias("wanted")
-    )
-    wanted = hinted(written(wanted, "wanted"), 64 + 40 * F.size("wanted"))
-    return marked.join(wanted, "no").select("no", "text", "low", "high", "anchor", "wanted").mapInArrow(run, PIECES)
+    # a number per stretch: its place, whether it is lone, whether its contents are many
+    flags = 4 * F.col("at") + F.when(F.col("lone"), 2).otherwise(0) + F.when(F.col("kinds") > GROUP_KINDS, 1).otherwise(0)
+    wanted = plan.where("kinds > 1").groupBy("no").agg(F.collect_list(flags.cast("int")).alias("wanted"))
+    wanted = hinted(written(wanted, "wanted"), 64 + 4 * F.size("wanted"))
+    columns = ["no", "text", "label", "low", "high", "anchor", "wanted"]
+    return marked.join(wanted, "no").select(columns).mapInArrow(run, PIECES)
 
 
 def _grid(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -721,8 +723,8 @@ def repeats_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     plan = written(planned(distinct), "plan")
     discard(distinct)
     parts = written(pieces(marked, plan), "pieces")
-    windows = written(single_windows(parts.where(f"kinds > {GROUP_KINDS}")), "windows")
-    again = compared_in_groups(parts.where(f"kinds <= {GROUP_KINDS}")).union(compared_singly(windows))
+    windows = written(single_windows(parts.where("many")), "windows")
+    again = compared_in_groups(parts.where("not many")).union(compared_singly(windows))
     again = again.groupBy("no").agg(F.collect_set(F.struct("low", "high")).alias("again"))
     again, lone = written(again, "again"), written(lone_stretches(plan), "lone")
     found = written(removed(marked, lone, again), "removed")
