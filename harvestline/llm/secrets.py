@@ -5,8 +5,12 @@ maximal run of secret-like characters of at least ``min_candidate`` characters
 is a candidate; a window slides over it, character counts are kept
 incrementally (one in, one out), and the Shannon entropy of the window is
 compared with a threshold per character class (hex digits, lower-case letters
-and digits, base64). Windows over the threshold are merged into spans;
-candidates on the allow-list are suppressed. Base spans always stay.
+and digits, upper-case letters and digits, base64). A threshold is the entropy
+that all but ``MISS`` of the windows of random strings over the class's alphabet
+reach, computed exactly. A candidate with a window over its threshold is a span
+as a whole, so that no part of a secret is left; candidates on the allow-list
+are suppressed. Base spans always stay. A window of letters alone is never over
+the threshold (words look like that): of random base62 windows 3 % are so.
 
 Null text is empty text and has no spans. Positions are code points, end
 exclusive. Repeated rows give repeated results; column names other than
@@ -18,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from math import log2
+from math import factorial, log2, prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,9 +44,42 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 ASSIGN_HINT = re.compile(r"[:=]")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 
-# Parameters of the method: window, and least entropy in bits per class.
+# Parameters of the method: window, share of random windows that a threshold may
+# miss, and the size of each class's alphabet (base32 is the smaller one of
+# letters of one case with digits).
 WINDOW = 20
-THRESHOLDS = {"hex": 3.0, "alnum": 3.7, "base64": 4.0}
+MISS = 0.01
+ALPHABETS = {"hex": 16, "alnum": 32, "upper": 32, "base64": 62}
+
+
+def partitions(n: int, most: int) -> Iterator[tuple[int, ...]]:
+    """The ways to write ``n`` as a sum of parts of at most ``most``, largest first."""
+    if n == 0:
+        yield ()
+    for first in range(min(n, most), 0, -1):
+        for rest in partitions(n - first, first):
+            yield (first, *rest)
+
+
+def random_entropy(alphabet: int, miss: float = MISS, window: int = WINDOW) -> float:
+    """The entropy that random windows over ``alphabet`` characters miss at a rate of ``miss`` at most."""
+    weights = []
+    for counts in partitions(window, window):
+        if len(counts) <= alphabet:
+            repeats = prod(factorial(counts.count(c)) for c in {*counts})
+            ways = factorial(alphabet) // factorial(alphabet - len(counts)) // repeats
+            ways *= factorial(window) // prod(map(factorial, counts))
+            weights.append((log2(window) - sum(c * log2(c) for c in counts) / window, ways))
+    below = 0
+    for entropy, ways in sorted(weights):
+        below += ways
+        if below > miss * alphabet**window:
+            return entropy - 1e-6  # windows of just this entropy pass, however they are summed
+    raise ValueError(miss)
+
+
+# Least entropy in bits per class.
+THRESHOLDS = {name: random_entropy(n) for name, n in ALPHABETS.items()}
 # Strings that look random but are no secrets: prefixes of public identifiers.
 ALLOW = (
     re.compile(r"^(?:sha1|sha256|sha512|md5)[-_=]", re.IGNORECASE),
@@ -86,6 +123,8 @@ def char_class(window_counts: dict[str, int]) -> str:
         return "hex"
     if all(c.isdigit() or c.islower() for c in chars):
         return "alnum"
+    if all(c.isdigit() or c.isupper() for c in chars):
+        return "upper"
     return "base64"
 
 
@@ -96,6 +135,7 @@ def entropy_runs(s: str, window: int = WINDOW, thresholds: dict[str, float] | No
     kept along, so each step costs O(1) besides the class test.
     """
     limits = thresholds or THRESHOLDS
+    least = min(limits.values())
     xlogx = [0.0] + [c * log2(c) for c in range(1, window + 1)]
     counts: dict[str, int] = {}
     total = 0.0
@@ -117,7 +157,7 @@ def entropy_runs(s: str, window: int = WINDOW, thresholds: dict[str, float] | No
             entropy = top - total / window
             # Mixed windows only: letters and digits both, as keys have.
             if (
-                entropy >= limits["hex"]
+                entropy >= least
                 and any(x.isdigit() for x in counts)
                 and any(x.isalpha() for x in counts)
                 and entropy >= limits[char_class(counts)]
@@ -131,13 +171,12 @@ def entropy_runs(s: str, window: int = WINDOW, thresholds: dict[str, float] | No
 
 
 def entropy_spans(text: str) -> list[tuple[int, int, str]]:
-    """Spans that the method adds, allow-listed candidates left out."""
+    """Spans that the method adds, each a whole candidate; allow-listed ones are left out."""
     out = []
     for m in CANDIDATE_LONG.finditer(text):
         s = m.group()
-        if any(a.match(s) for a in ALLOW):
-            continue
-        out += [(m.start() + a, m.start() + b, "entropy") for a, b in entropy_runs(s)]
+        if not any(a.match(s) for a in ALLOW) and entropy_runs(s):
+            out.append((m.start(), m.end(), "entropy"))
     return out
 
 

@@ -134,6 +134,40 @@ def test_entropy_adds_and_allow_list_suppresses():
     assert not added(SECRETS[6])
 
 
+UPPER_36 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+KEYS = {
+    "hex": "0123456789ABCDEF",
+    "lower": UPPER_36.lower(),
+    "upper": UPPER_36,
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base62": UPPER_36 + UPPER_36[:26].lower(),
+    "base64": UPPER_36 + UPPER_36[:26].lower() + "+/",
+}
+
+
+@pytest.mark.parametrize("size", [20, 24, 32, 40])
+@pytest.mark.parametrize("kind", KEYS)
+def test_planted_random_keys_are_found_and_masked_whole(kind, size):
+    rng = np.random.default_rng(size)
+    n, found = 400, 0
+    for _ in range(n):
+        key = "".join(rng.choice(list(KEYS[kind]), size))
+        hit = secrets.masked(f"the key {key}, then words") == "the key [SECRET], then words"
+        assert hit or secrets.masked(f"the key {key}, then words") == f"the key {key}, then words"
+        found += hit
+    # a lone window: the threshold's miss rate and that of windows without a digit
+    assert found / n >= (0.93 if size == 20 else 0.97)
+
+
+def test_random_entropy_is_the_quantile_of_random_windows():
+    rng = np.random.default_rng(3)
+    for name, size in secrets.ALPHABETS.items():
+        counts = np.apply_along_axis(np.bincount, 1, rng.integers(0, size, (20_000, secrets.WINDOW)), minlength=size)
+        share = counts / secrets.WINDOW
+        entropy = -(share * np.log2(np.where(share > 0, share, 1))).sum(axis=1)
+        assert (entropy < secrets.THRESHOLDS[name]).mean() <= secrets.MISS * 1.3
+
+
 def test_secret_scan_and_redaction(spark):
     rows = documents() + [(1000 + i, t, "en", "s", len(t)) for i, t in enumerate(SECRETS)]
     docs = frame(spark, rows, clashing=True)
