@@ -59,6 +59,36 @@ def test_url_model_on_hosts_it_has_not_seen(spark):
     assert [got[i] for i in range(len(rows))] == ["block"] * len(bad) + ["allow"] * len(good)
 
 
+def test_url_model_on_paths_alone(spark):
+    bad = ["online-casino/free-bets/", "casino-bonus/77.html", "viagra/cheap", "adult/cams/3", "porn-video/", "free-spins/"]
+    good = ["news/77.html", "recipes/lentil-soup/", "wiki/Trade", "history/of/letters", "77", "weather/77.html"]
+    rows = [(i, f"https://{h}/{p}", "") for h in ("blog.x.org", "quarry.test") for i, p in enumerate(bad + good)]
+    pages = frame(spark, rows, "page_id long, url string, html string")
+    for r in url_filter.judged(pages, url_filter.train(spark)).collect():
+        assert r.rule is None
+        assert r.verdict == ("block" if r.page_id < len(bad) else "allow"), (r.host, r.path, r.score)
+
+
+def test_url_model_on_unwanted_hosts_of_the_test_tables(spark):
+    bad = ["casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets", "ads-track"]
+    rows = [(i, f"https://{h}.example.net/en/{n}", "") for i, h in enumerate(bad) for n in (7, 7733)]
+    pages = frame(spark, rows, "page_id long, url string, html string")
+    for r in url_filter.judged(pages, url_filter.train(spark)).collect():
+        assert (r.rule, r.verdict) == (None, "block"), (r.host, r.score)
+
+
+def test_labelled_table_holds_no_host_of_the_test_tables(spark):
+    pages = url_filter.with_parts(spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url"))
+
+    def stem(host):
+        labels = [x for x in host.split(".") if x not in ("www", "m", "blog")]
+        return labels[0] if labels else host
+
+    judged = {stem(r.host) for r in pages.select("host").distinct().collect() if r.host}
+    assert not judged & {*url_filter.GOOD_STEMS, *url_filter.BAD_STEMS}
+    assert len(judged) > 50
+
+
 def brute_pages(rows):
     newest = {}
     for p, _, html in rows:
