@@ -17,9 +17,10 @@ and verified occurrences. The benchmark side is broadcast only after its size is
 measured against ``BROADCAST_BYTES``; beyond that candidates are joined by
 shuffle and verified with the texts that have any.
 
-Null or word-free texts have no words and no hits; null doc_ids and repeated
-rows are judged row by row in ``marked`` (each row gets a number of its own
-only within its text, so equal rows get equal results). Items without words
+Null or word-free texts have no words and no hits. A row goes by its doc_id and
+the 128-bit hash of its text: rows with a null doc_id, or one that other texts
+share, are judged each by its own text, and equal rows get equal results. Items
+without words
 have no windows; equal windows of several items count for each of them.
 """
 
@@ -34,6 +35,7 @@ WINDOW = 10
 # Fixed value: what separates words, after lower-casing A-Z.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_BYTES = 32 << 20
+ROW = ("doc_id", "text_key")
 
 
 def with_words(texts: DataFrame, *keep: str) -> DataFrame:
@@ -47,6 +49,18 @@ def with_words(texts: DataFrame, *keep: str) -> DataFrame:
     return parts.select(*keep, F.slice("_parts", first + 1, n - first - last).alias("w"))
 
 
+def row_keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text): what tells a row's text from others, whatever its doc_id."""
+    text = F.col("text").cast("string")
+    key = F.unhex(F.md5(text)).alias("text_key")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, text.alias("text"))
+
+
+def same_row(prefix: str) -> Column:
+    """Whether the row's key and the one in the columns with ``prefix`` are equal."""
+    return F.expr(" and ".join(f"{k} <=> {prefix}_{k}" for k in ROW))
+
+
 def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(words, size, items): the distinct windows with the items that have them."""
     items = with_words(benchmark.select(F.col("item_id").cast("string").alias("item"), "text"), "item")
@@ -98,8 +112,8 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, start, size, items) of every verified occurrence; start is 0-based."""
-    words = with_words(docs, "doc_id")
+    """(doc_id, text_key, start, size, items) of every verified occurrence; start is 0-based."""
+    words = with_words(docs, *ROW)
     text = F.expr("aggregate(words, 0L, (a, x) -> a + octet_length(x) + 16)")
     start = F.expr("pos - place").alias("start")
     fits = "pos >= place and pos - place + size <= size(w)"
@@ -108,29 +122,29 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
         # The join is probed as the words are laid out; only a verified
         # candidate becomes a row.
         return (
-            words.select("doc_id", "w", F.posexplode_outer("w").alias("pos", "token"))
+            words.select(*ROW, "w", F.posexplode_outer("w").alias("pos", "token"))
             .join(F.broadcast(windows), "token")
             .where(f"{fits} and {same}")
-            .select("doc_id", start, "size", "items")
+            .select(*ROW, start, "size", "items")
         )
     # Candidates first, without texts; then each text once more, with its own.
-    placed = words.select("doc_id", F.size("w").alias("n"), F.posexplode_outer("w").alias("pos", "token"))
+    placed = words.select(*ROW, F.size("w").alias("n"), F.posexplode_outer("w").alias("pos", "token"))
     candidates = (
         placed.join(windows, "token")
         .where("pos >= place and pos - place + size <= n")
-        .groupBy(F.col("doc_id").alias("found_id"))
+        .groupBy(*[F.col(k).alias(f"found_{k}") for k in ROW])
         .agg(F.collect_set(F.struct("pos", "place", "size", "words", "items")).alias("found"))
     )
     return (
-        words.join(candidates, F.expr("doc_id <=> found_id"))
-        .select("doc_id", "w", F.inline("found"))
+        words.join(candidates, same_row("found"))
+        .select(*ROW, "w", F.inline("found"))
         .where(same)
-        .select("doc_id", start, "size", "items")
+        .select(*ROW, start, "size", "items")
     )
 
 
 def hit_summary(found: DataFrame) -> DataFrame:
-    """(doc_id, n_hit, items): words inside any occurrence, and the sorted distinct items."""
+    """(doc_id, text_key, n_hit, items): words inside any occurrence, and the sorted distinct items."""
     spans = F.array_sort(F.collect_set(F.struct("start", "size")))
     merged = F.aggregate(
         "spans",
@@ -145,24 +159,25 @@ def hit_summary(found: DataFrame) -> DataFrame:
         lambda a: a["n"],
     )
     return (
-        found.groupBy("doc_id")
+        found.groupBy(*ROW)
         .agg(
             spans.alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
-        .select("doc_id", merged.alias("n_hit"), "items")
+        .select(*ROW, merged.alias("n_hit"), "items")
     )
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = row_keyed(docs)
     windows = with_prefix(windows_of(benchmark, window), docs)
     hits = hit_summary(occurrences(docs, windows))
-    sizes = with_words(docs, "doc_id").select("doc_id", F.size("w").cast("long").alias("n_words"))
+    sizes = with_words(docs, *ROW).select(*ROW, F.size("w").cast("long").alias("n_words"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return sizes.join(hits.withColumnRenamed("doc_id", "hit_id"), F.expr("doc_id <=> hit_id"), "left").select(
+    hits = hits.withColumnsRenamed({k: f"hit_{k}" for k in ROW})
+    return sizes.join(hits, same_row("hit"), "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
@@ -174,8 +189,11 @@ def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a benchmark window; all columns stay."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = row_keyed(docs)
     hits = occurrences(keyed, with_prefix(windows_of(benchmark, window), keyed))
     # a row per contaminated document: texts are not shuffled to drop them
-    dirty = hinted(written(hits.select(F.col("doc_id").alias("dirty_id")).distinct(), "dirty"), F.lit(16))
-    return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["dirty_id"]), "left_anti")
+    dirty = hits.select(*[F.col(k).alias(f"_dirty_{k}") for k in ROW]).distinct()
+    dirty = hinted(written(dirty, "dirty"), F.lit(40))
+    own = docs["doc_id"].cast("long").eqNullSafe(dirty["_dirty_doc_id"])
+    text_key = F.unhex(F.md5(docs["text"].cast("string")))
+    return docs.join(dirty, own & text_key.eqNullSafe(dirty["_dirty_text_key"]), "left_anti")

@@ -188,6 +188,21 @@ def test_hits_against_brute_force(spark, monkeypatch):
     assert decontaminate.marked(frame(spark, docs).limit(0), table).count() == 0
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_own_text(spark, monkeypatch):
+    item = " ".join(f"w{i}" for i in range(12))
+    rows = [(d, t, "en", "s", len(t)) for d in (None, 7) for t in (f"before {item} after", "clean words only")]
+    docs = frame(spark, rows, clashing=True)
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for bound in (decontaminate.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", bound)
+        got = decontaminate.marked(docs, table).collect()
+        found = sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got)
+        assert found == [(d, n, h, i, h > 0) for d in (0, 7) for n, h, i in ((3, 0, 0), (14, 12, 1))]
+        kept = decontaminate.clean(docs, table)
+        assert kept.schema == docs.schema
+        assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, rows[1][1]), (7, rows[1][1])]
+
+
 def test_decontamination_plan_is_native(spark):
     plan = queries.QUERIES["op7_decontamination"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
