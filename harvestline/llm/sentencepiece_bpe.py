@@ -5,13 +5,16 @@ fallback. A text is cut before each run of spaces (no piece of such a model
 has a space mark after another character, so no merge crosses the cut), and
 each chunk is merged with an agenda: a heap of candidate merges, best score
 first, leftmost on ties. With dropout, a candidate taken from the agenda is
-skipped if a keyed hash of (seed, variant, chunk, position, pair) falls below
-the dropout rate; a skipped merge returns only if a later merge makes a new
-candidate. A chunk's variant comes from a keyed hash of the document and the
-chunk's place in it (blocks of 64 chunks share one), modulo ``variants``, so a
-chunk has several segmentations within a text and a corpus, while a task
-remembers those it has made. Everything is determined by seed, document and text: a retried task
-gives the same ids. Dropout 0 gives the library's own segmentation.
+skipped if a keyed hash of (seed, document, the chunk's place in it, position,
+pair) falls below the dropout rate; a skipped merge returns only if a later
+merge makes a new candidate. Every occurrence of a chunk is thus drawn on its
+own. What a task remembers is not segmentations of occurrences but the order of
+merges: for a chunk and the candidates skipped so far, the candidates that come
+next and the ids if none of them is skipped. An occurrence's draws lead through
+these; chunks that are rare or long are merged by themselves, with equal
+results. A document goes by its id and its text. Everything is determined by
+seed, document and text: a retried task gives the same ids. Dropout 0 gives the
+library's own segmentation.
 
 Characters outside the vocabulary become byte pieces, as does the space mark
 itself where a text holds it, so decoding gives back every text exactly; null texts have null ids and decode to null, empty texts
@@ -24,7 +27,8 @@ import gc
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -37,19 +41,32 @@ from harvestline.llm.common import worker_state
 
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE_CHUNKS = 800_000  # segmentations that a task remembers; beyond, it starts anew
+CACHE_CHUNKS = 800_000  # orders of merges that a task remembers; beyond, it starts anew
 LOCKSTEP = 24  # longest chunk that is merged together with others
 NEVER = 1 << 40
 OFFSET = 1 << 21  # makes ids and numbers of characters positive
 WORD = (1 << 64) - 1
 MIX = 0xD6E8FEB86659FD93
 ROWS = 128  # per output batch
-BLOCK = 64  # chunks in a row that share a variant
 OWN_MARK = -1
 SCALE = 1 << 64
 SPREAD = 0x9E3779B97F4A7C15
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers spread evenly, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def grown(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, or a longer one that begins with it if it holds fewer than ``size``."""
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.full(max(size, 2 * len(array)) - len(array), -1, array.dtype)])
+
+
 def pair_key(left, right):
     """Two ids (or characters, as numbers under -1) as one non-zero 64-bit number."""
     if isinstance(left, np.ndarray):
@@ -144,21 +161,53 @@ class Vocabulary:
 
 
 class Encoder:
-    def __init__(
-        self, vocab: Vocabulary, dropout: float = 0.1, seed: int = 0, variants: int = 4, remember: int = CACHE_CHUNKS
-    ):
+    def __init__(self, vocab: Vocabulary, dropout: float = 0.1, seed: int = 0, remember: int = CACHE_CHUNKS):
         self.remember = remember
-        self.vocab, self.dropout, self.seed, self.variants = vocab, dropout, seed, variants
+        self.vocab, self.dropout, self.seed = vocab, dropout, seed
         self.limit = int(dropout * SCALE)
         self.forget()
 
     def forget(self) -> None:
-        """Start anew with what is known: ids by variant and chunk."""
-        self.n_known = 0
-        self.known: dict[int, dict[str, tuple[int, ...]]] = {v: {} for v in range(self.variants)}
+        """Start anew with what is known: a node per chunk and candidates skipped so far.
+
+        A node has the chunk, the places of what was skipped among the candidates,
+        its ids if nothing more is skipped, and the candidates from ``start`` to
+        ``end`` in ``codes``, with the node that skipping each leads to.
+        """
+        self.roots: dict[str | None, int] = {}
+        self.nodes: list[tuple[str | None, tuple[int, ...]]] = []
+        self.node_ids: list[tuple[int, ...]] = []
+        self.start, self.end = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.codes, self.child = np.zeros(4096, np.uint64), np.full(4096, -1, np.int64)
+        self.n_codes = 0
         # A space mark that the text itself holds is written as bytes, so that
         # decoding tells it from a space.
-        self.known[OWN_MARK] = {MARK: tuple(self.vocab.byte_ids[b] for b in MARK.encode())}
+        self.roots[None] = self.add(None, (), [], tuple(self.vocab.byte_ids[b] for b in MARK.encode()))
+
+    def add(self, chunk: str | None, skips: tuple[int, ...], codes: list[int], ids: tuple[int, ...]) -> int:
+        """A new node's number."""
+        node, n = len(self.nodes), self.n_codes
+        self.nodes.append((chunk, skips))
+        self.node_ids.append(ids)
+        self.start, self.end = grown(self.start, node + 1), grown(self.end, node + 1)
+        self.n_codes = n + len(codes)
+        if self.n_codes > len(self.codes):
+            self.codes = np.concatenate([self.codes, np.zeros(self.n_codes, np.uint64)])
+            self.child = grown(self.child, len(self.codes))
+        self.start[node], self.end[node] = n, self.n_codes
+        self.codes[n : self.n_codes] = np.array([c * SPREAD & WORD for c in codes], np.uint64)
+        return node
+
+    def node(self, chunk: str, skips: tuple[int, ...]) -> int:
+        """A new node for ``chunk`` with the candidates at the places ``skips`` skipped."""
+        taken: list[int] = []
+
+        def skip(at: int, cut: int, piece: int) -> bool:
+            taken.append(at << 44 | cut << 24 | piece)
+            return len(taken) - 1 in skips
+
+        ids = tuple(map(self.vocab.numbers.__getitem__, self.agenda(chunk, skip)))
+        return self.add(chunk, skips, taken[skips[-1] + 1 :] if skips else taken, ids)
 
     def skipped(self, key: int, at: int, cut: int, piece: int) -> bool:
         """Keyed hash of one candidate merge against the dropout rate."""
@@ -166,14 +215,20 @@ class Encoder:
         x = (x ^ x >> 32) * MIX & WORD
         return x ^ x >> 29 < self.limit
 
-    def key(self, chunk: str, variant: int) -> int:
-        """Key of the hash; 0 switches dropout off."""
-        return xxhash.xxh3_64_intdigest(chunk, self.seed * 1_000_003 + variant & WORD) | 1 if self.limit else 0
+    def key(self, chunk: str, place: int) -> int:
+        """Key of the hash for the chunk at a place (see ``places``)."""
+        return int(mixed(np.array([place & WORD], np.uint64))[0])
 
-    def merged(self, chunk: str, variant: int) -> list[int]:
+    def merged(self, chunk: str, place: int) -> list[int]:
         """Ids of one chunk by agenda merging."""
+        if not self.limit:
+            return self.agenda(chunk, lambda at, cut, piece: False)
+        key = self.key(chunk, place)
+        return self.agenda(chunk, lambda at, cut, piece: self.skipped(key, at, cut, piece))
+
+    def agenda(self, chunk: str, skip: Callable[[int, int, int], bool]) -> list[int]:
+        """Ids of one chunk; ``skip`` is asked for each candidate in turn."""
         vocab = self.vocab
-        key = self.key(chunk, variant)
         parts: list[str | None] = list(chunk)
         n = len(parts)
         after = list(range(1, n + 1))
@@ -195,7 +250,7 @@ class Encoder:
                 continue
             if parts[left] + parts[right] != piece:
                 continue
-            if key and self.skipped(key, left, len(parts[left]), vocab.ids[piece]):
+            if skip(left, len(parts[left]), vocab.ids[piece]):
                 continue
             parts[left], parts[right] = piece, None
             after[left] = after[right]
@@ -215,23 +270,6 @@ class Encoder:
                 ids.append(i)
         return ids
 
-    def learn(self, chunks: list[tuple[int, str]]) -> None:
-        """Merge chunks (variant, chunk) that are not known yet: short ones together, long ones by themselves."""
-        by_length: list[list[tuple[int, str]]] = [[] for _ in range(LOCKSTEP + 1)]
-        for v, c in chunks:
-            if len(c) <= LOCKSTEP:
-                by_length[len(c)].append((v, c))
-            else:
-                self.known[v][c] = tuple(self.merged(c, v))
-                self.n_known += 1 + len(c) // LOCKSTEP
-        short = list(chain.from_iterable(by_length))
-        for i in range(0, len(short), 20_000):  # of about one length
-            part = short[i : i + 20_000]
-            keys = np.array([self.key(c, v) for v, c in part], np.uint64)
-            for (v, c), ids in zip(part, self.lockstep([c for _, c in part], keys)):
-                self.known[v][c] = ids
-            self.n_known += len(part)
-
     def lockstep(self, chunks: list[str], keys: np.ndarray) -> list[tuple[int, ...]]:
         """The agenda of many short chunks at once: each step takes one candidate of every chunk.
 
@@ -304,38 +342,96 @@ class Encoder:
             start = end
         return out
 
-    def blocks(self, text: str, doc_id: int | None) -> list[tuple[int, list[str]]]:
-        """A text's chunks in blocks of ``BLOCK``, each with its variant."""
-        variants = self.variants if self.limit else 1
-        start = xxhash.xxh3_64_intdigest(f"{self.seed}|{doc_id}")
-        out: list[tuple[int, list[str]]] = []
+    def chunks(self, text: str) -> list[str | None]:
+        """A text's chunks; None for a space mark of the text's own."""
+        out: list[str | None] = []
         shown = (" " if self.vocab.dummy_prefix else "") + text
         for nth, part in enumerate(shown.split(MARK)):
-            if nth:  # a space mark of the text's own
-                out.append((OWN_MARK, [MARK]))
-            chunks = CHUNKS.findall(part.replace(" ", MARK))
-            for i in range(0, len(chunks), BLOCK):
-                turn = (start + len(out)) * SPREAD & WORD
-                out.append(((turn >> 40) % variants, chunks[i : i + BLOCK]))
+            if nth:
+                out.append(None)
+            out += CHUNKS.findall(part.replace(" ", MARK))
         return out
 
+    def places(self, text: str, doc_id: int | None, n: int) -> np.ndarray:
+        """A 64-bit number for each of the ``n`` chunks of a document."""
+        document = xxhash.xxh3_64_intdigest(text, xxhash.xxh3_64_intdigest(f"{self.seed}|{doc_id}"))
+        return np.uint64(document) + np.arange(n, dtype=np.uint64) * np.uint64(SPREAD)
+
+    def blocks(self, text: str, doc_id: int | None) -> list[tuple[int, list[str]]]:
+        """(place, [chunk]) of each chunk of a text."""
+        chunks = self.chunks(text)
+        return [
+            (OWN_MARK, [MARK]) if c is None else (v, [c])
+            for c, v in zip(chunks, self.places(text, doc_id, len(chunks)).tolist())
+        ]
+
     def encode(self, text: str, doc_id: int | None = 0) -> list[int]:
         return self.encode_all([text], [doc_id])[0]
 
     def encode_all(self, texts: list[str | None], doc_ids: list) -> list[list[int]]:
         """Ids of each text; none for null and empty ones."""
-        if self.n_known > self.remember:
+        if len(self.nodes) > self.remember:
             self.forget()
-        known = self.known
-        found = [self.blocks(t, d) if t else [] for t, d in zip(texts, doc_ids)]
-        new: dict[int, set[str]] = {v: set() for v in known}
-        for blocks in found:
-            for v, chunks in blocks:
-                new[v].update(chunks)
-        if new := [(v, c) for v, chunks in new.items() for c in chunks.difference(known[v])]:
-            self.learn(new)
-        join = chain.from_iterable
-        return [list(join(join(map(known[v].__getitem__, chunks) for v, chunks in blocks))) for blocks in found]
+        found = [self.chunks(t) if t else [] for t in texts]
+        every = list(chain.from_iterable(found))
+        if not every:
+            return [[] for _ in texts]
+        places = np.concatenate([self.places(t, d, len(c)) for t, d, c in zip(texts, doc_ids, found) if c])
+        roots = self.roots
+        for c, n in Counter(every).items():
+            if n > 1 and c not in roots and len(c) <= LOCKSTEP:
+                roots[c] = self.node(c, ())
+        node = np.array([roots.get(c, -1) for c in every], np.int64)
+        if self.limit:
+            self.draw(node, mixed(places))
+        ids = list(map(self.node_ids.__getitem__, node.tolist()))
+        self.alone(every, places, np.flatnonzero(node < 0), ids)
+        out, at = [], 0
+        for chunks in found:
+            out.append(list(chain.from_iterable(ids[at : at + len(chunks)])))
+            at += len(chunks)
+        return out
+
+    def draw(self, node: np.ndarray, keys: np.ndarray) -> None:
+        """Replace each occurrence's root by the node that its draws lead to, or -1 if that is a rare one."""
+        row = np.flatnonzero(node >= 0)
+        at, end = self.start[node[row]], self.end[node[row]]
+        while True:
+            more = at < end
+            row, at, end = row[more], at[more], end[more]
+            if not len(row):
+                return
+            x = keys[row] ^ self.codes[at]
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(MIX)
+            skip = np.flatnonzero((x ^ (x >> np.uint64(29))) < np.uint64(self.limit))
+            was = at[skip]
+            unknown = self.child[was] < 0
+            codes, first, n = np.unique(was[unknown], return_index=True, return_counts=True)
+            for code, i in zip(codes[n > 1].tolist(), first[n > 1].tolist()):
+                parent = int(node[row[skip[unknown][i]]])
+                chunk, skips = self.nodes[parent]
+                place = code - int(self.start[parent]) + (skips[-1] + 1 if skips else 0)
+                made = self.node(chunk, (*skips, place))
+                self.child[code] = made
+            to = self.child[was]
+            node[row[skip]] = to
+            at = at + 1
+            at[skip] = np.where(to < 0, 0, self.start[to])
+            end[skip] = np.where(to < 0, 0, self.end[to])
+
+    def alone(self, every: list, places: np.ndarray, rows: np.ndarray, ids: list) -> None:
+        """Merge the chunks at ``rows`` by themselves: short ones together, by length, long ones one by one."""
+        short: list[tuple[int, int]] = []
+        for i in rows.tolist():
+            if len(every[i]) <= LOCKSTEP:
+                short.append((len(every[i]), i))
+            else:
+                ids[i] = self.merged(every[i], int(places[i]))
+        short.sort()
+        for k in range(0, len(short), 20_000):
+            part = [i for _, i in short[k : k + 20_000]]
+            for i, got in zip(part, self.lockstep([every[i] for i in part], mixed(places[part]))):
+                ids[i] = got
 
 
 def decode(vocab: Vocabulary, ids) -> str:
@@ -348,15 +444,13 @@ ENCODED = "doc_id long, ids array<int>"
 CHECKED = "doc_id long, n_tokens long, ids_crc32 long, n_chars long, lossless boolean"
 
 
-def shared_encoder(
-    model: str, dropout: float, seed: int, variants: int, remember: int = CACHE_CHUNKS
-) -> Encoder:
+def shared_encoder(model: str, dropout: float, seed: int, remember: int = CACHE_CHUNKS) -> Encoder:
     """One per worker process: what it has merged serves the process's later tasks."""
     # Strings and tuples of numbers by the hundred thousand, without cycles:
     # searching them for garbage again and again takes a tenth of the time.
     gc.set_threshold(200_000, 50, 100)
-    key = ("sentencepiece", model, dropout, seed, variants, remember)
-    return worker_state(key, lambda: Encoder(Vocabulary.load(model), dropout, seed, variants, remember))
+    key = ("sentencepiece", model, dropout, seed, remember)
+    return worker_state(key, lambda: Encoder(Vocabulary.load(model), dropout, seed, remember))
 
 
 def encode(
@@ -364,16 +458,15 @@ def encode(
     model: str,
     dropout: float = 0.1,
     seed: int = 20,
-    variants: int = 4,
     remember: int = CACHE_CHUNKS // 8,
 ) -> DataFrame:
     """(doc_id, ids) of each row of ``docs`` (doc_id, text); null text has null ids.
 
-    ``remember`` bounds the segmentations a worker keeps; it changes no result.
+    ``remember`` bounds the orders of merges a worker keeps; it changes no result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(model, dropout, seed, variants, remember)
+        encoder = shared_encoder(model, dropout, seed, remember)
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(i, ROWS)
@@ -391,7 +484,7 @@ def decoded(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, text) of each row of (doc_id, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = shared_encoder(model, 0.0, 0, 1).vocab
+        vocab = shared_encoder(model, 0.0, 0).vocab
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(i, ROWS)
@@ -403,9 +496,7 @@ def decoded(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 20, variants: int = 4
-) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 20) -> DataFrame:
     """Encode each whole text, decode the ids again, compare.
 
     (doc_id, n_tokens, ids_crc32 of the ids as u32, n_chars of the decoded
@@ -413,7 +504,7 @@ def round_trip(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(model, dropout, seed, variants)
+        encoder = shared_encoder(model, dropout, seed)
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(i, ROWS)

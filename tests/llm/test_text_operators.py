@@ -225,6 +225,28 @@ def test_dropout_is_keyed_varied_and_lossless():
     assert len({tuple(one.merged("▁ththereation", v)) for v in range(4)}) > 1
 
 
+def test_every_occurrence_is_drawn_on_its_own():
+    vocab = sentencepiece_bpe.Vocabulary.load(PIECE)
+    enc = sentencepiece_bpe.Encoder(vocab, 0.1, seed=5)
+    n = 4000
+    one = " ".join(["understanding"] * n)
+    parts = [tuple(enc.merged(c, v)) for v, chunks in enc.blocks(one, 1) for c in chunks]
+    assert enc.encode(one, 1) == [x for p in parts for x in p]
+    # as many occurrences skip nothing as independent draws leave
+    root = enc.roots["▁understanding"]
+    leaf = np.full(n, root)
+    enc.draw(leaf, sentencepiece_bpe.mixed(enc.places(one, 1, n)))
+    assert abs((leaf == root).mean() - 0.9 ** int(enc.end[root] - enc.start[root])) < 0.04
+    assert len(set(parts)) > 10
+    # words vary within 64, and documents without ids differ by their texts
+    assert len(set(parts[:64])) > 2
+    assert enc.encode(one, None) != enc.encode(one + " x", None)[: len(enc.encode(one, None))]
+    # an odd batch size and what is remembered change nothing
+    small = sentencepiece_bpe.Encoder(vocab, 0.1, seed=5, remember=3)
+    texts = [r[1] for r in documents()] + [one, "x" * 99]
+    assert [small.encode_all([t], [i])[0] for i, t in enumerate(texts)] == enc.encode_all(texts, range(len(texts)))
+
+
 def test_lockstep_equals_the_agenda():
     enc = sentencepiece_bpe.Encoder(sentencepiece_bpe.Vocabulary.load(PIECE), 0.4, seed=9)
     chunks = sorted(
