@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 from harvestline.llm import (
     ann,
     decontaminate,
+    hard_negatives,
     langid,
     near_dedup,
     packed_ids,
     repeats,
+    resample,
     secrets,
     sentencepiece_bpe,
+    substring_dedup,
     url_filter,
     warc,
 )
@@ -92,6 +95,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.deduplicated(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
+
+
 def shipped(query: Callable) -> Callable:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +132,9 @@ QUERIES = {
         op8_secrets,
         op9_repeats,
         op10_warc,
+        op11_resampling,
+        op12_substring_dedup,
+        op13_hard_negatives,
     )
 }
 
@@ -198,5 +219,85 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(sha, sha256('')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op11_resampling": r"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS crc),
+words AS (
+  SELECT tab, id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM (SELECT 's' AS tab, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark)),
+runs AS (
+  SELECT tab, id, unnest(list_concat(w, list_concat(
+    list_transform(range(1, greatest(len(w), 1)), lambda i: array_to_string(w[i:i + 1], ' ')),
+    list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: array_to_string(w[i:i + 2], ' '))))) AS f
+  FROM words),
+grouped AS (SELECT tab, id, f, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT f, xor(list_reduce(
+    list_transform(range(1, 1 + octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT)),
+    lambda c, b: xor(c // 256, crc[1 + xor(c % 256, b)]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS b
+  FROM (SELECT DISTINCT f FROM grouped), t),
+feats AS (SELECT tab, id, b, sum(n) AS n FROM grouped JOIN hashed USING (f) GROUP BY ALL),
+sums AS (SELECT CAST(sum(n) FILTER (tab = 's') AS DOUBLE) AS big_s, CAST(coalesce(sum(n) FILTER (tab = 't'), 0) AS DOUBLE) AS big_t FROM feats),
+buckets AS (
+  SELECT b, CAST(coalesce(sum(n) FILTER (tab = 's'), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (tab = 't'), 0) AS DOUBLE) AS t
+  FROM feats GROUP BY b),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln(((t + 1) * (big_s + 10000)) / ((s + 1) * (big_t + 10000)))) AS BIGINT) AS gain FROM buckets, sums),
+weights AS (
+  SELECT id AS doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM feats JOIN gains USING (b) WHERE tab = 's' GROUP BY id),
+scored AS (
+  SELECT d.id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('42:' || d.id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5)
+      / 4294967296.0))) AS BIGINT) AS score
+  FROM words d LEFT JOIN weights ON d.id = weights.doc_id WHERE d.tab = 's'),
+ranks AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranks USING (doc_id)
+""",
+    "op12_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 34], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS s FROM d WHERE len(w) >= 35)),
+again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+starts AS (SELECT doc_id, s, lead(s) OVER (PARTITION BY doc_id ORDER BY s) AS next FROM win JOIN again USING (g)),
+gone AS (
+  SELECT doc_id, list(p) AS gone
+  FROM (SELECT doc_id, unnest(generate_series(s, least(s + 34, coalesce(next - 1, s + 34)))) AS p FROM starts) GROUP BY doc_id),
+placed AS (
+  SELECT d.doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d JOIN gone USING (doc_id)),
+left_over AS (
+  SELECT placed.doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM placed ANTI JOIN (SELECT doc_id, unnest(gone) AS p FROM gone) USING (doc_id, p) GROUP BY placed.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN left_over USING (doc_id)
+""",
+    "op13_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS own,
+    CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM pairs WHERE own),
+ranked AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+    n.vec_id AS negative_id, positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.own AND p.r <= 5
+    AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score)
+SELECT * FROM ranked WHERE rank <= 3
 """,
 }
