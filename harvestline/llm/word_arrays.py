@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21  # of texts that are laid out at once, unless one text is longer
+SLICE_BYTES = 1 << 19  # of texts that are laid out at once, unless one text is longer; arrays over them take some 60 times that
 
 ALL = np.arange(256)
 # [^\x20\x09-\x0D]
