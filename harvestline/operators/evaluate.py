@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestline.functions import winner_label
+from harvestline.session import sized
 
 DATE = "price_date"
 DIGITS = 6
@@ -38,8 +39,7 @@ def split_cutoff(df: DataFrame, months: int, by: Sequence[str] | None = None, da
 def temporal_split(df: DataFrame, months: int = 3, by: Sequence[str] | None = None, date: str = DATE):
     """Tag rows 'train' (date < cutoff) or 'test' (date >= cutoff) (M1)."""
     if by:
-        cut = split_cutoff(df, months, by, date)
-        j = df.join(cut, list(by))
+        j = df.join(sized(split_cutoff(df, months, by, date), "cutoffs"), list(by))
     else:
         j = df.withColumn("_cutoff", split_cutoff(df, months, None, date))
     tag = F.when(F.col(date) >= F.col("_cutoff"), F.lit("test")).otherwise(F.lit("train"))

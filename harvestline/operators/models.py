@@ -1,34 +1,27 @@
-"""Boosted-tree forecasting with Spark ML.
-
-The reference fits XGBoost in one process per commodity. Here every fit is a
-distributed ``GBTRegressor`` (Spark ML caches its binned training points and
-grows each tree level with one pass over the partitions). Per-commodity
-training loops over the commodity list on the driver: the list is read from
-a one-row-per-commodity aggregate, so what reaches the driver is bounded by
-the number of commodities, never by rows; each fit is its own distributed job.
-
-XGBoost parameters map onto GBTRegressor as: n_estimators -> maxIter,
-max_depth -> maxDepth, learning_rate -> stepSize, subsample ->
-subsamplingRate, colsample_bytree -> featureSubsetStrategy (per node, not per
-tree), min_child_weight -> minInstancesPerNode (approximate), gamma ->
-minInfoGain (approximate); reg_alpha / reg_lambda have no equivalent. Model
-numbers therefore differ from XGBoost's; the evaluation protocol and metric
-formulas are the reference's.
+"""Boosted-tree forecasting.
+
+The reference fits XGBoost model after model in one process. Here all models of
+a protocol (every commodity and horizon) are fitted together by
+``boosting.fit``, and all of them score in one pass. The parameters keep their
+XGBoost meanings, the regularisation terms included; trees differ in row and
+column draws and in their quantile bins, so that model numbers differ; the evaluation
+protocol and metric formulas are the reference's.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestline.operators import evaluate
+from harvestline.operators import boosting, evaluate
+from harvestline.operators.boosting import Forest, Params, importances
 from harvestline.operators.reports import latest_row
+from harvestline.session import discard, sized, written
+
+__all__ = ["Forest", "Params", "importances"]
 
 SERIES = ["market_name", "commodity_name"]
 DATE = "price_date"
@@ -52,17 +45,17 @@ V2_FEATURES = [
     "cal_month", "cal_quarter", "cal_day_of_year", "cal_is_rainy_season", "cal_is_lean_season",
 ]
 
-# The reference's boosting parameters, mapped to GBTRegressor.
-GLOBAL_PARAMS = dict(
-    maxIter=500, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-    featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=42,
+# The reference's boosting parameters.
+GLOBAL_PARAMS = Params(
+    n_estimators=500, max_depth=6, learning_rate=0.05, subsample=0.8, colsample_bytree=0.8,
+    min_child_weight=5, reg_alpha=0.1, reg_lambda=1.0, seed=42,
 )
-PER_COMMODITY_V1_PARAMS = dict(
-    maxIter=300, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42
+PER_COMMODITY_V1_PARAMS = Params(
+    n_estimators=300, max_depth=5, learning_rate=0.05, subsample=0.8, colsample_bytree=0.8, seed=42
 )
-V2_PARAMS = dict(
-    maxIter=200, maxDepth=4, stepSize=0.03, subsamplingRate=0.7,
-    featureSubsetStrategy="0.7", minInstancesPerNode=10, minInfoGain=0.1, seed=42,
+V2_PARAMS = Params(
+    n_estimators=200, max_depth=4, learning_rate=0.03, subsample=0.7, colsample_bytree=0.7,
+    min_child_weight=10, reg_alpha=1.0, reg_lambda=5.0, gamma=0.1, seed=42,
 )
 HORIZONS = (7, 30)
 # The horizon that a request may ask for, and the one it gets if it names none.
@@ -71,35 +64,11 @@ DEFAULT_HORIZON = 7
 Z = 1.96
 
 
-# Rows that one task of a fit takes. Boosting makes thousands of passes, so a
-# fit gets tasks in proportion to its rows and no more.
-ROWS_PER_TASK = 50_000
-# Trees between checkpoints of the running predictions: often enough to keep
-# the lineage short, seldom enough not to spend a quarter of a small fit on them.
-CHECKPOINT_EVERY = 50
-
-
-def fit_gbt(train: DataFrame, features: Sequence[str], target: str, params: dict, rows: int) -> PipelineModel:
-    """VectorAssembler + GBTRegressor fitted on ``train``, which has ``rows`` rows (M6)."""
-    train = train.select(*features, target).repartition(max(1, -(-rows // ROWS_PER_TASK)))
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    gbt = GBTRegressor(
-        featuresCol="_features", labelCol=target, predictionCol="prediction", checkpointInterval=CHECKPOINT_EVERY, **params
-    )
-    return Pipeline(stages=[asm, gbt]).fit(train)
-
-
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop("_features")
 
-
-def importances(model: PipelineModel, names: Sequence[str], spark: SparkSession, top: int | None = 10):
-    """Feature importance table, largest first (M10, O4). The vector has one
-    entry per feature, so this is bounded by the feature count."""
-    vec = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(names, [float(v) for v in vec])), "feature string, importance double")
-    df = df.orderBy(F.col("importance").desc(), "feature")
-    return df.limit(top) if top else df
+def model_key(commodity: Column | str = "commodity_name", horizon: Column | str = "horizon") -> Column:
+    """The name of the model of a commodity and horizon; null if either is."""
+    commodity, horizon = (F.col(c) if isinstance(c, str) else c for c in (commodity, horizon))
+    return F.concat(horizon.cast("string"), F.lit("d:"), commodity)
 
 
 def _prepared(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -110,22 +79,20 @@ def train_global(
     features_df: DataFrame,
     target: str = "target_7d",
     features: Sequence[str] = GLOBAL_FEATURES,
-    params: dict = GLOBAL_PARAMS,
+    params: Params = GLOBAL_PARAMS,
     test_months: int = 3,
     min_commodity_rows: int = 10,
 ):
     """One model over all series (M6): temporal split, fit on train, score
     test overall and per commodity with at least ``min_commodity_rows`` test
-    rows (A19). Returns (model, overall metrics, per-commodity metrics,
+    rows (A19). Returns (forest, overall metrics, per-commodity metrics,
     scored test rows)."""
-    data = _prepared(features_df, features, target)
-    split = evaluate.temporal_split(data, test_months)
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
-    model = fit_gbt(train, features, target, params, train.count())
-    scored = predict(model, test)
+    data = written(_prepared(features_df.select("commodity_name", DATE, target, *features), features, target), "features")
+    split = written(evaluate.temporal_split(data, test_months).withColumn("model", F.lit("global")), "split")
+    forest = boosting.fit(split.where("split = 'train'"), features, target, params)
+    scored = written(boosting.score(split.where("split = 'test'"), forest, F.col("model")), "scored")
     overall = scored.agg(*evaluate.metric_aggs(target, "prediction"))
-    return model, overall, errors_by_commodity(scored, target, "prediction", min_commodity_rows), scored
+    return forest, overall, errors_by_commodity(scored, target, "prediction", min_commodity_rows), scored
 
 
 def errors_by_commodity(scored: DataFrame, target: str, prediction: str, min_rows: int = 10) -> DataFrame:
@@ -136,16 +103,6 @@ def errors_by_commodity(scored: DataFrame, target: str, prediction: str, min_row
     return per.where(F.col("n_obs") >= min_rows).select("commodity", "mae", "mape", "n_obs")
 
 
-class ColumnModel:
-    """A model whose prediction is a column: the naive forecast as a stand-in for a fitted one."""
-
-    def __init__(self, column: str):
-        self.column = column
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", F.col(self.column).cast("double"))
-
-
 def eligible_commodities(
     features_df: DataFrame,
     target: str,
@@ -168,89 +125,73 @@ def eligible_commodities(
     return g.withColumn("eligible", ok)
 
 
+RESULT = [
+    "commodity", "horizon", "model_mae", "model_rmse", "model_mape", "naive_mae", "naive_mape",
+    "mape_improvement_pct", "train_size", "test_size",
+]
+
+
 def train_per_commodity(
     features_df: DataFrame,
-    horizon: int = 7,
+    horizons: Sequence[int] = HORIZONS,
     features: Sequence[str] = V2_FEATURES,
-    params: dict = V2_PARAMS,
+    params: Params = V2_PARAMS,
     test_months: int = 2,
     min_rows: int = 200,
     min_train: int = 100,
     min_test: int = 20,
-    parallelism: int = 8,
-):
-    """One model per commodity for one horizon, compared with the naive
-    (lag_1d) forecast on the same test rows (M7b, J7). Returns (results
-    DataFrame, {commodity: model}). v1's gates are ``min_rows=100,
-    min_train=50, min_test=10, test_months=3`` with ``PER_COMMODITY_V1_PARAMS``."""
-    target = f"target_{horizon}d"
-    spark = features_df.sparkSession
-    sizes = eligible_commodities(features_df, target, features, test_months, min_rows, min_train, min_test)
-    gated = sizes.where("eligible").select("commodity_name", "train_size").collect()
-    train_rows = {r["commodity_name"]: r["train_size"] for r in gated}
-    chosen = sorted(train_rows)
-    data = _prepared(features_df, features, target)
-    split = evaluate.temporal_split(data, test_months, by=["commodity_name"])
-
-    def fit_one(commodity: str) -> PipelineModel:
-        one = split.where((F.col("commodity_name") == commodity) & (F.col("split") == "train"))
-        return fit_gbt(one, features, target, params, train_rows[commodity])
-
-    # Independent fits are submitted concurrently: Spark runs jobs from
-    # several threads side by side, so small per-commodity fits share the
-    # executors instead of waiting on each other's scheduling round trips.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(chosen) or 1))) as pool:
-        fitted = list(pool.map(fit_one, chosen))
-    models: dict[str, PipelineModel] = dict(zip(chosen, fitted))
-    scored_parts = [
-        predict(models[c], split.where((F.col("commodity_name") == c) & (F.col("split") == "test")))
-        for c in chosen
-    ]
-    schema = (
-        "commodity string, horizon int, model_mae double, model_rmse double, model_mape double, "
-        "naive_mae double, naive_mape double, mape_improvement_pct double, train_size bigint, test_size bigint"
+) -> tuple[DataFrame, Forest]:
+    """One model per commodity and horizon, all fitted together, compared with
+    the naive (lag_1d) forecast on the same test rows (M7b, J7). Returns
+    (results, forest); the models are named by ``model_key``. Commodities that miss
+    the gates get no model. v1's gates are ``min_rows=100, min_train=50,
+    min_test=10, test_months=3`` with ``PER_COMMODITY_V1_PARAMS``."""
+    # read for the cutoffs and the rows of each horizon, so written if it is a plan
+    features_df = written(
+        features_df.select("commodity_name", DATE, *[f"target_{h}d" for h in horizons], *features), "features"
+    )
+    parts = []
+    for h in horizons:
+        data = _prepared(features_df.select("commodity_name", DATE, f"target_{h}d", *features), features, f"target_{h}d")
+        split = evaluate.temporal_split(data, test_months, by=["commodity_name"])
+        parts.append(split.select("commodity_name", F.lit(h).alias("horizon"), "split", F.col(f"target_{h}d").alias("y"), *features))
+    rows = written(reduce(DataFrame.unionByName, parts).withColumn("model", model_key()), "labelled")
+    sizes = rows.groupBy("model", "commodity_name", "horizon").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("split") == "train").alias("train_size"),
+        F.count_if(F.col("split") == "test").alias("test_size"),
     )
-    if not scored_parts:
-        return spark.createDataFrame([], schema), models
-    scored = scored_parts[0]
-    for p in scored_parts[1:]:
-        scored = scored.unionByName(p)
-    m = evaluate.metric_aggs(target, "prediction", zero_mape=0.0)  # v2 scores all-zero truths as 0 %
-    n = evaluate.metric_aggs(target, "lag_1d", zero_mape=0.0)
-    g = scored.groupBy(F.col("commodity_name").alias("commodity")).agg(
+    gates = (F.col("rows") >= min_rows) & (F.col("train_size") >= min_train) & (F.col("test_size") >= min_test)
+    chosen = sized(sizes.where(gates))
+    gated = rows.join(chosen.select("model"), "model", "left_semi")
+    forest = boosting.fit(gated.where("split = 'train'"), features, "y", params)
+    scored = boosting.score(gated.where("split = 'test'"), forest, F.col("model"))
+    m = evaluate.metric_aggs("y", "prediction", zero_mape=0.0)  # v2 scores all-zero truths as 0 %
+    n = evaluate.metric_aggs("y", "lag_1d", zero_mape=0.0)
+    g = scored.groupBy("model").agg(
         m[0].alias("model_mae"), m[1].alias("model_rmse"), m[2].alias("model_mape"),
         n[0].alias("naive_mae"), n[2].alias("naive_mape"),
     )
     imp = evaluate.improvement(F.col("model_mape"), F.col("naive_mape"))
-    res = g.join(sizes.select(F.col("commodity_name").alias("commodity"), "train_size", "test_size"), "commodity")
-    res = res.select(
-        "commodity",
-        F.lit(horizon).alias("horizon"),
-        "model_mae",
-        "model_rmse",
-        "model_mape",
-        "naive_mae",
-        "naive_mape",
-        F.round(imp, evaluate.DIGITS).alias("mape_improvement_pct"),
-        "train_size",
-        "test_size",
-    )
-    return res, models
+    res = g.join(chosen, "model").withColumnRenamed("commodity_name", "commodity")
+    res = res.withColumn("mape_improvement_pct", F.round(imp, evaluate.DIGITS))
+    out = written(res.select(*RESULT), "results")
+    discard(features_df, rows)
+    return out, forest
 
 
-def train_per_commodity_v1(features_df: DataFrame, parallelism: int = 8, params: dict = PER_COMMODITY_V1_PARAMS):
+def train_per_commodity_v1(features_df: DataFrame, params: Params = PER_COMMODITY_V1_PARAMS):
     """v1 protocol (M7a): 7-day target, the global feature list, 3-month
     split, gates >= 100 rows / train >= 50 / test >= 10, v1 parameters."""
     return train_per_commodity(
         features_df,
-        horizon=7,
+        horizons=(7,),
         features=GLOBAL_FEATURES,
         params=params,
         test_months=3,
         min_rows=100,
         min_train=50,
         min_test=10,
-        parallelism=parallelism,
     )
 
 
@@ -262,10 +203,23 @@ def select_best(results: DataFrame) -> DataFrame:
     return best.where(F.col("mape_improvement_pct") > 0)
 
 
+# Adds ``prediction`` to rows with commodity_name, horizon and the features; null without a model.
+Predictor = Callable[[DataFrame], DataFrame]
+
+
+def by_forest(forest: Forest) -> Predictor:
+    return lambda df: boosting.score(df, forest, model_key())
+
+
+def by_column(column: str, where: Column) -> Predictor:
+    """A column in the models' place, such as the naive forecast."""
+    return lambda df: df.withColumn("prediction", F.when(where, F.col(column).cast("double")))
+
+
 def forecast(
     requests: DataFrame,
     features_df: DataFrame,
-    models: dict[tuple[str, int], PipelineModel],
+    predictor: Predictor,
     features: Sequence[str] = V2_FEATURES,
     horizons: Sequence[int] = HORIZONS,
     z: float = Z,
@@ -275,12 +229,11 @@ def forecast(
     requests: (commodity, market, forecast_horizon_days); a null horizon is 7,
     one outside 7..30 is invalid. The newest row of
     the series with every feature present is scored by the model of
-    (commodity, horizon); the band is ±z·roll_std_30d of the newest row of the
+    (commodity, horizon), all models in one pass; the band is ±z·roll_std_30d of the newest row of the
     series (even if that row lacks features), or ±10 % of the prediction when
     it is NULL; the lower bound is floored at 0 and all values rounded to 2
     decimals. ``status`` says why a request got no prediction.
     """
-    keys = ["commodity_name", "market_name", "horizon"]
     req = requests.select(
         F.col("commodity").alias("commodity_name"),
         F.col("market").alias("market_name"),
@@ -298,31 +251,19 @@ def forecast(
         .join(complete, SERIES, "left")
         .join(newest_std, SERIES, "left")
     )
-    scored_parts = []
-    for (commodity, h), model in models.items():
-        part = base.where((F.col("commodity_name") == commodity) & (F.col("horizon") == h) & F.col(DATE).isNotNull())
-        scored_parts.append(
-            predict(model, part).select(*keys, F.col("prediction").alias("_pred"), F.lit(f"{h}d").alias("model_version"))
-        )
-    if scored_parts:
-        preds = scored_parts[0]
-        for p in scored_parts[1:]:
-            preds = preds.unionByName(p)
-        answered = base.join(preds, keys, "left")
-    else:
-        answered = base.withColumn("_pred", F.lit(None).cast("double")).withColumn(
-            "model_version", F.lit(None).cast("string")
-        )
-    out = req.join(answered, keys, "left")
+    known = F.col("horizon").isin(list(horizons))
+    answered = predictor(base).withColumn("_pred", F.when(known, F.col("prediction")))
+    out = req.join(answered, ["commodity_name", "market_name", "horizon"], "left")
     std = F.coalesce(F.col("_std"), F.col("_pred") * 0.1)
     status = (
         F.when(~F.col("horizon").between(*HORIZON_RANGE), F.lit("invalid_horizon"))
-        .when(~F.col("horizon").isin(list(horizons)), F.lit("no_model_for_horizon"))
+        .when(~known, F.lit("no_model_for_horizon"))
         .when(F.col("_seen").isNull(), F.lit("no_data"))
         .when(F.col(DATE).isNull(), F.lit("insufficient_features"))
         .when(F.col("_pred").isNull(), F.lit("no_model"))
         .otherwise(F.lit("ok"))
     )
+    version = F.concat(F.col("horizon").cast("string"), F.lit("d"))
     return out.select(
         F.col("commodity_name").alias("commodity"),
         F.col("market_name").alias("market"),
@@ -331,7 +272,7 @@ def forecast(
         F.round(F.col("_pred"), 2).alias("predicted_price_ngn"),
         F.round(F.greatest(F.lit(0.0), F.col("_pred") - std * z), 2).alias("lower_bound_ngn"),
         F.round(F.col("_pred") + std * z, 2).alias("upper_bound_ngn"),
-        "model_version",
+        F.when(F.col("_pred").isNotNull(), version).alias("model_version"),
         F.lit("NGN/kg").alias("unit"),
         status.alias("status"),
     )

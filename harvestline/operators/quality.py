@@ -13,7 +13,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,12 +84,41 @@ def run_checks(
 
     When the table is empty only the row-count checks are reported (Q13).
     """
+    return _report(df.agg(*_metrics(checks, as_of)), table, checks)
+
+
+def _metrics(checks: Sequence[Check], as_of: dt.date | None) -> list[Column]:
+    """The aggregates that decide ``checks``: the row count, then value and outcome of each."""
     n = F.count(F.lit(1))
     aggs = [n.alias("_n")]
     for i, c in enumerate(checks):
         obs, ok = _observed_and_pass(c, n, as_of)
         aggs += [obs.alias(f"_o{i}"), ok.alias(f"_p{i}")]
-    one = df.agg(*aggs)
+    return aggs
+
+
+def observed(df: DataFrame, checks: Sequence[Check], as_of: dt.date | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` that computes its checks' metrics while another action reads it (Q11, K1).
+
+    The checks cost no scan of their own; they see the rows that pass, once. Uniqueness
+    (Q9) needs a shuffle and is left to ``run_checks``.
+    """
+    if any(c.kind == "unique" for c in checks):
+        raise ValueError("uniqueness cannot be observed in passing")
+    seen = Observation()
+    return df.observe(seen, *_metrics(checks, as_of)), seen
+
+
+def observed_report(spark: SparkSession, seen: Observation, table: str, checks: Sequence[Check]) -> DataFrame:
+    """The report of ``run_checks`` from the metrics of an action that has ended."""
+    got = seen.get
+    kinds = ["_n bigint"] + [f"_o{i} double, _p{i} boolean" for i in range(len(checks))]
+    names = ["_n"] + [f"_{k}{i}" for i in range(len(checks)) for k in "op"]
+    return _report(spark.createDataFrame([tuple(got[n] for n in names)], ", ".join(kinds)), table, checks)
+
+
+def _report(one: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """Report rows from the row of metrics."""
     rows = F.array(
         *[
             F.struct(

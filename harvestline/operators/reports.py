@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestline.functions import cents, label_with_state, trend_label
+from harvestline.session import sized
 
 SERIES = ["market_name", "commodity_name"]
 DATE = "price_date"
@@ -62,10 +63,23 @@ def distinct_list(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
+def with_rank(df: DataFrame, order: Sequence, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with each row's place (from 1) in ``order``, so that an ordered result stays
+    ordered when it is stored. Without ``by`` the rows are numbered by one task: for
+    lists and rankings of commodities, markets and models."""
+    w = Window.partitionBy(*by).orderBy(*order) if by else Window.partitionBy(F.lit(0)).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w))
+
+
+def last_dates(daily: DataFrame) -> DataFrame:
+    """(commodity_name, _last): each commodity's most recent date, a measured side
+    table, so that price rows are not dealt out by commodity for it."""
+    return sized(daily.groupBy("commodity_name").agg(F.max(DATE).alias("_last")), "last-dates")
+
+
 def latest_per_commodity(daily: DataFrame) -> DataFrame:
     """Rows on each commodity's most recent date."""
-    last = daily.groupBy("commodity_name").agg(F.max(DATE).alias("_last"))
-    j = daily.join(last, "commodity_name")
+    j = daily.join(last_dates(daily), "commodity_name")
     return j.where(F.col(DATE) == F.col("_last")).drop("_last")
 
 
@@ -118,8 +132,7 @@ def state_averages(daily: DataFrame, markets: DataFrame, months: int = 3) -> Dat
     """Mean price and row count per (commodity, state, zone) over the last
     ``months`` months of each commodity; rows without a state or zone are
     dropped, as a pandas groupby drops NULL keys (A7)."""
-    last = daily.groupBy("commodity_name").agg(F.max(DATE).alias("_last"))
-    recent = daily.join(last, "commodity_name").where(
+    recent = daily.join(last_dates(daily), "commodity_name").where(
         F.col(DATE) >= F.add_months(F.col("_last"), -months)
     )
     dim = markets.select("market_name", "state", "geopolitical_zone")

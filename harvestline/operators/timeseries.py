@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestline.functions import cents, is_lean_season, is_rainy_season
+from harvestline.session import written
 
 SERIES = ["market_name", "commodity_name"]
 DATE = "price_date"
@@ -164,6 +165,10 @@ def asof_rate(
     """
     if "currency" in rates.columns:
         rates = rates.where(F.col("currency") == currency)
+    # a row per day, written: read for its ends and again for the calendar
+    rates = written(
+        rates.where(F.col(date).isNotNull()).groupBy(date).agg(F.max(F.col(value).cast("double")).alias(value)), "rates"
+    )
     first, last = rates.agg(
         F.min(date), F.max(F.struct(F.col(date).alias("d"), F.col(value).cast("double").alias("r")))
     ).first()

@@ -18,11 +18,12 @@ from pyspark.sql import types as T
 from harvestline import sinks
 from harvestline.operators import evaluate, marts, quality, reports, staging, timeseries, unify
 from harvestline.plans import marts as pm
-from harvestline.operators import models, reshape
+from harvestline.operators import models, registry, reshape
 from harvestline.session import checkpoint_dir, written
 from harvestline.plans.oracle import checks_sql, dbl, half_up_cents, in_list, lit, skey, with_ctes
 from harvestline.sources import report_text, semistructured, testdata
 
+RUN_TS = dt.datetime(2002, 1, 1)  # the load time of the queries' written tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -1023,36 +1024,69 @@ def q_wide_to_long_paired(spark, sf_dir):
     return reshape.wide_to_long_paired(wide, ["p_brand"], TYPE_NAMES, value_col="price")
 
 
-# --- models (iterative: rows-only checks, no SQL oracle) -------------------
+# --- models (iterative: rows-only checks, no SQL oracle; tests/test_boosting.py checks the trees) ---
 
 
 def _materialized_features(spark, sf_dir):
-    """Feature table written once into the shared checkpoint folder: every
-    model fit below reads it instead of re-running the feature plan, by
-    commodity where it trains on one."""
+    """Feature table written once into the shared checkpoint folder, which the training reads."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
     fe = pm.features(feeds(spark, sf_dir))
     sinks.write_features(fe, path)
     return spark.read.schema(fe.schema).parquet(path)
 
 
+def _saved_models(spark, sf_dir):
+    """Features, and the registry of the models of both horizons trained on them (v2 protocol)."""
+    fe = _materialized_features(spark, sf_dir)
+    results, forest = models.train_per_commodity(fe)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    registry.save(forest, results, path, RUN_TS)
+    return fe, path, results
+
+
 @register("model_forecast")
 def q_model_forecast(spark, sf_dir):
-    """Per-commodity models for both horizons (v2 protocol), then a batch
-    forecast for every series and horizon (M7b, M8, W14, W15)."""
-    fe = _materialized_features(spark, sf_dir)
-    # one pool of fits at a time: each of them fills the cores
-    trained = [models.train_per_commodity(fe, horizon=h)[1] for h in models.HORIZONS]
-    fitted = {(c, h): m for h, ms in zip(models.HORIZONS, trained) for c, m in ms.items()}
+    """Per-commodity models for both horizons (v2 protocol), trained together and saved; then
+    loaded again for a batch forecast of every series and horizon (M7b, M8, M11, W14, W15)."""
+    fe, path, _ = _saved_models(spark, sf_dir)
     series = fe.select(F.col("commodity_name").alias("commodity"), F.col("market_name").alias("market")).distinct()
     horizons = F.array(*[F.lit(h) for h in models.HORIZONS])
     requests = series.select("*", F.explode(horizons).alias("forecast_horizon_days"))
-    return models.forecast(requests, fe, fitted)
+    return models.forecast(requests, fe, models.by_forest(registry.load(spark, path)))
+
+
+@register("model_scores")
+def q_model_scores(spark, sf_dir):
+    """The v2 result table of both horizons, with the best model of each."""
+    _, path, results = _saved_models(spark, sf_dir)
+    best = registry.entries(spark, path).select("commodity", "horizon", "is_best")
+    status = F.when(F.col("mape_improvement_pct") > 0, "BETTER").otherwise("WORSE")
+    return results.withColumn("status", status).join(best, ["commodity", "horizon"])
+
+
+@register("model_scores_v1")
+def q_model_scores_v1(spark, sf_dir):
+    """The v1 result table: a model per commodity under v1's gates and parameters."""
+    fe = _materialized_features(spark, sf_dir)
+    return models.train_per_commodity_v1(fe)[0].drop("horizon")
 
 
 @register("model_importance")
 def q_model_importance(spark, sf_dir):
-    """Global model (v1 protocol): top-10 feature importances."""
+    """Global model (v1 protocol): its ten most important features, and its test errors overall
+    and per commodity, in one table (M6, M10, O4, A14, A19)."""
     fe = _materialized_features(spark, sf_dir)
-    model, _, _, _ = models.train_global(fe)
-    return models.importances(model, models.GLOBAL_FEATURES, spark, top=10)
+    forest, overall, per, _ = models.train_global(fe)
+    none = F.lit(None)
+    top = models.importances(forest).select(
+        F.lit("importance").alias("kind"), F.col("feature").alias("name"), "importance",
+        none.cast("double").alias("mae"), none.cast("double").alias("mape"), none.cast("bigint").alias("n_obs"),
+    )
+    rows = [
+        df.select(F.lit(kind).alias("kind"), name, none.cast("double").alias("importance"), "mae", "mape", n.alias("n_obs"))
+        for kind, df, name, n in (
+            ("overall", overall, F.lit("global").alias("name"), F.col("n_scored")),
+            ("commodity", per, F.col("commodity").alias("name"), F.col("n_obs")),
+        )
+    ]
+    return top.union(rows[0]).union(rows[1])

@@ -17,6 +17,7 @@ from harvestline.plans.catalog import (
     _COMPARE_SQL,
     _TEST,
     DIM_MARKETS_SQL,
+    RUN_TS,
     _compared,
     feeds,
     plain,
@@ -28,8 +29,6 @@ from harvestline.plans.oracle import in_list, lit
 from harvestline.session import checkpoint_dir
 from harvestline.sources import readers, semistructured, testdata
 
-RUN_TS = dt.datetime(2002, 1, 1)
-
 
 def _fresh(spark, name: str) -> str:
     import uuid
@@ -283,14 +282,12 @@ def q_stored_dimension(spark, sf_dir):
 
 def _naive_forecast(spark, sf_dir):
     fe = shared(spark, sf_dir).features
-    # a row per commodity reaches the driver
-    names = [r[0] for r in fe.select("commodity_name").distinct().collect()]
-    fitted = {(c, h): models.ColumnModel("lag_1d") for c in names if c != PICKED[1] for h in models.HORIZONS}
+    naive = models.by_column("lag_1d", F.col("commodity_name") != PICKED[1])
     series = fe.select(F.col("commodity_name").alias("commodity"), F.col("market_name").alias("market")).distinct()
     unknown = series.select("commodity", F.concat(F.lit("No "), "market").alias("market"))
     horizons = F.array(*[F.lit(h) for h in (*models.HORIZONS, 14)])
     requests = series.union(unknown).select("*", F.explode(horizons).alias("forecast_horizon_days"))
-    return models.forecast(requests, fe, fitted)
+    return models.forecast(requests, fe, naive)
 
 
 _NEEDED = " AND ".join(f"{c} IS NOT NULL" for c in models.V2_FEATURES)

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every session gets. They are correctness settings (time zone, ANSI)
 # or scale settings (AQE re-plans shuffles and skewed joins at run time).
@@ -95,4 +98,40 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+# Rows of a side table (a row per commodity, market, model ...) that may be broadcast.
+SIDE_ROWS = 200_000
+
+
+def sized(side: DataFrame, name: str = "side") -> DataFrame:
+    """A small table, written and measured: broadcast below the bound, so that the
+    rows it is joined to stay where they are."""
+    table = written(side, name)
+    return F.broadcast(table) if table.count() <= SIDE_ROWS else table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "written_at", None):
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the workers, once per application, where it is neither
+    installed on the executors nor passed with ``--py-files``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_harvestline_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.NamedTemporaryFile(prefix="harvestline-", suffix=".zip", delete=False) as f:
+        with zipfile.ZipFile(f, "w") as z:
+            for p in sorted(package.rglob("*.py")):
+                z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(f.name)
+    sc._harvestline_shipped = True

@@ -62,6 +62,29 @@ def append_raw(
     return out
 
 
+def append_checked(
+    df: DataFrame,
+    constants: Mapping[str, object],
+    run_ts: dt.datetime,
+    path: str,
+    table: str,
+    checks: Sequence[quality.Check],
+    as_of: dt.date | None = None,
+    schema=None,
+) -> DataFrame:
+    """``append_raw`` that checks the rows in the pass that writes them (K1, Q11).
+
+    Returns the report of ``checks`` on this load's rows; give it to ``quality.gate``
+    to stop what follows a failed load (Q12).
+    """
+    out = stamp(df, constants, run_ts)
+    if schema is not None:
+        out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    out, seen = quality.observed(out, checks, as_of)
+    _save(_writer(out, "append", "parquet", None), path, None)
+    return quality.observed_report(df.sparkSession, seen, table, checks)
+
+
 def overwrite(
     df: DataFrame,
     path: str | None = None,
@@ -90,6 +113,29 @@ def write_features(
     overwrite(df.repartition(*partition_by, bucket), path=path, partition_by=partition_by)
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, by: Sequence[str], order: Sequence[str] = (), buckets: int = 8
+) -> DataFrame:
+    """A table dealt into buckets by ``by`` and sorted within them: windows, joins and
+    aggregates on these keys read it without an exchange (K5). Take as many buckets as a
+    shuffle of the table would have partitions; a bucket is written by one task."""
+    w = df.repartition(buckets, *by).write.mode("overwrite").format("parquet").option("path", path)
+    w.bucketBy(buckets, *by).sortBy(*by, *order).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def to_feature_variant(df: DataFrame, keys: Sequence[str], feature_cols: Sequence[str]) -> DataFrame:
+    """The feature values of each row as one VARIANT document (K8): typed inside, its
+    fields read by path without a schema."""
+    doc = F.to_variant_object(F.struct(*[F.col(c) for c in feature_cols]))
+    return df.select(*keys, doc.alias("features"))
+
+
+def from_feature_variant(df: DataFrame, keys: Sequence[str], fields: Mapping[str, str]) -> DataFrame:
+    """Fields (name -> type) of VARIANT documents by path; one that a document lacks is NULL."""
+    return df.select(*keys, *[F.try_variant_get("features", f"$.{c}", t).alias(c) for c, t in fields.items()])
+
+
 def to_feature_document(df: DataFrame, keys: Sequence[str], feature_cols: Sequence[str]) -> DataFrame:
     """One JSON document of the feature values per row (K8)."""
     doc = F.to_json(F.struct(*[F.col(c) for c in feature_cols]))

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harvestline.functions import try_date
+
 # The six zones (column order of the zonal table) and the
 # header spellings used to recognise a zonal page.
 ZONES = ["North Central", "North East", "North West", "South East", "South South", "South West"]
@@ -134,6 +136,34 @@ def extract_prices(df: DataFrame, text: str = "text", keep: Sequence[str] = ("do
     return z.unionByName(n)
 
 
+# Constants of the loaded report rows.
+REPORT_UNIT = "KG"
+REPORT_SOURCE = "NBS"
+
+
+def read_report_files(spark: SparkSession, path: str) -> DataFrame:
+    """(report_month, file, page, text) of the report files below ``path``, one text file a
+    report, its pages parted by form feeds. The month is the last ``YYYY-MM`` in the file's
+    path; files without one are left out. A report is read whole, by one task."""
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    name = F.col("_metadata.file_path")
+    month = F.regexp_extract(name, r".*([0-9]{4}-(?:0[1-9]|1[0-2]))(?![0-9])", 1)
+    dated = files.select(F.when(month != "", try_date(F.concat(month, F.lit("-01")))).alias("report_month"), name.alias("file"), "value")
+    pages = dated.where("report_month is not null").select(
+        "report_month", "file", F.posexplode(F.split("value", "\f")).alias("page", "text")
+    )
+    return pages
+
+
+def report_rows(pages: DataFrame) -> DataFrame:
+    """(commodity_name, unit, price, report_month, state) of all prices in report pages, in
+    the raw layout but for its constants (S10-S13, K1)."""
+    found = extract_prices(pages, "text", keep=["report_month", "file", "page"])
+    return found.select(
+        "commodity_name", F.lit(REPORT_UNIT).alias("unit"), "price", "report_month", F.col("zone").alias("state")
+    )
+
+
 def extract_links(
     df: DataFrame,
     html: str = "html",

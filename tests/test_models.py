@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from harvestline.operators import models
 from harvestline.operators import timeseries as ts
 
-FAST = dict(maxIter=3, maxDepth=2, stepSize=0.3, seed=42)
+FAST = models.Params(n_estimators=3, max_depth=2, learning_rate=0.3, seed=42)
 D0 = dt.date(2023, 1, 1)
 
 
@@ -22,11 +22,11 @@ def _features(spark, n_days=420, markets=("A", "B")):
 
 def test_per_commodity_training_and_forecast(spark):
     fe = _features(spark).checkpoint()
-    res, ms = models.train_per_commodity(fe, horizon=7, params=FAST)
+    res, forest = models.train_per_commodity(fe, horizons=(7,), params=FAST)
     (r,) = res.collect()
     assert r.commodity == "Rice" and r.train_size >= 100 and r.test_size >= 20
     assert r.model_mape is not None and r.naive_mape is not None
-    assert set(ms) == {"Rice"}
+    assert [r.model for r in forest.bases.collect()] == ["7d:Rice"]
 
     # newest row of market A lacks features: the latest complete row is used,
     # the band uses the newest row's std, which is NULL -> 10 % of prediction
@@ -41,7 +41,7 @@ def test_per_commodity_training_and_forecast(spark):
          ("Rice", "B", 6), ("Rice", "B", 31), ("Rice", "A", None)],
         "commodity string, market string, forecast_horizon_days int",
     )
-    out = {(r.market, r.forecast_horizon_days, r.commodity): r for r in models.forecast(req, broken, {("Rice", 7): ms["Rice"]}).collect()}
+    out = {(r.market, r.forecast_horizon_days, r.commodity): r for r in models.forecast(req, broken, models.by_forest(forest)).collect()}
     assert len(out) == 7  # a request without a horizon asks for 7 days
     assert out[("B", 6, "Rice")].status == out[("B", 31, "Rice")].status == "invalid_horizon"
     a = out[("A", 7, "Rice")]
@@ -58,7 +58,7 @@ def test_global_model_importance_and_best(spark):
     fe = _features(spark).checkpoint()
     model, overall, per, scored = models.train_global(fe, params=FAST)
     assert overall.first().n_scored > 0 and per.count() == 1
-    imp = models.importances(model, models.GLOBAL_FEATURES, spark, top=10)
+    imp = models.importances(model, top=10)
     vals = [r.importance for r in imp.collect()]
     assert len(vals) == 10 and vals == sorted(vals, reverse=True)
     res = spark.createDataFrame(
@@ -71,11 +71,11 @@ def test_global_model_importance_and_best(spark):
 
 def test_v1_protocol_gates_and_split(spark):
     fe = _features(spark, n_days=300, markets=("A",)).checkpoint()
-    res, ms = models.train_per_commodity_v1(fe, params=FAST)
+    res, forest = models.train_per_commodity_v1(fe, params=FAST)
     (r,) = res.collect()
     # 3-month test window of one daily series: roughly 90 test rows, rest train
     assert r.horizon == 7 and 80 <= r.test_size <= 95 and r.train_size >= 50
     assert r.train_size + r.test_size == fe.dropna(subset=["target_7d", *models.GLOBAL_FEATURES]).count()
     short = _features(spark, n_days=150, markets=("A",))  # < 100 usable rows -> no model
-    res2, ms2 = models.train_per_commodity_v1(short, params=FAST)
-    assert res2.count() == 0 and ms2 == {}
+    res2, forest2 = models.train_per_commodity_v1(short, params=FAST)
+    assert res2.count() == 0 and forest2.nodes.count() == 0

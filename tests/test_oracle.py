@@ -45,4 +45,4 @@ def test_every_query_has_an_oracle_or_is_iterative():
     # the training-data queries (opN_..., pipeline) are tested beside their code
     own = {q for q in entry.queries() if not re.match(r"op\d+_|pipeline$", q)}
     rows_only = own - set(SQL)
-    assert rows_only == {"model_forecast", "model_importance"}
+    assert rows_only == {"model_forecast", "model_importance", "model_scores", "model_scores_v1"}
