@@ -46,6 +46,7 @@ from harvestline.llm.common import BROADCAST_BYTES, discard, hinted, written
 from harvestline.llm.word_arrays import NOT_SPACE, Words, doubled, ladder, text_slices, word_hashes
 
 WINDOW = 35
+HOT_ROWS = 1000  # of a key whose rows are not shuffled to one task
 KEY = ["doc_id", "text_key"]
 SPANS = "array<struct<start: long, stop: long>>"
 
@@ -188,15 +189,12 @@ def repeated(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def matching(rows: DataFrame, found: DataFrame, keys: Sequence[str], width: int = 48, how: str = "left_semi") -> DataFrame:
     """``rows`` joined to ``found``, which has each key once with the number ``n`` of its rows.
 
-    Below the bound ``found`` is broadcast. Beyond it the keys of so many rows that
-    no more than ``BROADCAST_BYTES`` of them can exist are; the others are
-    shuffled, and no such key has more rows than that number.
+    Keys of ``HOT_ROWS`` rows or more, or of so many more that not over
+    ``BROADCAST_BYTES`` of them can exist, are broadcast; the others are shuffled, and
+    none of them has more rows than that. It is so at every size.
     """
-    n_keys, n_rows = found.agg(F.count(F.lit(1)), F.sum("n")).first()
-    slim = found.drop("n")
-    if n_keys * width <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(slim), list(keys), how)
-    many = -(-n_rows * width // BROADCAST_BYTES)
+    n_rows = found.agg(F.sum("n")).first()[0] or 0
+    many = max(HOT_ROWS, -(-n_rows * width // BROADCAST_BYTES))
     hot = F.broadcast(found.where(F.col("n") >= many).drop("n"))
     cold = found.where(F.col("n") < many).drop("n")
     return rows.join(hot, list(keys), how).union(rows.join(hot, list(keys), "left_anti").join(cold, list(keys), how))
