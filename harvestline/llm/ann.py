@@ -19,8 +19,9 @@ A block gives its k best per query, and the blocks' results are merged.
 
 Nearness is the Euclidean distance in double precision, ties to the smaller
 id. Null and zero vectors and those with null or non-finite components take no
-part, as query or candidate; vectors of different lengths are not compared; a
-repeated vec_id counts once. Other columns are not looked at.
+part, as query or candidate; vectors of different lengths are not compared; of several
+vectors with one vec_id the least counts, alone, on both sides. Other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ SPREAD = 1.645  # window half-width for radius 1
 THRESHOLD = 0.79  # share of windows: 0.9 less three deviations of 64 draws
 WIDEN = 1.12  # factor of virtual rehashing
 BLOCK_VALUES = 1 << 20  # components per block: 8 MB of doubles
+LEAST_VALUES = 1 << 17  # a smaller block's fixed costs outweigh its search
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -101,9 +103,10 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         & F.exists(v, lambda x: x != 0.0)
     )
-    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), good.alias("good")).where(
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), good.alias("good")).where(
         "vec_id is not null and good"
-    ).select("vec_id", "v", F.size("v").alias("dim"))
+    )
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", "v", F.size("v").alias("dim"))
 
 
 def nearest(
@@ -115,9 +118,11 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k nearest found among ``vectors``."""
     rows = usable(vectors, id_col, vector_col)
-    asked = usable(queries, id_col, vector_col).dropDuplicates(["vec_id"])
+    asked = usable(queries, id_col, vector_col)
     total = rows.agg(F.sum(F.col("dim").cast("long"))).first()[0] or 0
-    n_blocks = max(1, ceil(total / BLOCK_VALUES))
+    # blocks for all cores, as long as they are worth a task
+    spread = min(2 * vectors.sparkSession.sparkContext.defaultParallelism, ceil(total / LEAST_VALUES))
+    n_blocks = max(1, ceil(total / BLOCK_VALUES), spread)
     data = rows.select(
         "dim", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v"
     )

@@ -6,14 +6,17 @@ which any is known (5 down to 1, with word boundary marks). A text's score per
 language is the sum over its words; the best language is predicted, ties going
 to the first in alphabetical order, and the score is its posterior probability.
 
-Training reads a bounded sample of labelled rows: of each language about
-``docs_per_lang`` documents, chosen by a hash of the row, and keeps the most
-frequent ``max_words`` words and ``max_grams`` n-grams of each order per
+Training reads a bounded sample of labelled rows: of each language the
+``docs_per_lang`` distinct texts (all, if fewer) whose whole-text hashes come first in
+a drawn order, each once however often it is there, and keeps the most frequent ``max_words`` words and ``max_grams`` n-grams of each order per
 language. The model's size is bounded by those parameters and the number of
 languages, so it is collected and broadcast. Prediction covers whole texts.
 
 Text null or without a letter: ``und`` with score 0. Without any training row
-everything is ``und``. Rows are judged one by one, so repeated rows agree.
+everything is ``und``. A text with letters of which neither words nor any n-gram are
+known scores all languages alike: the first, with score 1 / their number. Very long texts
+are judged whole. Rows are judged one by one, so repeated rows agree; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -38,11 +41,23 @@ MAX_ORDER = 5
 CACHE_WORDS = 100_000
 
 
+@dataclass
+class Scores:
+    """Log frequencies per language: a row of one matrix per key."""
+
+    rows: dict[str, int]
+    logs: np.ndarray
+
+    def get(self, key: str) -> tuple[float, ...] | None:
+        row = self.rows.get(key)
+        return None if row is None else tuple(self.logs[row].tolist())
+
+
 @dataclass
 class LanguageModel:
     langs: list[str]
-    words: dict[str, tuple[float, ...]]  # log frequency per language
-    grams: list[dict[str, tuple[float, ...]]] = field(default_factory=list)  # by order - 1
+    words: Scores  # log frequency per language
+    grams: list[Scores] = field(default_factory=list)  # by order - 1
 
     def word_scores(self, word: str) -> tuple[float, ...]:
         if (known := self.words.get(word)) is not None:
@@ -131,27 +146,22 @@ def counted(labelled: DataFrame) -> DataFrame:
 def train(
     labelled: DataFrame,
     docs_per_lang: int = 500,
-    max_words: int = 15_000,
-    max_grams: int = 4_000,
+    max_words: int = 20_000,
+    max_grams: int = 6_000,
 ) -> LanguageModel:
     """Fit on the rows of ``labelled`` (lang, text) with neither of them null."""
     pool = labelled.select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     ).where("lang is not null and text is not null")
-    # A row per language, as many as the model has: known on the driver, so
-    # that the join with it never deals the texts out by language.
-    sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()
-    sizes = pool.sparkSession.createDataFrame(sizes, "lang string, docs long")
-    # An expected docs_per_lang of each language; all of a smaller one. The
-    # hash reads a text's ends and length, so copies fall together.
-    draw = F.pmod(
-        F.xxhash64(F.length("text"), F.substring("text", 1, 200), F.substring("text", -200, 200)),
-        F.lit(1 << 30),
-    ) / F.lit(float(1 << 30))
+    pool = pool.withColumn("key", F.xxhash64("text"))
+    # copies are one; every task hands on docs_per_lang keys of a language at most
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("draw"), "key"), "key"))
+    drawn = pool.select("lang", "key").distinct().withColumn("place", place).where(F.col("place") <= docs_per_lang)
+    # as many rows as languages times docs_per_lang: the texts stay where they are
     sample = (
-        pool.withColumn("draw", draw)
-        .join(F.broadcast(sizes), "lang")
-        .where(F.col("draw") * F.col("docs") < docs_per_lang)
+        pool.join(F.broadcast(drawn.select("lang", "key")), ["lang", "key"], "left_semi")
+        .groupBy("lang", "key")
+        .agg(F.first("text").alias("text"))
         .select("lang", "text")
     )
     counts = counted(sample)
@@ -162,7 +172,7 @@ def train(
 
     langs = sorted(found["lang"].unique())
     column = {lang: i for i, lang in enumerate(langs)}
-    tables: list[dict[str, tuple[float, ...]]] = []
+    tables: list[Scores] = []
     for order in range(MAX_ORDER + 1):
         part = found[found["ord"] == order]
         grams = {g: i for i, g in enumerate(sorted(part["gram"].unique()))}
@@ -171,7 +181,7 @@ def train(
             n[part["gram"].map(grams).to_numpy(), part["lang"].map(column).to_numpy()] = part["n"]
         # additive smoothing, so that a word of one language alone stays finite
         logs = np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(1, len(grams))))
-        tables.append({g: tuple(logs[i]) for g, i in grams.items()})
+        tables.append(Scores(grams, logs))
     return LanguageModel(langs, tables[0], tables[1:])
 
 

@@ -18,7 +18,8 @@ distinct k-word shingles (fewer words: the whole sequence as one; none: empty).
 4. Components of the verified links, joined back to all documents.
 
 Null and word-free texts have empty sets, are linked with nothing and stay.
-Rows that repeat a doc_id with equal text are members of one class; a null
+Rows that repeat a doc_id with equal text are members of one class; rows of one doc_id
+with different texts are one document, linked with whatever any of its texts is like. A null
 doc_id takes no part in linking and stays with a null component. Long texts are
 sketched whole, in slices of bounded size.
 """
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import drop_worker_state, written
+from harvestline.llm.common import drop_worker_state, hinted, written
 from harvestline.llm.components import components
 
 THRESHOLD = 80  # per cent of the union
@@ -120,7 +121,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-SKETCH = "doc_id long, n_shingles long, set_key binary, buckets array<long>, sig binary"
+SKETCH = "doc_id long, text_key long, n_shingles long, set_key binary, buckets array<long>, sig binary"
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
@@ -132,7 +133,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             for i in range(0, batch.num_rows, 512):
                 rows = batch.slice(i, 512)
                 sizes, keys, buckets, sigs = [], [], [], []
-                for text in rows.column(1):
+                for text in rows.column(2):
                     s = shingle_set(text.as_py(), k)
                     sizes.append(len(s))
                     if len(s):
@@ -148,15 +149,22 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
+                        rows.column(1),
                         pa.array(sizes, pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(buckets, pa.list_(pa.int64())),
                         pa.array(sigs, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "buckets", "sig"],
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "buckets", "sig"],
                 )
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, SKETCH)
+    return keyed(docs).mapInArrow(run, SKETCH)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text)"""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def least_matches(threshold: int = THRESHOLD, miss: float = MISS) -> list[tuple[int, int]]:
@@ -216,7 +224,7 @@ def likely_in_blocks(entries: DataFrame, reps: DataFrame, threshold: int) -> Dat
     own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     dealt = (
         entries.join(sizes, "bucket")
-        .join(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig"), "rep")
+        .join(reps.select(F.col("node").alias("rep"), F.col("n_shingles").alias("n"), "sig"), "rep")
         .select("bucket", "rep", "far", "n", "sig", own.alias("own"), F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
     )
     blocks = dealt.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
@@ -287,15 +295,18 @@ def compared(pairs: DataFrame, k: int, near: int) -> DataFrame:
 
 
 class Linker:
-    """Verifies candidate pairs of class representatives."""
+    """Verifies candidate pairs of class representatives, which go by their class's ``node``.
+
+    ``own`` has (node, doc_id, text_key) of each.
+    """
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, k: int):
-        self.docs, self.reps, self.k = docs, reps, k
+    def __init__(self, docs: DataFrame, own: DataFrame, reps: DataFrame, k: int):
+        self.docs, self.own, self.reps, self.k = docs, own, reps, k
 
     def verified(self, pairs: DataFrame, threshold: int) -> DataFrame:
         """``compared`` rows, as a written table, of the distinct pairs (a, b) that pruning at ``threshold`` leaves."""
-        a = self.reps.selectExpr("doc_id a", "n_shingles n_a", "sig sig_a")
-        b = self.reps.selectExpr("doc_id b", "n_shingles n_b", "sig sig_b")
+        a = self.reps.selectExpr("node a", "n_shingles n_a", "sig sig_a")
+        b = self.reps.selectExpr("node b", "n_shingles n_b", "sig sig_b")
         sized = (
             pairs.join(a, "a")
             .join(b, "b")
@@ -306,20 +317,17 @@ class Linker:
     def confirmed(self, survivors: DataFrame, threshold: int) -> DataFrame:
         """``compared`` rows of the pairs (a, b), as a written table."""
         survivors = written(survivors, "survivors")
-        ids = survivors.select(F.col("a").alias("doc_id")).union(survivors.select("b")).distinct()
-        if ids.count() * 16 <= BROADCAST_BYTES:
+        nodes = survivors.select(F.col("a").alias("node")).union(survivors.select("b")).distinct()
+        ids = written(self.own.join(nodes, "node", "left_semi"), "ids")
+        if ids.count() * 32 <= BROADCAST_BYTES:
             ids = F.broadcast(ids)
         # texts of the documents in survivors alone go through a shuffle
         texts = written(
-            self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .join(ids, "doc_id", "left_semi")
-            .groupBy("doc_id")
-            .agg(F.max("text").alias("text")),
-            "texts",
+            keyed(self.docs).join(ids, ["doc_id", "text_key"]).groupBy("node").agg(F.max("text").alias("text")), "texts"
         )
         both = (
-            survivors.join(texts.selectExpr("doc_id b", "text text_b"), "b")
-            .join(texts.selectExpr("doc_id a", "text text_a"), "a")
+            survivors.join(texts.selectExpr("node b", "text text_b"), "b")
+            .join(texts.selectExpr("node a", "text text_a"), "a")
         )
         return written(compared(both, self.k, threshold), "compared")
 
@@ -356,6 +364,11 @@ def family_links(near: DataFrame, threshold: int) -> DataFrame:
     whom it is linked to, so a join on the rarest elements of the difference
     sets (as many as may not all be missed) finds all its partners, however
     large the family is.
+
+    The members that share such an element with an open one are compared with
+    one of them, their hub, first. Those linked to it are connected by that; only
+    pairs with a member that is not go on, so that a family beside the pivot's own
+    costs a few links a member and not all its pairs.
     """
     t, d, both = threshold, 100 - threshold, 100 + threshold
     rows = near.select(
@@ -365,7 +378,8 @@ def family_links(near: DataFrame, threshold: int) -> DataFrame:
         (100 * (F.col("n_pivot") - F.col("common")) + t * (F.col("n") - F.col("common"))).alias("w"),
         "apart",
     )
-    with_open = rows.where("w > slack").select("pivot").distinct()
+    # a small side by its measured size, so that one pivot's members need not meet in a task
+    with_open = hinted(written(rows.where("w > slack").select("pivot").distinct(), "open-pivots"), F.lit(16))
     rows = written(rows.join(with_open, "pivot", "left_semi"), "families")
     elements = rows.select("pivot", "rep", "w", "slack", F.size("apart").alias("size"), F.explode("apart").alias("e"))
     often = elements.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often"))
@@ -375,34 +389,54 @@ def family_links(near: DataFrame, threshold: int) -> DataFrame:
         .withColumn("rank", rank)
         # with an open partner at least ceil((w + 1) / both) elements are common
         .where(f"often > 1 and rank <= size - ceil((w + 1) / {both}) + 1")
-        .select("pivot", "rep", "e", "rank", "w", "slack", "size"),
+        .select("pivot", "rep", "e", "rank", "often", "w", "slack", "size"),
         "ranked",
     )
-    asking = ranked.where(f"w > slack and rank <= size - ceil((w - slack + 1) / {both}) + 1")
-    pairs = (
-        asking.select("pivot", "e", F.col("rep").alias("x"), F.col("w").alias("w_x"), "slack")
-        .join(ranked.select("pivot", "e", F.col("rep").alias("y"), F.col("w").alias("w_y"), "size"), ["pivot", "e"])
-        # both open: once; and as many elements as they need must be there at all
-        .where(f"x <> y and (w_y <= slack or x < y) and {both} * size >= w_x + w_y - slack")
-        .select("pivot", "x", "y")
-        .distinct()
-    )
+    asks = f"w > slack and rank <= size - ceil((w - slack + 1) / {both}) + 1"
+    ranked = ranked.join(ranked.where(asks).select("pivot", "e").distinct(), ["pivot", "e"], "left_semi")
+    company = ranked.groupBy("pivot", "rep").agg(F.sum("often").alias("company"))
+    first = F.max_by("rep", F.struct("company", (-F.col("rep")).alias("order"))).alias("hub")
+    hubs = ranked.join(company, ["pivot", "rep"]).groupBy("pivot", "e").agg(first)
+    ranked = written(ranked.join(hubs, ["pivot", "e"]), "asked")
     x = rows.selectExpr("pivot", "rep x", "w w_x", "slack", "apart apart_x")
     y = rows.selectExpr("pivot", "rep y", "w w_y", "apart apart_y")
-    return (
-        pairs.join(x, ["pivot", "x"])
-        .join(y, ["pivot", "y"])
-        .where(f"{both} * size(array_intersect(apart_x, apart_y)) >= w_x + w_y - slack")
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    def linked_pairs(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(x, ["pivot", "x"])
+            .join(y, ["pivot", "y"])
+            .where(f"{both} * size(array_intersect(apart_x, apart_y)) >= w_x + w_y - slack")
+            .select("pivot", "x", "y")
+        )
+
+    stars = ranked.where("rep <> hub").select("pivot", F.col("hub").alias("x"), F.col("rep").alias("y")).distinct()
+    stars = written(linked_pairs(stars), "hub-links")
+    to_hub = stars.select("pivot", F.col("x").alias("hub"), F.col("y").alias("rep"), F.lit(True).alias("linked"))
+    told = written(
+        ranked.join(to_hub, ["pivot", "hub", "rep"], "left").withColumn(
+            "joined", F.coalesce("linked", F.col("rep") == F.col("hub"))
+        ),
+        "told",
     )
+    pairs = (
+        told.where(asks).select("pivot", "e", F.col("rep").alias("x"), F.col("w").alias("w_x"), "slack", F.col("joined").alias("joined_x"))
+        .join(told.where("rep <> hub").select("pivot", "e", F.col("rep").alias("y"), F.col("w").alias("w_y"), "size", "joined"), ["pivot", "e"])
+        # those with the hub are told, those of its links connected; both open: once; and as
+        # many elements as they need must be there at all
+        .where("x <> y and not (joined and joined_x)")
+        .where(f"(w_y <= slack or x < y or joined <> joined_x) and {both} * size >= w_x + w_y - slack")
+        .select("pivot", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        .distinct()
+    )
+    return stars.union(linked_pairs(pairs)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def all_links(docs: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataFrame | None:
+def all_links(docs: DataFrame, own: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataFrame | None:
     """Links (a, b) that connect all representatives with equal buckets whose similarity reaches the threshold."""
     # Two distances to a third set bound the distance of two sets: a member under
     # this similarity cannot reach the threshold with one that is linked to the pivot.
     near_t = max(0, 2 * threshold - 100)
-    spread = reps.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("rep"))
+    spread = reps.select(F.explode("buckets").alias("bucket"), F.col("node").alias("rep"))
     shared = (
         spread.groupBy("bucket")
         .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
@@ -410,7 +444,7 @@ def all_links(docs: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataF
         .select("bucket")
     )
     entries = written(spread.join(shared, "bucket", "left_semi"), "entries")
-    linker = Linker(docs, reps.drop("buckets"), k)
+    linker = Linker(docs, own, reps.drop("buckets"), k)
     found = None
     for _ in range(LEVELS):
         if entries.isEmpty():
@@ -453,22 +487,33 @@ def clustered(
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     sketch = written(sketches(docs, k), "sketches")
+    told = sketch.where("doc_id is not null and set_key is not null")
     classes = written(
-        sketch.where("doc_id is not null and set_key is not null")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep")),
+        told.groupBy("set_key")
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("r"))
+        .select("set_key", "r.doc_id", "r.text_key", F.monotonically_increasing_id().alias("node")),
         "classes",
     )
-    own = classes.select("set_key", F.col("rep").alias("doc_id"))
-    reps = sketch.join(own, ["set_key", "doc_id"], "left_semi").select("doc_id", "n_shingles", "sig", "buckets")
-    reps = written(reps.dropDuplicates(["doc_id"]), "reps")
-    links = all_links(docs, reps, k, threshold)
+    reps = told.join(classes, ["set_key", "doc_id", "text_key"]).select("node", "n_shingles", "sig", "buckets")
+    reps = written(reps.dropDuplicates(["node"]), "reps")
+    own = classes.drop("set_key")
+    links = all_links(docs, own, reps, k, threshold)
+    # documents with several texts connect the classes of these
+    several = told.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high")
+    several = written(told.join(several, "doc_id").select("set_key", "low").where("set_key <> low").distinct(), "several")
+    if not several.isEmpty():
+        node = classes.select("set_key", "node")
+        same = several.join(node.withColumnRenamed("node", "a"), "set_key").join(
+            node.select(F.col("set_key").alias("low"), F.col("node").alias("b")), "low"
+        )
+        links = same.select("a", "b") if links is None else links.union(same.select("a", "b"))
     if links is None:
-        rooted = classes.select("set_key", F.col("rep").alias("component_id"))
+        rooted = classes.select("set_key", F.col("doc_id").alias("component_id"))
     else:
-        roots = components(links).select(F.col("node").alias("rep"), "component")
-        rooted = classes.join(roots, "rep", "left").select(
-            "set_key", F.coalesce("component", "rep").alias("component_id")
+        roots = written(components(links).join(own.select("node", "doc_id"), "node"), "roots")
+        least = roots.groupBy("component").agg(F.min("doc_id").alias("least"))
+        rooted = classes.join(roots.join(least, "component").select("node", "least"), "node", "left").select(
+            "set_key", F.coalesce("least", "doc_id").alias("component_id")
         )
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return (

@@ -86,6 +86,40 @@ def test_far_members_are_compared_in_blocks(spark, monkeypatch):
     assert len({w[1] for w in want.values()}) == 20
 
 
+def test_a_document_with_several_texts_connects_what_each_is_like(spark):
+    rng = random.Random(2)
+    a, b, c = (sentence(rng, 120) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (5, c), (5, "else")]
+    rows = [(d, t, "en", "s", 0) for d, t in rows]
+    for n in (1, 4):
+        got = near_dedup.clustered(spark, frame(spark, rows).repartition(n), 2).collect()
+        assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)}
+        assert {r.doc_id for r in got if r.kept} == {1, 4}
+
+
+def test_links_of_a_family_beside_the_pivots_own_are_few(spark):
+    rng = random.Random(6)
+    first = sentence(rng, 200).split(" ")
+    second = [w if rng.random() > 0.12 else f"own{i}" for i, w in enumerate(first)]
+    per_member = []
+    for scale in (1, 2):
+        rows, i = [], 0
+        for words, size in ((first, 30 * scale), (second, 40 * scale)):
+            for _ in range(size):
+                own = list(words)
+                own[rng.randrange(len(own))] = f"new{rng.randrange(10**9)}"
+                rows.append((i, " ".join(own), "en", "s", 0))
+                i += 1
+        docs = frame(spark, rows)
+        sketch = near_dedup.sketches(docs, 2).withColumn("node", F.col("doc_id"))
+        links = near_dedup.all_links(docs, sketch.select("node", "doc_id", "text_key"), sketch, 2, 80)
+        per_member.append(links.distinct().count() / len(rows))
+        got = by_id(near_dedup.clustered(spark, docs, 2))
+        want = brute_clusters(rows, 2)
+        assert {d: (r[0]["n_shingles"], r[0]["component_id"], r[0]["kept"]) for d, r in got.items()} == want
+    assert max(per_member) <= 3 and per_member[1] <= 1.5 * per_member[0], per_member
+
+
 def test_cluster_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     want = brute_clusters(rows, 2)
@@ -329,6 +363,19 @@ def test_nearest_odd_cases(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_a_vector_id_with_several_vectors_has_the_least(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 50, [float(x) for x in rng.standard_normal(4)]) for i in range(150)]
+    least = sorted({i: min(v for j, v in rows if j == i) for i in range(50)}.items())
+    want = {q: [i for _, i in v] for q, v in brute_nearest(least, [0, 10], 3).items()}
+    for n in (1, 3):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(n)
+        got = {}
+        for r in ann.nearest(df, df.where("vec_id in (0, 10)"), 3).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert got == want
+
+
 def test_recall_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_VALUES", 64 * 150)
     vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 from math import log2
 
 import numpy as np
@@ -49,6 +50,40 @@ def test_backoff_goes_to_the_longest_known_order():
     assert model.word_scores("qq") == (0.0, 0.0)
 
 
+def test_training_draws_distinct_whole_texts(spark):
+    """The counts are those of the drawn texts, each once: recounted naively."""
+    same_ends = [("a" * 300 + f" word{i} " + "b" * 300, "x") for i in range(30)]
+    rows = same_ends + [("alpha beta alpha", "x")] * 200 + [("gamma delta", "y")] * 3
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.train(labelled, docs_per_lang=1000)
+    assert model.langs == ["x", "y"]
+    distinct = sorted(set(rows))
+    counts = [Counter(w for t, lang in distinct if lang == of for w in langid.WORDS.findall(t)) for of in model.langs]
+    vocabulary = set(counts[0]) | set(counts[1])
+    assert set(model.words.rows) == vocabulary
+    for w in vocabulary:
+        want = [np.log((c[w] + 0.5) / (sum(c.values()) + 0.5 * len(vocabulary))) for c in counts]
+        assert np.allclose(model.words.get(w), want)
+    few = langid.train(labelled, docs_per_lang=4)
+    total = np.exp(few.words.logs)  # smoothed shares; the words of four texts of x, at most
+    assert 2 < len(few.words.rows) <= 4 * 3 + 2 and total.shape[1] == 2
+
+
+def test_predictions_equal_a_naive_sum(spark):
+    docs = queries.folded(spark.read.parquet(f"{SF}/documents.parquet"))
+    model = langid.train(docs.where("not held_out"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in langid.predict(spark, docs, model).collect():
+        words = langid.WORDS.findall((texts[r.doc_id] or "").lower())
+        if not words:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        total = np.sum([model.word_scores(w) for w in words], axis=0)
+        best = int(total.argmax())
+        assert r.lang_pred == model.langs[best]
+        assert np.isclose(r.score, 1 / np.exp(total - total[best]).sum())
+
+
 def test_language_odd_cases(spark):
     docs = queries.folded(frame(spark, documents(), clashing=True))
     model = langid.train(docs)
