@@ -4,7 +4,8 @@ Five stages in order; each takes (spark, docs, sf_dir), works on every row its
 predecessor kept, and is written as Parquet before the next one reads it. All
 but the last return the columns of ``documents``. The rows that stay:
 
-- ``language_id`` drops documents without a determined language;
+- ``language_id`` drops documents without a determined language, or with one whose score
+  is below 0.5 (two languages that fit about alike, as in mixed or very short texts);
 - ``near_dedup`` keeps one document, the smallest doc_id, of each group of
   near copies (five-word shingles, similarity 0.8 or more, linked by chains);
 - ``decontaminate`` drops documents that hold a benchmark window;
