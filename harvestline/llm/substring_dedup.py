@@ -22,8 +22,8 @@ are not compared again.
 
 Hot passages: counts combine before each shuffle. Rows go back to their counts
 through ``matching``, where frequent keys are broadcast; these are few by
-their very frequency. Texts move by the key (doc_id, hash of the text) only, and only
-when what they meet is over the broadcast bound.
+their very frequency. Texts move twice, by the key (doc_id, hash of the text): to meet
+their anchors that are left, and to be cut.
 
 Words are runs of anything but ASCII white space, unchanged. A null or empty
 text, or one without words, gives no words and keeps an empty text. Texts of
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import BROADCAST_BYTES, discard, hinted, written
+from harvestline.llm.common import BROADCAST_BYTES, discard, written
 from harvestline.llm.word_arrays import NOT_SPACE, Words, doubled, ladder, text_slices, word_hashes
 
 WINDOW = 35
@@ -230,7 +230,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``offsets`` are those of the repeated windows from ``first`` on, null if all ``size`` are.
     """
     alive = candidates(docs, window)
-    marked = by_key(docs, hinted(alive, F.size("at") * 4 + 48), "inner").select(*KEY, "text", "at")
+    marked = by_key(docs, alive, "inner").select(*KEY, "text", "at")
     all_runs = written(runs(marked, window).withColumn("digest", F.xxhash64("hashes")), "runs")
     discard(alive)
     distinct = written(
@@ -285,8 +285,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, text_col: str = "text")
     """
     texts = keyed(docs, text_col)
     found = repeated_windows(texts, window)
-    width = F.expr("aggregate(found, 0L, (a, f) -> a + 24 + 4 * coalesce(size(f.offsets), 0))") + 48
-    rows = by_key(texts, hinted(found, width), "left").select("doc_id", "text", "found")
+    rows = by_key(texts, found, "left").select("doc_id", "text", "found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -188,7 +188,6 @@ def test_substring_dedup_of_a_hot_passage(spark, monkeypatch, hot, bound):
     """One passage in a third of all texts: frequent keys split off by number, by the bound, or not at all."""
     monkeypatch.setattr(substring_dedup, "HOT_ROWS", hot)
     monkeypatch.setattr(substring_dedup, "BROADCAST_BYTES", bound)
-    monkeypatch.setattr(substring_dedup, "hinted", lambda df, width: df)
     rng = random.Random(3)
     passage = sentence(rng, 60)
     rows = []
