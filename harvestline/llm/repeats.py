@@ -11,10 +11,10 @@ alone, so equal strings have equal boundaries inside. Each shard (documents of
 about ``SHARD_BYTES``) gets the suffix array and Burrows-Wheeler transform of its
 phrase sequences, sorted by phrase hash, an order that all shards share.
 
-Merging by iterative interleave refinement: a round takes every shard's blocks
-of suffixes with a common prefix of h phrases to h + 1 phrases through the
-transform's last-to-first step (the suffix before, with the phrase that the
-transform holds). A shard tells only its distinct blocks and their sizes; summed
+Merging in rounds, with hashed prefix blocks in place of an interleave of ranks: a
+round takes every shard's blocks of suffixes with a common prefix of h phrases
+to h + 1 phrases, by the suffix before in the text and the phrase that the
+transform holds. A shard tells only its distinct blocks and their sizes; summed
 over the shards they say which blocks of the merged array hold more than one
 suffix. Blocks of one suffix are finished, h is its longest common prefix; the
 others go on until their common prefix covers ``CORE`` bytes. No suffix is sorted

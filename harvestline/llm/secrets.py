@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns plus sliding-window entropy over candidate strings.
 
 Base spans come from three fixed patterns. The method then adds spans: every
-maximal run of secret-like characters of at least ``min_candidate`` characters
+maximal run of secret-like characters that is as long as the window or longer
 is a candidate; a window slides over it, character counts are kept
 incrementally (one in, one out), and the Shannon entropy of the window is
 compared with a threshold per character class (hex digits, lower-case letters
