@@ -111,43 +111,47 @@ def monolithic(records, level: int = 1) -> Iterator[bytes]:
 
 
 class Inflater:
-    """A whole-file gzip stream (one member or several), inflated as it is asked for."""
+    """A whole-file gzip stream (one member or several), inflated CHUNK bytes at a time.
+
+    ``buffer`` holds what is inflated, of which the first ``at`` bytes are done with.
+    """
 
     def __init__(self, source):
-        self.source, self.z, self.buffer = source, zlib.decompressobj(31), b""
+        self.source, self.z, self.raw = source, zlib.decompressobj(31), b""
+        self.buffer, self.at = bytearray(), 0
 
     def more(self) -> bool:
+        del self.buffer[: self.at]
+        self.at = 0
         while True:
-            raw = self.z.unused_data if self.z.eof else b""
             if self.z.eof:
-                self.z = zlib.decompressobj(31)
-            raw = raw or self.source.read(CHUNK)
-            if not raw:
-                return False
-            if out := self.z.decompress(raw):
+                self.raw, self.z = self.z.unused_data, zlib.decompressobj(31)
+            out = self.z.decompress(self.raw, CHUNK)
+            self.raw = self.z.unconsumed_tail
+            if out:
                 self.buffer += out
                 return True
+            if not self.z.eof and not self.raw:
+                self.raw = self.source.read(CHUNK)
+                if not self.raw:
+                    return False
 
     def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
-        """(headers, whole record) of one record after the other; memory is one record."""
+        """(headers, whole record) of one record after the other; memory is one record and a CHUNK."""
         while True:
-            while (end := self.buffer.find(CRLF + CRLF)) < 0:
+            while (end := self.buffer.find(CRLF + CRLF, self.at)) < 0:
                 if not self.more():
                     if self.buffer.strip():
                         raise ValueError("the stream ends within a record's head")
                     return
-            head = parse_head(self.buffer[:end])
-            size = end + 4 + int(head["Content-Length"]) + 4
-            parts, have = [self.buffer], len(self.buffer)
-            while have < size:
-                self.buffer = b""
+            head = parse_head(bytes(self.buffer[self.at : end]))
+            size = end - self.at + 4 + int(head["Content-Length"]) + 4
+            while len(self.buffer) - self.at < size:
                 if not self.more():
                     raise ValueError("the stream ends within a record's block")
-                parts.append(self.buffer)
-                have += len(self.buffer)
-            whole = b"".join(parts)
-            self.buffer = whole[size:]
-            yield head, whole[:size]
+            whole = bytes(self.buffer[self.at : self.at + size])
+            self.at += size
+            yield head, whole
 
 
 def normalise(source, level: int = 1) -> Iterator[tuple[dict[str, str], bytes]]:

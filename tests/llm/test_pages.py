@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import json
 import zlib
 
 import pytest
@@ -140,6 +141,34 @@ def test_normaliser_gives_a_member_per_record(members):
     assert [zlib.decompress(m, 31) for _, m in out] == records
 
 
+def test_repetitive_stream_is_inflated_by_pieces(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 4096)
+    records = [warc.record(i, "u", b"z" * 2000, "response", None) for i in range(500)]
+    records.append(warc.record(500, "u", b"y" * 300_000, "response", None))
+    source = warc.Inflater(io.BytesIO(b"".join(warc.monolithic(records))))
+    held = []
+    for (_, whole), want in zip(source.records(), records, strict=True):
+        assert whole == want
+        held.append(len(source.buffer))
+    assert max(held[:500]) <= 4096 + len(records[0]) and source.buffer[source.at :] == b""
+
+
+def test_sidecar_tells_the_same_as_the_index(spark, tmp_path):
+    pages = frame(spark, PAGES, "page_id long, url string, html string")
+    found = warc.archive(spark, pages, str(tmp_path)).count()
+    index = {}
+    for r in spark.read.parquet(f"{tmp_path}/index").collect():
+        index.setdefault(r.file, []).append((r.offset, r.length, r.page_id))
+    assert found == len(PAGES) == sum(map(len, index.values()))
+    for file, rows in index.items():
+        with open(file.removesuffix(".warc.gz") + ".idx.jsonl") as f:
+            told = [tuple(json.loads(line)[k] for k in ("offset", "length", "page_id")) for line in f]
+        assert told == sorted(rows)
+        fs, path = warc.open_fs(file)
+        for offset, length, page in told:
+            assert warc.read_record(fs, path, offset, length)[0].get("X-Page-Id") == (page and str(page))
+
+
 def test_torn_stream_is_an_error():
     mono = b"".join(warc.monolithic([warc.record(1, "u", b"x" * 1000, "response", None)]))
     with pytest.raises(ValueError):
