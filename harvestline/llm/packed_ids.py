@@ -13,7 +13,8 @@ Documents are tokenised with a tokenizers file; texts are cut at white space
 first (its normaliser and splitter never join across white space), so
 that each distinct word is encoded once per task. Null text is empty text: a
 document of the end id alone. Files follow ascending doc_id; a null doc_id
-comes first; rows with equal doc_id keep a row each, in any order. Very long
+comes first; rows with equal doc_id keep a row each, in the order of their texts'
+hash, so that starts are the same in every run. Very long
 texts are one document of many blocks. An empty table gives no file.
 """
 
@@ -41,6 +42,7 @@ END_ID = 2
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SPACES = re.compile(r"[ \t\n\r\v\f]+")
 NO_ID = -(1 << 63)  # in the document index, for a null doc_id
+PART_BYTES = 128 << 20  # text in a range partition, about
 CACHE_WORDS = 1_500_000  # words that a worker remembers; beyond, it starts anew
 
 MANIFEST = "part int, file string, at int, doc_id long, first long, n_tokens long"
@@ -318,9 +320,12 @@ def tokenised(
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range partitions in doc_id order, each sorted: files follow the order.
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    # Range partitions in doc_id order, each sorted: files follow the order. The text's
+    # hash settles ties, and splits rows of one doc_id or none.
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PART_BYTES))
+    ordered = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     write_files(ordered, tokenizer, f"{folder}/files", vocab_size).write.parquet(f"{folder}/manifest")
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     found = read_files(manifest, f"{folder}/files")
@@ -333,8 +338,8 @@ def file_starts(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """(part, at, base): ids before each file, a row per file.
 
     Sums run within a range partition by a window; the totals of the range
-    partitions, no more than ``spark.sql.shuffle.partitions`` rows, are summed
-    up on the driver.
+    partitions, a row per ``PART_BYTES`` of text or ``spark.sql.shuffle.partitions``
+    rows if that is more, are summed up on the driver.
     """
     sizes = manifest.groupBy("part", "at").agg(F.sum("n_tokens").alias("n"))
     parts = sorted(tuple(r) for r in sizes.groupBy("part").agg(F.sum("n")).collect())

@@ -367,6 +367,20 @@ def test_packed_ids_table(spark):
     assert packed_ids.tokenised(spark, docs.limit(0), WORD, 49_408).count() == 0
 
 
+def test_packed_ids_of_tied_rows_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packed_ids, "PART_BYTES", 100)
+    rows = [(d, f"word{i} " * (i % 7), "en", "s", 0) for d in (None, 3) for i in range(30)]
+
+    def found(parts):
+        docs = frame(spark, rows).repartition(parts, "text")
+        return sorted(map(tuple, packed_ids.tokenised(spark, docs, WORD, 49_408).collect()), key=str)
+
+    one = found(1)
+    assert found(5) == one and len(one) == len(rows)
+    ends = sorted((r[1], r[1] + r[2]) for r in one)
+    assert [a for a, _ in ends] == [0] + [b for _, b in ends[:-1]]
+
+
 def test_packed_ids_query(spark):
     rows = queries.QUERIES["op5_packed_ids"](spark, SF).orderBy("doc_id").collect()
     starts = np.cumsum([0] + [r.n_tokens for r in rows[:-1]]).tolist()
