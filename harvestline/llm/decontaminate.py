@@ -13,7 +13,7 @@ item-sized window.
 
 Main path: DataFrame functions alone. Documents are read in two narrow scans
 (word counts, then candidates); what is shuffled is counts of benchmark words
-and verified occurrences. The benchmark side is broadcast only after its size is
+and verified occurrences. Counts and windows are broadcast only after their size is
 measured against ``BROADCAST_BYTES``; beyond that candidates are joined by
 shuffle and verified with the texts that have any.
 
@@ -95,6 +95,8 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    # no larger than the benchmark's vocabulary; a frequent word's windows stay where they are
+    counts = hinted(written(counts, "word_counts"), F.octet_length("word") + 48)
     placed = windows.select("words", "items", "size", F.posexplode("words").alias("place", "word"))
     rarity = F.struct(F.coalesce("n", F.lit(0)), "word", "place")
     return (
