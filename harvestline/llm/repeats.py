@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -542,18 +543,83 @@ def pieces(marked: DataFrame, plan: DataFrame) -> DataFrame:
     return marked.join(wanted, "no").select(columns).mapInArrow(run, PIECES)
 
 
-def _grid(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The rows as a matrix of byte values, filled up with a value that no byte has, and their lengths."""
-    sizes = np.array([len(r) for r in rows])
-    grid = np.full((len(rows), int(sizes.max()) + 1), 256, np.uint16)
-    grid[np.arange(grid.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(rows), np.uint8)
-    return grid, sizes
+ROWS_AT_ONCE = 4096  # contents that are laid out side by side, beyond a whole interval's
+PAIRS_AT_ONCE = 1 << 18
 
 
-def _common(grid: np.ndarray, sizes: np.ndarray, i: int) -> np.ndarray:
-    """Length of the common prefix of row i with each row."""
-    differs = grid != grid[i]
-    return np.where(differs.any(axis=1), np.minimum(differs.argmax(axis=1), np.minimum(sizes, sizes[i])), sizes[i])
+def _common_next(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, step: int) -> np.ndarray:
+    """Length of the common prefix of each row with the next; a row is read from ``first`` on by ``step``."""
+    out = np.zeros(max(0, len(first) - 1), np.int64)
+    for at in range(0, len(out), 1024):
+        n = sizes[at : at + 1025]
+        along = np.arange(max(1, int(n.max())))
+        grid = flat[np.clip(first[at : at + 1025, None] + step * along, 0, len(flat) - 1)]
+        shorter = np.minimum(n[:-1], n[1:])
+        differs = (grid[:-1] != grid[1:]) | (along >= shorter[:, None])
+        out[at : at + len(shorter)] = np.where(differs.any(axis=1), differs.argmax(axis=1), shorter)
+    return out
+
+
+def _range_least(x: np.ndarray) -> list[np.ndarray]:
+    """Level k holds the minima of x over 2 ** k neighbours."""
+    levels = [x]
+    while len(levels[-1]) > 1 << (len(levels) - 1):
+        half = 1 << (len(levels) - 1)
+        levels.append(np.minimum(levels[-1][:-half], levels[-1][half:]))
+    return levels
+
+
+class Prefixes:
+    """Common prefixes of any two rows of a group, from the rows' sorted order.
+
+    Rows sorted within their group have, with any other, the least of the common
+    prefixes between neighbours on the way.
+    """
+
+    def __init__(self, rows: list[bytes], groups: list[tuple[int, int]], flat, first, sizes, step: int):
+        order = [i for a, b in groups for i in sorted(range(a, b), key=rows.__getitem__)]
+        at = np.array(order, np.int64)
+        self.sizes, self.rank = sizes, np.empty(len(at), np.int64)
+        self.rank[at] = np.arange(len(at))
+        self.levels = _range_least(_common_next(flat, first[at], sizes[at], step))
+
+    def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of rows i with rows j, each of i's group; a row with itself has its length."""
+        low, high = np.minimum(self.rank[i], self.rank[j]), np.maximum(self.rank[i], self.rank[j])
+        out = self.sizes[i].copy()
+        level = np.frexp(np.maximum(high - low, 1).astype(np.float64))[1] - 1
+        for k in np.unique(level[high > low]).tolist():
+            own = np.flatnonzero((level == k) & (high > low))
+            x = self.levels[k]
+            out[own] = np.minimum(x[low[own]], x[high[own] - (1 << k)])
+        return out
+
+
+def _shared_ranges(no, lone, low, high, anchor, found: pa.Array, groups: list[tuple[int, int]]):
+    """(no, low, high) arrays: window starts of lone stretches that another one of their group holds."""
+    rows = found.to_pylist()
+    sizes = np.array([len(r) for r in rows], np.int64)
+    flat = np.frombuffer(b"".join(rows), np.uint8)
+    at = np.cumsum(sizes) - sizes
+    cuts = anchor - low
+    right = Prefixes([r[c:] for r, c in zip(rows, cuts.tolist())], groups, flat, at + cuts, sizes - cuts, 1)
+    left = Prefixes([r[:c][::-1] for r, c in zip(rows, cuts.tolist())], groups, flat, at + cuts - 1, cuts, -1)
+    start = np.concatenate([np.full(b - a, a) for a, b in groups])
+    kinds = np.concatenate([np.full(b - a, b - a) for a, b in groups])
+    open_ = np.flatnonzero(lone)
+    upto = np.cumsum(kinds[open_])
+    begin = 0
+    while begin < len(open_):
+        done = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, done + PAIRS_AT_ONCE, "right")))
+        part, begin = open_[begin:end], end
+        i = np.repeat(part, kinds[part])
+        j = np.arange(len(i)) - np.repeat(np.cumsum(kinds[part]) - kinds[part], kinds[part]) + start[i]
+        x = np.maximum(low[i], anchor[i] - left.of(i, j))
+        y = np.minimum(high[i], anchor[i] - LENGTH + right.of(i, j))
+        own = np.flatnonzero((x <= y) & (i != j))
+        i, x, y = np.unique(np.stack([i[own], x[own], y[own]]), axis=1)
+        yield no[i], x, y
 
 
 RANGES = "no long, low long, high long"
@@ -564,32 +630,30 @@ def compared_in_groups(few: DataFrame) -> DataFrame:
 
     Two contents are aligned at their anchor. The window at d bytes before it
     is common to both if they agree on d bytes to the left and LENGTH - d to the
-    right.
+    right. How far two agree on a side comes from the sorted order of all on that
+    side (``Prefixes``), so bytes are compared between neighbours alone.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
         for batch in batches:
-            nos, lows, highs = [], [], []
-            for group in batch.column(0):
-                group = group.as_py()
-                cuts = [g["anchor"] - g["low"] for g in group]
-                left = _grid([g["bytes"][:c][::-1] for g, c in zip(group, cuts)])
-                right = _grid([g["bytes"][c:] for g, c in zip(group, cuts)])
-                for i, g in enumerate(group):
-                    if not g["lone"]:
-                        continue
-                    low = np.maximum(g["low"], g["anchor"] - _common(*left, i))
-                    high = np.minimum(g["high"], g["anchor"] - LENGTH + _common(*right, i))
-                    low[i], high[i] = 1, 0  # not with itself
-                    found = np.unique(np.stack([low, high])[:, low <= high], axis=1)
-                    nos.append(np.full(found.shape[1], g["no"]))
-                    lows.append(found[0])
-                    highs.append(found[1])
-            if nos:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), pa.int64()) for x in (nos, lows, highs)], names=["no", "low", "high"]
-                )
+            group = batch.column(0)
+            # intervals side by side until they have ROWS_AT_ONCE contents
+            begin, held = 0, 0
+            for end in range(1, len(group) + 1):
+                held += len(group[end - 1])
+                if held < ROWS_AT_ONCE and end < len(group):
+                    continue
+                part = group.slice(begin, end - begin)
+                edges = np.append(0, np.cumsum(pc.list_value_length(part).to_numpy(zero_copy_only=False)))
+                rows = part.flatten()
+                no, lone, low, high, anchor = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+                groups = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+                for found in _shared_ranges(no, lone, low, high, anchor, rows.field(5), groups):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, pa.int64()) for x in found], names=["no", "low", "high"]
+                    )
+                begin, held = end, 0
 
     groups = few.groupBy("label").agg(
         F.collect_list(F.struct("no", "lone", "low", "high", "anchor", "bytes")).alias("group")

@@ -297,6 +297,45 @@ def test_repeats_against_brute_force(spark, rows, shard_bytes, kinds, monkeypatc
             assert sum(s["stop"] - s["start"] for s in r["spans"]) == r["n_removed"]
 
 
+@pytest.mark.parametrize("rows_at_once,pairs_at_once", [(4096, 1 << 18), (1, 3)])
+def test_common_prefixes_within_groups(rows_at_once, pairs_at_once, monkeypatch, spark):
+    monkeypatch.setattr(repeats, "LENGTH", 6)
+    monkeypatch.setattr(repeats, "ROWS_AT_ONCE", rows_at_once)
+    monkeypatch.setattr(repeats, "PAIRS_AT_ONCE", pairs_at_once)
+    rng = random.Random(9)
+    rows, want = [], set()
+    for label in range(40):
+        group = []
+        for _ in range(rng.randrange(2, 12)):
+            left, right = (bytes(rng.choice(b"a\0") for _ in range(rng.randrange(0, 7))) for _ in "ab")
+            low, right = rng.randrange(50), right + b"a" * 6
+            group.append((len(rows) + len(group), label, rng.random() < 0.8, low, low + len(left + right) - 6, low + len(left), left + right))
+        for no, _, lone, low, high, anchor, b in group:
+            for no2, _, _, low2, _, anchor2, b2 in group:
+                # windows of both that lie alike around the anchor and hold it or touch it
+                alike = [
+                    p
+                    for p in range(low, min(high, anchor) + 1)
+                    if p - anchor + anchor2 >= low2 and b[p - low : p - low + 6] == b2[p - anchor + anchor2 - low2 :][:6]
+                ]
+                if lone and no != no2:
+                    want |= {(no, p) for p in alike}
+        rows += group
+    few = spark.createDataFrame(rows, "no long, label long, lone boolean, low long, high long, anchor long, bytes binary")
+    batches = few.groupBy("label").agg(repeats.F.collect_list(repeats.F.struct("no", "lone", "low", "high", "anchor", "bytes")).alias("g"))
+    table = batches.select("g").toArrow().combine_chunks()
+    got = set()
+    for batch in table.to_batches():
+        group = batch.column(0)
+        edges = np.append(0, np.cumsum([len(g) for g in group]))
+        flat = group.flatten()
+        columns = [flat.field(k).to_numpy(zero_copy_only=False) for k in range(5)]
+        pairs = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+        for nos, lows, highs in repeats._shared_ranges(*columns, flat.field(5), pairs):
+            got |= {(n, p) for n, x, y in zip(nos.tolist(), lows.tolist(), highs.tolist()) for p in range(x, y + 1)}
+    assert {(n, p) for n, p in got if p <= {r[0]: r[5] for r in rows}[n]} == want
+
+
 def test_repeats_of_an_empty_table(spark):
     assert repeats.repeats_removed(spark, frame(spark, documents()).limit(0)).count() == 0
 
