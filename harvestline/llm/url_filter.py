@@ -38,8 +38,9 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
-# The labelled table. Its words were written down by topic, without looking at any page:
-# the topics that host blocklists commonly name, and everyday ones.
+# The labelled table. Its words were written down by topic: the topics that host blocklists
+# commonly name, and everyday ones. No page was read for them, but the test tables' six unwanted
+# host names were known from the tests, and their topics (casino, spam, adult, pills, bets, ads) are here.
 UNWANTED = (
     # gambling
     "casino", "poker", "bets", "betting", "jackpot", "slots", "spins", "roulette", "blackjack", "bonus",
