@@ -12,8 +12,8 @@ The model's measured size decides where its sums are made, not what they are:
 - A model of ``TASK_ROWS`` rows or fewer is grown in one task, all such models side
   by side. The task holds its binned rows, some 60 bytes each.
 - Larger models are grown level by level, all of them together: rows are packed
-  into blocks of ``BLOCK_ROWS``, every block adds up its part, the parts meet, and
-  each node's best split is taken from them, in one Spark job per level. The
+  into blocks of ``BLOCK_ROWS``, every task adds up its blocks' part, the parts meet in
+  tasks by (model, node), and each node's best split is taken there, in one Spark job per level. The
   blocks are a persisted RDD of a record each: thousands of short jobs in a row, for
   which an RDD job's start takes a quarter of a DataFrame job's (measured on 8
   blocks of 2.4 MB: 0.06 and 0.24 s). Running predictions are brought up to date
@@ -51,7 +51,8 @@ BLOCK_ROWS = 25_000
 KEEP = 4
 CHECKPOINT = 48
 ACCURACY = 10_000  # of the approximate quantiles
-DIRECT_BYTES = 32 << 20  # partial sums of a level that the driver adds itself; beyond it tasks do
+DIRECT_BYTES = 32 << 20  # sums that a task adds up before it hands them on; newest trees that a job carries
+TASK_BYTES = 1 << 20  # a level's sums that one task takes splits from
 BROADCAST_BYTES = 32 << 20
 NODES = (
     "model string, tree int, node int, feature int, feature_name string, threshold double, value double, gain double, cover long"
@@ -284,7 +285,6 @@ def _level(
     feature: np.ndarray,
     cut: np.ndarray,
     columns: np.ndarray,
-    n_blocks: int,
     p: Params,
 ) -> np.ndarray:
     """One job: the best split of every open node at ``depth`` of tree ``tree`` of all models.
@@ -295,8 +295,11 @@ def _level(
     first = width - 1  # number of the level's first node
     used = np.flatnonzero(columns.any(axis=0))
     shape = (n_features, p.max_bin)
+    slot_bytes = 2 * n_features * p.max_bin * 8
 
     def sums(records):
+        """(slot, sums) of a partition's blocks, added up as far as ``DIRECT_BYTES`` hold them."""
+        met: dict[int, np.ndarray] = {}
         for record in records:
             rows = Rows(record, n_features)
             node = rows.walked(feature, cut, depth)
@@ -305,34 +308,36 @@ def _level(
                 continue
             slots, at = np.unique(rows.model[some].astype(np.int64) * width + node[some] - first, return_inverse=True)
             residual = np.rint((rows.y - rows.after(grown, p.max_depth))[some] * UNITS)
-            g, h = np.zeros((len(slots), *shape), np.int64), np.zeros((len(slots), *shape), np.int64)
+            both = np.zeros((len(slots), 2, *shape), np.int64)
             size, base = len(slots) * p.max_bin, at * p.max_bin
             for f in used:
                 key = base + rows.bins[f].take(some)
                 # whole numbers in doubles: exact for a block's sums
-                g[:, f] = np.bincount(key, residual, size).reshape(-1, p.max_bin)
-                h[:, f] = np.bincount(key, minlength=size).reshape(-1, p.max_bin)
-            for slot, x, y in zip(slots.tolist(), g, h):
-                yield slot, np.stack([x, y])
-
-    def split(parts) -> np.ndarray:
-        slots = np.array([s for s, _ in parts], np.int64)
-        total = np.stack([x for _, x in parts])
-        return best_splits(slots, total[:, 0], total[:, 1], columns[slots // width], p)
-
-    partial = blocks.mapPartitions(sums)
-    if n_blocks * len(columns) * width * n_features * p.max_bin * 16 <= DIRECT_BYTES:
+                both[:, 0, f] = np.bincount(key, residual, size).reshape(-1, p.max_bin)
+                both[:, 1, f] = np.bincount(key, minlength=size).reshape(-1, p.max_bin)
+            for slot, x in zip(slots.tolist(), both):
+                if slot in met:
+                    met[slot] += x
+                else:
+                    met[slot] = x.copy()
+            if len(met) * slot_bytes > DIRECT_BYTES:
+                yield from met.items()
+                met = {}
+        yield from met.items()
+
+    def split(parts) -> Iterator[np.ndarray]:
         met: dict[int, np.ndarray] = {}
-        for slot, x in partial.collect():
+        for slot, x in parts:
             met[slot] = met[slot] + x if slot in met else x
-        return split(sorted(met.items(), key=lambda s: s[0])) if met else np.zeros(0, SPLIT)
-    summed = partial.reduceByKey(np.add, max(2, n_blocks // 8))
-
-    def in_task(parts):
-        parts = list(parts)
-        return [split(parts)] if parts else []
+        if met:
+            slots = np.array(sorted(met), np.int64)
+            total = np.stack([met[s] for s in slots.tolist()])
+            yield best_splits(slots, total[:, 0], total[:, 1], columns[slots // width], p)
 
-    return np.concatenate([np.zeros(0, SPLIT), *summed.mapPartitions(in_task).collect()])
+    # sums meet in tasks, of which each holds some MB; the driver gets the splits alone
+    tasks = min(len(columns) * width, -(-len(columns) * width * slot_bytes // TASK_BYTES))
+    found = blocks.mapPartitions(sums).partitionBy(tasks, int).mapPartitions(split).collect()
+    return np.concatenate([np.zeros(0, SPLIT), *found])
 
 
 def _grown_in_task(name: str, bins: np.ndarray, y: np.ndarray, ids: np.ndarray, base: float, p: Params) -> Iterator[Grown]:
@@ -392,14 +397,14 @@ def _large_models(
     table = written(_packed(flat, n_rows, len(features), names, cuts, bases), "blocks")
     checkpoint_dir(spark)
     blocks = table.rdd.map(lambda r: tuple(bytes(x) for x in r)).persist(StorageLevel.MEMORY_AND_DISK)
-    n_blocks = blocks.count()
+    blocks.count()
     keep = max(1, min(KEEP, DIRECT_BYTES // (len(names) * (11 << (p.max_depth + 1)))))
     newest, out = [], []
     for tree in range(p.n_estimators):
         columns = np.stack([drawn_columns(m, tree, len(features), p) for m in names])
         grown = Grown(len(names), p)
         for depth in range(p.max_depth):
-            got = _level(blocks, tree, depth, newest, grown.feature, grown.cut, columns, n_blocks, p)
+            got = _level(blocks, tree, depth, newest, grown.feature, grown.cut, columns, p)
             if not len(got) or not grown.split(got, depth, p):
                 break
         newest.append((grown.feature, grown.cut, grown.value))

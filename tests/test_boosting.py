@@ -1,9 +1,11 @@
 """Grouped boosting against a naive computation, and saved models."""
 
 import datetime as dt
+import pickle
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from harvestline.operators import boosting, models, registry
@@ -138,6 +140,27 @@ def test_partitioning_and_merging_change_nothing(spark, fitted, monkeypatch):
     assert one == other and len(one) > 30
 
 
+def test_the_driver_gets_splits_and_no_sums(spark, fitted, monkeypatch):
+    """What a level sends to the driver is a record per open node, however many blocks there are."""
+    df, _ = fitted
+    p = boosting.Params(n_estimators=2, max_depth=3, min_child_weight=2, max_bin=16)
+    sent = []
+    collect = RDD.collect
+
+    def counted(rdd):
+        got = collect(rdd)
+        sent.append(len(pickle.dumps(got)))
+        return got
+
+    monkeypatch.setattr(boosting, "TASK_ROWS", 0)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(RDD, "collect", counted)
+    boosting.fit(df, FEATURES, "y", p)
+    levels = [s for s in sent if s > 100]
+    # 3 models of at most 4 nodes; a node's sums would be 3 features of 16 bins of 16 bytes
+    assert len(levels) >= 6 and max(levels) <= 12 * boosting.SPLIT.itemsize + 2000
+
+
 def test_importances_are_shares_of_the_mean_gain(spark, fitted):
     _, forest = fitted
     got = {r.feature: r.importance for r in boosting.importances(forest, None).collect()}
