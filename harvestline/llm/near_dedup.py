@@ -352,6 +352,18 @@ def with_pivots(entries: DataFrame) -> DataFrame:
     )
 
 
+def overlapping(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
+    """(pivot, x, y) of the pairs of a family's members that reach the threshold, on their whole difference sets."""
+    x = rows.selectExpr("pivot", "rep x", "w w_x", "slack", "apart apart_x")
+    y = rows.selectExpr("pivot", "rep y", "w w_y", "apart apart_y")
+    return (
+        pairs.join(x, ["pivot", "x"])
+        .join(y, ["pivot", "y"])
+        .where(f"{100 + threshold} * size(array_intersect(apart_x, apart_y)) >= w_x + w_y - slack")
+        .select("pivot", "x", "y")
+    )
+
+
 def family_links(near: DataFrame, threshold: int) -> DataFrame:
     """(a, b) links among the members of a pivot's family, from what sets them apart from the pivot.
 
@@ -360,10 +372,17 @@ def family_links(near: DataFrame, threshold: int) -> DataFrame:
     d = 100 - t and w = 100 r + t s for threshold t (in per cent; t of the union).
     Two members with o elements common to their difference sets reach the
     threshold just if (100 + t) o >= w + w' - d P. Members with w <= d P are
-    linked to the pivot itself. Any other member needs common elements with
-    whom it is linked to, so a join on the rarest elements of the difference
-    sets (as many as may not all be missed) finds all its partners, however
-    large the family is.
+    linked to the pivot itself, and need no links with one another. Any other
+    member (an open one) needs common elements with whom it is linked to: (w + 1) / (100 + t)
+    with an open one, and (w - d P) / 100 with any, as w' >= t o. So a join on the
+    rarest elements of the difference sets (as many as may not all be missed)
+    finds all its partners, however large the family is.
+
+    Elements that one member alone has are common to no two. Members' other
+    elements (``shared`` of them) are ranked in one order in the whole family, so at the
+    first one that two members have in common, as many can be common as follow in
+    either ranking, and it; pairs that do not reach the threshold by that are
+    not made. A pair that does reach it is found at its first common element.
 
     The members that share such an element with an open one are compared with
     one of them, their hub, first. Those linked to it are connected by that; only
@@ -381,54 +400,57 @@ def family_links(near: DataFrame, threshold: int) -> DataFrame:
     # a small side by its measured size, so that one pivot's members need not meet in a task
     with_open = hinted(written(rows.where("w > slack").select("pivot").distinct(), "open-pivots"), F.lit(16))
     rows = written(rows.join(with_open, "pivot", "left_semi"), "families")
-    elements = rows.select("pivot", "rep", "w", "slack", F.size("apart").alias("size"), F.explode("apart").alias("e"))
-    often = elements.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often"))
-    rank = F.row_number().over(Window.partitionBy("pivot", "rep").orderBy("often", "e"))
+    elements = rows.select("pivot", "rep", "w", "slack", F.explode("apart").alias("e"))
+    often = elements.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    own = Window.partitionBy("pivot", "rep")
+    asks = "w > slack and rank <= shared - ceil((w - slack) / 100) + 1"
     ranked = written(
         elements.join(often, ["pivot", "e"])
-        .withColumn("rank", rank)
-        # with an open partner at least ceil((w + 1) / both) elements are common
-        .where(f"often > 1 and rank <= size - ceil((w + 1) / {both}) + 1")
-        .select("pivot", "rep", "e", "rank", "often", "w", "slack", "size"),
+        .withColumn("rank", F.row_number().over(own.orderBy("often", "e")))
+        .withColumn("shared", F.count(F.lit(1)).over(own))
+        .where(f"rank <= shared - ceil((w + 1) / {both}) + 1 or {asks}")
+        .select("pivot", "rep", "e", "rank", "often", "w", "slack", "shared"),
         "ranked",
     )
-    asks = f"w > slack and rank <= size - ceil((w - slack + 1) / {both}) + 1"
     ranked = ranked.join(ranked.where(asks).select("pivot", "e").distinct(), ["pivot", "e"], "left_semi")
     company = ranked.groupBy("pivot", "rep").agg(F.sum("often").alias("company"))
-    first = F.max_by("rep", F.struct("company", (-F.col("rep")).alias("order"))).alias("hub")
-    hubs = ranked.join(company, ["pivot", "rep"]).groupBy("pivot", "e").agg(first)
+    first = F.max_by(
+        F.struct("rep", "rank", "w", "shared"), F.struct("company", (-F.col("rep")).alias("order"))
+    ).alias("h")
+    hubs = (
+        ranked.join(company, ["pivot", "rep"])
+        .groupBy("pivot", "e")
+        .agg(first)
+        .selectExpr("pivot", "e", "h.rep hub", "h.rank hub_rank", "h.w hub_w", "h.shared hub_shared")
+    )
     ranked = written(ranked.join(hubs, ["pivot", "e"]), "asked")
-    x = rows.selectExpr("pivot", "rep x", "w w_x", "slack", "apart apart_x")
-    y = rows.selectExpr("pivot", "rep y", "w w_y", "apart apart_y")
-
-    def linked_pairs(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(x, ["pivot", "x"])
-            .join(y, ["pivot", "y"])
-            .where(f"{both} * size(array_intersect(apart_x, apart_y)) >= w_x + w_y - slack")
-            .select("pivot", "x", "y")
-        )
-
-    stars = ranked.where("rep <> hub").select("pivot", F.col("hub").alias("x"), F.col("rep").alias("y")).distinct()
-    stars = written(linked_pairs(stars), "hub-links")
+    stars = (
+        ranked.where("rep <> hub and (w > slack or hub_w > slack)")
+        .where(f"{both} * (1 + least(shared - rank, hub_shared - hub_rank)) >= w + hub_w - slack")
+        .select("pivot", F.col("hub").alias("x"), F.col("rep").alias("y"))
+        .distinct()
+    )
+    stars = written(overlapping(stars, rows, t), "hub-links")
     to_hub = stars.select("pivot", F.col("x").alias("hub"), F.col("y").alias("rep"), F.lit(True).alias("linked"))
+    # members linked to the pivot are connected by that
+    connected = F.expr("w <= slack and hub_w <= slack")
     told = written(
-        ranked.join(to_hub, ["pivot", "hub", "rep"], "left").withColumn(
-            "joined", F.coalesce("linked", F.col("rep") == F.col("hub"))
-        ),
+        ranked.where("rep <> hub")
+        .join(to_hub, ["pivot", "hub", "rep"], "left")
+        .select("pivot", "e", "rep", "rank", "w", "slack", "shared", F.coalesce("linked", connected).alias("joined")),
         "told",
     )
     pairs = (
-        told.where(asks).select("pivot", "e", F.col("rep").alias("x"), F.col("w").alias("w_x"), "slack", F.col("joined").alias("joined_x"))
-        .join(told.where("rep <> hub").select("pivot", "e", F.col("rep").alias("y"), F.col("w").alias("w_y"), "size", "joined"), ["pivot", "e"])
-        # those with the hub are told, those of its links connected; both open: once; and as
-        # many elements as they need must be there at all
-        .where("x <> y and not (joined and joined_x)")
-        .where(f"(w_y <= slack or x < y or joined <> joined_x) and {both} * size >= w_x + w_y - slack")
+        told.where(asks)
+        .selectExpr("pivot", "e", "rep x", "rank rank_x", "w w_x", "slack", "shared shared_x", "joined joined_x")
+        .join(told.selectExpr("pivot", "e", "rep y", "rank rank_y", "w w_y", "shared shared_y", "joined joined_y"), ["pivot", "e"])
+        # those with the hub are told, those of its links connected
+        .where("x <> y and not (joined_x and joined_y)")
+        .where(f"{both} * (1 + least(shared_x - rank_x, shared_y - rank_y)) >= w_x + w_y - slack")
         .select("pivot", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         .distinct()
     )
-    return stars.union(linked_pairs(pairs)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return stars.union(overlapping(pairs, rows, t)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def all_links(docs: DataFrame, own: DataFrame, reps: DataFrame, k: int, threshold: int) -> DataFrame | None:

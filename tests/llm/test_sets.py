@@ -120,6 +120,79 @@ def test_links_of_a_family_beside_the_pivots_own_are_few(spark):
     assert max(per_member) <= 3 and per_member[1] <= 1.5 * per_member[0], per_member
 
 
+def family(members, n_pivot=100):
+    """Rows of near copies of a pivot (0) of shingles 0 .. n_pivot - 1; a member is a set (lacked, added)."""
+    return [
+        (0, i, n_pivot, n_pivot - len(r) + len(a), n_pivot - len(r), sorted(r | a))
+        for i, (r, a) in enumerate(members, 1)
+    ]
+
+
+FAMILY = "pivot long, rep long, n_pivot long, n long, common long, apart array<long>"
+
+
+def family_components(rows, links):
+    """Sets of members that the pivot's links and the given ones connect."""
+    root = {r[1]: r[1] for r in rows} | {0: 0}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    near = [(0, r[1]) for r in rows if 100 * r[4] >= 80 * (r[2] + r[3] - r[4])]
+    for a, b in [*near, *links]:
+        root[find(a)] = find(b)
+    out = {}
+    for x in root:
+        out.setdefault(find(x), set()).add(x)
+    return sorted(map(sorted, out.values()))
+
+
+def brute_family_links(rows):
+    sets = {r[1]: set(range(r[2])) ^ set(r[5]) for r in rows}
+    ids = sorted(sets)
+    return [
+        (a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_family_links_connect_what_all_pairs_do(spark, seed):
+    """Also a member beyond the threshold whose only partner lacks what it lacks and adds nothing."""
+    rng = random.Random(seed)
+    members = [(set(range(10)), {1000 + i for i in range(13)}), (set(range(10)), set())]
+    for i in range(70):
+        lacked = set(rng.sample(range(20, 45), rng.randrange(4, 18)))
+        added = {2000 + rng.randrange(12) for _ in range(rng.randrange(8))} | {5000 + 30 * i + j for j in range(rng.randrange(10))}
+        members.append((lacked, added))
+    rows = family(members)
+    links = near_dedup.family_links(spark.createDataFrame(rows, FAMILY), 80).collect()
+    want = brute_family_links(rows)
+    assert {(min(r), max(r)) for r in links} <= set(want)
+    assert family_components(rows, links) == family_components(rows, want)
+    assert any({1, 2} <= set(c) for c in family_components(rows, links))
+
+
+def test_members_without_partners_are_not_compared_in_pairs(spark, monkeypatch):
+    made, overlapping = [], near_dedup.overlapping
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return overlapping(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "overlapping", counted)
+    for size in (100, 300):
+        rng = random.Random(size)
+        members = [
+            (set(rng.sample(range(100), rng.randrange(8, 14))), {1000 + 20 * i + j for j in range(rng.randrange(8, 14))})
+            for i in range(size)
+        ]
+        made.clear()
+        near_dedup.family_links(spark.createDataFrame(family(members), FAMILY), 80).count()
+        assert sum(made) <= 2 * size, (size, made)
+
+
 def test_cluster_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     want = brute_clusters(rows, 2)
