@@ -165,10 +165,10 @@ def asof_rate(
     """
     if "currency" in rates.columns:
         rates = rates.where(F.col("currency") == currency)
-    # a row per day, written: read for its ends and again for the calendar
-    rates = written(
-        rates.where(F.col(date).isNotNull()).groupBy(date).agg(F.max(F.col(value).cast("double")).alias(value)), "rates"
-    )
+    # a row per day, written: read for its ends and again for the calendar, whose months are carried by currency
+    key = ["currency"] if "currency" in rates.columns else []
+    by_day = rates.where(F.col(date).isNotNull()).groupBy(*key, date)
+    rates = written(by_day.agg(F.max(F.col(value).cast("double")).alias(value)), "rates")
     first, last = rates.agg(
         F.min(date), F.max(F.struct(F.col(date).alias("d"), F.col(value).cast("double").alias("r")))
     ).first()

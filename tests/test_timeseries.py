@@ -80,6 +80,21 @@ def test_asof_rate_backward_with_leading_null(spark):
     assert [v for _, v in got] == [None, 900.0, 900.0, 950.0, 950.0]
 
 
+def test_asof_rate_carries_months_by_currency(spark):
+    days = {0: "900.0", 3: "905.0", 70: "950.0", 200: "990.0"}
+    rates = spark.createDataFrame(
+        [(D0 + dt.timedelta(days=d), D(r), "USD") for d, r in days.items()]
+        + [(D0 + dt.timedelta(days=d), D("1.0"), c) for d in (1, 60, 300) for c in ("EUR", None)]
+        + [(D0 + dt.timedelta(days=70), D("940.0"), "USD"), (None, D("2.0"), "USD")],
+        "rate_date date, central_rate decimal(12,4), currency string",
+    )
+    obs = spark.createDataFrame([(D0 + dt.timedelta(days=d),) for d in range(-1, 310)], "price_date date")
+    df = ts.asof_rate(obs, rates)
+    got = [v for _, v in rows(df, "price_date", "fx_usd_ngn")]
+    assert got == [max(((d, float(r)) for d, r in days.items() if d <= at), default=(0, None))[1] for at in range(-1, 310)]
+    assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_feature_summary(spark):
     s = series(spark, [(i, "2.00" if i % 2 else "4.00") for i in range(80)])
     fe = ts.feature_table(s, rates=None, min_obs=50)
