@@ -10,7 +10,7 @@ node, feature, bin). Rows are binned by their model's quantiles.
 The model's measured size decides where its sums are made, not what they are:
 
 - A model of ``TASK_ROWS`` rows or fewer is grown in one task, all such models side
-  by side. The task holds its binned rows, some 60 bytes each.
+  by side. The task gets binned rows; its arrays hold some 170 bytes for each (29 features).
 - Larger models are grown level by level, all of them together: rows are packed
   into blocks of ``BLOCK_ROWS``, every task adds up its blocks' part, the parts meet in
   tasks by (model, node), and each node's best split is taken there, in one Spark job per level. The
@@ -46,7 +46,9 @@ from pyspark.sql import functions as F
 from harvestline.session import checkpoint_dir, discard, ship, written
 
 UNITS = 1 << 16
-TASK_ROWS = 250_000
+TASK_ROWS = 1_000_000
+CELLS = 1 << 12  # of a joint sum of features
+TAKEN_ROWS = 1 << 14  # added up at a time
 BLOCK_ROWS = 25_000
 KEEP = 4
 CHECKPOINT = 48
@@ -234,7 +236,7 @@ def _packed(flat: DataFrame, n_rows: int, n_features: int, names: list[str], cut
 
 def split_scores(g: np.ndarray, h: np.ndarray, p: Params) -> np.ndarray:
     """T(G)^2 / (n + lambda): twice the loss that a node's weight takes away."""
-    t = np.sign(g) * np.maximum(np.abs(g) - p.reg_alpha, 0.0)
+    t = np.maximum(np.abs(g) - p.reg_alpha, 0.0)
     return t * t / np.maximum(h + p.reg_lambda, 1e-12)
 
 
@@ -340,53 +342,127 @@ def _level(
     return np.concatenate([np.zeros(0, SPLIT), *found])
 
 
+class Binned:
+    """A model's binned rows, and their sums by (feature, bin) in some nodes.
+
+    Features are added up several at a time, two of 64 bins as one of 4096: that takes as long as
+    for one of them, and their joint sums hold each one's own. A joint sum has ``cells`` at most.
+    """
+
+    def __init__(self, bins: np.ndarray, cells: int, max_bin: int):
+        self.bins, self.max_bin = bins, max_bin
+        self.n_bins = bins.max(axis=1, initial=0).astype(np.int64) + 1
+        self.groups: list[list[int]] = []
+        for i in np.argsort(-self.n_bins, kind="stable").tolist():
+            room = [s for s in self.groups if self.n_bins[[*s, i]].prod() <= min(cells, CELLS)]
+            if room:
+                room[0].append(i)
+            else:
+                self.groups.append([i])
+        self.codes = np.empty((bins.shape[1], len(self.groups)), np.uint16)  # by row: a node's rows lie anywhere
+        for j, s in enumerate(self.groups):
+            code = np.zeros(bins.shape[1], np.uint16)
+            for i in s:
+                code = code * np.uint16(self.n_bins[i]) + bins[i]
+            self.codes[:, j] = code
+
+    def sums(self, nodes: list[np.ndarray], residual: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """The sums (node, gradient or count, feature, bin) of each node's rows."""
+        out = np.zeros((len(nodes), 2, len(self.bins), self.max_bin), np.int64)
+        groups = [(j, s, self.n_bins[s].tolist()) for j, s in enumerate(self.groups) if columns[s].any()]
+        joint = [np.zeros((len(nodes), 2, int(np.prod(shape))), np.int64) for _, _, shape in groups]
+        for k, rows in enumerate(nodes):
+            for start in range(0, len(rows), TAKEN_ROWS):
+                some = rows[start : start + TAKEN_ROWS]
+                codes, weights = self.codes.take(some, axis=0), residual.take(some)
+                for (j, _, _), x in zip(groups, joint):
+                    key = codes[:, j].astype(np.intp)
+                    # whole numbers in doubles: exact for the sums of so many rows
+                    x[k, 0] += np.bincount(key, weights, x.shape[2]).astype(np.int64)
+                    x[k, 1] += np.bincount(key, minlength=x.shape[2])
+        for (_, s, shape), x in zip(groups, joint):
+            x = x.reshape(len(nodes), 2, *shape)
+            for at, i in enumerate(s, 2):
+                others = tuple(a for a in range(2, x.ndim) if a != at)
+                out[:, :, i, : x.shape[at]] = x.sum(axis=others) if others else x
+        return out
+
+
 def _grown_in_task(name: str, bins: np.ndarray, y: np.ndarray, ids: np.ndarray, base: float, p: Params) -> Iterator[Grown]:
-    """The trees of one model whose rows are at hand."""
+    """The trees of one model whose rows are at hand.
+
+    Of two siblings the one with fewer rows is added up; the other's sums are their parent's without them.
+    """
     n_features, n = bins.shape
-    flat, every = bins.reshape(-1), np.arange(n)
+    binned = Binned(bins, n >> max(0, p.max_depth - 1), p.max_bin)  # no more cells than a deep node may have rows
     f = np.full(n, base)
     for tree in range(p.n_estimators):
         columns = drawn_columns(name, tree, n_features, p)
-        some = np.flatnonzero(drawn_rows(ids, tree, p))
-        residual = np.rint((y[some] - f[some]) * UNITS)
-        used = [(i, bins[i].take(some)) for i in np.flatnonzero(columns).tolist()]
-        grown, node = Grown(1, p), np.zeros(n, np.int64)
+        used, drawn = np.flatnonzero(columns), drawn_rows(ids, tree, p)
+        residual = np.rint((y - f) * UNITS)
+        grown, sums = Grown(1, p), {}
+        # the rows of each open node and leaf: those that the tree is grown on, and the others
+        on, off = {0: np.flatnonzero(drawn)}, {0: np.flatnonzero(~drawn)}
+        level = [0] if len(on[0]) else []
         for depth in range(p.max_depth):
-            width = 1 << depth
-            place = node.take(some) - (width - 1)
-            still = None if place.min(initial=0) >= 0 else np.flatnonzero(place >= 0)
-            base_key = (place if still is None else place[still]) * p.max_bin
-            weights = residual if still is None else residual[still]
-            g, h = (np.zeros((width, n_features, p.max_bin), np.int64) for _ in range(2))
-            for i, b in used:
-                key = base_key + (b if still is None else b[still])
-                g[:, i] = np.bincount(key, weights, width * p.max_bin).reshape(width, -1)
-                h[:, i] = np.bincount(key, minlength=width * p.max_bin).reshape(width, -1)
-            slots = np.flatnonzero(h[:, used[0][0]].any(axis=1))
-            if not len(slots):
+            if not level:
                 break
-            got = best_splits(slots, g[slots], h[slots], np.tile(columns, (len(slots), 1)), p)
-            if not grown.split(got, depth, p):
-                break
-            feature, cut = grown.feature[0].take(node), grown.cut[0].take(node)
-            right = flat.take(np.maximum(feature, 0).astype(np.int64) * n + every) > cut
-            node = np.where((feature >= 0) & (node >= width - 1), 2 * node + 1 + right, node)
-        f = f + grown.value[0].take(node)
+            first, parents = (1 << depth) - 1, sums
+            fewer = [min(pair, key=lambda i: len(on[i])) for pair in zip(level[::2], level[1::2])] or level
+            sums = dict(zip(fewer, binned.sums([on[i] for i in fewer], residual, columns)[:, :, used]))
+            for i in level:
+                if i not in sums:
+                    sums[i] = parents[(i - 1) // 2] - sums[i + 1 if i % 2 else i - 1]
+            total = np.stack([sums[i] for i in level])
+            got = best_splits(np.array(level) - first, total[:, 0], total[:, 1], np.ones((len(level), len(used)), bool), p)
+            got = got[got["feature"] >= 0] if depth else got
+            got["feature"] = np.where(got["feature"] >= 0, used[got["feature"]], -1)
+            grown.split(got, depth, p)
+            level = []
+            for slot, feature, cut in got[got["feature"] >= 0][["slot", "feature", "cut"]].tolist():
+                node = slot + first
+                for parts in (on, off):
+                    rows = parts.pop(node)
+                    right = bins[feature].take(rows) > cut
+                    parts[2 * node + 1], parts[2 * node + 2] = rows.compress(~right), rows.compress(right)
+                level += [2 * node + 1, 2 * node + 2]
+        for parts in (on, off):
+            for node, rows in parts.items():
+                f[rows] += grown.value[0, node]
         yield grown
 
 
-def _small_models(flat: DataFrame, features: list[str], names: list[str], cuts: list, bases: np.ndarray, p: Params) -> DataFrame:
+def _by_model(flat: DataFrame, n_features: int, names: list[str], cuts: list) -> DataFrame:
+    """Binned rows of models, a row for each model and batch."""
+    number = {m: i for i, m in enumerate(names)}
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            model = np.array([number[m] for m in t.column("model").to_pylist()], np.int32)
+            for m in np.unique(model).tolist():
+                mine = t.take(pa.array(np.flatnonzero(model == m)))
+                y, ids = mine.column("y").to_numpy().astype(np.float64), mine.column("id").to_numpy()
+                out = [pa.array([a.tobytes()], pa.binary()) for a in (_binned(mine, cuts[m], n_features), y, ids)]
+                yield pa.RecordBatch.from_arrays([pa.array([names[m]]), *out], names=["model", "bins", "y", "id"])
+
+    return flat.mapInArrow(pack, "model string, bins binary, y binary, id binary")
+
+
+def _small_models(binned: DataFrame, features: list[str], names: list[str], cuts: list, bases: np.ndarray, p: Params) -> DataFrame:
     """The node table of models of bounded size, a model per task."""
     number = {m: i for i, m in enumerate(names)}
 
     def grow(t: pa.Table) -> pa.Table:
         name = t.column("model")[0].as_py()
         m = number[name]
-        y, ids = t.column("y").to_numpy().astype(np.float64), t.column("id").to_numpy().view(np.uint64)
-        trees = _grown_in_task(name, _binned(t, cuts[m], len(features)), y, ids, float(bases[m]), p)
+        bins, y, ids = ([x.as_buffer() for x in t.column(c)] for c in ("bins", "y", "id"))
+        bins = np.concatenate([np.frombuffer(x, np.uint8).reshape(len(features), -1) for x in bins], axis=1)
+        y, ids = (np.concatenate([np.frombuffer(x, kind) for x in parts]) for parts, kind in ((y, np.float64), (ids, np.uint64)))
+        trees = _grown_in_task(name, bins, y, ids, float(bases[m]), p)
         return pa.Table.from_batches([g.rows(i, [name], features, [cuts[m]]) for i, g in enumerate(trees)])
 
-    return flat.repartitionByRange(len(names), "model").groupBy("model").applyInArrow(grow, NODES)
+    return binned.repartitionByRange(len(names), "model").groupBy("model").applyInArrow(grow, NODES)
 
 
 def _large_models(
@@ -425,7 +501,7 @@ def fit(rows: DataFrame, features: Sequence[str], target: str, params: Params) -
     found = _thresholds(rows, features, target, p)
     bases = [(r["model"], r["total"] / UNITS / r["n"]) for r in found]
     forest = Forest(spark.createDataFrame([], NODES), spark.createDataFrame(bases, "model string, base double"), features, p.max_depth)
-    flat, parts = _flat(rows, features, target), []
+    flat, parts, binned = _flat(rows, features, target), [], []
     for large in (False, True):
         chosen = [r for r in found if (r["n"] > TASK_ROWS) == large]
         if not chosen:
@@ -437,9 +513,12 @@ def fit(rows: DataFrame, features: Sequence[str], target: str, params: Params) -
         if large:
             parts.append(_large_models(mine, sum(r["n"] for r in chosen), features, names, cuts, base, p))
         else:
-            parts.append(_small_models(mine, features, names, cuts, base, p))
+            # written, as it is read twice: for the range of each task, and by the tasks
+            binned.append(written(_by_model(mine, len(features), names, cuts), "binned"))
+            parts.append(_small_models(binned[0], features, names, cuts, base, p))
     if parts:
         forest.nodes = written(parts[0] if len(parts) == 1 else parts[0].union(parts[1]), "nodes")
+    discard(*binned)
     return forest
 
 
@@ -481,14 +560,12 @@ def packed_models(forest: Forest) -> DataFrame:
     )
 
 
-def _prediction(features: Sequence[str], depth: int) -> Column:
-    x = F.array(*[F.col(c).cast("double") for c in features])
+def _prediction(x: Column, depth: int) -> Column:
     feature, threshold, below, value = (F.col(f"_m.{c}") for c in ("feature", "threshold", "below", "value"))
 
     def step(node: Column, _: Column) -> Column:
-        lower = F.get(below, node)
         right = F.when(F.get(x, F.get(feature, node)) < F.get(threshold, node), 0).otherwise(1)
-        return F.when(lower.isNull(), node).otherwise(lower + right)
+        return F.coalesce(F.get(below, node) + right, node)  # a leaf has nothing below it
 
     def leaf(root: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), root, step)
@@ -507,8 +584,10 @@ def score(df: DataFrame, forest: Forest, model: Column, prediction: str = "predi
     trees = trees.select(F.col("model").alias("_model"), F.struct(*[c for c in trees.columns if c != "model"]).alias("_m"))
     if forest.nodes.count() * 32 <= BROADCAST_BYTES:
         trees = F.broadcast(trees)
-    joined = df.withColumn("_key", model).join(trees, F.col("_key") == F.col("_model"), "left")
-    return joined.withColumn(prediction, _prediction(forest.features, forest.max_depth)).drop("_key", "_model", "_m")
+    # the features' array is a column, made once a row and not in every step of a tree
+    x = F.array(*[F.col(c).cast("double") for c in forest.features])
+    joined = df.withColumns({"_key": model, "_x": x}).join(trees, F.col("_key") == F.col("_model"), "left")
+    return joined.withColumn(prediction, _prediction(F.col("_x"), forest.max_depth)).drop("_key", "_x", "_model", "_m")
 
 
 def importances(forest: Forest, top: int | None = 10) -> DataFrame:

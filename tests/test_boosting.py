@@ -140,6 +140,47 @@ def test_partitioning_and_merging_change_nothing(spark, fitted, monkeypatch):
     assert one == other and len(one) > 30
 
 
+def test_features_added_up_together_give_the_same_trees(spark, monkeypatch):
+    """Joint sums of several features, and siblings' sums by subtraction: the trees grown level by level."""
+    df = spark.createDataFrame(data(9000), SCHEMA)
+    p = boosting.Params(n_estimators=4, max_depth=4, subsample=0.8, colsample_bytree=0.7, min_child_weight=2, max_bin=16)
+    columns = ["model", "tree", "node", "feature", "threshold", "value", "gain", "cover"]
+    together = boosting.fit(df, FEATURES, "y", p).nodes.orderBy("model", "tree", "node").select(*columns).collect()
+    assert len(boosting.Binned(np.array([[0, 11], [3, 15], [1, 0]], np.uint8), 3000 >> 3, 16).groups) == 2
+    monkeypatch.setattr(boosting, "TASK_ROWS", 0)
+    levels = boosting.fit(df, FEATURES, "y", p).nodes.orderBy("model", "tree", "node").select(*columns).collect()
+    assert together == levels and len(levels) > 100
+
+
+def test_a_tree_adds_up_each_row_a_few_times(monkeypatch):
+    """Of two siblings the smaller is added up, and features are added up together: fewer than half
+    of a sum and a count per row, feature and level."""
+    rng = np.random.default_rng(5)
+    n, n_features, p = 4000, 6, boosting.Params(n_estimators=3, max_depth=4, max_bin=16, min_child_weight=2)
+    bins = rng.integers(0, 16, (n_features, n)).astype(np.uint8)
+    y = bins[0] * 3.0 + (bins[1] > 7) * bins[2] + rng.normal(size=n)
+    added, bincount = [0], np.bincount
+
+    def counted(x, *args, **kwargs):
+        added[0] += len(x)
+        return bincount(x, *args, **kwargs)
+
+    monkeypatch.setattr(np, "bincount", counted)
+    trees = list(boosting._grown_in_task("m", bins, y, np.arange(n).astype(np.uint64), float(y.mean()), p))
+    assert min(int(t.exists.sum()) for t in trees) > 15
+    assert added[0] <= 0.45 * 2 * p.n_estimators * p.max_depth * n_features * n
+
+
+def test_the_global_model_of_a_larger_table_needs_no_job_per_level(spark, monkeypatch):
+    """As many rows as the global model has at sf0.1: 500 trees in a job per level took over ten minutes."""
+    n = 318_499
+    df = spark.range(n).selectExpr("'global' as model", "cast(id % 97 as double) as a", "cast(id % 31 as double) as b", "double(id % 7) as c")
+    df = df.selectExpr("*", "a * 2 + b as y")
+    monkeypatch.setattr(boosting, "_large_models", None)
+    nodes = boosting.fit(df, FEATURES, "y", boosting.Params(n_estimators=2, max_depth=2)).nodes.collect()
+    assert {r.cover for r in nodes if r.node == 0} == {n} and len(nodes) == 14
+
+
 def test_the_driver_gets_splits_and_no_sums(spark, fitted, monkeypatch):
     """What a level sends to the driver is a record per open node, however many blocks there are."""
     df, _ = fitted
